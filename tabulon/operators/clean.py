@@ -106,9 +106,10 @@ def impute_by_group(df: DataFrame, keys: list[str], col: str, stat: str = "max")
             .alias("_fill"))
     else:
         raise ValueError(f"unknown stat {stat!r}")
-    cond = [df[k].eqNullSafe(stats[k]) for k in keys]
+    stats = stats.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_fill")
+    cond = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
     joined = df.join(stats, on=cond, how="left")
-    return joined.select(*[F.coalesce(df[c], stats["_fill"]).alias(c) if c == col else df[c]
+    return joined.select(*[F.coalesce(F.col(c), F.col("_fill")).alias(c) if c == col else F.col(c)
                            for c in df.columns])
 
 

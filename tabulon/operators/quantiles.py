@@ -43,76 +43,90 @@ def _ranks(n: int, p: float, method: str) -> list[int]:
     return [max(int(math.ceil(n * p)) - 1, 0)]
 
 
+def _bin_expr(x, fa, fb, bins: int):
+    """Bin of x: -Inf -> -1, +Inf -> bins, finite values in ``bins`` equal-width bins over
+    the finite range [fa, fb] (monotone in x)."""
+    if fa is None:
+        finite = F.lit(0)
+    elif fa == fb:
+        finite = F.lit(0)
+    else:
+        finite = F.least(F.greatest(
+            F.floor((x - F.lit(fa)) / F.lit(fb - fa) * F.lit(float(bins))), F.lit(0)),
+            F.lit(bins - 1))
+    return (F.when(x == F.lit(float("-inf")), F.lit(-1))
+            .when(x == F.lit(float("inf")), F.lit(bins)).otherwise(finite)).cast("int")
+
+
 def order_statistics(df: DataFrame, wanted: dict[str, set[int]], counts: dict[str, int],
-                     bounds: dict[str, tuple[float, float]], bins: int = DEFAULT_BINS,
+                     bounds: dict[str, tuple], bins: int = DEFAULT_BINS,
                      finish_rows: int = FINISH_ROWS) -> dict[tuple[str, int], float]:
-    """Values at 0-based ranks (ascending, NULL/NaN excluded) for each column, distributed."""
-    spark = df.sparkSession
-    # state per target: [a, b, below, count_in_range]
+    """Values at 0-based ranks (ascending, NULL/NaN excluded) for each column, distributed.
+
+    ``bounds[c]`` = (min, max, finite min, finite max) of the valid values."""
+    # state per target: (a, b, finite a, finite b) interval, rows below a, rows inside
     state = {}
     result: dict[tuple[str, int], float] = {}
     for c, ranks in wanted.items():
-        lo, hi = bounds[c]
+        lo, hi, flo, fhi = bounds[c]
         for r in ranks:
             if lo == hi:
                 result[(c, r)] = float(lo)
             else:
-                state[(c, r)] = [float(lo), float(hi), 0, counts[c]]
+                state[(c, r)] = ((lo, hi, flo, fhi), 0, counts[c])
     xs = {c: F.col(c).cast("double") for c in wanted}
     while state:
-        probes: dict[tuple[str, float, float], int] = {}
-        for (c, _r), (a, b, _below, _n) in state.items():
-            probes.setdefault((c, a, b), len(probes))
-        counts_in = {}
-        for (c, r), (a, b, _below, n) in state.items():
-            counts_in[probes[(c, a, b)]] = n
-        finish = {j for j, n in counts_in.items() if n <= finish_rows}
+        probes: dict[tuple, int] = {}
+        sizes: dict[int, int] = {}
+        for (c, _r), (iv, _below, n) in state.items():
+            j = probes.setdefault((c, *iv), len(probes))
+            sizes[j] = n
         by_id = {j: key for key, j in probes.items()}
-        # -- binning round for the wide probes
+        finish = {j for j, n in sizes.items() if n <= finish_rows}
+        hist: dict[int, list] = {}
         wide = [j for j in by_id if j not in finish]
-        hist: dict[int, list[tuple[int, int, float, float]]] = {}
         if wide:
             entries = []
             for j in wide:
-                c, a, b = by_id[j]
+                c, a, b, fa, fb = by_id[j]
                 x = xs[c]
-                bin_expr = F.least(F.floor((x - F.lit(a)) / F.lit(b - a) * F.lit(float(bins))),
-                                   F.lit(bins - 1)).cast("int")
                 entries.append(F.when((x >= F.lit(a)) & (x <= F.lit(b)),
-                                      F.struct(F.lit(j).alias("p"), bin_expr.alias("b"),
+                                      F.struct(F.lit(j).alias("p"),
+                                               _bin_expr(x, fa, fb, bins).alias("b"),
                                                x.alias("x"))))
-            exploded = df.select(F.explode(F.filter(F.array(*entries), lambda s: s.isNotNull()))
-                                 .alias("e")).select("e.p", "e.b", "e.x")
+            exploded = (df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull()))
+                                  .alias("e")).select("e.p", "e.b", "e.x"))
+            finite_x = F.when(~F.col("x").isin(float("inf"), float("-inf")), F.col("x"))
             for row in (exploded.groupBy("p", "b")
                         .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"),
-                             F.max("x").alias("hi")).collect()):
-                hist.setdefault(row["p"], []).append((row["b"], row["n"], row["lo"], row["hi"]))
-        # -- finishing round: bounded sorted arrays
+                             F.max("x").alias("hi"), F.min(finite_x).alias("flo"),
+                             F.max(finite_x).alias("fhi")).collect()):
+                hist.setdefault(row["p"], []).append(
+                    (row["b"], row["n"], row["lo"], row["hi"], row["flo"], row["fhi"]))
         sorted_vals: dict[int, list[float]] = {}
         if finish:
             aggs = []
             for j in sorted(finish):
-                c, a, b = by_id[j]
+                c, a, b, _fa, _fb = by_id[j]
                 x = xs[c]
                 aggs.append(F.sort_array(F.collect_list(
                     F.when((x >= F.lit(a)) & (x <= F.lit(b)), x))).alias(f"v{j}"))
             row = df.agg(*aggs).collect()[0]
             sorted_vals = {j: row[f"v{j}"] for j in sorted(finish)}
-        # -- advance every target
         next_state = {}
-        for (c, r), (a, b, below, n) in state.items():
-            j = probes[(c, a, b)]
+        for (c, r), (iv, below, _n) in state.items():
+            j = probes[(c, *iv)]
             local = r - below
             if j in sorted_vals:
                 result[(c, r)] = float(sorted_vals[j][local])
                 continue
             cum = 0
-            for _b, cnt, lo, hi in sorted(hist[j]):
+            for _b, cnt, lo, hi, flo, fhi in sorted(hist[j]):
                 if local < cum + cnt:
                     if lo == hi:
                         result[(c, r)] = float(lo)
                     else:
-                        next_state[(c, r)] = [float(lo), float(hi), below + cum, cnt]
+                        next_state[(c, r)] = ((lo, hi, flo, fhi), below + cum, cnt)
                     break
                 cum += cnt
         state = next_state
@@ -120,15 +134,18 @@ def order_statistics(df: DataFrame, wanted: dict[str, set[int]], counts: dict[st
 
 
 def column_summary(df: DataFrame, cols: list[str]) -> tuple[dict, dict]:
-    """Count of valid values and (min, max) per column, in one job."""
+    """Count of valid values, and (min, max, finite min, finite max) per column, one job."""
     aggs = []
     for i, c in enumerate(cols):
         v = _valid(df, c)
         x = F.when(v, F.col(c).cast("double"))
-        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        fx = F.when(~x.isin(float("inf"), float("-inf")), x)
+        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
+                 F.min(fx).alias(f"flo{i}"), F.max(fx).alias(f"fhi{i}")]
     row = df.agg(*aggs).collect()[0]
     counts = {c: row[f"n{i}"] for i, c in enumerate(cols)}
-    bounds = {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(cols)}
+    bounds = {c: (row[f"lo{i}"], row[f"hi{i}"], row[f"flo{i}"], row[f"fhi{i}"])
+              for i, c in enumerate(cols)}
     return counts, bounds
 
 

@@ -34,3 +34,764 @@ def flagship(spark, d):
     docs = B.table(spark, d, "documents").select("lang", "n_chars")
     kept = outliers.remove_outliers(docs, ["n_chars"])
     return profile.class_distribution(kept, "lang")
+
+
+def r9(c) -> F.Column:
+    """Round a floating result of a sum/average to 9 decimals, so that summation order (which
+    differs between engines and partitionings) does not show in comparisons."""
+    return F.round(F.col(c) if isinstance(c, str) else c, 9)
+
+
+PREDS_BY = ["model", "version", "dataset"]
+SKEW_COLS = ["value", "user_id"]
+
+
+# ---------------------------------------------------------------- sources and sinks (IO-*)
+@query("io_csv_roundtrip")
+def io_csv_roundtrip(spark, d):
+    from tabulon.session import scratch_path
+    from tabulon.sources.files import read_delimited, write_delimited
+
+    path = scratch_path(spark, "nation_csv")
+    write_delimited(B.table(spark, d, "nation"), path, sep=";")
+    back = read_delimited(spark, path, types={"n_nationkey": "int", "n_regionkey": "int"}, sep=";")
+    return back.select("n_nationkey", "n_name", "n_regionkey")
+
+
+@query("io_parquet_project")
+def io_parquet_project(spark, d):
+    from tabulon.sources.files import read_table
+
+    return read_table(spark, f"{d}/lineitem.parquet", ["l_orderkey", "l_quantity"])
+
+
+@query("io_parquet_roundtrip")
+def io_parquet_roundtrip(spark, d):
+    from tabulon.session import scratch_path
+    from tabulon.sources.files import read_table, write_table
+
+    path = scratch_path(spark, "cls3")
+    write_table(B.cls3(spark, d), path, mode="overwrite")
+    return read_table(spark, path)
+
+
+def _sep_train(spark, d):
+    return B.train_sep(spark, d)
+
+
+@query("model_roundtrip_scores")
+def model_roundtrip_scores(spark, d):
+    from tabulon.operators.models import predictions_table, train
+    from tabulon.session import scratch_path
+    from tabulon.sources.models import load_model, save_model
+
+    df = _sep_train(spark, d)
+    model = train(df, "logistic", "Target", B.CLS3_FEATURES, params={"maxIter": 20})
+    path = scratch_path(spark, "model_lr")
+    save_model(model, path)
+    loaded = load_model(path)
+    return predictions_table(loaded, df, "Target", "l_orderkey", "logistic", 1, "all")
+
+
+def _evaluated(spark, d):
+    from tabulon.operators.evaluate import evaluate
+
+    return evaluate(B.predictions(spark, d), by=PREDS_BY)
+
+
+@query("metrics_long")
+def metrics_long(spark, d):
+    from tabulon.session import scratch_path
+    from tabulon.sources.metrics_store import log_metrics, read_metrics
+
+    path = scratch_path(spark, "metrics")
+    log_metrics(_evaluated(spark, d), path)
+    back = read_metrics(spark, path)
+    return back.select(*PREDS_BY, "metric", r9("value").alias("value"))
+
+
+@query("metrics_wide")
+def metrics_wide(spark, d):
+    from tabulon.sources.metrics_store import METRIC_NAMES, metrics_for
+
+    wide = metrics_for(_evaluated(spark, d))
+    return wide.select(*PREDS_BY, *[r9(m).alias(m) for m in METRIC_NAMES])
+
+
+@query("latest_version")
+def latest_version(spark, d):
+    from tabulon.sources.metrics_store import latest_predictions
+
+    return latest_predictions(B.predictions(spark, d))
+
+
+@query("model_versions")
+def model_versions(spark, d):
+    from tabulon.sources.metrics_store import model_versions as mv
+
+    return mv(B.predictions(spark, d))
+
+
+# ---------------------------------------------------------------- projection, casts (CL-*)
+@query("cast_columns")
+def cast_columns(spark, d):
+    df = clean.cast_columns(B.dirty(spark, d), {"raw": "double", "user_id": "int"})
+    return df.select("event_id", "raw", "user_id")
+
+
+@query("project_columns")
+def project_columns(spark, d):
+    return clean.project(B.cls3(spark, d), ["Target", "l_quantity"])
+
+
+@query("drop_columns")
+def drop_columns(spark, d):
+    return clean.drop_columns(B.cls3(spark, d), ["l_discount", "l_tax"])
+
+
+@query("rename_columns")
+def rename_columns(spark, d):
+    df = clean.rename(B.cls3(spark, d), {"Target": "label", "l_quantity": "quantity"})
+    return df.select("label", "quantity")
+
+
+@query("table_shape")
+def table_shape(spark, d):
+    return clean.shape(B.cls3(spark, d))
+
+
+@query("tail_rows")
+def tail_rows(spark, d):
+    orders = B.table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return clean.tail_rows(orders, 10, ["o_orderkey"])
+
+
+@query("head_rows")
+def head_rows(spark, d):
+    orders = B.table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return clean.head_rows(orders, 10, ["o_orderkey"])
+
+
+@query("distinct_labels")
+def distinct_labels(spark, d):
+    return clean.distinct_values(B.cls3(spark, d), "Target")
+
+
+@query("missing_rows")
+def missing_rows(spark, d):
+    df = B.dirty(spark, d)
+    flags = clean.missing_flags(df, ["value", "raw"])
+    out = df.select("event_id", flags["value"].alias("value_missing"),
+                    flags["raw"].alias("raw_missing"))
+    return out.filter(F.col("value_missing") | F.col("raw_missing"))
+
+
+@query("fill_missing")
+def fill_missing(spark, d):
+    return clean.fill_missing(B.dirty(spark, d), ["value"], 0).select("event_id", "value")
+
+
+@query("filter_equals")
+def filter_equals(spark, d):
+    li = B.table(spark, d, "lineitem")
+    return clean.filter_equals(li, "l_returnflag", "R").select("l_orderkey", "l_linenumber",
+                                                               "l_quantity")
+
+
+def _flagged_events(spark, d):
+    ev = B.table(spark, d, "events").select("event_id", *SKEW_COLS)
+    return outliers.flag_outliers(ev, SKEW_COLS)
+
+
+@query("rows_any_outlier")
+def rows_any_outlier(spark, d):
+    flagged = _flagged_events(spark, d)
+    return clean.rows_with_any(flagged, [f"{c}_is_outlier" for c in SKEW_COLS]).select("event_id")
+
+
+@query("rows_no_outlier")
+def rows_no_outlier(spark, d):
+    flagged = _flagged_events(spark, d)
+    return clean.rows_with_none(flagged, [f"{c}_is_outlier" for c in SKEW_COLS]).select("event_id")
+
+
+@query("case_label")
+def case_label(spark, d):
+    df = clean.label_case(B.binary_scores(spark, d), "prediction", {1: "Buy"}, "Do not buy",
+                          "decision")
+    return df.select("row_id", "decision")
+
+
+# ---------------------------------------------------------------- joins (JN-*)
+@query("join_frequency_left")
+def join_frequency_left(spark, d):
+    from tabulon.operators.features import frequency_lookup, join_frequency
+
+    df = B.cats(spark, d)
+    out = join_frequency(df, frequency_lookup(df, "user_key"), "user_key", "user_key_frequency")
+    return out.select("event_id", "user_key", "user_key_frequency")
+
+
+@query("join_class_counts")
+def join_class_counts(spark, d):
+    df = B.cls3(spark, d)
+    counts = profile.class_counts(df, "Target", "n_class")
+    return df.join(counts, "Target").select("Target", "l_quantity", "n_class")
+
+
+# ---------------------------------------------------------------- profiling (PF-*)
+@query("infinite_counts")
+def infinite_counts(spark, d):
+    return profile.infinite_counts(B.dirty(spark, d))
+
+
+@query("missing_columns")
+def missing_columns(spark, d):
+    return profile.missing_columns(B.dirty(spark, d))
+
+
+@query("null_counts")
+def null_counts(spark, d):
+    return profile.null_counts(B.dirty(spark, d))
+
+
+@query("class_counts")
+def class_counts(spark, d):
+    return profile.class_counts(B.cls3(spark, d), "Target")
+
+
+@query("class_distribution")
+def class_distribution(spark, d):
+    return profile.class_distribution(B.cls3(spark, d), "Target")
+
+
+@query("quantiles_exact")
+def quantiles_exact(spark, d):
+    q = profile.quantile_table(B.cls3(spark, d), B.CLS3_FEATURES, [0.25, 0.5, 0.75], "linear")
+    return q.select("column", "prob", r9("value").alias("value"))
+
+
+@query("quantiles_disc")
+def quantiles_disc(spark, d):
+    return profile.quantile_table(B.cls3(spark, d), B.CLS3_FEATURES, [0.1, 0.25, 0.5, 0.75, 0.9],
+                                  "lower")
+
+
+@query("quantiles_skew")
+def quantiles_skew(spark, d):
+    docs = B.table(spark, d, "documents").select("n_chars")
+    q = profile.quantile_table(docs, ["n_chars"], [0.01, 0.25, 0.5, 0.75, 0.99], "linear")
+    return q.select("column", "prob", r9("value").alias("value"))
+
+
+@query("box_stats")
+def box_stats(spark, d):
+    ev = B.table(spark, d, "events").select(*SKEW_COLS)
+    b = profile.box_stats(ev, SKEW_COLS)
+    return b.select("column", *[r9(c).alias(c) for c in ("q1", "median", "q3")],
+                    "whisker_lo", "whisker_hi", "n_fliers")
+
+
+@query("outlier_counts")
+def outlier_counts(spark, d):
+    ev = B.table(spark, d, "events").select(*SKEW_COLS)
+    return outliers.outlier_counts(ev, SKEW_COLS)
+
+
+@query("outlier_recheck")
+def outlier_recheck(spark, d):
+    ev = B.table(spark, d, "events").select(*SKEW_COLS)
+    return outliers.recheck_outliers(ev, SKEW_COLS)
+
+
+@query("histogram_by_class")
+def histogram_by_class(spark, d):
+    h = profile.histogram_by(B.cls3(spark, d), "l_extendedprice", "Target", bins=50)
+    return h.select("Target", "bin", "n_rows", r9("bin_lo").alias("bin_lo"))
+
+
+@query("correlation_matrix")
+def correlation_matrix(spark, d):
+    m = profile.correlation_matrix(B.cls3(spark, d), ["Target", *B.CLS3_FEATURES])
+    return m.select("col_a", "col_b", r9("corr").alias("corr"))
+
+
+@query("target_correlation")
+def target_correlation(spark, d):
+    t = profile.target_correlation(B.cls3(spark, d), "Target", ["Target", *B.CLS3_FEATURES])
+    return t.select("column", r9("corr").alias("corr"))
+
+
+@query("high_cardinality")
+def high_cardinality(spark, d):
+    return profile.high_cardinality(B.cats(spark, d), ["user_key", "event_type"], 100)
+
+
+@query("frequency_table")
+def frequency_table(spark, d):
+    return profile.frequency_table(B.cats(spark, d), "event_type")
+
+
+@query("min_positive_score")
+def min_positive_score(spark, d):
+    return profile.min_positive_score(B.predictions(spark, d), by=PREDS_BY)
+
+
+# ---------------------------------------------------------------- outliers, imputation (OW-*)
+@query("flag_outliers")
+def flag_outliers(spark, d):
+    return _flagged_events(spark, d).select("event_id", *[f"{c}_is_outlier" for c in SKEW_COLS])
+
+
+@query("remove_outliers")
+def remove_outliers(spark, d):
+    ev = B.table(spark, d, "events").select("event_id", *SKEW_COLS)
+    return outliers.remove_outliers(ev, SKEW_COLS).select("event_id")
+
+
+@query("impute_group_max")
+def impute_group_max(spark, d):
+    df = B.impute_input(spark, d)
+    return clean.impute_by_group(df, ["period", "grp"], "value", "max").select("event_id", "value")
+
+
+@query("impute_group_mode")
+def impute_group_mode(spark, d):
+    df = B.impute_input(spark, d)
+    return clean.impute_by_group(df, ["period", "grp"], "code", "mode").select("event_id", "code")
+
+
+@query("forward_fill")
+def forward_fill(spark, d):
+    df = B.impute_input(spark, d).select("event_id", "grp", "value")
+    return clean.forward_fill(df, ["value"], "event_id", ["grp"]).select("event_id", "value")
+
+
+@query("forward_fill_global")
+def forward_fill_global(spark, d):
+    df = B.impute_input(spark, d).select("event_id", "value")
+    return clean.forward_fill(df, ["value"], "event_id").select("event_id", "value")
+
+
+# ---------------------------------------------------------------- features (FE-*)
+@query("label_encode")
+def label_encode(spark, d):
+    from tabulon.operators.features import label_encode as enc
+
+    cu = B.table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_name")
+    return enc(cu, ["c_mktsegment", "c_name"]).select("c_custkey", "c_mktsegment", "c_name")
+
+
+@query("string_index")
+def string_index(spark, d):
+    from tabulon.operators.features import index_strings
+
+    out = index_strings(B.cats(spark, d), ["event_type", "user_key"])
+    return out.select("event_id", "event_type_index", "user_key_index")
+
+
+@query("frequency_encode")
+def frequency_encode(spark, d):
+    from tabulon.operators.features import frequency_encode as fe
+
+    out, _ = fe(B.cats(spark, d), ["user_key", "event_type"], threshold=100)
+    return out
+
+
+@query("standard_scale")
+def standard_scale(spark, d):
+    from tabulon.operators.features import standard_scale as ss
+
+    out = ss(B.cls3(spark, d), B.CLS3_FEATURES)
+    return out.select("Target", *[r9(c).alias(c) for c in B.CLS3_FEATURES])
+
+
+@query("minmax_scale")
+def minmax_scale(spark, d):
+    from tabulon.operators.features import minmax_scale as mm
+
+    return mm(B.cls3(spark, d), B.CLS3_FEATURES).select("Target", *B.CLS3_FEATURES)
+
+
+@query("assemble_vector")
+def assemble_vector(spark, d):
+    from tabulon.operators.features import assemble, unfold_vector
+
+    v = assemble(B.cls3(spark, d), B.CLS3_FEATURES, "features")
+    return unfold_vector(v, "features", len(B.CLS3_FEATURES), keep=["Target"])
+
+
+def _feature_chain(spark, d, ids):
+    from tabulon.operators.features import feature_pipeline, unfold_vector
+
+    df = B.binary_real(spark, d)
+    if not ids:
+        df = df.drop("doc_id")
+    pipe, encoded, inputs = feature_pipeline(df, "quality", threshold=100, ids=ids)
+    model = pipe.fit(encoded)
+    out = model.transform(encoded)
+    size = len(inputs)
+    return unfold_vector(out, "features", size, keep=[*ids, "quality"])
+
+
+@query("feature_chain")
+def feature_chain(spark, d):
+    return _feature_chain(spark, d, [])
+
+
+@query("feature_chain_with_id")
+def feature_chain_with_id(spark, d):
+    return _feature_chain(spark, d, ["doc_id"])
+
+
+@query("preprocess_chain")
+def preprocess_chain(spark, d):
+    from tabulon.operators.features import unfold_vector
+    from tabulon.operators.preprocess import PreprocessSpec, preprocess
+    from tabulon.session import scratch_path
+
+    spec = PreprocessSpec(types={"raw": "double"}, fill=["value", "raw"],
+                          outlier_cols=["value", "raw"], scale=["value", "raw"],
+                          drop=["user_id", "event_type"], features=["value", "raw"])
+    out = preprocess(B.dirty(spark, d), spec, out_path=scratch_path(spark, "preprocessed"))
+    u = unfold_vector(out, "features", 2, keep=["event_id"])
+    return u.select("event_id", r9("f0").alias("f0"), r9("f1").alias("f1"))
+
+
+# ---------------------------------------------------------------- splitting (SP-*)
+@query("random_split")
+def random_split(spark, d):
+    from tabulon.operators.split import random_split as rs
+
+    parts = rs(B.cls3(spark, d), [0.8, 0.1, 0.1], seed=42)
+    out = None
+    for name, part in parts.items():
+        p = part.withColumn("split", F.lit(name))
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+@query("hash_split")
+def hash_split(spark, d):
+    from tabulon.operators.split import hash_split as hs
+
+    cu = B.table(spark, d, "customer").select("c_custkey")
+    return hs(cu, "c_custkey", [0.8, 0.1, 0.1])
+
+
+@query("class_weights")
+def class_weights(spark, d):
+    from tabulon.operators.split import class_weights as cw
+
+    out = cw(B.cls3(spark, d), "Target")
+    return out.select("Target", "l_quantity", "weight")
+
+
+# ---------------------------------------------------------------- training (ML-*)
+def _fit_and_score(spark, d, family, params, label_fn=None, name=None):
+    from tabulon.operators.models import predictions_table, train
+
+    df = _sep_train(spark, d)
+    if label_fn is not None:
+        df = df.withColumn("Target", label_fn(F.col("Target")))
+    model = train(df, family, "Target", B.CLS3_FEATURES, params=params)
+    return predictions_table(model, df, "Target", "l_orderkey", name or family, 1, "all")
+
+
+@query("train_logistic")
+def train_logistic(spark, d):
+    return _fit_and_score(spark, d, "logistic", {"maxIter": 20, "regParam": 0.01})
+
+
+@query("train_tree")
+def train_tree(spark, d):
+    return _fit_and_score(spark, d, "tree", {"maxDepth": 5})
+
+
+@query("train_forest")
+def train_forest(spark, d):
+    return _fit_and_score(spark, d, "forest", {"numTrees": 10, "maxDepth": 5})
+
+
+@query("train_gbt")
+def train_gbt(spark, d):
+    return _fit_and_score(spark, d, "gbt", {"maxIter": 5, "maxDepth": 3},
+                          label_fn=lambda t: (t == 1).cast("int"))
+
+
+@query("train_gbt_ovr")
+def train_gbt_ovr(spark, d):
+    from tabulon.operators.models import one_vs_rest
+
+    df = _sep_train(spark, d).withColumn("label0", F.col("Target") - 1)
+    model = one_vs_rest(df, "gbt", "label0", B.CLS3_FEATURES, params={"maxIter": 3, "maxDepth": 3})
+    scored = model.transform(df)
+    return scored.select(F.col("l_orderkey").alias("row_id"), F.col("Target").alias("label"),
+                         (F.col("prediction").cast("int") + 1).alias("prediction"))
+
+
+def _tuned(spark, d, family, grid, method):
+    from tabulon.operators.models import predictions_table, tune
+
+    df = _sep_train(spark, d)
+    best, _ = tune(df, family, "Target", B.CLS3_FEATURES, grid, method=method, folds=3,
+                   ratio=0.9, parallelism=2, seed=42)
+    return predictions_table(best, df, "Target", "l_orderkey", family, 1, "all")
+
+
+@query("tune_cv")
+def tune_cv(spark, d):
+    return _tuned(spark, d, "logistic", {"regParam": [0.1, 0.01], "maxIter": [10]}, "cv")
+
+
+@query("tune_tvs")
+def tune_tvs(spark, d):
+    return _tuned(spark, d, "forest", {"numTrees": [5, 10], "maxDepth": [5]}, "tvs")
+
+
+def _suite(spark, d, version=1):
+    from tabulon.operators.models import train_suite as ts
+    from tabulon.operators.split import hash_split as hs
+
+    df = hs(_sep_train(spark, d), "l_orderkey", [0.8, 0.1, 0.1])
+    train_df = df.filter(F.col("split") == "train")
+    datasets = {n: df.filter(F.col("split") == n) for n in ("test", "val")}
+    families = {"logistic": {"regParam": [0.01]}, "tree": {"maxDepth": [5]},
+                "forest": {"numTrees": [10]}}
+    return ts(train_df, datasets, families, "Target", B.CLS3_FEATURES, "l_orderkey",
+              version=version, method="cv", folds=2)
+
+
+@query("train_suite")
+def train_suite(spark, d):
+    _, preds = _suite(spark, d)
+    return preds
+
+
+def _wide_test_metrics(spark, d):
+    ev = _evaluated(spark, d).filter(F.col("dataset") == "test")
+    from tabulon.sources.metrics_store import metrics_for
+
+    return metrics_for(ev, metrics=["accuracy", "f1_score", "roc_auc"]).drop("dataset")
+
+
+@query("pick_champion")
+def pick_champion(spark, d):
+    from tabulon.operators.models import pick_champion as pc
+
+    wide = _wide_test_metrics(spark, d)
+    champ = pc(wide, ["model", "version"])
+    return champ.select("model", "version", *[r9(c).alias(c) for c in
+                                              ("accuracy", "f1_score", "roc_auc")])
+
+
+# ---------------------------------------------------------------- evaluation (EV-*)
+def _ev():
+    from tabulon.operators import evaluate
+
+    return evaluate
+
+
+@query("binary_counts")
+def binary_counts(spark, d):
+    return _ev().binary_counts(B.predictions(spark, d), by=PREDS_BY)
+
+
+@query("binary_metrics")
+def binary_metrics(spark, d):
+    return _ev().binary_metrics(B.predictions(spark, d), by=PREDS_BY)
+
+
+@query("binary_metrics_nan")
+def binary_metrics_nan(spark, d):
+    return _ev().binary_metrics_unguarded(B.predictions(spark, d), by=PREDS_BY)
+
+
+@query("confusion_matrix")
+def confusion_matrix(spark, d):
+    return _ev().confusion_matrix(B.multi_preds(spark, d), by=PREDS_BY)
+
+
+@query("confusion_wide")
+def confusion_wide(spark, d):
+    return _ev().confusion_wide(B.multi_preds(spark, d), by=PREDS_BY)
+
+
+@query("per_class_metrics")
+def per_class_metrics(spark, d):
+    return _ev().per_class_metrics(B.multi_preds(spark, d), by=PREDS_BY)
+
+
+@query("classification_report")
+def classification_report(spark, d):
+    r = _ev().classification_report(B.multi_preds(spark, d), by=PREDS_BY)
+    return r.select(*PREDS_BY, "class_label", *[r9(c).alias(c) for c in
+                                                ("precision", "recall", "f1_score")], "support")
+
+
+@query("multiclass_metrics")
+def multiclass_metrics(spark, d):
+    m = _ev().multiclass_metrics(B.multi_preds(spark, d), by=PREDS_BY)
+    return m.select(*PREDS_BY, *[r9(c).alias(c) for c in
+                                 ("accuracy", "weighted_precision", "weighted_recall", "weighted_f1")])
+
+
+@query("roc_curve")
+def roc_curve(spark, d):
+    return _ev().roc_curve(B.predictions(spark, d), by=PREDS_BY)
+
+
+@query("roc_auc")
+def roc_auc(spark, d):
+    return _ev().roc_auc(B.predictions(spark, d), by=PREDS_BY)
+
+
+@query("pr_curve")
+def pr_curve(spark, d):
+    return _ev().pr_curve(B.predictions(spark, d), by=PREDS_BY)
+
+
+@query("pr_auc")
+def pr_auc(spark, d):
+    a = _ev().pr_auc(B.predictions(spark, d), by=PREDS_BY)
+    return a.select(*PREDS_BY, r9("pr_auc").alias("pr_auc"))
+
+
+@query("evaluate_all")
+def evaluate_all(spark, d):
+    return _evaluated(spark, d).select(*PREDS_BY, "metric", r9("value").alias("value"))
+
+
+# ---------------------------------------------------------------- scoring, monitoring (SC-*, MO-*)
+@query("batch_score")
+def batch_score(spark, d):
+    from tabulon.operators.models import train
+    from tabulon.operators.scoring import positive_score, score
+
+    df = _sep_train(spark, d)
+    model = train(df, "logistic", "Target", B.CLS3_FEATURES, params={"maxIter": 20})
+    scored = positive_score(score(model, df), index=1)
+    return scored.select("l_orderkey", "Target", "prediction", "score")
+
+
+@query("positive_score")
+def positive_score(spark, d):
+    from pyspark.ml.functions import array_to_vector
+
+    from tabulon.operators.scoring import positive_score as ps
+
+    bs = B.binary_scores(spark, d)
+    vec = bs.select("row_id", array_to_vector(F.array(F.lit(1.0) - F.col("score"), F.col("score")))
+                    .alias("probability"))
+    return ps(vec).select("row_id", "score")
+
+
+@query("score_labelled")
+def score_labelled(spark, d):
+    from tabulon.operators.scoring import labelled_output
+
+    return labelled_output(B.binary_scores(spark, d), "row_id")
+
+
+@query("score_batch_prepare")
+def score_batch_prepare(spark, d):
+    from tabulon.operators.features import standard_scale_fit
+    from tabulon.operators.scoring import prepare_batch
+    from tabulon.operators.split import hash_split as hs
+
+    df = hs(B.cls3(spark, d), "l_orderkey", [0.8, 0.2], names=("train", "batch"))
+    stats = standard_scale_fit(df.filter(F.col("split") == "train"), B.CLS3_FEATURES)
+    batch = prepare_batch(df.filter(F.col("split") == "batch"), B.CLS3_FEATURES, stats)
+    return batch.select("l_orderkey", "Target", *[r9(c).alias(c) for c in B.CLS3_FEATURES])
+
+
+@query("evaluate_current")
+def evaluate_current(spark, d):
+    from tabulon.operators.models import train
+    from tabulon.operators.scoring import evaluate_current as ec
+    from tabulon.session import scratch_path
+    from tabulon.sources.models import load_model, save_model
+
+    df = _sep_train(spark, d).withColumn("Target", (F.col("Target") == 1).cast("int"))
+    path = scratch_path(spark, "live_model")
+    save_model(train(df, "logistic", "Target", B.CLS3_FEATURES, params={"maxIter": 20}), path)
+    return ec(load_model(path), df, "Target", {"model": "logistic", "version": 1,
+                                               "dataset": "all"})
+
+
+def _comparison(spark, d):
+    from tabulon.operators.scoring import compare_metrics as cm
+
+    ev = _evaluated(spark, d).filter(F.col("dataset") == "test")
+    bounds = ev.groupBy("model").agg(F.min("version").alias("v_old"), F.max("version").alias("v_new"))
+    tagged = ev.join(bounds, "model")
+    old = tagged.filter(F.col("version") == F.col("v_old")).select("model", "metric", "value")
+    new = tagged.filter(F.col("version") == F.col("v_new")).select("model", "metric", "value")
+    return cm(old, new, ["model"])
+
+
+@query("compare_metrics")
+def compare_metrics(spark, d):
+    c = _comparison(spark, d)
+    return c.select("model", "metric", r9("old_value").alias("old_value"),
+                    r9("new_value").alias("new_value"), "improved", "note")
+
+
+@query("retrain_decision")
+def retrain_decision(spark, d):
+    from tabulon.operators.scoring import retrain_decision as rd
+
+    return rd(_comparison(spark, d), ["model"])
+
+
+@query("retrain_if_needed")
+def retrain_if_needed(spark, d):
+    from tabulon.operators.scoring import retrain_decision as rd
+
+    decisions = rd(_comparison(spark, d), ["model"])
+    # the decision table has one row per registered model
+    if decisions.filter(F.col("decision") == "retrain").limit(1).count() == 0:
+        return spark.createDataFrame([], "model string, version int, dataset string, "
+                                         "row_id long, label int, prediction int, score double")
+    _, preds = _suite(spark, d, version=2)
+    return preds
+
+
+# ---------------------------------------------------------------- leaderboards (LB-*)
+def _lb():
+    from tabulon.operators import leaderboard
+
+    return leaderboard
+
+
+def _board(spark, d):
+    b = _lb().leaderboard(B.predictions(spark, d))
+    return b.select("model", "version", *[r9(c).alias(c) for c in b.columns
+                                          if c not in ("model", "version")])
+
+
+@query("leaderboard")
+def leaderboard(spark, d):
+    return _board(spark, d)
+
+
+@query("winner_by_accuracy")
+def winner_by_accuracy(spark, d):
+    return _lb().winner(_board(spark, d), "test_accuracy")
+
+
+def _macro(spark, d):
+    m = _lb().macro_board(B.predictions(spark, d))
+    return m.select("model", "version", *[r9(c).alias(c) for c in
+                                          ("macro_precision", "macro_recall", "macro_f1", "overall")],
+                    "rank")
+
+
+@query("leaderboard_macro")
+def leaderboard_macro(spark, d):
+    return _macro(spark, d)
+
+
+@query("winner_by_macro")
+def winner_by_macro(spark, d):
+    return _lb().winner(_macro(spark, d), "overall").drop("rank")
