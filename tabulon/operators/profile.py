@@ -119,19 +119,40 @@ def histogram_by(df: DataFrame, col: str, by: str, bins: int = 50) -> DataFrame:
 
 
 def _corr_expr(a: str, b: str):
-    """Pairwise-complete Pearson correlation, NULL when either side is constant.
-
-    Built from ``covar_pop`` / ``stddev_pop`` so that a zero variance gives NULL instead of a
-    DIVIDE_BY_ZERO error (which ``corr`` raises under ANSI mode)."""
+    """Pairwise-complete Pearson correlation, NULL when either side is constant on the
+    pair's complete rows. Built from ``covar_pop`` / ``stddev_pop`` because ``corr`` raises
+    DIVIDE_BY_ZERO for a constant side under ANSI mode. Costs three central-moment
+    aggregates, so it is used only for pairs that may be constant."""
     both = F.col(a).isNotNull() & F.col(b).isNotNull()
     xa, xb = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
     return F.try_divide(F.covar_pop(xa, xb), F.stddev_pop(xa) * F.stddev_pop(xb))
 
 
+def _safe_pairs(df: DataFrame, cols: list[str]) -> set[str]:
+    """Columns proven non-constant on every pairwise-complete row set: no NULL/NaN at all and
+    min < max. One cheap min/max/count aggregation (codegen-friendly)."""
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double")
+        aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
+                 F.count_if(x.isNull() | F.isnan(x)).alias(f"m{i}")]
+    row = df.agg(*aggs).collect()[0]
+    return {c for i, c in enumerate(cols)
+            if row[f"m{i}"] == 0 and row[f"lo{i}"] is not None and row[f"lo{i}"] < row[f"hi{i}"]}
+
+
+def _pair_corr(a: str, b: str, safe: set[str]):
+    if a in safe and b in safe:
+        return F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
+    return _corr_expr(a, b)
+
+
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(col_a, col_b, corr) for every ordered pair, from ONE aggregation over the pairs i<=j."""
+    """(col_a, col_b, corr) for every ordered pair, from ONE aggregation over the pairs i<=j
+    (plus one min/max job that lets proven non-constant pairs use the built-in ``corr``)."""
+    safe = _safe_pairs(df, cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = df.agg(*[_corr_expr(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
+    wide = df.agg(*[_pair_corr(a, b, safe).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
     rows = []
     for i, (a, b) in enumerate(pairs):
         rows.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
@@ -145,8 +166,10 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
 def target_correlation(df: DataFrame, target: str, cols: list[str]) -> DataFrame:
     """(column, corr) of each feature with the target; NULL/NaN dropped, ascending, target
     itself removed."""
-    out = per_column_agg(df, [c for c in cols if c != target],
-                         {"corr": lambda c: _corr_expr(c, target)}, {"corr": "double"})
+    feats = [c for c in cols if c != target]
+    safe = _safe_pairs(df, [*feats, target])
+    out = per_column_agg(df, feats, {"corr": lambda c: _pair_corr(c, target, safe)},
+                         {"corr": "double"})
     return out.filter(F.col("corr").isNotNull() & ~F.isnan("corr")).orderBy("corr")
 
 

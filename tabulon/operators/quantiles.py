@@ -94,8 +94,9 @@ def order_statistics(df: DataFrame, wanted: dict[str, set[int]], counts: dict[st
                                       F.struct(F.lit(j).alias("p"),
                                                _bin_expr(x, fa, fb, bins).alias("b"),
                                                x.alias("x"))))
-            exploded = (df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull()))
-                                  .alias("e")).select("e.p", "e.b", "e.x"))
+            # plain explode + filter: a higher-order filter() is interpreted, not codegen'd
+            exploded = (df.select(F.explode(F.array(*entries)).alias("e"))
+                        .filter(F.col("e").isNotNull()).select("e.p", "e.b", "e.x"))
             finite_x = F.when(~F.col("x").isin(float("inf"), float("-inf")), F.col("x"))
             for row in (exploded.groupBy("p", "b")
                         .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"),

@@ -63,7 +63,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Eager, reliable checkpoint (never ``localCheckpoint``): survives executor loss."""
+    """Eager, reliable checkpoint into the shared folder (never a local one): survives
+    executor loss."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 

@@ -1,0 +1,18 @@
+import tempfile
+
+from tabulon.operators import models
+from tabulon.streaming import score_stream
+
+
+def test_score_stream_appends_scored_rows(spark):
+    base = tempfile.mkdtemp(prefix="tabulon-stream-")
+    rows = [(i, float(i % 10), int(i % 10 >= 5)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, x double, y int")
+    model = models.train(df, "logistic", "y", ["x"], params={"maxIter": 10})
+    df.select("id", "x").repartition(3).write.parquet(f"{base}/in")
+    q = score_stream(spark, model, f"{base}/in", "id long, x double", "id", f"{base}/out",
+                     f"{base}/ckpt")
+    q.awaitTermination(120)
+    out = spark.read.parquet(f"{base}/out")
+    assert out.count() == 200
+    assert set(out.columns) == {"id", "score", "prediction", "decision"}
