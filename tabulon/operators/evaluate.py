@@ -177,9 +177,8 @@ def score_groups(df: DataFrame, label="label", score="score", by=()) -> DataFram
     groups = (df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
               .groupBy(*keys, score)
               .agg(F.count_if(_is(label, 1)).alias("tp"), F.count_if(~_is(label, 1)).alias("fp")))
-    totals = groups.groupBy(*keys).agg(F.sum("tp").alias("P"), F.sum("fp").alias("N"))
-    cum = running_sums(groups, keys, [(score, True)], ["tp", "fp"])
-    out = cum.join(totals, on=keys, how="inner")
+    cum = running_sums(groups, keys, [(score, True)], ["tp", "fp"], totals=True)
+    out = cum.withColumnsRenamed({"tp_total": "P", "fp_total": "N"})
     return out if by else out.drop("_all")
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabulon.functions.columns import all_of, any_of
 from tabulon.operators.quantiles import quantile_values
@@ -32,6 +35,21 @@ def _outside(c: str, lo: float, hi: float):
     return F.coalesce((x < F.lit(lo)) | (x > F.lit(hi)), F.lit(False))
 
 
+def _inside(df: DataFrame, c: str, lo: float, hi: float):
+    """NOT outlier, written so Parquet receives it: ``x IS NULL OR (x >= lo AND x <= hi)``
+    with literals of the column's own type (integer columns get ceil/floor of the fences,
+    which is exact for integers). NaN fails ``x <= hi`` and is dropped, as its flag says."""
+    if lo is None:
+        return F.lit(True)
+    x = F.col(c)
+    dt = df.schema[c].dataType
+    if isinstance(dt, T.IntegralType) and math.isfinite(lo) and math.isfinite(hi):
+        lo_lit, hi_lit = F.lit(math.ceil(lo)).cast(dt), F.lit(math.floor(hi)).cast(dt)
+    else:
+        lo_lit, hi_lit = F.lit(lo), F.lit(hi)
+    return x.isNull() | ((x >= lo_lit) & (x <= hi_lit))
+
+
 def flag_outliers(df: DataFrame, cols: list[str], k: float = 1.5, method: str = "linear",
                   bounds: dict | None = None) -> DataFrame:
     """Add ``<col>_is_outlier`` 0/1 flags in ONE projection. Adding flags never filters, so
@@ -45,7 +63,7 @@ def remove_outliers(df: DataFrame, cols: list[str], k: float = 1.5, method: str
     """Keep rows inside every fence. The filter is written on the raw columns (not on derived
     flags) so Parquet receives it as pushed range predicates."""
     bounds = bounds or fences(df, cols, k, method)
-    keep = all_of([~_outside(c, *bounds[c]) for c in cols])
+    keep = all_of([_inside(df, c, *bounds[c]) for c in cols])
     out = df.filter(keep)
     return flag_outliers(out, cols, bounds=bounds) if keep_flags else out
 

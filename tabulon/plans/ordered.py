@@ -38,21 +38,25 @@ def chunked(df: DataFrame, keys: list[str], order: list[tuple[str, bool]],
 
 
 def running_sums(df: DataFrame, keys: list[str], order: list[tuple[str, bool]],
-                 sum_cols: list[str], suffix: str = "_cum",
+                 sum_cols: list[str], suffix: str = "_cum", totals: bool = False,
                  num_chunks: int | None = None) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` per ``keys`` in ``order`` (order must be unique
-    within a key). Adds ``<col><suffix>`` columns."""
+    within a key). Adds ``<col><suffix>`` columns, and with ``totals`` also ``<col>_total``
+    (the per-key sum, taken from the chunk totals, so the input is not scanned again)."""
     ck = chunked(df, keys, order, num_chunks)
-    totals = ck.groupBy(*keys, CHUNK).agg(*[F.sum(c).alias(c) for c in sum_cols])
+    chunk_tot = ck.groupBy(*keys, CHUNK).agg(*[F.sum(c).alias(c) for c in sum_cols])
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, CHUNK, *[
-        F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
+    whole = Window.partitionBy(*keys)
+    offsets = chunk_tot.select(*keys, CHUNK, *[
+        F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
+        *([F.sum(c).over(whole).alias(f"{c}_total") for c in sum_cols] if totals else []))
     within = (Window.partitionBy(*keys, CHUNK).orderBy(*_order_cols(order))
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     joined = ck.join(offsets, on=[*keys, CHUNK], how="inner")
     return joined.select(
         *[c for c in ck.columns if c != CHUNK],
-        *[(F.sum(c).over(within) + F.col(f"_off_{c}")).alias(f"{c}{suffix}") for c in sum_cols])
+        *[(F.sum(c).over(within) + F.col(f"_off_{c}")).alias(f"{c}{suffix}") for c in sum_cols],
+        *([f"{c}_total" for c in sum_cols] if totals else []))
 
 
 def global_row_index(df: DataFrame, order: list[tuple[str, bool]], out: str = "row_index",
