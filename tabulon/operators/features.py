@@ -76,22 +76,45 @@ def join_frequency(df: DataFrame, lookup: DataFrame, col: str, out: str) -> Data
     return df.join(lk, df[col].eqNullSafe(lk[f"_v_{col}"]), "left").drop(f"_v_{col}")
 
 
+HLL_RSD = 0.05
+HLL_BAND = 5 * HLL_RSD
+
+
+def cardinality_screen(df: DataFrame, cols: list[str], threshold: int) -> tuple[list[str], int]:
+    """(columns with more than ``threshold`` groups, row count), NULL being a group.
+
+    One job computes a HyperLogLog estimate per column (small fixed buffers, no Expand of the
+    rows per distinct aggregate) together with the row count; only columns whose estimate
+    falls inside the sketch's error band get an exact distinct count in a second job."""
+    row = df.agg(F.count(F.lit(1)).alias("_n"), *[
+        (F.approx_count_distinct(c, HLL_RSD) + F.max(F.col(c).isNull().cast("int"))).alias(f"a{i}")
+        for i, c in enumerate(cols)]).collect()[0]
+    decided, unsure = {}, []
+    for i, c in enumerate(cols):
+        est = row[f"a{i}"] or 0
+        if est > threshold * (1 + HLL_BAND) + 1:
+            decided[c] = True
+        elif est < threshold * (1 - HLL_BAND) - 1:
+            decided[c] = False
+        else:
+            unsure.append(c)
+    if unsure:
+        for r in high_cardinality(df, unsure, threshold).collect():
+            decided[r["column"]] = r["is_high"]
+    return [c for c in cols if decided[c]], row["_n"]
+
+
 def high_cardinality_columns(df: DataFrame, cols: list[str], threshold: int) -> list[str]:
-    if not cols:
-        return []
-    rows = high_cardinality(df, cols, threshold).collect()
-    flags = {r["column"]: r["is_high"] for r in rows}
-    return [c for c in cols if flags[c]]
+    return cardinality_screen(df, cols, threshold)[0] if cols else []
 
 
 def frequency_encode(df: DataFrame, cols: list[str], threshold: int = 100,
                      suffix: str = "_encoded") -> tuple[DataFrame, list[str]]:
     """Replace each column with more than ``threshold`` groups by ``<col>_encoded`` =
     share of rows with its value. Returns (frame, encoded columns)."""
-    high = high_cardinality_columns(df, cols, threshold)
-    if not high:
+    if not cols:
         return df, []
-    total = df.count()
+    high, total = cardinality_screen(df, cols, threshold)
     out = df
     for c in high:
         out = join_frequency(out, frequency_lookup(df, c, total), c, f"{c}{suffix}").drop(c)

@@ -134,5 +134,4 @@ def binary_real(spark: SparkSession, sf_dir: str) -> DataFrame:
     """labels joined to documents: quality label; numeric and categorical features."""
     lb = table(spark, sf_dir, "labels")
     docs = table(spark, sf_dir, "documents")
-    return lb.join(docs, "doc_id").select("doc_id", "quality", "toxic", "n_chars", "lang",
-                                          "source", "text")
+    return lb.join(docs, "doc_id").select("doc_id", "quality", "n_chars", "lang", "source")

@@ -427,7 +427,8 @@ def _feature_chain(spark, d, ids):
     df = B.binary_real(spark, d)
     if not ids:
         df = df.drop("doc_id")
-    pipe, encoded, inputs = feature_pipeline(df, "quality", threshold=100, ids=ids)
+    # threshold 10: the 20-valued source is frequency-encoded, the 4-valued lang indexed
+    pipe, encoded, inputs = feature_pipeline(df, "quality", threshold=10, ids=ids)
     model = pipe.fit(encoded)
     out = model.transform(encoded)
     size = len(inputs)
@@ -795,3 +796,40 @@ def leaderboard_macro(spark, d):
 @query("winner_by_macro")
 def winner_by_macro(spark, d):
     return _lb().winner(_macro(spark, d), "overall").drop("rank")
+
+
+# ---------------------------------------------------------------- additions
+@query("quantiles_approx")
+def quantiles_approx(spark, d):
+    """Greenwald-Khanna sketch, one pass for all columns (no exact oracle: rank error 1e-3)."""
+    return profile.quantile_table(B.cls3(spark, d), B.CLS3_FEATURES, [0.25, 0.5, 0.75], "approx",
+                                  rel_err=1e-3)
+
+
+@query("predicted_class_counts")
+def predicted_class_counts(spark, d):
+    """Count per predicted class of the scored output (SC-3)."""
+    return profile.class_counts(B.binary_scores(spark, d), "prediction")
+
+
+@query("train_weighted")
+def train_weighted(spark, d):
+    """Class-weighted logistic regression on the encoded document features (id kept out)."""
+    from tabulon.operators.features import feature_pipeline
+    from tabulon.operators.models import predictions_table
+    from tabulon.operators.split import class_weights as cw
+    from pyspark.ml.classification import LogisticRegression
+
+    df = cw(B.binary_real(spark, d), "quality", "weight")
+    pipe, encoded, _ = feature_pipeline(df.drop("weight"), "quality", threshold=100, ids=["doc_id"])
+    encoded = encoded.join(df.select("doc_id", "weight"), "doc_id")
+    feats = pipe.fit(encoded).transform(encoded)
+    lr = LogisticRegression(featuresCol="features", labelCol="quality", weightCol="weight",
+                            maxIter=20).fit(feats)
+    scored = lr.transform(feats)
+    from tabulon.functions.columns import vector_element
+    return scored.select(F.lit("logistic_weighted").alias("model"), F.lit(1).alias("version"),
+                         F.lit("all").alias("dataset"), F.col("doc_id").alias("row_id"),
+                         F.col("quality").alias("label"),
+                         F.col("prediction").cast("int").alias("prediction"),
+                         vector_element("probability", 1).alias("score"))

@@ -57,7 +57,7 @@ FROM (SELECT *, (c_acctbal + CAST(1000.0 AS DOUBLE)) / CAST(11000.0 AS DOUBLE) A
 MULTI = f"""(SELECT 'rule' AS model, 1 AS version, 'test' AS dataset, Target AS label,
   CAST(1 + CAST(floor(l_quantity) AS INTEGER) % 3 AS INTEGER) AS prediction FROM {CLS3})"""
 
-BINARY_REAL = """(SELECT l.doc_id, l.quality, l.toxic, d.n_chars, d.lang, d.source, d.text
+BINARY_REAL = """(SELECT l.doc_id, l.quality, d.n_chars, d.lang, d.source
 FROM labels l JOIN documents d USING (doc_id))"""
 
 BY = "model, version, dataset"
@@ -363,16 +363,13 @@ def _feature_chain_sql(with_id: bool) -> str:
     return f"""WITH br AS (SELECT * FROM {BINARY_REAL}),
 li AS (SELECT lang, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, lang) - 1 AS DOUBLE) AS idx
        FROM br WHERE lang IS NOT NULL GROUP BY lang),
-si AS (SELECT source, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, source) - 1 AS DOUBLE) AS idx
-       FROM br WHERE source IS NOT NULL GROUP BY source),
-te AS (SELECT text, CAST(COUNT(*) AS DOUBLE) / CAST((SELECT COUNT(*) FROM br) AS DOUBLE) AS enc FROM br GROUP BY text),
-mm AS (SELECT CAST(min(toxic) AS DOUBLE) AS tlo, CAST(max(toxic) AS DOUBLE) AS thi,
-              CAST(min(n_chars) AS DOUBLE) AS nlo, CAST(max(n_chars) AS DOUBLE) AS nhi FROM br)
-SELECT {keep}, li.idx AS f0, si.idx AS f1,
-  CASE WHEN mm.thi = mm.tlo THEN CAST(0.5 AS DOUBLE) ELSE (CAST(br.toxic AS DOUBLE) - mm.tlo) / (mm.thi - mm.tlo) END AS f2,
-  CASE WHEN mm.nhi = mm.nlo THEN CAST(0.5 AS DOUBLE) ELSE (CAST(br.n_chars AS DOUBLE) - mm.nlo) / (mm.nhi - mm.nlo) END AS f3,
-  te.enc AS f4
-FROM br JOIN li USING (lang) JOIN si USING (source) LEFT JOIN te ON br.text IS NOT DISTINCT FROM te.text, mm"""
+se AS (SELECT source, CAST(COUNT(*) AS DOUBLE) / CAST((SELECT COUNT(*) FROM br) AS DOUBLE) AS enc
+       FROM br GROUP BY source),
+mm AS (SELECT CAST(min(n_chars) AS DOUBLE) AS nlo, CAST(max(n_chars) AS DOUBLE) AS nhi FROM br)
+SELECT {keep}, li.idx AS f0,
+  CASE WHEN mm.nhi = mm.nlo THEN CAST(0.5 AS DOUBLE) ELSE (CAST(br.n_chars AS DOUBLE) - mm.nlo) / (mm.nhi - mm.nlo) END AS f1,
+  se.enc AS f2
+FROM br JOIN li USING (lang) LEFT JOIN se ON br.source IS NOT DISTINCT FROM se.source, mm"""
 
 
 ORACLE["feature_chain"] = _feature_chain_sql(False)
@@ -520,3 +517,4 @@ SELECT model, version, {r9('mp')} AS macro_precision, {r9('mr')} AS macro_recall
 ORACLE["winner_by_macro"] = _MACRO + f"""
 SELECT model, version, {r9('mp')} AS macro_precision, {r9('mr')} AS macro_recall, {r9('mf')} AS macro_f1,
   {r9('overall')} AS overall FROM mb2 ORDER BY overall DESC NULLS LAST, model, version LIMIT 1"""
+ORACLE["predicted_class_counts"] = f"SELECT prediction, CAST(COUNT(*) AS BIGINT) AS n_rows FROM {BIN} GROUP BY prediction"
