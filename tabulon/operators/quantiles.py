@@ -12,7 +12,7 @@ distributed selection: one job gets count/min/max of every column; then each rou
 rows that can still hold a wanted order statistic into ``bins`` equal-width bins per probe
 (``groupBy(probe, bin).agg(count, min, max)`` with map-side partial aggregation, so the driver
 receives at most probes x bins small rows), keeps only the bin that holds the wanted rank, and
-stops when that bin holds a single distinct value or few enough rows to be sorted as one
+stops when that bin holds a single distinct value or at most 50k rows, sorted as one
 bounded array. Each round shrinks the candidate range by about ``bins`` x, so 10^12 rows need
 about four scans. NULL and NaN are ignored, as in ``approxQuantile``.
 """
@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from tabulon.functions.columns import is_float_type
 
 DEFAULT_BINS = 2048
-FINISH_ROWS = 100_000
+FINISH_ROWS = 50_000
 
 
 def _valid(df: DataFrame, c: str):

@@ -31,9 +31,14 @@ def default_chunks(df: DataFrame) -> int:
 
 def chunked(df: DataFrame, keys: list[str], order: list[tuple[str, bool]],
             num_chunks: int | None = None) -> DataFrame:
-    """Range-partition on (keys, order), tag rows with their chunk id, checkpoint."""
-    n = num_chunks or default_chunks(df)
-    ranged = df.repartitionByRange(n, *[F.col(k).asc() for k in keys], *_order_cols(order))
+    """Range-partition on (keys, order), tag rows with their chunk id, checkpoint.
+
+    Without ``num_chunks`` the range shuffle uses the session's shuffle partitions and AQE
+    coalesces adjacent ranges to its advisory size; coalescing keeps ranges contiguous, so
+    chunk ids stay monotone in (keys, order)."""
+    cols = [*[F.col(k).asc() for k in keys], *_order_cols(order)]
+    ranged = (df.repartitionByRange(num_chunks, *cols) if num_chunks
+              else df.repartitionByRange(*cols))
     return reliable_checkpoint(ranged.withColumn(CHUNK, F.spark_partition_id()))
 
 
