@@ -23,22 +23,22 @@ from tabulon.plans.ordered import global_row_index
 
 # ------------------------------------------------------------------ label encoding (FE-1)
 def label_codes(df: DataFrame, col: str) -> DataFrame:
-    """(value, code): code = position of the value among the sorted distinct non-null values."""
-    distinct = df.select(F.col(col).alias("value")).filter(F.col("value").isNotNull()).distinct()
-    return global_row_index(distinct, [("value", False)], out="code")
+    """(value, code): code = position among the sorted distinct values; NULL, if present,
+    sorts last, so its code is the number of distinct non-null values."""
+    distinct = (df.select(F.col(col).alias("value")).distinct()
+                .withColumn("_null", F.col("value").isNull()))
+    return global_row_index(distinct, [("_null", False), ("value", False)], out="code").drop("_null")
 
 
 def label_encode(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame:
     """Replace (or add, with ``suffix``) integer codes by sorted value from 0; NULL gets the
-    last code (number of distinct values)."""
+    last code (number of distinct values). One ranking per column, joined NULL-safely."""
     out = df
     for c in cols:
-        codes = label_codes(df, c)
-        n_codes = codes.count()
-        codes = codes.select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_code_{c}"))
-        out = out.join(codes, out[c] == codes[f"_v_{c}"], "left")
-        code = F.coalesce(F.col(f"_code_{c}"), F.lit(n_codes)).cast("int")
-        out = out.withColumn(f"{c}{suffix}", code).drop(f"_v_{c}", f"_code_{c}")
+        codes = label_codes(df, c).select(F.col("value").alias(f"_v_{c}"),
+                                          F.col("code").cast("int").alias(f"_code_{c}"))
+        out = out.join(codes, out[c].eqNullSafe(codes[f"_v_{c}"]), "left")
+        out = out.withColumn(f"{c}{suffix}", F.col(f"_code_{c}")).drop(f"_v_{c}", f"_code_{c}")
     return out
 
 

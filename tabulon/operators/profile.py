@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.functions.columns import (
@@ -47,13 +47,12 @@ def total_rows(df: DataFrame) -> int:
 
 
 def class_distribution(df: DataFrame, col: str) -> DataFrame:
-    """(label, n_rows, share, pct). The total is one scalar job, never a global window."""
-    total = total_rows(df)
+    """(label, n_rows, share, pct). The total is summed over the class table (one row per
+    class, so the window spans K rows), which saves a second scan of the input."""
     counts = class_counts(df, col)
-    share = safe_ratio(F.col("n_rows"), F.lit(total))
-    return counts.select(col, "n_rows", share.alias("share"),
-                         (F.col("n_rows").cast("double") * F.lit(100.0) / F.lit(float(total)))
-                         .alias("pct"))
+    total = F.sum("n_rows").over(Window.partitionBy()).cast("double")
+    return counts.select(col, "n_rows", (F.col("n_rows").cast("double") / total).alias("share"),
+                         (F.col("n_rows").cast("double") * F.lit(100.0) / total).alias("pct"))
 
 
 def frequency_table(df: DataFrame, col: str) -> DataFrame:
