@@ -31,9 +31,27 @@ DEFAULT_BINS = 2048
 FINISH_ROWS = 50_000
 
 
-def _valid(df: DataFrame, c: str):
-    x = F.col(c)
-    return x.isNotNull() & ~F.isnan(x) if is_float_type(df.schema[c].dataType) else x.isNotNull()
+def _q(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def _lit(x: float) -> str:
+    """Exact double literal in Spark SQL text (round-trip repr + D suffix)."""
+    if math.isnan(x):
+        return "CAST('NaN' AS DOUBLE)"
+    if math.isinf(x):
+        return "CAST('Infinity' AS DOUBLE)" if x > 0 else "CAST('-Infinity' AS DOUBLE)"
+    return f"({repr(float(x))}D)"
+
+
+def _xd(c: str) -> str:
+    return f"CAST({_q(c)} AS DOUBLE)"
+
+
+def _valid_sql(df: DataFrame, c: str) -> str:
+    if is_float_type(df.schema[c].dataType):
+        return f"({_q(c)} IS NOT NULL AND NOT isnan({_q(c)}))"
+    return f"({_q(c)} IS NOT NULL)"
 
 
 def _ranks(n: int, p: float, method: str) -> list[int]:
@@ -43,19 +61,16 @@ def _ranks(n: int, p: float, method: str) -> list[int]:
     return [max(int(math.ceil(n * p)) - 1, 0)]
 
 
-def _bin_expr(x, fa, fb, bins: int):
+def _bin_sql(x: str, fa, fb, bins: int) -> str:
     """Bin of x: -Inf -> -1, +Inf -> bins, finite values in ``bins`` equal-width bins over
     the finite range [fa, fb] (monotone in x)."""
-    if fa is None:
-        finite = F.lit(0)
-    elif fa == fb:
-        finite = F.lit(0)
+    if fa is None or fa == fb:
+        finite = "0"
     else:
-        finite = F.least(F.greatest(
-            F.floor((x - F.lit(fa)) / F.lit(fb - fa) * F.lit(float(bins))), F.lit(0)),
-            F.lit(bins - 1))
-    return (F.when(x == F.lit(float("-inf")), F.lit(-1))
-            .when(x == F.lit(float("inf")), F.lit(bins)).otherwise(finite)).cast("int")
+        finite = (f"least(greatest(floor(({x} - {_lit(fa)}) / {_lit(fb - fa)} * {bins}.0D), 0), "
+                  f"{bins - 1})")
+    return (f"CAST(CASE WHEN {x} = CAST('-Infinity' AS DOUBLE) THEN -1 "
+            f"WHEN {x} = CAST('Infinity' AS DOUBLE) THEN {bins} ELSE {finite} END AS INT)")
 
 
 def order_statistics(df: DataFrame, wanted: dict[str, set[int]], counts: dict[str, int],
@@ -63,8 +78,8 @@ def order_statistics(df: DataFrame, wanted: dict[str, set[int]], counts: dict[st
                      finish_rows: int = FINISH_ROWS) -> dict[tuple[str, int], float]:
     """Values at 0-based ranks (ascending, NULL/NaN excluded) for each column, distributed.
 
-    ``bounds[c]`` = (min, max, finite min, finite max) of the valid values."""
-    # state per target: (a, b, finite a, finite b) interval, rows below a, rows inside
+    ``bounds[c]`` = (min, max, finite min, finite max) of the valid values. Expressions are
+    built as SQL text: one gateway call per probe instead of dozens."""
     state = {}
     result: dict[tuple[str, int], float] = {}
     for c, ranks in wanted.items():
@@ -74,7 +89,6 @@ def order_statistics(df: DataFrame, wanted: dict[str, set[int]], counts: dict[st
                 result[(c, r)] = float(lo)
             else:
                 state[(c, r)] = ((lo, hi, flo, fhi), 0, counts[c])
-    xs = {c: F.col(c).cast("double") for c in wanted}
     while state:
         probes: dict[tuple, int] = {}
         sizes: dict[int, int] = {}
@@ -89,19 +103,18 @@ def order_statistics(df: DataFrame, wanted: dict[str, set[int]], counts: dict[st
             entries = []
             for j in wide:
                 c, a, b, fa, fb = by_id[j]
-                x = xs[c]
-                entries.append(F.when((x >= F.lit(a)) & (x <= F.lit(b)),
-                                      F.struct(F.lit(j).alias("p"),
-                                               _bin_expr(x, fa, fb, bins).alias("b"),
-                                               x.alias("x"))))
+                x = _xd(c)
+                entries.append(f"CASE WHEN {x} >= {_lit(a)} AND {x} <= {_lit(b)} THEN "
+                               f"named_struct('p', {j}, 'b', {_bin_sql(x, fa, fb, bins)}, 'x', {x}) END")
             # plain explode + filter: a higher-order filter() is interpreted, not codegen'd
-            exploded = (df.select(F.explode(F.array(*entries)).alias("e"))
-                        .filter(F.col("e").isNotNull()).select("e.p", "e.b", "e.x"))
-            finite_x = F.when(~F.col("x").isin(float("inf"), float("-inf")), F.col("x"))
-            for row in (exploded.groupBy("p", "b")
-                        .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"),
-                             F.max("x").alias("hi"), F.min(finite_x).alias("flo"),
-                             F.max(finite_x).alias("fhi")).collect()):
+            exploded = (df.select(F.expr(f"explode(array({', '.join(entries)})) AS e"))
+                        .filter("e IS NOT NULL").selectExpr("e.p", "e.b", "e.x"))
+            hist_rows = (exploded.groupBy("p", "b").agg(
+                F.expr("count(1) AS n"), F.expr("min(x) AS lo"), F.expr("max(x) AS hi"),
+                F.expr("min(CASE WHEN abs(x) != CAST('Infinity' AS DOUBLE) THEN x END) AS flo"),
+                F.expr("max(CASE WHEN abs(x) != CAST('Infinity' AS DOUBLE) THEN x END) AS fhi"))
+                .collect())
+            for row in hist_rows:
                 hist.setdefault(row["p"], []).append(
                     (row["b"], row["n"], row["lo"], row["hi"], row["flo"], row["fhi"]))
         sorted_vals: dict[int, list[float]] = {}
@@ -109,9 +122,9 @@ def order_statistics(df: DataFrame, wanted: dict[str, set[int]], counts: dict[st
             aggs = []
             for j in sorted(finish):
                 c, a, b, _fa, _fb = by_id[j]
-                x = xs[c]
-                aggs.append(F.sort_array(F.collect_list(
-                    F.when((x >= F.lit(a)) & (x <= F.lit(b)), x))).alias(f"v{j}"))
+                x = _xd(c)
+                aggs.append(F.expr(f"sort_array(collect_list(CASE WHEN {x} >= {_lit(a)} AND "
+                                   f"{x} <= {_lit(b)} THEN {x} END)) AS v{j}"))
             row = df.agg(*aggs).collect()[0]
             sorted_vals = {j: row[f"v{j}"] for j in sorted(finish)}
         next_state = {}
@@ -138,11 +151,13 @@ def column_summary(df: DataFrame, cols: list[str]) -> tuple[dict, dict]:
     """Count of valid values, and (min, max, finite min, finite max) per column, one job."""
     aggs = []
     for i, c in enumerate(cols):
-        v = _valid(df, c)
-        x = F.when(v, F.col(c).cast("double"))
-        fx = F.when(~x.isin(float("inf"), float("-inf")), x)
-        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                 F.min(fx).alias(f"flo{i}"), F.max(fx).alias(f"fhi{i}")]
+        x = f"CASE WHEN {_valid_sql(df, c)} THEN {_xd(c)} END"
+        fx = f"CASE WHEN {_valid_sql(df, c)} AND abs({_xd(c)}) != CAST('Infinity' AS DOUBLE) THEN {_xd(c)} END"
+        aggs.append(F.expr(f"count({x}) AS n{i}"))
+        aggs.append(F.expr(f"min({x}) AS lo{i}"))
+        aggs.append(F.expr(f"max({x}) AS hi{i}"))
+        aggs.append(F.expr(f"min({fx}) AS flo{i}"))
+        aggs.append(F.expr(f"max({fx}) AS fhi{i}"))
     row = df.agg(*aggs).collect()[0]
     counts = {c: row[f"n{i}"] for i, c in enumerate(cols)}
     bounds = {c: (row[f"lo{i}"], row[f"hi{i}"], row[f"flo{i}"], row[f"fhi{i}"])
