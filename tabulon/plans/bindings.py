@@ -21,7 +21,7 @@ BIN_POSITIVE_SEGMENT = "BUILDING"
 BIN_THRESHOLD = 0.5
 # model, version, threshold, bucketed score
 PREDS_MODELS = [("m1", 1, 0.4, False), ("m2", 1, 0.5, False), ("m3", 1, 0.6, False),
-                ("m2", 2, 0.5, True)]
+                ("m2", 2, 0.3, True)]
 SEP_CUTS = (17.0, 34.0)  # l_quantity terciles for the separable label
 
 

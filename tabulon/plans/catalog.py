@@ -557,7 +557,7 @@ def _suite(spark, d, version=1):
     df = hs(_sep_train(spark, d), "l_orderkey", [0.8, 0.1, 0.1])
     train_df = df.filter(F.col("split") == "train")
     datasets = {n: df.filter(F.col("split") == n) for n in ("test", "val")}
-    families = {"logistic": {"regParam": [0.01]}, "tree": {"maxDepth": [5]},
+    families = {"logistic": {"regParam": [0.01], "maxIter": [20]}, "tree": {"maxDepth": [5]},
                 "forest": {"numTrees": [10]}}
     return ts(train_df, datasets, families, "Target", B.CLS3_FEATURES, "l_orderkey",
               version=version, method="cv", folds=2)

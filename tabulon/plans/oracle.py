@@ -51,7 +51,7 @@ PREDS = """(SELECT v.model, v.version, CASE WHEN c.c_custkey % 2 = 0 THEN 'val'
   CASE WHEN v.bucketed THEN floor(c.s * CAST(10.0 AS DOUBLE)) / CAST(10.0 AS DOUBLE) ELSE c.s END AS score
 FROM (SELECT *, (c_acctbal + CAST(1000.0 AS DOUBLE)) / CAST(11000.0 AS DOUBLE) AS s FROM customer) c,
   (SELECT * FROM (VALUES ('m1', 1, CAST(0.4 AS DOUBLE), false), ('m2', 1, CAST(0.5 AS DOUBLE), false),
-                         ('m3', 1, CAST(0.6 AS DOUBLE), false), ('m2', 2, CAST(0.5 AS DOUBLE), true))
+                         ('m3', 1, CAST(0.6 AS DOUBLE), false), ('m2', 2, CAST(0.3 AS DOUBLE), true))
      t(model, version, threshold, bucketed)) v)"""
 
 MULTI = f"""(SELECT 'rule' AS model, 1 AS version, 'test' AS dataset, Target AS label,

@@ -29,6 +29,8 @@ def build_session(master: str | None = None, app: str = "tabulon",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", driver_memory)
+        # reliable checkpoints of the ordered scans are deleted once unreferenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
