@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.columns import nan_ratio, ratio_or, safe_ratio
-from tabulon.plans.ordered import running_sums
+from tabulon.plans.ordered import next_values, running_sums
 
 BINARY_METRICS = ["accuracy", "precision", "recall", "f1_score"]
 
@@ -168,7 +168,8 @@ def multiclass_metrics(df: DataFrame, label="label", prediction="prediction", by
 
 
 # ------------------------------------------------------------------ curves (EV-8..11)
-def score_groups(df: DataFrame, label="label", score="score", by=()) -> DataFrame:
+def score_groups(df: DataFrame, label="label", score="score", by=(),
+                 keep_chunk: bool = False) -> DataFrame:
     """(by..., score, tp, fp, tp_cum, fp_cum, P, N): one row per distinct score, counts of
     positives/negatives at that score and cumulated from the highest score down."""
     keys = list(by) or ["_all"]
@@ -177,15 +178,30 @@ def score_groups(df: DataFrame, label="label", score="score", by=()) -> DataFram
     groups = (df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
               .groupBy(*keys, score)
               .agg(F.count_if(_is(label, 1)).alias("tp"), F.count_if(~_is(label, 1)).alias("fp")))
-    cum = running_sums(groups, keys, [(score, True)], ["tp", "fp"], totals=True)
+    cum = running_sums(groups, keys, [(score, True)], ["tp", "fp"], totals=True,
+                       keep_chunk=keep_chunk)
     out = cum.withColumnsRenamed({"tp_total": "P", "fp_total": "N"})
-    return out if by else out.drop("_all")
+    return out if by or keep_chunk else out.drop("_all")
 
 
-def roc_curve(df: DataFrame, label="label", score="score", by=()) -> DataFrame:
+def roc_curve(df: DataFrame, label="label", score="score", by=(),
+              drop_intermediate: bool = False) -> DataFrame:
     """(by..., threshold, fpr, tpr): one point per distinct score (descending, ties grouped)
-    plus the start point (threshold +Inf, 0, 0)."""
-    g = score_groups(df, label, score, by)
+    plus the start point (threshold +Inf, 0, 0). ``drop_intermediate`` keeps, besides the
+    first and last point, only points where the curve changes direction (the step to the
+    next point differs from the step into this one), as scikit-learn's default does."""
+    if drop_intermediate:
+        keys = list(by) or ["_all"]
+        g = score_groups(df, label, score, by, keep_chunk=True)
+        g = next_values(g, keys, [(score, True)], ["tp", "fp"])
+        first = (F.col("tp_cum") == F.col("tp")) & (F.col("fp_cum") == F.col("fp"))
+        keep = (first | F.col("next_fp").isNull() | (F.col("next_fp") != F.col("fp"))
+                | (F.col("next_tp") != F.col("tp")))
+        g = g.filter(keep)
+        if not by:
+            g = g.drop("_all")
+    else:
+        g = score_groups(df, label, score, by)
     pts = g.select(*by, F.col(score).cast("double").alias("threshold"),
                    safe_ratio(F.col("fp_cum"), F.col("N")).alias("fpr"),
                    safe_ratio(F.col("tp_cum"), F.col("P")).alias("tpr"))

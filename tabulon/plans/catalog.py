@@ -833,3 +833,9 @@ def train_weighted(spark, d):
                          F.col("quality").alias("label"),
                          F.col("prediction").cast("int").alias("prediction"),
                          vector_element("probability", 1).alias("score"))
+
+
+@query("roc_curve_dropped")
+def roc_curve_dropped(spark, d):
+    """ROC points without collinear intermediates (scikit-learn's default curve)."""
+    return _ev().roc_curve(B.predictions(spark, d), by=PREDS_BY, drop_intermediate=True)

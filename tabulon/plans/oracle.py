@@ -518,3 +518,11 @@ ORACLE["winner_by_macro"] = _MACRO + f"""
 SELECT model, version, {r9('mp')} AS macro_precision, {r9('mr')} AS macro_recall, {r9('mf')} AS macro_f1,
   {r9('overall')} AS overall FROM mb2 ORDER BY overall DESC NULLS LAST, model, version LIMIT 1"""
 ORACLE["predicted_class_counts"] = f"SELECT prediction, CAST(COUNT(*) AS BIGINT) AS n_rows FROM {BIN} GROUP BY prediction"
+ORACLE["roc_curve_dropped"] = f"""WITH {_curve_ctes()},
+pts AS (SELECT *, lead(fp) OVER w AS nfp, lead(tp) OVER w AS ntp, row_number() OVER w AS rn
+        FROM gc WINDOW w AS (PARTITION BY {BY} ORDER BY score DESC))
+SELECT {BY}, CAST(score AS DOUBLE) AS threshold,
+  CASE WHEN N = 0 THEN NULL ELSE CAST(fp_cum AS DOUBLE) / CAST(N AS DOUBLE) END AS fpr,
+  CASE WHEN P = 0 THEN NULL ELSE CAST(tp_cum AS DOUBLE) / CAST(P AS DOUBLE) END AS tpr
+FROM pts WHERE rn = 1 OR nfp IS NULL OR nfp <> fp OR ntp <> tp
+UNION ALL SELECT DISTINCT {BY}, CAST('Infinity' AS DOUBLE), CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE) FROM gc"""

@@ -44,7 +44,7 @@ def chunked(df: DataFrame, keys: list[str], order: list[tuple[str, bool]],
 
 def running_sums(df: DataFrame, keys: list[str], order: list[tuple[str, bool]],
                  sum_cols: list[str], suffix: str = "_cum", totals: bool = False,
-                 num_chunks: int | None = None) -> DataFrame:
+                 num_chunks: int | None = None, keep_chunk: bool = False) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` per ``keys`` in ``order`` (order must be unique
     within a key). Adds ``<col><suffix>`` columns, and with ``totals`` also ``<col>_total``
     (the per-key sum, taken from the chunk totals, so the input is not scanned again)."""
@@ -59,7 +59,7 @@ def running_sums(df: DataFrame, keys: list[str], order: list[tuple[str, bool]],
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     joined = ck.join(offsets, on=[*keys, CHUNK], how="inner")
     return joined.select(
-        *[c for c in ck.columns if c != CHUNK],
+        *[c for c in ck.columns if c != CHUNK or keep_chunk],
         *[(F.sum(c).over(within) + F.col(f"_off_{c}")).alias(f"{c}{suffix}") for c in sum_cols],
         *([f"{c}_total" for c in sum_cols] if totals else []))
 
@@ -93,3 +93,20 @@ def forward_fill(df: DataFrame, cols: list[str], order: str, keys: list[str] | N
               for c in cols}
     return joined.select(*[filled[c].alias(c) if c in filled else F.col(c)
                            for c in df.columns])
+
+
+def next_values(ck: DataFrame, keys: list[str], order: list[tuple[str, bool]],
+                cols: list[str], prefix: str = "next_") -> DataFrame:
+    """For a chunk-tagged frame (``running_sums(..., keep_chunk=True)``), add the values of
+    ``cols`` on the following row in ``order`` per ``keys`` (NULL on a key's last row): a
+    ``lead`` inside each chunk, and each chunk's first row handed to the chunk before it."""
+    first_of = F.struct(*[F.col(c).alias(c) for c in cols])
+    sort_key = F.struct(*[(F.col(c) if not desc else -F.col(c)).alias(c) for c, desc in order])
+    firsts = ck.groupBy(*keys, CHUNK).agg(F.min_by(first_of, sort_key).alias("_first"))
+    following = Window.partitionBy(*keys).orderBy(CHUNK)
+    nxt = firsts.select(*keys, CHUNK, F.lead("_first").over(following).alias("_next_first"))
+    within = Window.partitionBy(*keys, CHUNK).orderBy(*_order_cols(order))
+    joined = ck.join(nxt, on=[*keys, CHUNK], how="inner")
+    return joined.select(*ck.columns, *[
+        F.coalesce(F.lead(c).over(within), F.col(f"_next_first.{c}")).alias(f"{prefix}{c}")
+        for c in cols])

@@ -96,3 +96,19 @@ def test_evaluate_long_rows(spark, preds):
     assert {r["metric"] for r in rows} == {"accuracy", "precision", "recall", "f1_score",
                                            "roc_auc", "pr_auc"}
     assert len(rows) == 12
+
+
+def _brute_roc_dropped(labels, scores):
+    thr = sorted(set(scores), reverse=True)
+    tps = np.array([sum(1 for l, s in zip(labels, scores) if s >= t and l == 1) for t in thr])
+    fps = np.array([sum(1 for l, s in zip(labels, scores) if s >= t and l != 1) for t in thr])
+    keep = np.r_[True, np.logical_or(np.diff(fps, 2), np.diff(tps, 2)), True]
+    return {t for t, k in zip(thr, keep) if k}
+
+
+def test_roc_drop_intermediate_matches_rule(spark, preds):
+    pdf = preds.toPandas()
+    out = ev.roc_curve(preds, by=["model"], drop_intermediate=True).toPandas()
+    for m, g in pdf.groupby("model"):
+        got = set(out[(out["model"] == m) & np.isfinite(out["threshold"])]["threshold"])
+        assert got == _brute_roc_dropped(g["label"].tolist(), g["score"].tolist())

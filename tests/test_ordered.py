@@ -46,3 +46,18 @@ def test_global_row_index_is_a_permutation(spark):
     out = ordered.global_row_index(df, [("value", False)], num_chunks=6).toPandas()
     assert sorted(out["row_index"]) == list(range(250))
     assert (out.sort_values("value")["row_index"].to_numpy() == np.arange(250)).all()
+
+
+def test_next_values_across_chunks(spark):
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({"k": rng.choice(["a", "b"], 500), "o": rng.permutation(500),
+                        "v": rng.integers(0, 100, 500)})
+    ck = ordered.running_sums(spark.createDataFrame(pdf), ["k"], [("o", True)], ["v"],
+                              num_chunks=11, keep_chunk=True)
+    out = ordered.next_values(ck, ["k"], [("o", True)], ["v"]).toPandas()
+    exp = pdf.sort_values(["k", "o"], ascending=[True, False])
+    exp["next_v"] = exp.groupby("k")["v"].shift(-1)
+    merged = out.merge(exp, on=["k", "o"], suffixes=("", "_exp"))
+    assert len(merged) == 500
+    a, b = merged["next_v"].astype(float), merged["next_v_exp"].astype(float)
+    assert ((a == b) | (a.isna() & b.isna())).all()
