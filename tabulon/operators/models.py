@@ -28,6 +28,28 @@ FAMILIES = {
 }
 FEATURES = "_features"
 
+# ---- fixed values: tuning grids of the reference workflows ----
+# k-fold cross-validation (3 folds, accuracy)
+CV_GRIDS = {
+    "logistic": {"maxIter": [10, 20, 30], "regParam": [0.1, 0.01, 0.001]},
+    "tree": {"maxDepth": [5, 10, 20], "maxBins": [70, 100, 150]},
+    "forest": {"maxDepth": [5, 10, 20], "maxBins": [70, 100, 150], "numTrees": [10, 20, 30]},
+}
+# train/validation split (ratio 0.9, accuracy); gbt is tuned inside one-vs-rest
+TVS_GRIDS = {
+    "logistic": {"regParam": [0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.5, 1.0],
+                 "maxIter": [50, 100, 200]},
+    "forest": {"numTrees": [10, 50, 100], "maxDepth": [5, 10, 20], "maxBins": [32, 64]},
+    "gbt": {"maxDepth": [5, 10], "maxBins": [32, 64]},
+}
+# split weights and part names, in the order each workflow unpacks them
+SPLITS = {
+    "functions": ([0.8, 0.1, 0.1], ("train", "test", "val")),
+    "notebook_lr_rf": ([0.7, 0.15, 0.15], ("train", "val", "test")),
+    "notebook_gbt": ([0.8, 0.1, 0.1], ("train", "val", "test")),
+}
+SEED = 42
+
 
 def classifier(family: str, label: str, weight: str | None = None, seed: int = 42, **params):
     cls = FAMILIES[family]
@@ -68,12 +90,18 @@ def param_grid(est, grid: dict[str, list]):
 
 def tune(df: DataFrame, family: str, label: str, features: list[str], grid: dict[str, list],
          method: str = "cv", folds: int = 3, ratio: float = 0.9, parallelism: int = 2,
-         seed: int = 42, weight: str | None = None, metric: str = "accuracy"):
+         seed: int = 42, weight: str | None = None, metric: str = "accuracy",
+         one_vs_rest_base: bool = False, fixed: dict | None = None):
     """Grid search by k-fold cross-validation (``cv``) or a train/validation split (``tvs``).
-    Returns (best PipelineModel, list of average metrics per grid point)."""
-    est = classifier(family, label, weight, seed)
-    pipe = _pipeline(features, est)
+    With ``one_vs_rest_base`` the classifier is wrapped in ``OneVsRest`` and the grid's
+    parameters reach the per-class sub-models. Returns (best PipelineModel, metrics per grid
+    point)."""
+    est = classifier(family, label, None if one_vs_rest_base else weight, seed, **(fixed or {}))
     maps = param_grid(est, grid)
+    if one_vs_rest_base:
+        pipe = _pipeline(features, OneVsRest(classifier=est, featuresCol=FEATURES, labelCol=label))
+    else:
+        pipe = _pipeline(features, est)
     ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
                                            metricName=metric)
     if method == "cv":
