@@ -23,6 +23,18 @@ def _is(c: str, v) -> Column:
     return F.col(c) == F.lit(v)
 
 
+# ------------------------------------------------------------------ input check (EV-12)
+def prediction_nulls(df: DataFrame, label="label", prediction="prediction", score="score",
+                     by=()) -> DataFrame:
+    """Rows per group and how many lack a label, a prediction or a score: the table form of
+    the reference's equal-length check (a predictions table is aligned by construction)."""
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col(label).isNull()).alias("null_label"),
+        F.count_if(F.col(prediction).isNull()).alias("null_prediction"),
+        F.count_if(F.col(score).isNull()).alias("null_score"))
+
+
 # ------------------------------------------------------------------ binary (EV-1..3)
 def binary_counts(df: DataFrame, label="label", prediction="prediction", by=()) -> DataFrame:
     """tp / tn / fp / fn for positive class 1, one aggregation."""

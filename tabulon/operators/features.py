@@ -144,8 +144,15 @@ def standard_scale_transform(df: DataFrame, stats: dict[str, tuple[float, float]
     return df.withColumns({c: z(c) for c in stats})
 
 
-def standard_scale(df: DataFrame, cols: list[str]) -> DataFrame:
-    return standard_scale_transform(df, standard_scale_fit(df, cols))
+def standard_scale(df: DataFrame, cols: list[str] | None = None, exclude=(),
+                   keep_excluded: bool = True) -> DataFrame:
+    """Z-score ``cols`` (default: every numeric column not in ``exclude``). Other columns are
+    kept (``keep_excluded``) or dropped, the two behaviours of the reference."""
+    if cols is None:
+        cols = [f.name for f in df.schema.fields
+                if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
+    out = standard_scale_transform(df, standard_scale_fit(df, cols))
+    return out if keep_excluded else out.select(*cols)
 
 
 def minmax_fit(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:

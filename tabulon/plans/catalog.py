@@ -853,3 +853,8 @@ def tune_gbt_ovr(spark, d):
     scored = best.transform(df)
     return scored.select(F.col("l_orderkey").alias("row_id"), F.col("Target").alias("label"),
                          (F.col("prediction").cast("int") + 1).alias("prediction"))
+
+
+@query("prediction_nulls")
+def prediction_nulls(spark, d):
+    return _ev().prediction_nulls(B.predictions(spark, d), by=PREDS_BY)

@@ -526,3 +526,8 @@ SELECT {BY}, CAST(score AS DOUBLE) AS threshold,
   CASE WHEN P = 0 THEN NULL ELSE CAST(tp_cum AS DOUBLE) / CAST(P AS DOUBLE) END AS tpr
 FROM pts WHERE rn = 1 OR nfp IS NULL OR nfp <> fp OR ntp <> tp
 UNION ALL SELECT DISTINCT {BY}, CAST('Infinity' AS DOUBLE), CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE) FROM gc"""
+ORACLE["prediction_nulls"] = f"""SELECT {BY}, CAST(COUNT(*) AS BIGINT) AS n_rows,
+  CAST(COUNT(*) FILTER (WHERE label IS NULL) AS BIGINT) AS null_label,
+  CAST(COUNT(*) FILTER (WHERE prediction IS NULL) AS BIGINT) AS null_prediction,
+  CAST(COUNT(*) FILTER (WHERE score IS NULL) AS BIGINT) AS null_score
+FROM {PREDS} GROUP BY {BY}"""

@@ -76,3 +76,13 @@ def test_class_weights(spark):
     df = spark.createDataFrame([(0,), (0,), (0,), (1,)], "y int")
     w = {r["y"]: r["weight"] for r in split.class_weights(df, "y").collect()}
     assert w == {0: pytest.approx(4 / (2 * 3)), 1: pytest.approx(4 / (2 * 1))}
+
+
+def test_standard_scale_excluded_columns(spark):
+    df = spark.createDataFrame([(1, 1.0, "a"), (2, 3.0, "b")], "id int, x double, s string")
+    kept = fe.standard_scale(df, exclude=("id",))
+    assert set(kept.columns) == {"id", "x", "s"}
+    assert sorted(r["x"] for r in kept.collect()) == [-1.0, 1.0]
+    assert sorted(r["id"] for r in kept.collect()) == [1, 2]
+    dropped = fe.standard_scale(df, exclude=("id",), keep_excluded=False)
+    assert dropped.columns == ["x"]
