@@ -66,11 +66,19 @@ def _pipeline(features: list[str], est) -> Pipeline:
                                             handleInvalid="error"), est])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Iterative fits re-read their input once per iteration; an input with fewer partitions
+    than task slots (e.g. one large row group) is spread once by a round-robin shuffle.
+    Inputs that are already split wider are left as they are."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def train(df: DataFrame, family: str, label: str, features: list[str], weight: str | None = None,
           params: dict | None = None, seed: int = 42) -> PipelineModel:
     """Fit one classifier on raw feature columns; labels must be 0..K-1 valued numbers."""
     est = classifier(family, label, weight, seed, **(params or {}))
-    return _pipeline(features, est).fit(df)
+    return _pipeline(features, est).fit(spread(df))
 
 
 def one_vs_rest(df: DataFrame, family: str, label: str, features: list[str],
@@ -78,7 +86,7 @@ def one_vs_rest(df: DataFrame, family: str, label: str, features: list[str],
     """One-vs-rest over a binary base classifier (e.g. gradient-boosted trees)."""
     base = classifier(family, label, None, seed, **(params or {}))
     ovr = OneVsRest(classifier=base, featuresCol=FEATURES, labelCol=label)
-    return _pipeline(features, ovr).fit(df)
+    return _pipeline(features, ovr).fit(spread(df))
 
 
 def param_grid(est, grid: dict[str, list]):
@@ -112,7 +120,7 @@ def tune(df: DataFrame, family: str, label: str, features: list[str], grid: dict
                                      trainRatio=ratio, parallelism=parallelism, seed=seed)
     else:
         raise ValueError(f"unknown tuning method {method!r}")
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fitted = tuner.fit(cached)
     finally:
