@@ -41,6 +41,35 @@ def build_session(master: str | None = None, app: str = "tabulon",
     return spark
 
 
+def cluster_conf(input_bytes: float, total_cores: int,
+                 partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large cluster, sized from the input volume and the number of cores.
+
+    Scan splits and shuffle partitions target ``partition_bytes`` each (well inside an
+    executor core's share of memory, so sorts and hash aggregations do not spill much);
+    AQE starts from enough partitions for the whole input and coalesces the small ones;
+    skewed join partitions above 4x the median (and 1 GiB) are split; a join side is
+    broadcast only when its materialised size is below 64 MiB. Use with
+    ``build_session(master=..., extra=cluster_conf(...))``."""
+    # map statuses grow with map tasks x reducers: cap reducers at 4x cores; most shuffles
+    # here follow a map-side partial aggregation and are far smaller than the input
+    initial = min(max(2 * total_cores, int(input_bytes // partition_bytes) + 1), 4 * total_cores)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
