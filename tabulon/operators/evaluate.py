@@ -78,13 +78,20 @@ def confusion_counts(df: DataFrame, label="label", prediction="prediction", by=(
     return df.groupBy(*by, label, prediction).agg(F.count(F.lit(1)).alias("n"))
 
 
-def confusion_matrix(df: DataFrame, label="label", prediction="prediction", by=()) -> DataFrame:
+MAX_CLASSES = 1000
+
+
+def confusion_matrix(df: DataFrame, label="label", prediction="prediction", by=(),
+                     max_classes: int = MAX_CLASSES) -> DataFrame:
     """(by..., label, prediction, n) over the sorted union of classes, zero cells present.
-    The class set of a group is bounded by the number of classes, so the K x K grid per group
-    is built from one small array per group."""
+    The grid is K x K per group over the *classes* (collected from the already aggregated
+    cells, never from rows); a group with more than ``max_classes`` classes fails the query
+    in-plan instead of emitting a quadratic grid."""
     cells = confusion_counts(df, label, prediction, by)
-    classes = cells.groupBy(*by).agg(F.array_union(F.collect_set(label),
-                                                   F.collect_set(prediction)).alias("_cls"))
+    cls = F.array_union(F.collect_set(label), F.collect_set(prediction))
+    classes = cells.groupBy(*by).agg(cls.alias("_cls"), F.size(cls).alias("_k"))
+    classes = classes.withColumn("_cls", F.when(F.col("_k") > F.lit(max_classes), F.raise_error(
+        F.lit(f"more than {max_classes} classes in a group"))).otherwise(F.col("_cls")))
     grid = (classes.select(*by, F.explode("_cls").alias(label), "_cls")
             .select(*by, label, F.explode("_cls").alias(prediction)))
     keys = [*by, label, prediction]

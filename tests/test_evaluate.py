@@ -112,3 +112,10 @@ def test_roc_drop_intermediate_matches_rule(spark, preds):
     for m, g in pdf.groupby("model"):
         got = set(out[(out["model"] == m) & np.isfinite(out["threshold"])]["threshold"])
         assert got == _brute_roc_dropped(g["label"].tolist(), g["score"].tolist())
+
+
+def test_confusion_matrix_class_guard(spark):
+    df = spark.createDataFrame([(i, i) for i in range(5)], "label int, prediction int")
+    assert ev.confusion_matrix(df, max_classes=5).count() == 25
+    with pytest.raises(Exception, match="classes"):
+        ev.confusion_matrix(df, max_classes=4).collect()
