@@ -8,15 +8,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.operators import clean, outliers, profile
+from tabulon.functions.columns import vector_element
+from tabulon.operators import clean
+from tabulon.operators import evaluate as ev
+from tabulon.operators import features as fe
+from tabulon.operators import leaderboard as lb
+from tabulon.operators import models, outliers, preprocess, profile, scoring, split
 from tabulon.plans import bindings as B
+from tabulon.session import scratch_path
+from tabulon.sources import files, metrics_store
+from tabulon.sources import models as model_io
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+PREDS_BY = ["model", "version", "dataset"]
+SKEW_COLS = ["value", "user_id"]
+
 
 def query(name: str):
     def register(fn: Query) -> Query:
@@ -27,6 +40,12 @@ def query(name: str):
     return register
 
 
+def r9(c) -> F.Column:
+    """Round a floating result of a sum/average to 9 decimals, so that summation order (which
+    differs between engines and partitionings) does not show in comparisons."""
+    return F.round(F.col(c) if isinstance(c, str) else c, 9)
+
+
 # ---------------------------------------------------------------- flagship
 @query("flagship_iqr_lang_share")
 def flagship(spark, d):
@@ -36,100 +55,64 @@ def flagship(spark, d):
     return profile.class_distribution(kept, "lang")
 
 
-def r9(c) -> F.Column:
-    """Round a floating result of a sum/average to 9 decimals, so that summation order (which
-    differs between engines and partitionings) does not show in comparisons."""
-    return F.round(F.col(c) if isinstance(c, str) else c, 9)
-
-
-PREDS_BY = ["model", "version", "dataset"]
-SKEW_COLS = ["value", "user_id"]
-
-
 # ---------------------------------------------------------------- sources and sinks (IO-*)
 @query("io_csv_roundtrip")
 def io_csv_roundtrip(spark, d):
-    from tabulon.session import scratch_path
-    from tabulon.sources.files import read_delimited, write_delimited
-
     path = scratch_path(spark, "nation_csv")
-    write_delimited(B.table(spark, d, "nation"), path, sep=";")
-    back = read_delimited(spark, path, types={"n_nationkey": "int", "n_regionkey": "int"}, sep=";")
+    files.write_delimited(B.table(spark, d, "nation"), path, sep=";")
+    back = files.read_delimited(spark, path, types={"n_nationkey": "int", "n_regionkey": "int"},
+                                sep=";")
     return back.select("n_nationkey", "n_name", "n_regionkey")
 
 
 @query("io_parquet_project")
 def io_parquet_project(spark, d):
-    from tabulon.sources.files import read_table
-
-    return read_table(spark, f"{d}/lineitem.parquet", ["l_orderkey", "l_quantity"])
+    return files.read_table(spark, f"{d}/lineitem.parquet", ["l_orderkey", "l_quantity"])
 
 
 @query("io_parquet_roundtrip")
 def io_parquet_roundtrip(spark, d):
-    from tabulon.session import scratch_path
-    from tabulon.sources.files import read_table, write_table
-
     path = scratch_path(spark, "cls3")
-    write_table(B.cls3(spark, d), path, mode="overwrite")
-    return read_table(spark, path)
-
-
-def _sep_train(spark, d):
-    return B.train_sep(spark, d)
+    files.write_table(B.cls3(spark, d), path, mode="overwrite")
+    return files.read_table(spark, path)
 
 
 @query("model_roundtrip_scores")
 def model_roundtrip_scores(spark, d):
-    from tabulon.operators.models import predictions_table, train
-    from tabulon.session import scratch_path
-    from tabulon.sources.models import load_model, save_model
-
-    df = _sep_train(spark, d)
-    model = train(df, "logistic", "Target", B.CLS3_FEATURES, params={"maxIter": 20})
+    df = B.train_sep(spark, d)
+    model = models.train(df, "logistic", "Target", B.CLS3_FEATURES, params={"maxIter": 20})
     path = scratch_path(spark, "model_lr")
-    save_model(model, path)
-    loaded = load_model(path)
-    return predictions_table(loaded, df, "Target", "l_orderkey", "logistic", 1, "all")
+    model_io.save_model(model, path)
+    loaded = model_io.load_model(path)
+    return models.predictions_table(loaded, df, "Target", "l_orderkey", "logistic", 1, "all")
 
 
 def _evaluated(spark, d):
-    from tabulon.operators.evaluate import evaluate
-
-    return evaluate(B.predictions(spark, d), by=PREDS_BY)
+    return ev.evaluate(B.predictions(spark, d), by=PREDS_BY)
 
 
 @query("metrics_long")
 def metrics_long(spark, d):
-    from tabulon.session import scratch_path
-    from tabulon.sources.metrics_store import log_metrics, read_metrics
-
     path = scratch_path(spark, "metrics")
-    log_metrics(_evaluated(spark, d), path)
-    back = read_metrics(spark, path)
+    metrics_store.log_metrics(_evaluated(spark, d), path)
+    back = metrics_store.read_metrics(spark, path)
     return back.select(*PREDS_BY, "metric", r9("value").alias("value"))
 
 
 @query("metrics_wide")
 def metrics_wide(spark, d):
-    from tabulon.sources.metrics_store import METRIC_NAMES, metrics_for
-
-    wide = metrics_for(_evaluated(spark, d))
-    return wide.select(*PREDS_BY, *[r9(m).alias(m) for m in METRIC_NAMES])
+    wide = metrics_store.metrics_for(_evaluated(spark, d))
+    return wide.select(*PREDS_BY, *[r9(m).alias(m) for m in metrics_store.METRIC_NAMES])
 
 
 @query("latest_version")
 def latest_version(spark, d):
-    from tabulon.sources.metrics_store import latest_predictions
-
-    return latest_predictions(B.predictions(spark, d))
+    return metrics_store.latest_predictions(B.predictions(spark, d))
 
 
 @query("model_versions")
 def model_versions(spark, d):
-    from tabulon.sources.metrics_store import model_versions as mv
-
-    return mv(B.predictions(spark, d))
+    return metrics_store.model_versions(B.predictions(spark, d))
 
 
 # ---------------------------------------------------------------- projection, casts (CL-*)
@@ -199,8 +182,8 @@ def filter_equals(spark, d):
 
 
 def _flagged_events(spark, d):
-    ev = B.table(spark, d, "events").select("event_id", *SKEW_COLS)
-    return outliers.flag_outliers(ev, SKEW_COLS)
+    events = B.table(spark, d, "events").select("event_id", *SKEW_COLS)
+    return outliers.flag_outliers(events, SKEW_COLS)
 
 
 @query("rows_any_outlier")
@@ -225,10 +208,9 @@ def case_label(spark, d):
 # ---------------------------------------------------------------- joins (JN-*)
 @query("join_frequency_left")
 def join_frequency_left(spark, d):
-    from tabulon.operators.features import frequency_lookup, join_frequency
-
     df = B.cats(spark, d)
-    out = join_frequency(df, frequency_lookup(df, "user_key"), "user_key", "user_key_frequency")
+    out = fe.join_frequency(df, fe.frequency_lookup(df, "user_key"), "user_key",
+                            "user_key_frequency")
     return out.select("event_id", "user_key", "user_key_frequency")
 
 
@@ -284,24 +266,31 @@ def quantiles_skew(spark, d):
     return q.select("column", "prob", r9("value").alias("value"))
 
 
+@query("quantiles_approx")
+def quantiles_approx(spark, d):
+    """Greenwald-Khanna sketch, one pass for all columns (no exact oracle: rank error 1e-3)."""
+    return profile.quantile_table(B.cls3(spark, d), B.CLS3_FEATURES, [0.25, 0.5, 0.75], "approx",
+                                  rel_err=1e-3)
+
+
 @query("box_stats")
 def box_stats(spark, d):
-    ev = B.table(spark, d, "events").select(*SKEW_COLS)
-    b = profile.box_stats(ev, SKEW_COLS)
+    events = B.table(spark, d, "events").select(*SKEW_COLS)
+    b = profile.box_stats(events, SKEW_COLS)
     return b.select("column", *[r9(c).alias(c) for c in ("q1", "median", "q3")],
                     "whisker_lo", "whisker_hi", "n_fliers")
 
 
 @query("outlier_counts")
 def outlier_counts(spark, d):
-    ev = B.table(spark, d, "events").select(*SKEW_COLS)
-    return outliers.outlier_counts(ev, SKEW_COLS)
+    events = B.table(spark, d, "events").select(*SKEW_COLS)
+    return outliers.outlier_counts(events, SKEW_COLS)
 
 
 @query("outlier_recheck")
 def outlier_recheck(spark, d):
-    ev = B.table(spark, d, "events").select(*SKEW_COLS)
-    return outliers.recheck_outliers(ev, SKEW_COLS)
+    events = B.table(spark, d, "events").select(*SKEW_COLS)
+    return outliers.recheck_outliers(events, SKEW_COLS)
 
 
 @query("histogram_by_class")
@@ -345,8 +334,8 @@ def flag_outliers(spark, d):
 
 @query("remove_outliers")
 def remove_outliers(spark, d):
-    ev = B.table(spark, d, "events").select("event_id", *SKEW_COLS)
-    return outliers.remove_outliers(ev, SKEW_COLS).select("event_id")
+    events = B.table(spark, d, "events").select("event_id", *SKEW_COLS)
+    return outliers.remove_outliers(events, SKEW_COLS).select("event_id")
 
 
 @query("impute_group_max")
@@ -376,63 +365,48 @@ def forward_fill_global(spark, d):
 # ---------------------------------------------------------------- features (FE-*)
 @query("label_encode")
 def label_encode(spark, d):
-    from tabulon.operators.features import label_encode as enc
-
-    cu = B.table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_name")
-    return enc(cu, ["c_mktsegment", "c_name"]).select("c_custkey", "c_mktsegment", "c_name")
+    customers = B.table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_name")
+    out = fe.label_encode(customers, ["c_mktsegment", "c_name"])
+    return out.select("c_custkey", "c_mktsegment", "c_name")
 
 
 @query("string_index")
 def string_index(spark, d):
-    from tabulon.operators.features import index_strings
-
-    out = index_strings(B.cats(spark, d), ["event_type", "user_key"])
+    out = fe.index_strings(B.cats(spark, d), ["event_type", "user_key"])
     return out.select("event_id", "event_type_index", "user_key_index")
 
 
 @query("frequency_encode")
 def frequency_encode(spark, d):
-    from tabulon.operators.features import frequency_encode as fe
-
-    out, _ = fe(B.cats(spark, d), ["user_key", "event_type"], threshold=100)
+    out, _ = fe.frequency_encode(B.cats(spark, d), ["user_key", "event_type"], threshold=100)
     return out
 
 
 @query("standard_scale")
 def standard_scale(spark, d):
-    from tabulon.operators.features import standard_scale as ss
-
-    out = ss(B.cls3(spark, d), B.CLS3_FEATURES)
+    out = fe.standard_scale(B.cls3(spark, d), B.CLS3_FEATURES)
     return out.select("Target", *[r9(c).alias(c) for c in B.CLS3_FEATURES])
 
 
 @query("minmax_scale")
 def minmax_scale(spark, d):
-    from tabulon.operators.features import minmax_scale as mm
-
-    return mm(B.cls3(spark, d), B.CLS3_FEATURES).select("Target", *B.CLS3_FEATURES)
+    return fe.minmax_scale(B.cls3(spark, d), B.CLS3_FEATURES).select("Target", *B.CLS3_FEATURES)
 
 
 @query("assemble_vector")
 def assemble_vector(spark, d):
-    from tabulon.operators.features import assemble, unfold_vector
-
-    v = assemble(B.cls3(spark, d), B.CLS3_FEATURES, "features")
-    return unfold_vector(v, "features", len(B.CLS3_FEATURES), keep=["Target"])
+    v = fe.assemble(B.cls3(spark, d), B.CLS3_FEATURES, "features")
+    return fe.unfold_vector(v, "features", len(B.CLS3_FEATURES), keep=["Target"])
 
 
 def _feature_chain(spark, d, ids):
-    from tabulon.operators.features import feature_pipeline, unfold_vector
-
     df = B.binary_real(spark, d)
     if not ids:
         df = df.drop("doc_id")
     # threshold 10: the 20-valued source is frequency-encoded, the 4-valued lang indexed
-    pipe, encoded, inputs = feature_pipeline(df, "quality", threshold=10, ids=ids)
-    model = pipe.fit(encoded)
-    out = model.transform(encoded)
-    size = len(inputs)
-    return unfold_vector(out, "features", size, keep=[*ids, "quality"])
+    pipe, encoded, inputs = fe.feature_pipeline(df, "quality", threshold=10, ids=ids)
+    out = pipe.fit(encoded).transform(encoded)
+    return fe.unfold_vector(out, "features", len(inputs), keep=[*ids, "quality"])
 
 
 @query("feature_chain")
@@ -447,24 +421,18 @@ def feature_chain_with_id(spark, d):
 
 @query("preprocess_chain")
 def preprocess_chain(spark, d):
-    from tabulon.operators.features import unfold_vector
-    from tabulon.operators.preprocess import PreprocessSpec, preprocess
-    from tabulon.session import scratch_path
-
-    spec = PreprocessSpec(types={"raw": "double"}, fill=["value", "raw"],
-                          outlier_cols=["value", "raw"], scale=["value", "raw"],
-                          drop=["user_id", "event_type"], features=["value", "raw"])
-    out = preprocess(B.dirty(spark, d), spec, out_path=scratch_path(spark, "preprocessed"))
-    u = unfold_vector(out, "features", 2, keep=["event_id"])
+    spec = preprocess.PreprocessSpec(types={"raw": "double"}, fill=["value", "raw"],
+                                     outlier_cols=["value", "raw"], scale=["value", "raw"],
+                                     drop=["user_id", "event_type"], features=["value", "raw"])
+    out = preprocess.preprocess(B.dirty(spark, d), spec, out_path=scratch_path(spark, "preprocessed"))
+    u = fe.unfold_vector(out, "features", 2, keep=["event_id"])
     return u.select("event_id", r9("f0").alias("f0"), r9("f1").alias("f1"))
 
 
 # ---------------------------------------------------------------- splitting (SP-*)
 @query("random_split")
 def random_split(spark, d):
-    from tabulon.operators.split import random_split as rs
-
-    parts = rs(B.cls3(spark, d), [0.8, 0.1, 0.1], seed=42)
+    parts = split.random_split(B.cls3(spark, d), [0.8, 0.1, 0.1], seed=42)
     out = None
     for name, part in parts.items():
         p = part.withColumn("split", F.lit(name))
@@ -474,29 +442,23 @@ def random_split(spark, d):
 
 @query("hash_split")
 def hash_split(spark, d):
-    from tabulon.operators.split import hash_split as hs
-
-    cu = B.table(spark, d, "customer").select("c_custkey")
-    return hs(cu, "c_custkey", [0.8, 0.1, 0.1])
+    customers = B.table(spark, d, "customer").select("c_custkey")
+    return split.hash_split(customers, "c_custkey", [0.8, 0.1, 0.1])
 
 
 @query("class_weights")
 def class_weights(spark, d):
-    from tabulon.operators.split import class_weights as cw
-
-    out = cw(B.cls3(spark, d), "Target")
+    out = split.class_weights(B.cls3(spark, d), "Target")
     return out.select("Target", "l_quantity", "weight")
 
 
 # ---------------------------------------------------------------- training (ML-*)
-def _fit_and_score(spark, d, family, params, label_fn=None, name=None):
-    from tabulon.operators.models import predictions_table, train
-
-    df = _sep_train(spark, d)
+def _fit_and_score(spark, d, family, params, label_fn=None):
+    df = B.train_sep(spark, d)
     if label_fn is not None:
         df = df.withColumn("Target", label_fn(F.col("Target")))
-    model = train(df, family, "Target", B.CLS3_FEATURES, params=params)
-    return predictions_table(model, df, "Target", "l_orderkey", name or family, 1, "all")
+    model = models.train(df, family, "Target", B.CLS3_FEATURES, params=params)
+    return models.predictions_table(model, df, "Target", "l_orderkey", family, 1, "all")
 
 
 @query("train_logistic")
@@ -520,24 +482,25 @@ def train_gbt(spark, d):
                           label_fn=lambda t: (t == 1).cast("int"))
 
 
-@query("train_gbt_ovr")
-def train_gbt_ovr(spark, d):
-    from tabulon.operators.models import one_vs_rest
-
-    df = _sep_train(spark, d).withColumn("label0", F.col("Target") - 1)
-    model = one_vs_rest(df, "gbt", "label0", B.CLS3_FEATURES, params={"maxIter": 3, "maxDepth": 3})
-    scored = model.transform(df)
+def _ovr_output(scored):
+    """Map 0-based one-vs-rest predictions back to the 1..3 labels."""
     return scored.select(F.col("l_orderkey").alias("row_id"), F.col("Target").alias("label"),
                          (F.col("prediction").cast("int") + 1).alias("prediction"))
 
 
-def _tuned(spark, d, family, grid, method):
-    from tabulon.operators.models import predictions_table, tune
+@query("train_gbt_ovr")
+def train_gbt_ovr(spark, d):
+    df = B.train_sep(spark, d).withColumn("label0", F.col("Target") - 1)
+    model = models.one_vs_rest(df, "gbt", "label0", B.CLS3_FEATURES,
+                               params={"maxIter": 3, "maxDepth": 3})
+    return _ovr_output(model.transform(df))
 
-    df = _sep_train(spark, d)
-    best, _ = tune(df, family, "Target", B.CLS3_FEATURES, grid, method=method, folds=3,
-                   ratio=0.9, parallelism=2, seed=42)
-    return predictions_table(best, df, "Target", "l_orderkey", family, 1, "all")
+
+def _tuned(spark, d, family, grid, method):
+    df = B.train_sep(spark, d)
+    best, _ = models.tune(df, family, "Target", B.CLS3_FEATURES, grid, method=method, folds=3,
+                          ratio=0.9, parallelism=2, seed=42)
+    return models.predictions_table(best, df, "Target", "l_orderkey", family, 1, "all")
 
 
 @query("tune_cv")
@@ -550,17 +513,24 @@ def tune_tvs(spark, d):
     return _tuned(spark, d, "forest", {"numTrees": [5, 10], "maxDepth": [5]}, "tvs")
 
 
-def _suite(spark, d, version=1):
-    from tabulon.operators.models import train_suite as ts
-    from tabulon.operators.split import hash_split as hs
+@query("tune_gbt_ovr")
+def tune_gbt_ovr(spark, d):
+    """Train/validation-split tuning of gradient-boosted trees inside one-vs-rest (the grid
+    reaches the sub-models); labels indexed from 0 and mapped back."""
+    df = B.train_sep(spark, d).withColumn("label0", F.col("Target") - 1)
+    best, _ = models.tune(df, "gbt", "label0", B.CLS3_FEATURES, {"maxDepth": [2, 3]},
+                          method="tvs", ratio=0.9, one_vs_rest_base=True, fixed={"maxIter": 3})
+    return _ovr_output(best.transform(df))
+
 
-    df = hs(_sep_train(spark, d), "l_orderkey", [0.8, 0.1, 0.1])
+def _suite(spark, d, version=1):
+    df = split.hash_split(B.train_sep(spark, d), "l_orderkey", [0.8, 0.1, 0.1])
     train_df = df.filter(F.col("split") == "train")
     datasets = {n: df.filter(F.col("split") == n) for n in ("test", "val")}
     families = {"logistic": {"regParam": [0.01], "maxIter": [20]}, "tree": {"maxDepth": [5]},
                 "forest": {"numTrees": [10]}}
-    return ts(train_df, datasets, families, "Target", B.CLS3_FEATURES, "l_orderkey",
-              version=version, method="cv", folds=2)
+    return models.train_suite(train_df, datasets, families, "Target", B.CLS3_FEATURES,
+                              "l_orderkey", version=version, method="cv", folds=2)
 
 
 @query("train_suite")
@@ -569,92 +539,107 @@ def train_suite(spark, d):
     return preds
 
 
-def _wide_test_metrics(spark, d):
-    ev = _evaluated(spark, d).filter(F.col("dataset") == "test")
-    from tabulon.sources.metrics_store import metrics_for
-
-    return metrics_for(ev, metrics=["accuracy", "f1_score", "roc_auc"]).drop("dataset")
+@query("train_weighted")
+def train_weighted(spark, d):
+    """Class-weighted logistic regression on the encoded document features (id kept out)."""
+    df = split.class_weights(B.binary_real(spark, d), "quality", "weight")
+    pipe, encoded, _ = fe.feature_pipeline(df.drop("weight"), "quality", threshold=100,
+                                           ids=["doc_id"])
+    encoded = encoded.join(df.select("doc_id", "weight"), "doc_id")
+    feats = pipe.fit(encoded).transform(encoded)
+    lr = LogisticRegression(featuresCol="features", labelCol="quality", weightCol="weight",
+                            maxIter=20).fit(models.spread(feats))
+    scored = lr.transform(feats)
+    return scored.select(F.lit("logistic_weighted").alias("model"), F.lit(1).alias("version"),
+                         F.lit("all").alias("dataset"), F.col("doc_id").alias("row_id"),
+                         F.col("quality").alias("label"),
+                         F.col("prediction").cast("int").alias("prediction"),
+                         vector_element("probability", 1).alias("score"))
 
 
 @query("pick_champion")
 def pick_champion(spark, d):
-    from tabulon.operators.models import pick_champion as pc
-
-    wide = _wide_test_metrics(spark, d)
-    champ = pc(wide, ["model", "version"])
+    test = _evaluated(spark, d).filter(F.col("dataset") == "test")
+    wide = metrics_store.metrics_for(test, metrics=["accuracy", "f1_score", "roc_auc"]).drop("dataset")
+    champ = models.pick_champion(wide, ["model", "version"])
     return champ.select("model", "version", *[r9(c).alias(c) for c in
                                               ("accuracy", "f1_score", "roc_auc")])
 
 
 # ---------------------------------------------------------------- evaluation (EV-*)
-def _ev():
-    from tabulon.operators import evaluate
-
-    return evaluate
+@query("prediction_nulls")
+def prediction_nulls(spark, d):
+    return ev.prediction_nulls(B.predictions(spark, d), by=PREDS_BY)
 
 
 @query("binary_counts")
 def binary_counts(spark, d):
-    return _ev().binary_counts(B.predictions(spark, d), by=PREDS_BY)
+    return ev.binary_counts(B.predictions(spark, d), by=PREDS_BY)
 
 
 @query("binary_metrics")
 def binary_metrics(spark, d):
-    return _ev().binary_metrics(B.predictions(spark, d), by=PREDS_BY)
+    return ev.binary_metrics(B.predictions(spark, d), by=PREDS_BY)
 
 
 @query("binary_metrics_nan")
 def binary_metrics_nan(spark, d):
-    return _ev().binary_metrics_unguarded(B.predictions(spark, d), by=PREDS_BY)
+    return ev.binary_metrics_unguarded(B.predictions(spark, d), by=PREDS_BY)
 
 
 @query("confusion_matrix")
 def confusion_matrix(spark, d):
-    return _ev().confusion_matrix(B.multi_preds(spark, d), by=PREDS_BY)
+    return ev.confusion_matrix(B.multi_preds(spark, d), by=PREDS_BY)
 
 
 @query("confusion_wide")
 def confusion_wide(spark, d):
-    return _ev().confusion_wide(B.multi_preds(spark, d), by=PREDS_BY)
+    return ev.confusion_wide(B.multi_preds(spark, d), by=PREDS_BY)
 
 
 @query("per_class_metrics")
 def per_class_metrics(spark, d):
-    return _ev().per_class_metrics(B.multi_preds(spark, d), by=PREDS_BY)
+    return ev.per_class_metrics(B.multi_preds(spark, d), by=PREDS_BY)
 
 
 @query("classification_report")
 def classification_report(spark, d):
-    r = _ev().classification_report(B.multi_preds(spark, d), by=PREDS_BY)
+    r = ev.classification_report(B.multi_preds(spark, d), by=PREDS_BY)
     return r.select(*PREDS_BY, "class_label", *[r9(c).alias(c) for c in
                                                 ("precision", "recall", "f1_score")], "support")
 
 
 @query("multiclass_metrics")
 def multiclass_metrics(spark, d):
-    m = _ev().multiclass_metrics(B.multi_preds(spark, d), by=PREDS_BY)
+    m = ev.multiclass_metrics(B.multi_preds(spark, d), by=PREDS_BY)
     return m.select(*PREDS_BY, *[r9(c).alias(c) for c in
                                  ("accuracy", "weighted_precision", "weighted_recall", "weighted_f1")])
 
 
 @query("roc_curve")
 def roc_curve(spark, d):
-    return _ev().roc_curve(B.predictions(spark, d), by=PREDS_BY)
+    return ev.roc_curve(B.predictions(spark, d), by=PREDS_BY)
+
+
+@query("roc_curve_dropped")
+def roc_curve_dropped(spark, d):
+    """ROC points without collinear intermediates (scikit-learn's default curve)."""
+    return ev.roc_curve(B.predictions(spark, d), by=PREDS_BY, drop_intermediate=True)
 
 
 @query("roc_auc")
 def roc_auc(spark, d):
-    return _ev().roc_auc(B.predictions(spark, d), by=PREDS_BY)
+    return ev.roc_auc(B.predictions(spark, d), by=PREDS_BY)
 
 
 @query("pr_curve")
 def pr_curve(spark, d):
-    return _ev().pr_curve(B.predictions(spark, d), by=PREDS_BY)
+    return ev.pr_curve(B.predictions(spark, d), by=PREDS_BY)
 
 
 @query("pr_auc")
 def pr_auc(spark, d):
-    a = _ev().pr_auc(B.predictions(spark, d), by=PREDS_BY)
+    a = ev.pr_auc(B.predictions(spark, d), by=PREDS_BY)
     return a.select(*PREDS_BY, r9("pr_auc").alias("pr_auc"))
 
 
@@ -666,69 +651,58 @@ def evaluate_all(spark, d):
 # ---------------------------------------------------------------- scoring, monitoring (SC-*, MO-*)
 @query("batch_score")
 def batch_score(spark, d):
-    from tabulon.operators.models import train
-    from tabulon.operators.scoring import positive_score, score
-
-    df = _sep_train(spark, d)
-    model = train(df, "logistic", "Target", B.CLS3_FEATURES, params={"maxIter": 20})
-    scored = positive_score(score(model, df), index=1)
+    df = B.train_sep(spark, d)
+    model = models.train(df, "logistic", "Target", B.CLS3_FEATURES, params={"maxIter": 20})
+    scored = scoring.positive_score(scoring.score(model, df), index=1)
     return scored.select("l_orderkey", "Target", "prediction", "score")
 
 
 @query("positive_score")
 def positive_score(spark, d):
-    from pyspark.ml.functions import array_to_vector
-
-    from tabulon.operators.scoring import positive_score as ps
-
     bs = B.binary_scores(spark, d)
     vec = bs.select("row_id", array_to_vector(F.array(F.lit(1.0) - F.col("score"), F.col("score")))
                     .alias("probability"))
-    return ps(vec).select("row_id", "score")
+    return scoring.positive_score(vec).select("row_id", "score")
 
 
 @query("score_labelled")
 def score_labelled(spark, d):
-    from tabulon.operators.scoring import labelled_output
+    return scoring.labelled_output(B.binary_scores(spark, d), "row_id")
 
-    return labelled_output(B.binary_scores(spark, d), "row_id")
+
+@query("predicted_class_counts")
+def predicted_class_counts(spark, d):
+    """Count per predicted class of the scored output (SC-3)."""
+    return profile.class_counts(B.binary_scores(spark, d), "prediction")
 
 
 @query("score_batch_prepare")
 def score_batch_prepare(spark, d):
-    from tabulon.operators.features import standard_scale_fit
-    from tabulon.operators.scoring import prepare_batch
-    from tabulon.operators.split import hash_split as hs
-
-    df = hs(B.cls3(spark, d), "l_orderkey", [0.8, 0.2], names=("train", "batch"))
-    stats = standard_scale_fit(df.filter(F.col("split") == "train"), B.CLS3_FEATURES)
-    batch = prepare_batch(df.filter(F.col("split") == "batch"), B.CLS3_FEATURES, stats)
+    df = split.hash_split(B.cls3(spark, d), "l_orderkey", [0.8, 0.2], names=("train", "batch"))
+    stats = fe.standard_scale_fit(df.filter(F.col("split") == "train"), B.CLS3_FEATURES)
+    batch = scoring.prepare_batch(df.filter(F.col("split") == "batch"), B.CLS3_FEATURES, stats)
     return batch.select("l_orderkey", "Target", *[r9(c).alias(c) for c in B.CLS3_FEATURES])
 
 
 @query("evaluate_current")
 def evaluate_current(spark, d):
-    from tabulon.operators.models import train
-    from tabulon.operators.scoring import evaluate_current as ec
-    from tabulon.session import scratch_path
-    from tabulon.sources.models import load_model, save_model
-
-    df = _sep_train(spark, d).withColumn("Target", (F.col("Target") == 1).cast("int"))
+    df = B.train_sep(spark, d).withColumn("Target", (F.col("Target") == 1).cast("int"))
     path = scratch_path(spark, "live_model")
-    save_model(train(df, "logistic", "Target", B.CLS3_FEATURES, params={"maxIter": 20}), path)
-    return ec(load_model(path), df, "Target", {"model": "logistic", "version": 1,
-                                               "dataset": "all"})
+    model_io.save_model(models.train(df, "logistic", "Target", B.CLS3_FEATURES,
+                                     params={"maxIter": 20}), path)
+    return scoring.evaluate_current(model_io.load_model(path), df, "Target",
+                                    {"model": "logistic", "version": 1, "dataset": "all"})
 
 
 def _comparison(spark, d):
-    from tabulon.operators.scoring import compare_metrics as cm
-
-    ev = _evaluated(spark, d).filter(F.col("dataset") == "test")
-    bounds = ev.groupBy("model").agg(F.min("version").alias("v_old"), F.max("version").alias("v_new"))
-    tagged = ev.join(bounds, "model")
+    """Test-set metrics of each model's earliest version (registered) vs its latest (new)."""
+    test = _evaluated(spark, d).filter(F.col("dataset") == "test")
+    bounds = test.groupBy("model").agg(F.min("version").alias("v_old"),
+                                       F.max("version").alias("v_new"))
+    tagged = test.join(bounds, "model")
     old = tagged.filter(F.col("version") == F.col("v_old")).select("model", "metric", "value")
     new = tagged.filter(F.col("version") == F.col("v_new")).select("model", "metric", "value")
-    return cm(old, new, ["model"])
+    return scoring.compare_metrics(old, new, ["model"])
 
 
 @query("compare_metrics")
@@ -740,16 +714,12 @@ def compare_metrics(spark, d):
 
 @query("retrain_decision")
 def retrain_decision(spark, d):
-    from tabulon.operators.scoring import retrain_decision as rd
-
-    return rd(_comparison(spark, d), ["model"])
+    return scoring.retrain_decision(_comparison(spark, d), ["model"])
 
 
 @query("retrain_if_needed")
 def retrain_if_needed(spark, d):
-    from tabulon.operators.scoring import retrain_decision as rd
-
-    decisions = rd(_comparison(spark, d), ["model"])
+    decisions = scoring.retrain_decision(_comparison(spark, d), ["model"])
     # the decision table has one row per registered model
     if decisions.filter(F.col("decision") == "retrain").limit(1).count() == 0:
         return spark.createDataFrame([], "model string, version int, dataset string, "
@@ -759,14 +729,8 @@ def retrain_if_needed(spark, d):
 
 
 # ---------------------------------------------------------------- leaderboards (LB-*)
-def _lb():
-    from tabulon.operators import leaderboard
-
-    return leaderboard
-
-
 def _board(spark, d):
-    b = _lb().leaderboard(B.predictions(spark, d))
+    b = lb.leaderboard(B.predictions(spark, d))
     return b.select("model", "version", *[r9(c).alias(c) for c in b.columns
                                           if c not in ("model", "version")])
 
@@ -778,11 +742,11 @@ def leaderboard(spark, d):
 
 @query("winner_by_accuracy")
 def winner_by_accuracy(spark, d):
-    return _lb().winner(_board(spark, d), "test_accuracy")
+    return lb.winner(_board(spark, d), "test_accuracy")
 
 
 def _macro(spark, d):
-    m = _lb().macro_board(B.predictions(spark, d))
+    m = lb.macro_board(B.predictions(spark, d))
     return m.select("model", "version", *[r9(c).alias(c) for c in
                                           ("macro_precision", "macro_recall", "macro_f1", "overall")],
                     "rank")
@@ -795,66 +759,4 @@ def leaderboard_macro(spark, d):
 
 @query("winner_by_macro")
 def winner_by_macro(spark, d):
-    return _lb().winner(_macro(spark, d), "overall").drop("rank")
-
-
-# ---------------------------------------------------------------- additions
-@query("quantiles_approx")
-def quantiles_approx(spark, d):
-    """Greenwald-Khanna sketch, one pass for all columns (no exact oracle: rank error 1e-3)."""
-    return profile.quantile_table(B.cls3(spark, d), B.CLS3_FEATURES, [0.25, 0.5, 0.75], "approx",
-                                  rel_err=1e-3)
-
-
-@query("predicted_class_counts")
-def predicted_class_counts(spark, d):
-    """Count per predicted class of the scored output (SC-3)."""
-    return profile.class_counts(B.binary_scores(spark, d), "prediction")
-
-
-@query("train_weighted")
-def train_weighted(spark, d):
-    """Class-weighted logistic regression on the encoded document features (id kept out)."""
-    from tabulon.operators.features import feature_pipeline
-    from tabulon.operators.models import predictions_table
-    from tabulon.operators.split import class_weights as cw
-    from pyspark.ml.classification import LogisticRegression
-
-    df = cw(B.binary_real(spark, d), "quality", "weight")
-    pipe, encoded, _ = feature_pipeline(df.drop("weight"), "quality", threshold=100, ids=["doc_id"])
-    encoded = encoded.join(df.select("doc_id", "weight"), "doc_id")
-    feats = pipe.fit(encoded).transform(encoded)
-    lr = LogisticRegression(featuresCol="features", labelCol="quality", weightCol="weight",
-                            maxIter=20).fit(feats)
-    scored = lr.transform(feats)
-    from tabulon.functions.columns import vector_element
-    return scored.select(F.lit("logistic_weighted").alias("model"), F.lit(1).alias("version"),
-                         F.lit("all").alias("dataset"), F.col("doc_id").alias("row_id"),
-                         F.col("quality").alias("label"),
-                         F.col("prediction").cast("int").alias("prediction"),
-                         vector_element("probability", 1).alias("score"))
-
-
-@query("roc_curve_dropped")
-def roc_curve_dropped(spark, d):
-    """ROC points without collinear intermediates (scikit-learn's default curve)."""
-    return _ev().roc_curve(B.predictions(spark, d), by=PREDS_BY, drop_intermediate=True)
-
-
-@query("tune_gbt_ovr")
-def tune_gbt_ovr(spark, d):
-    """Train/validation-split tuning of gradient-boosted trees inside one-vs-rest (the grid
-    reaches the sub-models); labels indexed from 0 and mapped back."""
-    from tabulon.operators.models import tune
-
-    df = _sep_train(spark, d).withColumn("label0", F.col("Target") - 1)
-    best, _ = tune(df, "gbt", "label0", B.CLS3_FEATURES, {"maxDepth": [2, 3]}, method="tvs",
-                   ratio=0.9, one_vs_rest_base=True, fixed={"maxIter": 3})
-    scored = best.transform(df)
-    return scored.select(F.col("l_orderkey").alias("row_id"), F.col("Target").alias("label"),
-                         (F.col("prediction").cast("int") + 1).alias("prediction"))
-
-
-@query("prediction_nulls")
-def prediction_nulls(spark, d):
-    return _ev().prediction_nulls(B.predictions(spark, d), by=PREDS_BY)
+    return lb.winner(_macro(spark, d), "overall").drop("rank")
