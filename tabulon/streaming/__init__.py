@@ -1,10 +1,11 @@
 """Structured Streaming forms of the batch scoring and metric-logging operators.
 
-The reference has no streaming; these helpers only let the same scoring (SC-3) and metric
-logging (IO-6) run incrementally over a file stream, with an exactly-once Parquet sink per
-micro-batch (``foreachBatch`` + checkpoint location).
+The reference has no streaming; these helpers only let the same scoring (SC-3) and the
+confusion counts behind monitoring (EV-1, MO-1) run incrementally over a file stream, with a
+checkpointed Parquet sink per micro-batch (``foreachBatch`` + checkpoint location).
 """
 
+from tabulon.streaming.monitor import monitor_stream
 from tabulon.streaming.scoring import score_stream
 
-__all__ = ["score_stream"]
+__all__ = ["monitor_stream", "score_stream"]

@@ -1,0 +1,28 @@
+"""Running confusion counts of live predictions (the streaming form of EV-1 / MO-1).
+
+A stateful streaming aggregation: each micro-batch's rows are partially aggregated per
+(group) and merged into the state store, so the state holds one row per group, not rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from tabulon.operators.evaluate import binary_counts
+
+
+def monitor_stream(spark: SparkSession, source_dir: str, schema, by: list[str], sink_dir: str,
+                   checkpoint: str, label: str = "label", prediction: str = "prediction",
+                   max_files_per_trigger: int = 64) -> StreamingQuery:
+    """Maintain tp / tn / fp / fn per ``by`` group over a Parquet stream of predictions and
+    rewrite the current totals to ``sink_dir`` after every micro-batch."""
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+              .parquet(source_dir))
+    counts = binary_counts(stream, label, prediction, by)
+
+    def write(batch: DataFrame, _epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(sink_dir)
+
+    return (counts.writeStream.outputMode("complete").foreachBatch(write)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -16,3 +16,21 @@ def test_score_stream_appends_scored_rows(spark):
     out = spark.read.parquet(f"{base}/out")
     assert out.count() == 200
     assert set(out.columns) == {"id", "score", "prediction", "decision"}
+
+
+def test_monitor_stream_matches_batch_counts(spark):
+    from tabulon.operators.evaluate import binary_counts
+    from tabulon.streaming import monitor_stream
+
+    base = tempfile.mkdtemp(prefix="tabulon-monitor-")
+    rows = [("m1" if i % 3 else "m2", i % 2, (i // 2) % 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "model string, label int, prediction int")
+    df.repartition(4).write.parquet(f"{base}/in")
+    q = monitor_stream(spark, f"{base}/in", "model string, label int, prediction int", ["model"],
+                       f"{base}/out", f"{base}/ckpt", max_files_per_trigger=1)
+    q.awaitTermination(180)
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{base}/out")
+                 .select("model", "tp", "tn", "fp", "fn").collect())
+    want = sorted(tuple(r) for r in binary_counts(df, by=["model"])
+                  .select("model", "tp", "tn", "fp", "fn").collect())
+    assert got == want
