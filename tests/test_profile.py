@@ -91,3 +91,14 @@ def test_impute_max_and_mode(spark):
     filled = sorted((r["p"], r["g"], r["v"]) for r in md)
     assert ("e", "g", 2) in filled and filled.count(("e", "g", 2)) == 3  # tie -> smallest
     assert ("d", "h", None) in filled  # a group without values stays NULL
+
+
+def test_wide_table_profiles_are_batched(spark, monkeypatch):
+    from tabulon.plans import multicolumn
+
+    monkeypatch.setattr(multicolumn, "MAX_AGGREGATES", 3)
+    cols = [f"c{i}" for i in range(10)]
+    df = spark.createDataFrame([tuple(float(i * j) if j % 3 else None for j in range(10))
+                                for i in range(5)], ", ".join(f"{c} double" for c in cols))
+    nulls = {r["column"]: r["n_null"] for r in profile.null_counts(df).collect()}
+    assert nulls == {c: (5 if j % 3 == 0 else 0) for j, c in enumerate(cols)}
