@@ -148,13 +148,13 @@ def predictions_table(model: PipelineModel, df: DataFrame, label: str, id_col: s
 def train_suite(train_df: DataFrame, datasets: dict[str, DataFrame], families: dict[str, dict],
                 label: str, features: list[str], id_col: str, version: int = 1,
                 method: str = "cv", weight: str | None = None, folds: int = 3,
-                seed: int = 42):
+                ratio: float = 0.9, seed: int = 42):
     """Tune every family on ``train_df`` and score each named dataset. Returns
     ({name: model}, predictions table)."""
     models, preds = {}, None
     for name, grid in families.items():
         best, _ = tune(train_df, name, label, features, grid, method=method, folds=folds,
-                       seed=seed, weight=weight)
+                       ratio=ratio, seed=seed, weight=weight)
         models[name] = best
         for ds_name, ds in datasets.items():
             p = predictions_table(best, ds, label, id_col, name, version, ds_name)

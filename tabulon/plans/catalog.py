@@ -760,3 +760,25 @@ def leaderboard_macro(spark, d):
 @query("winner_by_macro")
 def winner_by_macro(spark, d):
     return lb.winner(_macro(spark, d), "overall").drop("rank")
+
+
+# ---------------------------------------------------------------- end to end (NB_PRE -> NB_TRAIN)
+@query("lifecycle_leaderboard")
+def lifecycle_leaderboard(spark, d):
+    """The notebooks' flow on the separable lineitem table: de-outlier, z-score and write the
+    preprocessed table; read it back, split 70/15/15 (train, val, test) by key hash, tune
+    two families by train/validation split, score val and test, and rank them."""
+    spec = preprocess.PreprocessSpec(outlier_cols=B.CLS3_FEATURES, scale=B.CLS3_FEATURES,
+                                     features=B.CLS3_FEATURES)
+    prepared = preprocess.preprocess(B.train_sep(spark, d), spec,
+                                     out_path=scratch_path(spark, "prepared"))
+    weights, names = models.SPLITS["notebook_lr_rf"]
+    df = split.hash_split(prepared, "l_orderkey", weights, names=names)
+    datasets = {n: df.filter(F.col("split") == n) for n in ("val", "test")}
+    families = {"logistic": {"regParam": [0.01, 0.1], "maxIter": [20]},
+                "forest": {"numTrees": [10], "maxDepth": [5]}}
+    _, preds = models.train_suite(df.filter(F.col("split") == "train"), datasets, families,
+                                  "Target", B.CLS3_FEATURES, "l_orderkey", method="tvs")
+    board = lb.leaderboard(preds)
+    return board.select("model", "version", *[r9(c).alias(c) for c in board.columns
+                                              if c not in ("model", "version")])
