@@ -1,14 +1,15 @@
 """Training and tuning of Spark ML classifiers (ML-*), and the champion rule.
 
 Models are Spark ML ``PipelineModel``s (assembler + classifier), so a saved model scores raw
-feature columns. Training data is persisted (memory and disk) for the duration of a tuning
-run, which re-reads it once per fold and grid point, and released afterwards.
+feature columns. Fits read a narrow frame (feature vector, label, weight) that is spread over
+the task slots when the input is under-partitioned; a tuning run persists it (memory and
+disk) because it re-reads it once per fold and grid point, and releases it afterwards.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier,
 )
@@ -61,9 +62,8 @@ def classifier(family: str, label: str, weight: str | None = None, seed: int = 4
     return est
 
 
-def _pipeline(features: list[str], est) -> Pipeline:
-    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol=FEATURES,
-                                            handleInvalid="error"), est])
+def _assembler(features: list[str]) -> VectorAssembler:
+    return VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="error")
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -74,11 +74,22 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
 
 
+def _training_frame(df: DataFrame, features: list[str], label: str,
+                    weight: str | None = None) -> tuple[VectorAssembler, DataFrame]:
+    """Assemble the feature vector and keep only what the fit reads (vector, label, weight),
+    so that spreading and caching move the narrow rows, not the raw table."""
+    assembler = _assembler(features)
+    cols = [FEATURES, label] + ([weight] if weight else [])
+    return assembler, spread(assembler.transform(df).select(*cols))
+
+
 def train(df: DataFrame, family: str, label: str, features: list[str], weight: str | None = None,
           params: dict | None = None, seed: int = 42) -> PipelineModel:
-    """Fit one classifier on raw feature columns; labels must be 0..K-1 valued numbers."""
+    """Fit one classifier on raw feature columns; labels must be 0..K-1 valued numbers.
+    Returns assembler + model as one ``PipelineModel`` that scores raw columns."""
     est = classifier(family, label, weight, seed, **(params or {}))
-    return _pipeline(features, est).fit(spread(df))
+    assembler, frame = _training_frame(df, features, label, weight)
+    return PipelineModel(stages=[assembler, est.fit(frame)])
 
 
 def one_vs_rest(df: DataFrame, family: str, label: str, features: list[str],
@@ -86,7 +97,8 @@ def one_vs_rest(df: DataFrame, family: str, label: str, features: list[str],
     """One-vs-rest over a binary base classifier (e.g. gradient-boosted trees)."""
     base = classifier(family, label, None, seed, **(params or {}))
     ovr = OneVsRest(classifier=base, featuresCol=FEATURES, labelCol=label)
-    return _pipeline(features, ovr).fit(spread(df))
+    assembler, frame = _training_frame(df, features, label)
+    return PipelineModel(stages=[assembler, ovr.fit(frame)])
 
 
 def param_grid(est, grid: dict[str, list]):
@@ -104,29 +116,29 @@ def tune(df: DataFrame, family: str, label: str, features: list[str], grid: dict
     With ``one_vs_rest_base`` the classifier is wrapped in ``OneVsRest`` and the grid's
     parameters reach the per-class sub-models. Returns (best PipelineModel, metrics per grid
     point)."""
-    est = classifier(family, label, None if one_vs_rest_base else weight, seed, **(fixed or {}))
+    weight = None if one_vs_rest_base else weight
+    est = classifier(family, label, weight, seed, **(fixed or {}))
     maps = param_grid(est, grid)
-    if one_vs_rest_base:
-        pipe = _pipeline(features, OneVsRest(classifier=est, featuresCol=FEATURES, labelCol=label))
-    else:
-        pipe = _pipeline(features, est)
+    target = (OneVsRest(classifier=est, featuresCol=FEATURES, labelCol=label)
+              if one_vs_rest_base else est)
     ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
                                            metricName=metric)
     if method == "cv":
-        tuner = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=ev,
+        tuner = CrossValidator(estimator=target, estimatorParamMaps=maps, evaluator=ev,
                                numFolds=folds, parallelism=parallelism, seed=seed)
     elif method == "tvs":
-        tuner = TrainValidationSplit(estimator=pipe, estimatorParamMaps=maps, evaluator=ev,
+        tuner = TrainValidationSplit(estimator=target, estimatorParamMaps=maps, evaluator=ev,
                                      trainRatio=ratio, parallelism=parallelism, seed=seed)
     else:
         raise ValueError(f"unknown tuning method {method!r}")
-    cached = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
+    assembler, frame = _training_frame(df, features, label, weight)
+    cached = frame.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fitted = tuner.fit(cached)
     finally:
         cached.unpersist()
     scores = fitted.avgMetrics if method == "cv" else fitted.validationMetrics
-    return fitted.bestModel, list(scores)
+    return PipelineModel(stages=[assembler, fitted.bestModel]), list(scores)
 
 
 def predictions_table(model: PipelineModel, df: DataFrame, label: str, id_col: str,
