@@ -21,44 +21,74 @@ from tabulon.plans.multicolumn import one_row
 from tabulon.plans.ordered import global_row_index
 
 
+# ------------------------------------------------------------------ shared: long (column, value)
+def _by_type(df: DataFrame, cols: list[str]) -> list[list[str]]:
+    """Columns grouped by data type, so that each group unpivots into one value column."""
+    groups: dict[str, list[str]] = {}
+    for c in cols:
+        groups.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    return list(groups.values())
+
+
+def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, value) rows for same-typed ``cols`` (one row per input row and column)."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in cols])
+    return df.select(F.inline(pairs))
+
+
 # ------------------------------------------------------------------ label encoding (FE-1)
-def label_codes(df: DataFrame, col: str) -> DataFrame:
-    """(value, code): code = position among the sorted distinct values; NULL, if present,
-    sorts last, so its code is the number of distinct non-null values."""
-    distinct = (df.select(F.col(col).alias("value")).distinct()
+def label_codes(df: DataFrame, cols: list[str] | str) -> DataFrame:
+    """(column, value, code): code = position among the sorted distinct values of that
+    column; NULL, if present, sorts last, so its code is the number of distinct non-null
+    values. All same-typed columns are ranked in ONE distributed ordered scan."""
+    cols = [cols] if isinstance(cols, str) else cols
+    distinct = (_long_values(df, cols).distinct()
                 .withColumn("_null", F.col("value").isNull()))
-    return global_row_index(distinct, [("_null", False), ("value", False)], out="code").drop("_null")
+    ranked = global_row_index(distinct, [("_null", False), ("value", False)], out="code",
+                              keys=["column"])
+    return ranked.drop("_null")
+
+
+def _join_codes(out: DataFrame, codes: DataFrame, c: str, code_col: str, target: str,
+                how: str) -> DataFrame:
+    lk = codes.filter(F.col("column") == F.lit(c)).select(
+        F.col("value").alias(f"_v_{c}"), F.col(code_col).alias(f"_code_{c}"))
+    cond = out[c].eqNullSafe(lk[f"_v_{c}"]) if how == "left" else out[c] == lk[f"_v_{c}"]
+    joined = out.join(lk, cond, how)
+    return joined.withColumn(target, F.col(f"_code_{c}")).drop(f"_v_{c}", f"_code_{c}")
 
 
 def label_encode(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame:
     """Replace (or add, with ``suffix``) integer codes by sorted value from 0; NULL gets the
-    last code (number of distinct values). One ranking per column, joined NULL-safely."""
+    last code (number of distinct values). One ranking per column type, joined NULL-safely."""
     out = df
-    for c in cols:
-        codes = label_codes(df, c).select(F.col("value").alias(f"_v_{c}"),
-                                          F.col("code").cast("int").alias(f"_code_{c}"))
-        out = out.join(codes, out[c].eqNullSafe(codes[f"_v_{c}"]), "left")
-        out = out.withColumn(f"{c}{suffix}", F.col(f"_code_{c}")).drop(f"_v_{c}", f"_code_{c}")
+    for group in _by_type(df, cols):
+        codes = label_codes(df, group).withColumn("code", F.col("code").cast("int"))
+        for c in group:
+            out = _join_codes(out, codes, c, "code", f"{c}{suffix}", "left")
     return out
 
 
 # ------------------------------------------------------------------ string index (FE-2)
-def string_index_table(df: DataFrame, col: str) -> DataFrame:
-    """(value, index): by descending frequency, ties alphabetical (the StringIndexer order)."""
-    counts = (df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("value"))
-              .agg(F.count(F.lit(1)).alias("_n")))
-    ranked = global_row_index(counts, [("_n", True), ("value", False)], out="index")
-    return ranked.select("value", F.col("index").cast("double").alias("index"))
+def string_index_table(df: DataFrame, cols: list[str] | str) -> DataFrame:
+    """(column, value, index): by descending frequency, ties alphabetical (the StringIndexer
+    order); NULL is not indexed. Same-typed columns share one ordered scan."""
+    cols = [cols] if isinstance(cols, str) else cols
+    counts = (_long_values(df, cols).filter(F.col("value").isNotNull())
+              .groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n")))
+    ranked = global_row_index(counts, [("_n", True), ("value", False)], out="index",
+                              keys=["column"])
+    return ranked.select("column", "value", F.col("index").cast("double").alias("index"))
 
 
 def index_strings(df: DataFrame, cols: list[str], suffix: str = "_index") -> DataFrame:
     """Add ``<col>_index``; rows with NULL or unseen values are skipped (inner join), as
     ``StringIndexer(handleInvalid='skip')`` does."""
     out = df
-    for c in cols:
-        idx = string_index_table(df, c).select(F.col("value").alias(f"_v_{c}"),
-                                               F.col("index").alias(f"{c}{suffix}"))
-        out = out.join(idx, out[c] == idx[f"_v_{c}"], "inner").drop(f"_v_{c}")
+    for group in _by_type(df, cols):
+        table = string_index_table(df, group)
+        for c in group:
+            out = _join_codes(out, table, c, "index", f"{c}{suffix}", "inner")
     return out
 
 
