@@ -146,8 +146,15 @@ def frequency_encode(df: DataFrame, cols: list[str], threshold: int = 100,
         return df, []
     high, total = cardinality_screen(df, cols, threshold)
     out = df
-    for c in high:
-        out = join_frequency(out, frequency_lookup(df, c, total), c, f"{c}{suffix}").drop(c)
+    for group in _by_type(df, high):
+        # one aggregation over (column, value) for all same-typed encoded columns
+        lookup = (_long_values(df, group).groupBy("column", "value")
+                  .agg(F.count(F.lit(1)).alias("n_rows"))
+                  .withColumn("frequency", F.col("n_rows").cast("double") / F.lit(float(total))))
+        for c in group:
+            lk = lookup.filter(F.col("column") == F.lit(c)).select(
+                F.col("value").alias(f"_v_{c}"), F.col("frequency").alias(f"{c}{suffix}"))
+            out = out.join(lk, out[c].eqNullSafe(lk[f"_v_{c}"]), "left").drop(f"_v_{c}", c)
     return out, high
 
 
