@@ -42,14 +42,15 @@ def class_weight_table(df: DataFrame, label: str) -> DataFrame:
     """(label, n_class, weight = N / (K * n_class)); N and K come from the counts table
     itself (one row per class), not from extra jobs."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
-    everything = Window.partitionBy()  # over the K class rows only
+    everything = Window.partitionBy()  # over the K class rows only (one row per class)
     return counts.withColumn(
         "weight", F.sum("n_class").over(everything).cast("double")
         / (F.count(F.lit(1)).over(everything).cast("double") * F.col("n_class").cast("double")))
 
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Rows with a class-balancing weight column (equi-join on the label; AQE broadcasts the
-    K-row table)."""
-    w = class_weight_table(df, label).select(label, F.col("weight").alias(out))
-    return df.join(w, on=label, how="inner")
+    """Rows with a class-balancing weight column: NULL-safe equi-join on the label (a NULL
+    label is its own class, no row is dropped); AQE broadcasts the K-row table."""
+    w = class_weight_table(df, label).select(F.col(label).alias("_w_label"),
+                                             F.col("weight").alias(out))
+    return df.join(w, df[label].eqNullSafe(w["_w_label"]), "inner").drop("_w_label")

@@ -23,6 +23,16 @@ def _order_cols(order: list[tuple[str, bool]]) -> list[Column]:
     return [F.col(c).desc() if desc else F.col(c).asc() for c, desc in order]
 
 
+def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on (keys, chunk) that treats NULL keys as equal (a plain equi-join would
+    drop the rows of a NULL key); the right side's key columns are dropped."""
+    r = right.select(*[F.col(k).alias(f"_rk_{k}") for k in keys],
+                     F.col(CHUNK).alias("_rk_chunk"),
+                     *[c for c in right.columns if c not in (*keys, CHUNK)])
+    cond = [left[k].eqNullSafe(r[f"_rk_{k}"]) for k in keys] + [left[CHUNK] == r["_rk_chunk"]]
+    return left.join(r, cond, "inner").drop(*[f"_rk_{k}" for k in keys], "_rk_chunk")
+
+
 def default_chunks(df: DataFrame) -> int:
     spark = df.sparkSession
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -57,7 +67,7 @@ def running_sums(df: DataFrame, keys: list[str], order: list[tuple[str, bool]],
         *([F.sum(c).over(whole).alias(f"{c}_total") for c in sum_cols] if totals else []))
     within = (Window.partitionBy(*keys, CHUNK).orderBy(*_order_cols(order))
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = ck.join(offsets, on=[*keys, CHUNK], how="inner")
+    joined = _join_on_keys(ck, offsets, keys)
     return joined.select(
         *[c for c in ck.columns if c != CHUNK or keep_chunk],
         *[(F.sum(c).over(within) + F.col(f"_off_{c}")).alias(f"{c}{suffix}") for c in sum_cols],
@@ -88,7 +98,7 @@ def forward_fill(df: DataFrame, cols: list[str], order: str, keys: list[str] | N
         F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in cols])
     within = (Window.partitionBy(*keys, CHUNK).orderBy(F.col(order).asc())
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = ck.join(carry, on=[*keys, CHUNK], how="inner")
+    joined = _join_on_keys(ck, carry, keys)
     filled = {c: F.coalesce(F.last(c, ignorenulls=True).over(within), F.col(f"_carry_{c}"))
               for c in cols}
     return joined.select(*[filled[c].alias(c) if c in filled else F.col(c)
@@ -106,7 +116,7 @@ def next_values(ck: DataFrame, keys: list[str], order: list[tuple[str, bool]],
     following = Window.partitionBy(*keys).orderBy(CHUNK)
     nxt = firsts.select(*keys, CHUNK, F.lead("_first").over(following).alias("_next_first"))
     within = Window.partitionBy(*keys, CHUNK).orderBy(*_order_cols(order))
-    joined = ck.join(nxt, on=[*keys, CHUNK], how="inner")
+    joined = _join_on_keys(ck, nxt, keys)
     return joined.select(*ck.columns, *[
         F.coalesce(F.lead(c).over(within), F.col(f"_next_first.{c}")).alias(f"{prefix}{c}")
         for c in cols])

@@ -86,3 +86,9 @@ def test_standard_scale_excluded_columns(spark):
     assert sorted(r["id"] for r in kept.collect()) == [1, 2]
     dropped = fe.standard_scale(df, exclude=("id",), keep_excluded=False)
     assert dropped.columns == ["x"]
+
+
+def test_class_weights_keep_null_label(spark):
+    df = spark.createDataFrame([(0,), (0,), (None,), (1,)], "y int")
+    w = {r["y"]: r["weight"] for r in split.class_weights(df, "y").collect()}
+    assert len(w) == 3 and w[None] == pytest.approx(4 / (3 * 1))

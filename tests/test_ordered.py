@@ -61,3 +61,14 @@ def test_next_values_across_chunks(spark):
     assert len(merged) == 500
     a, b = merged["next_v"].astype(float), merged["next_v_exp"].astype(float)
     assert ((a == b) | (a.isna() & b.isna())).all()
+
+
+def test_null_keys_are_kept(spark):
+    rows = [(None, 1, 5.0), (None, 2, None), ("a", 1, None), ("a", 2, 3.0), (None, 3, None)]
+    df = spark.createDataFrame(rows, "k string, o long, v double")
+    filled = {(r["k"], r["o"]): r["v"] for r in ordered.forward_fill(df, ["v"], "o", ["k"]).collect()}
+    assert filled == {(None, 1): 5.0, (None, 2): 5.0, (None, 3): 5.0, ("a", 1): None, ("a", 2): 3.0}
+    ones = df.withColumn("one", df["o"] * 0 + 1)
+    sums = {(r["k"], r["o"]): r["one_cum"]
+            for r in ordered.running_sums(ones, ["k"], [("o", False)], ["one"]).collect()}
+    assert sums == {(None, 1): 1, (None, 2): 2, (None, 3): 3, ("a", 1): 1, ("a", 2): 2}
