@@ -275,18 +275,40 @@ def pr_auc(df: DataFrame, label="label", score="score", by=()) -> DataFrame:
 def evaluate(df: DataFrame, label="label", prediction="prediction", score="score",
              by=()) -> DataFrame:
     """Long metric rows (by..., metric, value): accuracy, precision, recall, f1_score,
-    roc_auc, pr_auc for every group in one plan."""
-    m = binary_metrics(df, label, prediction, by)
-    long = m.unpivot(list(by), BINARY_METRICS, "metric", "value")
-    g = score_groups(df, label, score, by)
+    roc_auc, pr_auc for every group, from ONE scan of the predictions.
+
+    The per-(group, score) aggregation carries both the curve counts (rows with a score and
+    a label) and the confusion counts (all rows); the ordered scan runs over the distinct
+    scores, and the per-group sums of both come from the same checkpointed table."""
+    keys = list(by) or ["_all"]
+    if not by:
+        df = df.withColumn("_all", F.lit(0))
+    curve_row = F.col(score).isNotNull() & F.col(label).isNotNull()
+    groups = df.groupBy(*keys, score).agg(
+        F.count_if(curve_row & _is(label, 1)).alias("tp"),
+        F.count_if(curve_row & ~_is(label, 1)).alias("fp"),
+        F.count_if(_is(label, 1) & _is(prediction, 1)).alias("c_tp"),
+        F.count_if(_is(label, 0) & _is(prediction, 0)).alias("c_tn"),
+        F.count_if(_is(label, 0) & _is(prediction, 1)).alias("c_fp"),
+        F.count_if(_is(label, 1) & _is(prediction, 0)).alias("c_fn"))
+    g = running_sums(groups, keys, [(score, True)], ["tp", "fp"], totals=True)
+    g = g.withColumnsRenamed({"tp_total": "P", "fp_total": "N"})
     term_roc = F.col("fp").cast("double") * (F.lit(2.0) * (F.col("tp_cum") - F.col("tp")).cast("double")
                                              + F.col("tp").cast("double"))
     prec = safe_ratio(F.col("tp_cum"), F.col("tp_cum") + F.col("fp_cum"))
-    term_pr = F.when(F.col("P") > 0, (F.col("tp").cast("double") / F.col("P").cast("double"))
+    term_pr = F.when((F.col("P") > 0) & F.col(score).isNotNull(),
+                     (F.col("tp").cast("double") / F.col("P").cast("double"))
                      * (prec + _precision_before()) / F.lit(2.0))
-    aucs = g.groupBy(*by).agg(
+    sums = g.groupBy(*keys).agg(
+        F.sum("c_tp").alias("tp"), F.sum("c_tn").alias("tn"), F.sum("c_fp").alias("fp"),
+        F.sum("c_fn").alias("fn"),
         F.try_divide(F.sum(term_roc), F.lit(2.0) * F.first("P").cast("double")
                      * F.first("N").cast("double")).alias("roc_auc"),
         F.sum(term_pr).alias("pr_auc"))
-    aucs = aucs.unpivot(list(by), ["roc_auc", "pr_auc"], "metric", "value")
-    return long.unionByName(aucs)
+    tp, tn, fp, fn = (F.col(x) for x in ("tp", "tn", "fp", "fn"))
+    p, r = safe_ratio(tp, tp + fp), safe_ratio(tp, tp + fn)
+    wide = sums.select(*keys, safe_ratio(tp + tn, tp + tn + fp + fn).alias("accuracy"),
+                       p.alias("precision"), r.alias("recall"), _f1(p, r).alias("f1_score"),
+                       "roc_auc", "pr_auc")
+    long = wide.unpivot(keys, [*BINARY_METRICS, "roc_auc", "pr_auc"], "metric", "value")
+    return long if by else long.drop("_all")

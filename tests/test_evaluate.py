@@ -119,3 +119,18 @@ def test_confusion_matrix_class_guard(spark):
     assert ev.confusion_matrix(df, max_classes=5).count() == 25
     with pytest.raises(Exception, match="classes"):
         ev.confusion_matrix(df, max_classes=4).collect()
+
+
+def test_evaluate_single_scan_matches_parts_with_null_scores(spark, preds):
+    from pyspark.sql import functions as F
+
+    holed = preds.withColumn("score", F.when(F.col("row_id") % 10 == 0, F.lit(None))
+                             .otherwise(F.col("score")))
+    got = {(r["model"], r["metric"]): r["value"] for r in ev.evaluate(holed, by=["model"]).collect()}
+    for r in ev.binary_metrics(holed, by=["model"]).collect():
+        for m in ("accuracy", "precision", "recall", "f1_score"):
+            assert got[(r["model"], m)] == pytest.approx(r[m])
+    for r in ev.roc_auc(holed, by=["model"]).collect():
+        assert got[(r["model"], "roc_auc")] == pytest.approx(r["roc_auc"])
+    for r in ev.pr_auc(holed, by=["model"]).collect():
+        assert got[(r["model"], "pr_auc")] == pytest.approx(r["pr_auc"])
