@@ -44,6 +44,14 @@ def _lit(x: float) -> str:
     return f"({repr(float(x))}D)"
 
 
+def _typed(df: DataFrame, c: str, x: float) -> str:
+    """Literal in the column's own type where that is exact (range ends are data values), so
+    the comparison needs no cast and reaches the Parquet reader as a pushed filter."""
+    if isinstance(df.schema[c].dataType, T.IntegralType) and math.isfinite(x):
+        return f"CAST({int(x)} AS {df.schema[c].dataType.simpleString()})"
+    return _lit(x)
+
+
 def _xd(c: str) -> str:
     return f"CAST({_q(c)} AS DOUBLE)"
 
@@ -97,6 +105,16 @@ def order_statistics(df: DataFrame, wanted: dict[str, set[int]], counts: dict[st
             sizes[j] = n
         by_id = {j: key for key, j in probes.items()}
         finish = {j for j, n in sizes.items() if n <= finish_rows}
+
+        def candidates(ids):
+            """Rows inside some probe's range: a plain OR of column ranges, so Parquet skips
+            row groups whose min/max miss every range and the per-probe expressions only
+            see candidate rows."""
+            ranges = []
+            for j in ids:
+                c, a, b, _fa, _fb = by_id[j]
+                ranges.append(f"({_q(c)} >= {_typed(df, c, a)} AND {_q(c)} <= {_typed(df, c, b)})")
+            return df.filter(" OR ".join(ranges))
         hist: dict[int, list] = {}
         wide = [j for j in by_id if j not in finish]
         if wide:
@@ -107,7 +125,7 @@ def order_statistics(df: DataFrame, wanted: dict[str, set[int]], counts: dict[st
                 entries.append(f"CASE WHEN {x} >= {_lit(a)} AND {x} <= {_lit(b)} THEN "
                                f"named_struct('p', {j}, 'b', {_bin_sql(x, fa, fb, bins)}, 'x', {x}) END")
             # plain explode + filter: a higher-order filter() is interpreted, not codegen'd
-            exploded = (df.select(F.expr(f"explode(array({', '.join(entries)})) AS e"))
+            exploded = (candidates(wide).select(F.expr(f"explode(array({', '.join(entries)})) AS e"))
                         .filter("e IS NOT NULL").selectExpr("e.p", "e.b", "e.x"))
             hist_rows = (exploded.groupBy("p", "b").agg(
                 F.expr("count(1) AS n"), F.expr("min(x) AS lo"), F.expr("max(x) AS hi"),
@@ -125,7 +143,7 @@ def order_statistics(df: DataFrame, wanted: dict[str, set[int]], counts: dict[st
                 x = _xd(c)
                 aggs.append(F.expr(f"sort_array(collect_list(CASE WHEN {x} >= {_lit(a)} AND "
                                    f"{x} <= {_lit(b)} THEN {x} END)) AS v{j}"))
-            row = df.agg(*aggs).collect()[0]
+            row = candidates(sorted(finish)).agg(*aggs).collect()[0]
             sorted_vals = {j: row[f"v{j}"] for j in sorted(finish)}
         next_state = {}
         for (c, r), (iv, below, _n) in state.items():
