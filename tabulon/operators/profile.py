@@ -47,12 +47,16 @@ def total_rows(df: DataFrame) -> int:
 
 
 def class_distribution(df: DataFrame, col: str) -> DataFrame:
-    """(label, n_rows, share, pct). The total is summed over the class table (one row per
-    class, so the window spans K rows), which saves a second scan of the input."""
+    """(label, n_rows, share, pct, pct_2dp). The total is summed over the class table (one row
+    per class, so the window spans K rows), which saves a second scan of the input.
+    ``pct_2dp`` rounds half up on the binary value: floor(pct * 100 + 0.5) / 100."""
     counts = class_counts(df, col)
     total = F.sum("n_rows").over(Window.partitionBy()).cast("double")
-    return counts.select(col, "n_rows", (F.col("n_rows").cast("double") / total).alias("share"),
-                         (F.col("n_rows").cast("double") * F.lit(100.0) / total).alias("pct"))
+    pct = F.col("n_rows").cast("double") * F.lit(100.0) / total
+    out = counts.select(col, "n_rows", (F.col("n_rows").cast("double") / total).alias("share"),
+                        pct.alias("pct"))
+    return out.withColumn("pct_2dp", F.floor(F.col("pct") * F.lit(100.0) + F.lit(0.5))
+                          .cast("double") / F.lit(100.0))
 
 
 def frequency_table(df: DataFrame, col: str) -> DataFrame:

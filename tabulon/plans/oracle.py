@@ -10,10 +10,11 @@ WITH q AS (SELECT quantile_cont(n_chars, 0.25) AS q1, quantile_cont(n_chars, 0.7
 kept AS (SELECT d.lang FROM documents d, q
          WHERE d.n_chars >= q.q1 - 1.5 * (q.q3 - q.q1) AND d.n_chars <= q.q3 + 1.5 * (q.q3 - q.q1)),
 tot AS (SELECT COUNT(*) AS n FROM kept)
+SELECT *, floor(pct * CAST(100.0 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST(100.0 AS DOUBLE) AS pct_2dp FROM (
 SELECT lang, COUNT(*) AS n_rows,
        CAST(COUNT(*) AS DOUBLE) / (SELECT n FROM tot) AS share,
        CAST(COUNT(*) AS DOUBLE) * 100.0 / (SELECT n FROM tot) AS pct
-FROM kept GROUP BY lang
+FROM kept GROUP BY lang)
 """
 
 # ---- bindings (same fixed values as tabulon.plans.bindings) ----
@@ -229,10 +230,11 @@ UNION ALL SELECT 'value', CAST(COUNT(*) FILTER (WHERE value IS NULL) AS BIGINT)
 UNION ALL SELECT 'raw', CAST(COUNT(*) FILTER (WHERE raw IS NULL) AS BIGINT) FROM d"""
 ORACLE["class_counts"] = f"SELECT Target, CAST(COUNT(*) AS BIGINT) AS n_rows FROM {CLS3} GROUP BY Target"
 ORACLE["class_distribution"] = f"""WITH c AS (SELECT * FROM {CLS3}), t AS (SELECT COUNT(*) AS n FROM c)
+SELECT *, floor(pct * CAST(100.0 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST(100.0 AS DOUBLE) AS pct_2dp FROM (
 SELECT Target, CAST(COUNT(*) AS BIGINT) AS n_rows,
   CAST(COUNT(*) AS DOUBLE) / CAST((SELECT n FROM t) AS DOUBLE) AS share,
   CAST(COUNT(*) AS DOUBLE) * CAST(100.0 AS DOUBLE) / CAST((SELECT n FROM t) AS DOUBLE) AS pct
-FROM c GROUP BY Target"""
+FROM c GROUP BY Target)"""
 
 
 def _quantile_union(src: str, cols: list[str], probs: list[float], fn: str, rnd: bool) -> str:

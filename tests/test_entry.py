@@ -7,7 +7,7 @@ from tests.conftest import SF_SMALL
 def test_entry_runs_on_smoke_data(spark):
     df = E.entry(spark)
     rows = df.collect()
-    assert df.columns == ["lang", "n_rows", "share", "pct"]
+    assert df.columns == ["lang", "n_rows", "share", "pct", "pct_2dp"]
     assert len(rows) > 0
     assert abs(sum(r["share"] for r in rows) - 1.0) < 1e-9
 
