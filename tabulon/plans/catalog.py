@@ -782,3 +782,22 @@ def lifecycle_leaderboard(spark, d):
     board = lb.leaderboard(preds)
     return board.select("model", "version", *[r9(c).alias(c) for c in board.columns
                                               if c not in ("model", "version")])
+
+
+@query("scoring_lifecycle")
+def scoring_lifecycle(spark, d):
+    """The prediction notebook's flow: z-score with the training statistics, fit and save a
+    model on the training part, load it, prepare the scoring batch with the SAME statistics,
+    score it and label the rows."""
+    df = split.hash_split(B.train_sep(spark, d).withColumn("Target", (F.col("Target") == 1)
+                                                          .cast("int")),
+                          "l_orderkey", [0.8, 0.2], names=("train", "batch"))
+    train_part = df.filter(F.col("split") == "train")
+    stats = fe.standard_scale_fit(train_part, B.CLS3_FEATURES)
+    model = models.train(fe.standard_scale_transform(train_part, stats), "logistic", "Target",
+                         B.CLS3_FEATURES, params={"maxIter": 20})
+    path = scratch_path(spark, "scoring_model")
+    model_io.save_model(model, path)
+    batch = scoring.prepare_batch(df.filter(F.col("split") == "batch"), B.CLS3_FEATURES, stats)
+    scored = scoring.positive_score(scoring.score(model_io.load_model(path), batch))
+    return scoring.labelled_output(scored, "l_orderkey")
