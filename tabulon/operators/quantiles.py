@@ -14,7 +14,9 @@ rows that can still hold a wanted order statistic into ``bins`` equal-width bins
 receives at most probes x bins small rows), keeps only the bin that holds the wanted rank, and
 stops when that bin holds a single distinct value or at most 50k rows, sorted as one
 bounded array. Each round shrinks the candidate range by about ``bins`` x, so 10^12 rows need
-about four scans. NULL and NaN are ignored, as in ``approxQuantile``.
+about four scans; every round first filters to the candidate ranges with literals of the
+column's type, which Parquet receives as pushed filters (row groups outside every range are
+skipped). +/-Inf get their own end bins; NULL and NaN are ignored, as in ``approxQuantile``.
 """
 
 from __future__ import annotations
