@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.columns import vector_element
+from tabulon.operators.evaluate import evaluate
 
 FAMILIES = {
     "logistic": LogisticRegression,
@@ -189,3 +190,24 @@ def pick_champion(metrics: DataFrame, order: list[str],
             champ = r
     spark = metrics.sparkSession
     return spark.createDataFrame([champ] if champ else [], metrics.schema)
+
+
+def train_and_pick(train_df: DataFrame, datasets: dict[str, DataFrame], families: dict[str, dict],
+                   label: str, features: list[str], id_col: str, test_name: str = "test",
+                   version: int = 1, method: str = "cv", weight: str | None = None,
+                   folds: int = 3, seed: int = 42):
+    """Train and tune every family, evaluate every scored dataset in one pass, and apply the
+    champion rule on ``test_name`` in training order (binary labels, positive class 1).
+    Returns (champion family, its model, long metrics, predictions)."""
+    fitted, preds = train_suite(train_df, datasets, families, label, features, id_col,
+                                version=version, method=method, weight=weight, folds=folds,
+                                seed=seed)
+    metrics = evaluate(preds, by=["model", "version", "dataset"])
+    criteria = ["accuracy", "f1_score", "roc_auc"]
+    wide = (metrics.filter(F.col("dataset") == F.lit(test_name))
+            .groupBy("model").pivot("metric", criteria).agg(F.first("value")))
+    position = F.create_map(*[x for i, name in enumerate(families)
+                              for x in (F.lit(name), F.lit(i))])
+    wide = wide.withColumn("_order", position[F.col("model")])
+    champ = pick_champion(wide, ["_order"]).collect()[0]["model"]
+    return champ, fitted[champ], metrics, preds

@@ -61,3 +61,17 @@ def test_compare_and_decision(spark):
     assert cmp["roc_auc"]["improved"] is None and cmp["roc_auc"]["note"]
     dec = scoring.retrain_decision(scoring.compare_metrics(old, new, ["model"]), ["model"]).collect()
     assert dec[0]["decision"] == "retrain"
+
+
+def test_train_and_pick_returns_a_scoring_champion(spark):
+    rows = [(i, float(i % 20), float((i * 3) % 7), int(i % 20 >= 10)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y int")
+    from tabulon.operators import split
+    parts = split.hash_split(df, "id", [0.7, 0.3], names=("train", "test"))
+    champ, model, metrics, preds = models.train_and_pick(
+        parts.filter(F.col("split") == "train"), {"test": parts.filter(F.col("split") == "test")},
+        {"logistic": {"regParam": [0.01]}, "tree": {"maxDepth": [3]}}, "y", ["a", "b"], "id",
+        folds=2)
+    assert champ in ("logistic", "tree")
+    assert metrics.filter(F.col("metric") == "roc_auc").count() == 2
+    assert model.transform(df).filter(F.col("prediction") == F.col("y")).count() / 400 > 0.8
