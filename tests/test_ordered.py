@@ -72,3 +72,18 @@ def test_null_keys_are_kept(spark):
     sums = {(r["k"], r["o"]): r["one_cum"]
             for r in ordered.running_sums(ones, ["k"], [("o", False)], ["one"]).collect()}
     assert sums == {(None, 1): 1, (None, 2): 2, (None, 3): 3, ("a", 1): 1, ("a", 2): 2}
+
+
+def test_hot_key_is_split_across_chunks(spark):
+    from pyspark.sql import functions as F
+
+    n = 20000
+    df = spark.range(n).select(F.when(F.col("id") % 10 == 0, F.lit("cold")).otherwise(F.lit("hot"))
+                               .alias("k"), F.col("id").alias("o"))
+    ck = ordered.chunked(df, ["k"], [("o", False)], num_chunks=8)
+    sizes = [r["count"] for r in ck.groupBy(ordered.CHUNK).count().collect()]
+    assert sum(sizes) == n
+    # the hot key holds 90% of the rows but no chunk gets more than ~1/8 of them (+ slack)
+    assert max(sizes) < 0.25 * n
+    hot_chunks = ck.filter(F.col("k") == "hot").select(ordered.CHUNK).distinct().count()
+    assert hot_chunks >= 6
