@@ -99,12 +99,16 @@ def confusion_matrix(df: DataFrame, label="label", prediction="prediction", by=(
 
 
 def confusion_wide(df: DataFrame, label="label", prediction="prediction", by=(),
-                   classes: list | None = None) -> DataFrame:
-    """One row per (group, true class), one ``pred_<c>`` column per class (zeros filled)."""
+                   classes: list | None = None, max_classes: int = MAX_CLASSES) -> DataFrame:
+    """One row per (group, true class), one ``pred_<c>`` column per class (zeros filled).
+    The pivot columns are the class values, fetched once (at most ``max_classes``)."""
     cells = confusion_counts(df, label, prediction, by)
-    if classes is None:  # bounded: one value per class
-        classes = sorted({v for r in cells.select(label).union(cells.select(prediction))
-                          .distinct().collect() for v in r if v is not None})
+    if classes is None:
+        found = (cells.select(label).union(cells.select(prediction)).distinct()
+                 .limit(max_classes + 1).collect())
+        if len(found) > max_classes:
+            raise ValueError(f"more than {max_classes} classes: not a class label")
+        classes = sorted({r[0] for r in found if r[0] is not None})
     wide = cells.groupBy(*by, label).pivot(prediction, classes).agg(F.sum("n"))
     return wide.select(*by, label, *[F.coalesce(F.col(str(c)), F.lit(0)).cast("long")
                                      .alias(f"pred_{c}") for c in classes])
