@@ -801,3 +801,13 @@ def scoring_lifecycle(spark, d):
     batch = scoring.prepare_batch(df.filter(F.col("split") == "batch"), B.CLS3_FEATURES, stats)
     scored = scoring.positive_score(scoring.score(model_io.load_model(path), batch))
     return scoring.labelled_output(scored, "l_orderkey")
+
+
+@query("score_batch_refit")
+def score_batch_refit(spark, d):
+    """SC-4 with ``refit=True``: the batch is z-scored with its OWN statistics (the
+    reference's behaviour, kept for parity; it skews training vs serving)."""
+    df = split.hash_split(B.cls3(spark, d), "l_orderkey", [0.8, 0.2], names=("train", "batch"))
+    batch = scoring.prepare_batch(df.filter(F.col("split") == "batch"), B.CLS3_FEATURES,
+                                  refit=True)
+    return batch.select("l_orderkey", "Target", *[r9(c).alias(c) for c in B.CLS3_FEATURES])

@@ -533,3 +533,6 @@ ORACLE["prediction_nulls"] = f"""SELECT {BY}, CAST(COUNT(*) AS BIGINT) AS n_rows
   CAST(COUNT(*) FILTER (WHERE prediction IS NULL) AS BIGINT) AS null_prediction,
   CAST(COUNT(*) FILTER (WHERE score IS NULL) AS BIGINT) AS null_score
 FROM {PREDS} GROUP BY {BY}"""
+ORACLE["score_batch_refit"] = f"""WITH c AS (SELECT *, CASE WHEN {_SPLIT_BATCH} < 80 THEN 'train' ELSE 'batch' END AS split FROM {CLS3}),
+s AS (SELECT {', '.join(f'avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s' for c in FEATS)} FROM c WHERE split = 'batch')
+SELECT c.l_orderkey, c.Target, {_Z} FROM c, s WHERE c.split = 'batch'"""

@@ -42,3 +42,15 @@ def test_metric_log_appends_and_pivots(spark):
     assert log.count() == 4
     wide = {r["version"]: r for r in metrics_store.metrics_for(log, metrics=["accuracy", "f1_score", "roc_auc"]).collect()}
     assert wide[2]["accuracy"] == 0.9 and wide[2]["roc_auc"] is None
+
+
+def test_read_delimited_with_explicit_schema(spark):
+    from pyspark.sql import types as T
+
+    folder = tempfile.mkdtemp(prefix="tabulon-csv-")
+    path = os.path.join(folder, "rows.csv")
+    with open(path, "w") as fh:
+        fh.write("a;b\n1.5;x\n;y\n")
+    schema = T.StructType([T.StructField("a", T.DoubleType()), T.StructField("b", T.StringType())])
+    rows = files.read_delimited(spark, path, schema=schema).collect()
+    assert [(r["a"], r["b"]) for r in rows] == [(1.5, "x"), (None, "y")]
