@@ -167,8 +167,29 @@ def order_statistics(df: DataFrame, wanted: dict[str, set[int]], counts: dict[st
     return result
 
 
-def column_summary(df: DataFrame, cols: list[str]) -> tuple[dict, dict]:
-    """Count of valid values, and (min, max, finite min, finite max) per column, one job."""
+SKETCH_ACCURACY = 10_000
+SKETCH_MAX_BYTES = 2 << 30
+
+
+def _sketch_worthwhile(df: DataFrame) -> bool:
+    """Catalyst's size estimate (no job): GK brackets are only added to the first pass for
+    inputs small enough that a bracket can be finished in one more pass."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # estimate unavailable: keep the plain selection
+        return False
+    return size <= SKETCH_MAX_BYTES
+
+
+def _bracket(p: float) -> tuple[float, float]:
+    d = 3.0 / SKETCH_ACCURACY
+    return max(0.0, p - d), min(1.0, p + d)
+
+
+def column_summary(df: DataFrame, cols: list[str],
+                   sketch_probs: dict[str, list[float]] | None = None):
+    """Count of valid values, (min, max, finite min, finite max) and, optionally, GK sketch
+    values at ``sketch_probs`` per column, all in one job."""
     aggs = []
     for i, c in enumerate(cols):
         x = f"CASE WHEN {_valid_sql(df, c)} THEN {_xd(c)} END"
@@ -178,16 +199,64 @@ def column_summary(df: DataFrame, cols: list[str]) -> tuple[dict, dict]:
         aggs.append(F.expr(f"max({x}) AS hi{i}"))
         aggs.append(F.expr(f"min({fx}) AS flo{i}"))
         aggs.append(F.expr(f"max({fx}) AS fhi{i}"))
+        if sketch_probs and sketch_probs.get(c):
+            qs = ", ".join(f"{_lit(q)}" for q in sketch_probs[c])
+            aggs.append(F.expr(f"percentile_approx({x}, array({qs}), {SKETCH_ACCURACY}) AS sk{i}"))
     row = df.agg(*aggs).collect()[0]
     counts = {c: row[f"n{i}"] for i, c in enumerate(cols)}
     bounds = {c: (row[f"lo{i}"], row[f"hi{i}"], row[f"flo{i}"], row[f"fhi{i}"])
               for i, c in enumerate(cols)}
-    return counts, bounds
+    sketches = {}
+    if sketch_probs:
+        for i, c in enumerate(cols):
+            if sketch_probs.get(c) and row[f"sk{i}"] is not None:
+                sketches[c] = dict(zip(sketch_probs[c], row[f"sk{i}"]))
+    return counts, bounds, sketches
+
+
+def _finish_brackets(df: DataFrame, brackets: dict[tuple[str, float], tuple[float, float]],
+                     ranks: dict[tuple[str, float], list[int]]) -> dict[tuple[str, int], float]:
+    """One pass for GK-bracketed targets: rows below the bracket, rows equal to each end and
+    the sorted rows strictly inside (at most ~8n/accuracy by the sketch's rank guarantee).
+    A target whose rank does not fall inside its bracket is left for the selection rounds."""
+    probes: dict[tuple, int] = {}
+    for (c, _p), (lo, hi) in brackets.items():
+        probes.setdefault((c, lo, hi), len(probes))
+    aggs = []
+    for (c, lo, hi), j in probes.items():
+        x = f"(CASE WHEN {_valid_sql(df, c)} THEN {_xd(c)} END)"
+        aggs += [F.expr(f"count_if({x} < {_lit(lo)}) AS b{j}"),
+                 F.expr(f"count_if({x} = {_lit(lo)}) AS l{j}"),
+                 F.expr(f"count_if({x} = {_lit(hi)}) AS h{j}"),
+                 F.expr(f"sort_array(collect_list(CASE WHEN {x} > {_lit(lo)} AND {x} < {_lit(hi)} "
+                        f"THEN {x} END)) AS m{j}")]
+    row = df.agg(*aggs).collect()[0]
+    out: dict[tuple[str, int], float] = {}
+    for (c, p), (lo, hi) in brackets.items():
+        j = probes[(c, lo, hi)]
+        below, eq_lo, mid = row[f"b{j}"], row[f"l{j}"], row[f"m{j}"]
+        eq_hi = row[f"h{j}"] if hi != lo else 0
+        for r in ranks[(c, p)]:
+            local = r - below
+            if local < 0:
+                continue
+            if local < eq_lo:
+                out[(c, r)] = float(lo)
+            elif local < eq_lo + len(mid):
+                out[(c, r)] = float(mid[local - eq_lo])
+            elif local < eq_lo + len(mid) + eq_hi:
+                out[(c, r)] = float(hi)
+    return out
 
 
 def quantile_values(df: DataFrame, cols: list[str], probs: list[float], method: str = "linear",
                     rel_err: float = 1e-4) -> dict[tuple[str, float], float | None]:
-    """{(column, prob): value}; None for a column without valid values."""
+    """{(column, prob): value}; None for a column without valid values.
+
+    Exact methods: the first pass also carries a GK sketch when the input is small enough
+    (Catalyst's estimate); a column whose sketch brackets hold at most ``FINISH_ROWS`` rows
+    is finished in ONE more pass (2 in all), every other target goes through the selection
+    rounds. The answer is exact either way: brackets are verified by exact counts."""
     if method == "approx":
         clean = df.select([F.col(c).cast("double").alias(c) for c in cols])
         res = clean.approxQuantile(cols, probs, rel_err)
@@ -195,10 +264,27 @@ def quantile_values(df: DataFrame, cols: list[str], probs: list[float], method:
                 for c, vals in zip(cols, res) for i, p in enumerate(probs)}
     if method not in ("linear", "lower"):
         raise ValueError(f"unknown quantile method {method!r}")
-    counts, bounds = column_summary(df, cols)
+    sketch_probs = ({c: sorted({q for p in probs for q in _bracket(p)}) for c in cols}
+                    if _sketch_worthwhile(df) else None)
+    counts, bounds, sketches = column_summary(df, cols, sketch_probs)
     wanted = {c: {r for p in probs for r in _ranks(counts[c], p, method)}
               for c in cols if counts[c]}
-    stats = order_statistics(df, wanted, counts, bounds)
+    stats: dict[tuple[str, int], float] = {}
+    brackets, bracket_ranks = {}, {}
+    for c, sk in sketches.items():
+        n = counts[c]
+        if not n or n <= FINISH_ROWS or n * 8 > FINISH_ROWS * SKETCH_ACCURACY:
+            continue
+        for p in probs:
+            lo_q, hi_q = _bracket(p)
+            brackets[(c, p)] = (sk[lo_q], sk[hi_q])
+            bracket_ranks[(c, p)] = _ranks(n, p, method)
+    if brackets:
+        stats.update(_finish_brackets(df, brackets, bracket_ranks))
+    remaining = {c: {r for r in rs if (c, r) not in stats} for c, rs in wanted.items()}
+    remaining = {c: rs for c, rs in remaining.items() if rs}
+    if remaining:
+        stats.update(order_statistics(df, remaining, counts, bounds))
     out = {}
     for c in cols:
         n = counts[c]

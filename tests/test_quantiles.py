@@ -35,7 +35,7 @@ def test_selection_runs_several_rounds(spark, monkeypatch):
     rng = np.random.default_rng(3)
     xs = rng.lognormal(size=2000) * 1e6
     df = spark.createDataFrame([(float(x),) for x in xs], "x double")
-    counts, bounds = Q.column_summary(df, ["x"])
+    counts, bounds, _ = Q.column_summary(df, ["x"])
     ranks = {0, 999, 1500, 1999}
     got = Q.order_statistics(df, {"x": ranks}, counts, bounds, bins=4, finish_rows=5)
     s = sorted(xs)
@@ -85,3 +85,39 @@ def test_approx_within_rank_error(spark):
     df = spark.createDataFrame([(float(x),) for x in xs], "x double")
     got = Q.quantile_values(df, ["x"], [0.5], "approx", rel_err=0.01)[("x", 0.5)]
     assert abs(got - 5000) <= 0.01 * 10000 + 1
+
+
+@pytest.mark.parametrize("method", ["linear", "lower"])
+def test_sketch_bracket_path_is_exact(spark, monkeypatch, method):
+    # a small finishing threshold sends 12000 rows through the GK-bracket pass; an in-memory
+    # frame has no size estimate, so the size gate is opened explicitly
+    monkeypatch.setattr(Q, "FINISH_ROWS", 40)
+    monkeypatch.setattr(Q, "SKETCH_MAX_BYTES", 2 ** 63)
+    fallback = []
+    plain = Q.order_statistics
+
+    def spy(df_, wanted, *a, **k):
+        fallback.append(sum(len(v) for v in wanted.values()))
+        return plain(df_, wanted, *a, **k)
+
+    monkeypatch.setattr(Q, "order_statistics", spy)
+    rng = np.random.default_rng(17)
+    # (the bracket margin, 3/accuracy of the rows, must exceed one rank: n >~ 5000)
+    xs = np.concatenate([rng.lognormal(size=8000), np.full(2400, 1.5), rng.integers(0, 3, 1600),
+                         [np.inf, -np.inf]])
+    df = spark.createDataFrame([(float(x),) for x in xs], "x double")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = Q.quantile_values(df, ["x"], probs, method)
+    for p in probs:
+        want = _linear(list(xs), p) if method == "linear" else _lower(list(xs), p)
+        if math.isinf(want) or math.isnan(want):
+            assert got[("x", p)] == want or (math.isnan(want) and math.isnan(got[("x", p)]))
+        else:
+            assert got[("x", p)] == pytest.approx(want, rel=1e-12, abs=1e-12)
+    assert fallback == []  # every target was finished inside its bracket
+    # same answers without the sketch
+    monkeypatch.setattr(Q, "SKETCH_MAX_BYTES", -1)
+    again = Q.quantile_values(df, ["x"], probs, method)
+    for p in probs:
+        a, b = got[("x", p)], again[("x", p)]
+        assert a == b or (math.isnan(a) and math.isnan(b)) or a == pytest.approx(b, rel=1e-12)
