@@ -89,9 +89,9 @@ bm AS (SELECT *, CASE WHEN precision + recall = 0 THEN NULL
   FROM bm0)"""
 
 
-def _curve_ctes(src: str = PREDS) -> str:
-    return f"""p AS (SELECT * FROM {src}),
-g AS (SELECT {BY}, score,
+def _curve_ctes(src: str = PREDS, with_source: bool = True) -> str:
+    head = f"p AS (SELECT * FROM {src}),\n" if with_source else ""
+    return head + f"""g AS (SELECT {BY}, score,
   CAST(COUNT(*) FILTER (WHERE label = 1) AS BIGINT) AS tp,
   CAST(COUNT(*) FILTER (WHERE label <> 1) AS BIGINT) AS fp
   FROM p WHERE score IS NOT NULL AND label IS NOT NULL GROUP BY {BY}, score),
@@ -114,7 +114,7 @@ auc AS (SELECT {BY},
 
 
 def _eval_long() -> str:
-    return f"""WITH {_binary_metric_ctes()}, {_curve_ctes().replace('p AS (SELECT * FROM ' + PREDS + '),', '', 1)},
+    return f"""WITH {_binary_metric_ctes()}, {_curve_ctes(with_source=False)},
 ev AS (
   SELECT {BY}, 'accuracy' AS metric, accuracy AS value FROM bm
   UNION ALL SELECT {BY}, 'precision', precision FROM bm
