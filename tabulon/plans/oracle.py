@@ -113,8 +113,8 @@ auc AS (SELECT {BY},
   FROM gc GROUP BY {BY})"""
 
 
-def _eval_long() -> str:
-    return f"""WITH {_binary_metric_ctes()}, {_curve_ctes(with_source=False)},
+def _eval_long(recursive: bool = False) -> str:
+    return f"""WITH {"RECURSIVE " if recursive else ""}{_binary_metric_ctes()}, {_curve_ctes(with_source=False)},
 ev AS (
   SELECT {BY}, 'accuracy' AS metric, accuracy AS value FROM bm
   UNION ALL SELECT {BY}, 'precision', precision FROM bm
@@ -395,7 +395,7 @@ w AS (SELECT Target, CAST(SUM(n) OVER () AS DOUBLE) / (CAST(COUNT(*) OVER () AS
 SELECT c.Target, c.l_quantity, w.weight FROM c JOIN w USING (Target)"""
 
 # ---------------------------------------------------------------- ML (champion rule only)
-ORACLE["pick_champion"] = _eval_long() + f""",
+ORACLE["pick_champion"] = _eval_long(recursive=True) + f""",
 wt AS (SELECT model, version,
          max(value) FILTER (WHERE metric = 'accuracy') AS accuracy,
          max(value) FILTER (WHERE metric = 'f1_score') AS f1_score,
@@ -413,7 +413,6 @@ fold AS (SELECT pos, model, version, accuracy, f1_score, roc_auc FROM ordered WH
   FROM fold f JOIN ordered o ON o.pos = f.pos + 1)
 SELECT model, version, {r9('accuracy')} AS accuracy, {r9('f1_score')} AS f1_score, {r9('roc_auc')} AS roc_auc
 FROM fold ORDER BY pos DESC LIMIT 1"""
-ORACLE["pick_champion"] = ORACLE["pick_champion"].replace("WITH ", "WITH RECURSIVE ", 1)
 
 # ---------------------------------------------------------------- EV
 ORACLE["binary_counts"] = f"WITH {_binary_metric_ctes()}\nSELECT * FROM bc"
