@@ -37,7 +37,7 @@ MIN_GROUP = 200
 BROADCAST_GROUPS = 50_000
 #: Metric -> least spread, in the metric's unit. Shares are per thousand words or lines, the mean
 #: word length is in hundredths of a character.
-METRICS = {"symbol_share": 20, "dup_line_share": 50, "repeat_share": 100, "word_length": 60}
+METRICS = {"symbol_share": 20, "dup_line_share": 120, "repeat_share": 150, "word_length": 60}
 #: Metrics that also have a lower fence.
 TWO_SIDED = ("word_length",)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, quality_rules, sharding
+from . import exact_dedup, mixing, quality_rules, sentencepiece_scan, sharding, token_counts
 from .common import table
 
 
@@ -62,8 +62,8 @@ cum AS (SELECT *, sum(n) OVER (PARTITION BY lvl, lang, source, metric ORDER BY b
 qs AS (SELECT lvl, lang, source, metric, max(tot) AS tot, min(bucket) FILTER (upto * 100 >= tot * 25) AS q1,
               min(bucket) FILTER (upto * 100 >= tot * 75) AS q3 FROM cum GROUP BY ALL),
 fen AS (SELECT lvl, lang, source, metric, tot, q1 - 3 * spread AS lo, q3 + 3 * spread AS hi
-        FROM (SELECT *, greatest(q3 - q1, CASE metric WHEN 'symbol_share' THEN 20 WHEN 'dup_line_share' THEN 50
-                                          WHEN 'repeat_share' THEN 100 ELSE 60 END) AS spread FROM qs)),
+        FROM (SELECT *, greatest(q3 - q1, CASE metric WHEN 'symbol_share' THEN 20 WHEN 'dup_line_share' THEN 120
+                                          WHEN 'repeat_share' THEN 150 ELSE 60 END) AS spread FROM qs)),
 lim AS (SELECT g.lang, g.source, g.metric,
                CASE WHEN g.tot >= 200 THEN g.lo WHEN l.tot >= 200 THEN l.lo ELSE c.lo END AS lo,
                CASE WHEN g.tot >= 200 THEN g.hi WHEN l.tot >= 200 THEN l.hi ELSE c.hi END AS hi
@@ -84,6 +84,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
+def sentencepiece_model() -> str:
+    """Path of the public SentencePiece vocabulary that the queries use; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes every document, decodes its ids and says whether the text came back."""
+    docs = table(spark, sf_dir, "documents")
+    model = sentencepiece_model()
+    encoded = sentencepiece_scan.encode(docs, model)
+    digest = encoded.select("id", "n_chunks", F.size("ids").cast("long").alias("n_tokens"),
+                            F.xxhash64("ids").alias("ids_hash"), "ids")
+    decoded = sentencepiece_scan.decode(digest, model).drop("ids")
+    return decoded.select(F.col("id").alias("doc_id"), "n_tokens", "n_chunks", "ids_hash",
+                          F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), sentencepiece_model())
+    return counts.select(F.col("id").alias("doc_id"), "n_tokens")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(table(spark, sf_dir, "documents"))
     return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target",
@@ -124,6 +148,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op7_sentencepiece": op7_sentencepiece,
+    "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
     "op10_sharding": op10_sharding,
 }
