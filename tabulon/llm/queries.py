@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, quality_rules, sentencepiece_scan, sharding, token_counts
+from . import dac_tokens, exact_dedup, mixing, quality_rules, sentencepiece_scan, sharding, token_counts
+from tabulon.session import scratch_path
+
 from .common import table
 
 
@@ -23,6 +25,16 @@ FROM t WINDOW g AS (PARTITION BY body)
 """
 
 
+def op4_dac_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the token files of all documents and reads every document's ids back from them."""
+    import public_tokenizers
+
+    path = scratch_path(spark, "dac_tokens")
+    dac_tokens.write_tokens(table(spark, sf_dir, "documents"), path,
+                            public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return dac_tokens.read_documents(spark, path).withColumnRenamed("id", "doc_id")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
     return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -147,6 +159,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_dac_tokens": op4_dac_tokens,
     "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_token_counts": op8_token_counts,
