@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dac_tokens, exact_dedup, mixing, quality_rules, sentencepiece_scan, sharding, token_counts
+from . import dac_tokens, exact_dedup, jaccard_join, mixing, quality_gbt, quality_rules, sentencepiece_scan, sharding, token_counts
 from tabulon.session import scratch_path
 
 from .common import table
@@ -25,6 +25,12 @@ FROM t WINDOW g AS (PARTITION BY body)
 """
 
 
+def op3_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_gbt.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(F.col("id").alias("doc_id"), "held_out", "score",
+                         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op4_dac_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the token files of all documents and reads every document's ids back from them."""
     import public_tokenizers
@@ -35,6 +41,28 @@ def op4_dac_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac_tokens.read_documents(spark, path).withColumnRenamed("id", "doc_id")
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+#: Shingle sets, links of all pairs and components by reachability.
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^ 	-]+') AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5
+         THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+         WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON edges.a = reach.r)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM documents d JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
     return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -159,7 +187,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_quality_gbt": op3_quality_gbt,
     "op4_dac_tokens": op4_dac_tokens,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_token_counts": op8_token_counts,
@@ -169,6 +199,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_exact_dedup": OP1_SQL,
+    "op5_ngram_jaccard": OP5_SQL,
     "op6_quality_rules": OP6_SQL,
     "op9_mixing": OP9_SQL,
 }
