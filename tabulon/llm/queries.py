@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dac_tokens, exact_dedup, jaccard_join, mixing, quality_gbt, quality_rules, sentencepiece_scan, sharding, token_counts
+from . import dac_tokens, exact_dedup, html_extract, jaccard_join, mixing, quality_gbt, quality_rules, sentencepiece_scan, sharding, token_counts
 from tabulon.session import scratch_path
 
 from .common import table
@@ -25,6 +25,11 @@ FROM t WINDOW g AS (PARTITION BY body)
 """
 
 
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_gbt.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select(F.col("id").alias("doc_id"), "held_out", "score",
@@ -49,7 +54,8 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP5_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                    '[^ 	-]+') AS ws FROM documents),
+                                    '[^ 	-
+]+') AS ws FROM documents),
 sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5
          THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
          WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM w),
@@ -187,6 +193,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_html_extract": op2_html_extract,
     "op3_quality_gbt": op3_quality_gbt,
     "op4_dac_tokens": op4_dac_tokens,
     "op5_ngram_jaccard": op5_ngram_jaccard,
