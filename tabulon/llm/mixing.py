@@ -77,7 +77,7 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              seed: int = 9) -> DataFrame:
     """One row per document: id, source, size, source_size, target, copies, and its row key."""
     slim = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-                       word_count(text_col).alias("size"), *_row_key(F.col(id_col), text_or_empty(text_col)))
+                       word_count(text_col).alias("size"), *_row_key(F.col(id_col), text_or_empty(text_col), F.col(source_col)))
     ordered = (slim.repartitionByRange(F.col("source").asc_nulls_last(), "size", F.col("id").asc_nulls_last())
                .withColumn("range", F.spark_partition_id()))
     ordered = written(ordered, "mixing_ranges")
@@ -108,22 +108,24 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          (F.expr(upto) - F.expr(below)).cast("long").alias("copies"), "key_a", "key_b")
 
 
-def _row_key(id_col: Column, text: Column) -> list[Column]:
-    """128 bits that stand for id and text; rows that repeat both share them."""
-    return [F.xxhash64(id_col, text).alias("key_a"), F.xxhash64(text, id_col, F.lit(1)).alias("key_b")]
+def _row_key(id_col: Column, text: Column, source: Column) -> list[Column]:
+    """128 bits that stand for id, text and source; rows that repeat all three share them."""
+    unset = source.isNull()
+    return [F.xxhash64(id_col, text, source, unset).alias("key_a"),
+            F.xxhash64(source, text, id_col, unset, F.lit(1)).alias("key_b")]
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=WEIGHTS, cap: int = MAX_COPIES, seed: int = 9) -> DataFrame:
     """The mixture: every document as often as it was taken, with all its columns.
 
-    Documents meet their number of copies in one shuffle; rows that repeat id and text are told
-    apart by their number among the repeats."""
+    Documents meet their number of copies in one shuffle; rows that repeat id, text and source are
+    told apart by their number among the repeats."""
     key = ["key_a", "key_b"]
     plan = (plan_mix(docs, id_col, text_col, source_col, weights, cap, seed).select(*key, "copies")
             .groupBy(*key).agg(F.sort_array(F.collect_list("copies"), asc=False).alias("copies")))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"),
-                       *_row_key(F.col(id_col), text_or_empty(text_col)))
+                       *_row_key(F.col(id_col), text_or_empty(text_col), F.col(source_col)))
     nth = F.row_number().over(Window.partitionBy(*key).orderBy("key_a"))
     taken = rows.withColumn("nth", nth).join(plan, key).withColumn("taken", F.get("copies", F.col("nth") - 1))
     return (taken.filter("taken > 0")
