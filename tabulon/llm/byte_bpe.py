@@ -16,6 +16,8 @@ import unicodedata
 import numpy as np
 
 LATIN = 0x250
+#: Distinct pre-tokens whose ids a worker process remembers (only saves work).
+REMEMBERED = 800_000
 _OTHER, _LETTER, _NUMBER, _SPACE = 0, 1, 2, 3
 _BASE = 0x9E3779B97F4A7C15 & ~3 | 5
 
@@ -49,6 +51,8 @@ class ByteBPE:
         rng = np.random.default_rng(7)
         self.values = rng.integers(0, 1 << 63, LATIN, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self._powers(1 << 16)
+        self.known, self.known_ids = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint32)
+        self.known_at, self.known_n = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
     def _powers(self, n: int) -> None:
         inverse = pow(_BASE, -1, 1 << 64)
@@ -129,15 +133,36 @@ class ByteBPE:
             ends = np.append(at[1:], len(chars))
             hashed = (sums[ends] - sums[at]) * self.down[at]
             hashed ^= hashed >> np.uint64(29)
-        _, example, which = np.unique(hashed, return_index=True, return_inverse=True)
-        whole = chars.tobytes().decode("utf-32-le")
-        tokens = [whole[a:b] for a, b in zip(at[example].tolist(), ends[example].tolist(), strict=True)]
-        encoded = self.library.encode(tokens, is_pretokenized=True, add_special_tokens=False)
-        flat = np.array(encoded.ids, dtype=np.uint32)
-        counts = np.bincount(np.array(encoded.word_ids, dtype=np.int64), minlength=len(tokens))
-        offsets = np.cumsum(counts) - counts
+        distinct, example, which = np.unique(hashed, return_index=True, return_inverse=True)
+        offsets, counts, flat = self._ids_of(distinct, at[example], ends[example], chars)
         n = counts[which]
         stops = np.cumsum(n)
         ids = flat[np.repeat(offsets[which] - (stops - n), n) + np.arange(int(stops[-1]))]
         cuts = np.searchsorted(at, begins)  # the pre-token at which each text begins
         return np.split(ids, (stops - n)[cuts][1:])
+
+    def _ids_of(self, hashes: np.ndarray, a: np.ndarray, b: np.ndarray, chars: np.ndarray) -> tuple:
+        """(offset, count, flat ids) of distinct pre-tokens: those of earlier batches from memory,
+        the others from the library."""
+        where = np.searchsorted(self.known, hashes)
+        old = where < len(self.known)
+        old[old] = self.known[where[old]] == hashes[old]
+        new = np.flatnonzero(~old)
+        offsets, counts = np.zeros(len(hashes), dtype=np.int64), np.zeros(len(hashes), dtype=np.int64)
+        offsets[old], counts[old] = self.known_at[where[old]], self.known_n[where[old]]
+        if not len(new):
+            return offsets, counts, self.known_ids
+        whole = chars.tobytes().decode("utf-32-le")
+        tokens = [whole[i:j] for i, j in zip(a[new].tolist(), b[new].tolist(), strict=True)]
+        encoded = self.library.encode(tokens, is_pretokenized=True, add_special_tokens=False)
+        counts[new] = np.bincount(np.array(encoded.word_ids, dtype=np.int64), minlength=len(tokens))
+        offsets[new] = len(self.known_ids) + np.cumsum(counts[new]) - counts[new]
+        flat = np.concatenate([self.known_ids, np.array(encoded.ids, dtype=np.uint32)])
+        if len(self.known) + len(new) <= REMEMBERED:
+            known = np.concatenate([self.known, hashes[new]])
+            order = np.argsort(known, kind="stable")
+            self.known = known[order]
+            self.known_at = np.concatenate([self.known_at, offsets[new]])[order]
+            self.known_n = np.concatenate([self.known_n, counts[new]])[order]
+            self.known_ids = flat
+        return offsets, counts, flat
