@@ -138,14 +138,10 @@ def sentencepiece_model() -> str:
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Encodes every document, decodes its ids and says whether the text came back."""
-    docs = table(spark, sf_dir, "documents")
-    model = sentencepiece_model()
-    encoded = sentencepiece_scan.encode(docs, model)
-    digest = encoded.select("id", "n_chunks", F.size("ids").cast("long").alias("n_tokens"),
-                            F.xxhash64("ids").alias("ids_hash"), "ids")
-    decoded = sentencepiece_scan.decode(digest, model).drop("ids")
-    return decoded.select(F.col("id").alias("doc_id"), "n_tokens", "n_chunks", "ids_hash",
+    """Encodes every document and decodes its ids: digests of both."""
+    encoded = sentencepiece_scan.encode(table(spark, sf_dir, "documents"), sentencepiece_model(), decoded=True)
+    return encoded.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "n_chunks",
+                          F.xxhash64("ids").alias("ids_hash"),
                           F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 

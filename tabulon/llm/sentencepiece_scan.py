@@ -33,15 +33,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import written
-from .token_counts import BATCH_CHARS, stretches
 from .unigram import Unigram, UnitIndex, load_pieces, vocabulary
 
 CHUNK_CHARS = 32_768
+#: Characters whose units are solved together.
+BATCH_CHARS = 2_000_000
 BLOCK = 64
 _NONE = -(1 << 62)
 
@@ -73,30 +75,29 @@ def _list_array(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
 
 
-def _slices(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``limit`` bytes of text."""
-    sizes = batch.column(column).fill_null("")
-    sizes = np.asarray([len(x.as_py()) for x in sizes]) if len(sizes) else np.zeros(0)
-    start, held = 0, 0
-    for row, size in enumerate(sizes):
-        held += int(size)
-        if held >= limit:
-            yield start, row + 1
-            start, held = row + 1, 0
-    if start < batch.num_rows:
-        yield start, batch.num_rows
+def _slices(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about ``limit`` bytes of text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start, done = 0, 0
+    while start < batch.num_rows:
+        end = min(max(start + 1, int(np.searchsorted(ends, done + limit, side="right"))), batch.num_rows)
+        yield batch.slice(start, end - start)
+        start, done = end, ends[end - 1]
 
 
-def _whole_encoder(loaded, batch_chars: int):
+def _whole_encoder(loaded, batch_chars: int, decoded: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(loaded)
         for batch in batches:
-            for a, b in _slices(batch, 1, batch_chars):
-                part = batch.slice(a, b - a)
+            for part in _slices(batch, 1, batch_chars):
                 texts = [vocab.prepared(t or "") for t in part.column(1).to_pylist()]
-                ids = _list_array(list(_encode_texts(vocab, texts, batch_chars)))
-                yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(np.ones(len(ids), np.int64))],
-                                                 names=["id", "ids", "n_chunks"])
+                ids = list(_encode_texts(vocab, texts, batch_chars))
+                columns = [part.column(0), _list_array(ids), pa.array(np.ones(len(ids), np.int64))]
+                names = ["id", "ids", "n_chunks"]
+                if decoded:
+                    columns.append(pa.array([vocab.decode(x.tolist()) for x in ids], pa.string()))
+                    names.append("text")
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return encode
 
@@ -123,7 +124,7 @@ def _chunker(loaded, chunk_chars: int):
         reach = vocab.max_len - 1
         for batch in batches:
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                text = vocab.prepared(text.as_py() or "")
+                text = vocab.prepared(text.as_py())
                 chunks = [(row, k, text[a:b] if out else text[a:b + reach], b - a, entry, out)
                           for k, (a, b, entry, out) in enumerate(cut(vocab, text, chunk_chars))]
                 for k in range(0, len(chunks), 64):
@@ -178,14 +179,15 @@ def _first_pass(loaded, batch_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(loaded)
         for batch in batches:
-            rows = batch.to_pylist()
-            settled = [r for r in rows if r["entry"] and r["exit"]]
-            for r, ids in zip(settled, _encode_texts(vocab, [r["text"] for r in settled], batch_chars), strict=True):
-                r["ids"], r["text"] = ids, None
-            for r in rows:
-                if "ids" not in r:
-                    r["matrix"] = _pack(transfer(vocab, r["text"], r["n"], r["entry"], r["exit"]))
-            yield pa.RecordBatch.from_pylist([{f.name: r.get(f.name) for f in _FIRST} for r in rows], schema=_FIRST)
+            for part in _slices(batch, 2, batch_chars):
+                rows = part.to_pylist()
+                settled = [r for r in rows if r["entry"] and r["exit"]]
+                for r, ids in zip(settled, _encode_texts(vocab, [r["text"] for r in settled], batch_chars), strict=True):
+                    r["ids"], r["text"] = ids, None
+                for r in rows:
+                    if "ids" not in r:
+                        r["matrix"] = _pack(transfer(vocab, r["text"], r["n"], r["entry"], r["exit"]))
+                yield pa.RecordBatch.from_pylist([{f.name: r.get(f.name) for f in _FIRST} for r in rows], schema=_FIRST)
 
     return run
 
@@ -321,14 +323,17 @@ def _resolve(open_chunks: DataFrame, loaded) -> DataFrame:
 
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
-           chunk_chars: int = CHUNK_CHARS, batch_chars: int = BATCH_CHARS) -> DataFrame:
-    """(id, ids, n_chunks) of every document."""
+           chunk_chars: int = CHUNK_CHARS, batch_chars: int = BATCH_CHARS, decoded: bool = False) -> DataFrame:
+    """(id, ids, n_chunks) of every document; with ``decoded`` also the text that its ids decode to
+    (documents of one chunk are decoded in the pass that encodes them)."""
     spark = docs.sparkSession
     loaded = spark.sparkContext.broadcast({"path": model_path, **load_pieces(model_path)})
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     giant = F.length("text") >= chunk_chars
     schema = T.StructType([slim.schema["id"], T.StructField("ids", _IDS), T.StructField("n_chunks", T.LongType())])
-    small = slim.filter(~F.coalesce(giant, F.lit(False))).mapInArrow(_whole_encoder(loaded, batch_chars), schema)
+    if decoded:
+        schema = schema.add("text", T.StringType())
+    small = slim.filter(~F.coalesce(giant, F.lit(False))).mapInArrow(_whole_encoder(loaded, batch_chars, decoded), schema)
     giants = written(slim.filter(giant).withColumn("row", F.monotonically_increasing_id()), "scan_giants")
     chunks = (giants.select("row", "text").mapInArrow(_chunker(loaded, chunk_chars), _CHUNK_DDL)
               .repartition("row", "k").mapInArrow(_first_pass(loaded, batch_chars), _FIRST_DDL))
@@ -345,7 +350,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     large = giants.select("id", "row").join(whole, "row").select(
         "id", F.flatten(F.transform("chunks", lambda c: c["ids"])).alias("ids"),
         F.size("chunks").cast("long").alias("n_chunks"))
-    return small.unionByName(large)
+    return small.unionByName(decode(large, model_path) if decoded else large)
 
 
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
@@ -360,7 +365,7 @@ def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", text_col:
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
-                texts = [vocab.decode(x.values.to_numpy() if x.is_valid else []) for x in part.column(at)]
+                texts = [vocab.decode(ids or []) for ids in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())],
                                                  names=[*part.schema.names, text_col])
 

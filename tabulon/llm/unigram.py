@@ -14,6 +14,7 @@ level and piece length.
 from __future__ import annotations
 
 import re
+from functools import cached_property
 
 import numpy as np
 
@@ -232,32 +233,38 @@ class Unigram:
             live = live[cur[live] > 0]
         return counts, scores, ends - counts, flat
 
-    @property
-    def piece_len(self) -> np.ndarray:
-        if not hasattr(self, "_piece_len"):
-            self._piece_len = np.fromiter(map(len, self.pieces), dtype=np.int64, count=len(self.pieces))
-        return self._piece_len
-
     # -- back to text -----------------------------------------------------------------------
 
     def decode(self, ids: list[int]) -> str:
         """The text of a document's ids: pieces joined, byte runs decoded, the leading space off."""
-        out, run = [], bytearray()
-        byte_of, pieces = self.byte_of, self.pieces
-        for i in ids:
-            b = byte_of.get(i)
-            if b is not None:
-                run.append(b)
-                continue
+        byte_of, spelled = self.byte_of, self.spelled
+        parts = [spelled[i] for i in ids]
+        if None in parts:  # bytes beyond ASCII: decode their runs
+            out, run = [], bytearray()
+            for i, part in zip(ids, parts, strict=True):
+                if i in byte_of:
+                    run.append(byte_of[i])
+                    continue
+                if run:
+                    out.append(run.decode("utf-8", "replace"))
+                    run = bytearray()
+                out.append(part)
             if run:
                 out.append(run.decode("utf-8", "replace"))
-                run = bytearray()
-            out.append(pieces[i])
-        if run:
-            out.append(run.decode("utf-8", "replace"))
-        text = "".join(out)
+            parts = out
+        text = "".join(parts)
         return text[1:] if text.startswith(" ") else text
 
+    @cached_property
+    def spelled(self) -> list[str | None]:
+        """What a piece id stands for; None for bytes that are no character by themselves."""
+        return [p if i not in self.byte_of else chr(self.byte_of[i]) if self.byte_of[i] < 128 else None
+                for i, p in enumerate(self.pieces)]
+
+    @cached_property
+    def piece_len(self) -> np.ndarray:
+        return np.fromiter(map(len, self.pieces), dtype=np.int64, count=len(self.pieces))
+
 
 class UnitIndex(dict):
     """unit -> its number, in order of first sight."""
