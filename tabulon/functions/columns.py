@@ -34,6 +34,11 @@ def is_missing(df: DataFrame, name: str) -> Column:
     return c.isNull()
 
 
+def present(df: DataFrame, name: str) -> Column:
+    """The value as double, NULL where it is missing (NULL or NaN): what statistics skip."""
+    return F.when(~is_missing(df, name), F.col(name).cast("double"))
+
+
 def is_infinite(name: str) -> Column:
     c = F.col(name)
     return (c == F.lit(float("inf"))) | (c == F.lit(float("-inf")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions.columns import all_of, any_of, is_missing
 from tabulon.plans import ordered
+from tabulon.plans.lookup import attach, materialised
 
 
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -90,9 +91,9 @@ def impute_by_group(df: DataFrame, keys: list[str], col: str, stat: str = "max")
 
     The group statistic is an aggregation with map-side combine (``mode`` first counts
     (group, value) pairs, so a hot group is spread over many tasks by its values) and is
-    joined back on the group keys; AQE broadcasts the statistics table when it turns out
-    small and splits skewed groups otherwise. A window over the group would sort a hot group
-    in one task.
+    joined back on the group keys: the written statistics table is broadcast when its row count
+    allows it, so the rows are not shuffled. A window over the group would sort a hot group in one
+    task.
     """
     present = df.filter(F.col(col).isNotNull())
     if stat == "max":
@@ -106,9 +107,7 @@ def impute_by_group(df: DataFrame, keys: list[str], col: str, stat: str = "max")
             .alias("_fill"))
     else:
         raise ValueError(f"unknown stat {stat!r}")
-    stats = stats.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_fill")
-    cond = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
-    joined = df.join(stats, on=cond, how="left")
+    joined = attach(df, materialised(stats), keys, how="left")
     return joined.select(*[F.coalesce(F.col(c), F.col("_fill")).alias(c) if c == col else F.col(c)
                            for c in df.columns])
 

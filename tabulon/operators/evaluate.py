@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.columns import nan_ratio, ratio_or, safe_ratio
+from tabulon.plans.lookup import attach, materialised
 from tabulon.plans.ordered import next_values, running_sums
 
 BINARY_METRICS = ["accuracy", "precision", "recall", "f1_score"]
@@ -78,40 +79,40 @@ def confusion_counts(df: DataFrame, label="label", prediction="prediction", by=(
     return df.groupBy(*by, label, prediction).agg(F.count(F.lit(1)).alias("n"))
 
 
-MAX_CLASSES = 1000
-
-
 def confusion_matrix(df: DataFrame, label="label", prediction="prediction", by=(),
-                     max_classes: int = MAX_CLASSES) -> DataFrame:
-    """(by..., label, prediction, n) over the sorted union of classes, zero cells present.
-    The grid is K x K per group over the *classes* (collected from the already aggregated
-    cells, never from rows); a group with more than ``max_classes`` classes fails the query
-    in-plan instead of emitting a quadratic grid."""
-    cells = confusion_counts(df, label, prediction, by)
-    cls = F.array_union(F.collect_set(label), F.collect_set(prediction))
-    classes = cells.groupBy(*by).agg(cls.alias("_cls"), F.size(cls).alias("_k"))
-    classes = classes.withColumn("_cls", F.when(F.col("_k") > F.lit(max_classes), F.raise_error(
-        F.lit(f"more than {max_classes} classes in a group"))).otherwise(F.col("_cls")))
-    grid = (classes.select(*by, F.explode("_cls").alias(label), "_cls")
-            .select(*by, label, F.explode("_cls").alias(prediction)))
+                     zeros: bool = True) -> DataFrame:
+    """(by..., label, prediction, n), every row counted; NULL is a class like any other. With
+    ``zeros`` also the empty cells over the union of the group's classes: K x K rows per group, made
+    by an equi-join of the distinct classes on the group (without it only the cells that occur)."""
     keys = [*by, label, prediction]
-    return grid.join(cells, on=keys, how="left").select(*keys, F.coalesce("n", F.lit(0)).alias("n"))
+    cells = confusion_counts(df, label, prediction, by)
+    if not zeros:
+        return cells.select(*keys, "n")
+    cells = materialised(cells)
+    groups = [*by, "_one"]
+    seen = cells.withColumn("_one", F.lit(1)).select(
+        *groups, F.explode(F.array(F.struct(F.col(label).alias("c")), F.struct(F.col(prediction).alias("c")))).alias("s"))
+    classes = seen.select(*groups, F.col("s.c").alias("c")).distinct()
+    left = classes.select(*groups, F.col("c").alias(label))
+    right = classes.select(*[F.col(g).alias(f"_r_{g}") for g in groups], F.col("c").alias(prediction))
+    grid = left.join(right, [F.col(g).eqNullSafe(F.col(f"_r_{g}")) for g in groups]).select(*keys)
+    return attach(grid, cells, keys, how="left").select(*keys, F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def confusion_wide(df: DataFrame, label="label", prediction="prediction", by=(),
-                   classes: list | None = None, max_classes: int = MAX_CLASSES) -> DataFrame:
-    """One row per (group, true class), one ``pred_<c>`` column per class (zeros filled).
-    The pivot columns are the class values, fetched once (at most ``max_classes``)."""
-    cells = confusion_counts(df, label, prediction, by)
+                   classes: list | None = None) -> DataFrame:
+    """One row per (group, true class), one ``pred_<c>`` column per class (zeros filled); rows
+    predicted NULL are in ``pred_null``, present if there are any. Without ``classes`` the columns
+    are all classes found, one column each: as many as the wide form has."""
+    cells = materialised(confusion_counts(df, label, prediction, by))
     if classes is None:
-        found = (cells.select(label).union(cells.select(prediction)).distinct()
-                 .limit(max_classes + 1).collect())
-        if len(found) > max_classes:
-            raise ValueError(f"more than {max_classes} classes: not a class label")
+        found = cells.select(label).union(cells.select(prediction)).distinct().collect()
         classes = sorted({r[0] for r in found if r[0] is not None})
-    wide = cells.groupBy(*by, label).pivot(prediction, classes).agg(F.sum("n"))
-    return wide.select(*by, label, *[F.coalesce(F.col(str(c)), F.lit(0)).cast("long")
-                                     .alias(f"pred_{c}") for c in classes])
+        if not cells.filter(F.col(prediction).isNull()).isEmpty():
+            classes.append(None)
+    return cells.groupBy(*by, label).agg(*[
+        F.coalesce(F.sum(F.when(F.col(prediction).eqNullSafe(F.lit(c)), F.col("n"))), F.lit(0)).cast("long")
+        .alias("pred_null" if c is None else f"pred_{c}") for c in classes])
 
 
 def class_table(df: DataFrame, label="label", prediction="prediction", by=()) -> DataFrame:

@@ -16,26 +16,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabulon.operators.profile import high_cardinality
+from tabulon.functions.columns import is_missing, present
+from tabulon.operators.profile import by_type, frequency_table, value_counts
+from tabulon.plans.lookup import attach, materialised
 from tabulon.plans.multicolumn import one_row
 from tabulon.plans.ordered import global_row_index
 
 
 # ------------------------------------------------------------------ shared: long (column, value)
-def _by_type(df: DataFrame, cols: list[str]) -> list[list[str]]:
-    """Columns grouped by data type, so that each group unpivots into one value column."""
-    groups: dict[str, list[str]] = {}
-    for c in cols:
-        groups.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
-    return list(groups.values())
-
-
 def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
     """(column, value) rows for same-typed ``cols`` (one row per input row and column)."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in cols])
     return df.select(F.inline(pairs))
 
 
+def _attach_column(out: DataFrame, table: DataFrame, c: str, value_col: str, target: str, how: str) -> DataFrame:
+    """Add ``target`` = ``value_col`` of the dictionary rows (column, value, ...) of column ``c``."""
+    own = table.filter(F.col("column") == F.lit(c)).select(F.col("value").alias(c), F.col(value_col).alias(f"_new_{c}"))
+    joined = attach(out, own, [c], how=how, null_safe=how == "left")
+    return joined.withColumn(target, F.col(f"_new_{c}")).drop(f"_new_{c}")
+
+
 # ------------------------------------------------------------------ label encoding (FE-1)
 def label_codes(df: DataFrame, cols: list[str] | str) -> DataFrame:
     """(column, value, code): code = position among the sorted distinct values of that
@@ -49,26 +50,27 @@ def label_codes(df: DataFrame, cols: list[str] | str) -> DataFrame:
     return ranked.drop("_null")
 
 
-def _join_codes(out: DataFrame, codes: DataFrame, c: str, code_col: str, target: str,
-                how: str) -> DataFrame:
-    lk = codes.filter(F.col("column") == F.lit(c)).select(
-        F.col("value").alias(f"_v_{c}"), F.col(code_col).alias(f"_code_{c}"))
-    cond = out[c].eqNullSafe(lk[f"_v_{c}"]) if how == "left" else out[c] == lk[f"_v_{c}"]
-    joined = out.join(lk, cond, how)
-    return joined.withColumn(target, F.col(f"_code_{c}")).drop(f"_v_{c}", f"_code_{c}")
+def label_fit(df: DataFrame, cols: list[str]) -> list[tuple[list[str], DataFrame]]:
+    """The training dictionaries: per column type (columns, written (column, value, code) table)."""
+    return [(group, materialised(label_codes(df, group).withColumn("code", F.col("code").cast("int"))))
+            for group in by_type(df, cols)]
 
 
-def label_encode(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame:
-    """Replace (or add, with ``suffix``) integer codes by sorted value from 0; NULL gets the
-    last code (number of distinct values). One ranking per column type, joined NULL-safely."""
+def label_transform(df: DataFrame, fitted, suffix: str = "") -> DataFrame:
+    """Codes of the training dictionary for any rows; values it does not hold get NULL."""
     out = df
-    for group in _by_type(df, cols):
-        codes = label_codes(df, group).withColumn("code", F.col("code").cast("int"))
+    for group, codes in fitted:
         for c in group:
-            out = _join_codes(out, codes, c, "code", f"{c}{suffix}", "left")
+            out = _attach_column(out, codes, c, "code", f"{c}{suffix}", "left")
     return out
 
 
+def label_encode(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame:
+    """Replace (or add, with ``suffix``) integer codes by sorted value from 0; NULL gets the
+    last code (number of distinct values). One ranking per column type, joined NULL-safely."""
+    return label_transform(df, label_fit(df, cols), suffix)
+
+
 # ------------------------------------------------------------------ string index (FE-2)
 def string_index_table(df: DataFrame, cols: list[str] | str) -> DataFrame:
     """(column, value, index): by descending frequency, ties alphabetical (the StringIndexer
@@ -81,102 +83,91 @@ def string_index_table(df: DataFrame, cols: list[str] | str) -> DataFrame:
     return ranked.select("column", "value", F.col("index").cast("double").alias("index"))
 
 
-def index_strings(df: DataFrame, cols: list[str], suffix: str = "_index") -> DataFrame:
-    """Add ``<col>_index``; rows with NULL or unseen values are skipped (inner join), as
-    ``StringIndexer(handleInvalid='skip')`` does."""
+def index_fit(df: DataFrame, cols: list[str]) -> list[tuple[list[str], DataFrame]]:
+    return [(group, materialised(string_index_table(df, group))) for group in by_type(df, cols)]
+
+
+def index_transform(df: DataFrame, fitted, suffix: str = "_index", how: str = "inner") -> DataFrame:
+    """Indexes of the training dictionary; rows with NULL or unseen values are skipped (``inner``)
+    or get NULL (``left``)."""
     out = df
-    for group in _by_type(df, cols):
-        table = string_index_table(df, group)
+    for group, table in fitted:
         for c in group:
-            out = _join_codes(out, table, c, "index", f"{c}{suffix}", "inner")
+            out = _attach_column(out, table, c, "index", f"{c}{suffix}", how)
     return out
 
 
+def index_strings(df: DataFrame, cols: list[str], suffix: str = "_index") -> DataFrame:
+    """Add ``<col>_index``; rows with NULL or unseen values are skipped (inner join), as
+    ``StringIndexer(handleInvalid='skip')`` does."""
+    return index_transform(df, index_fit(df, cols), suffix)
+
+
 # ------------------------------------------------------------------ frequency encoding (FE-3)
-def frequency_lookup(df: DataFrame, col: str, total: int | None = None) -> DataFrame:
+def frequency_lookup(df: DataFrame, col: str) -> DataFrame:
     """(value, n_rows, frequency) with NULL as its own group."""
-    total = total if total is not None else df.count()
-    return (df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
-            .withColumn("frequency", F.col("n_rows").cast("double") / F.lit(float(total))))
+    return frequency_table(df, col).withColumnRenamed(col, "value")
 
 
 def join_frequency(df: DataFrame, lookup: DataFrame, col: str, out: str) -> DataFrame:
     """Left, NULL-safe equi-join of the rows with a frequency lookup (JN-1)."""
-    lk = lookup.select(F.col("value").alias(f"_v_{col}"), F.col("frequency").alias(out))
-    return df.join(lk, df[col].eqNullSafe(lk[f"_v_{col}"]), "left").drop(f"_v_{col}")
-
-
-HLL_RSD = 0.05
-HLL_BAND = 5 * HLL_RSD
-
-
-def cardinality_screen(df: DataFrame, cols: list[str], threshold: int) -> tuple[list[str], int]:
-    """(columns with more than ``threshold`` groups, row count), NULL being a group.
-
-    One job computes a HyperLogLog estimate per column (small fixed buffers, no Expand of the
-    rows per distinct aggregate) together with the row count; only columns whose estimate
-    falls inside the sketch's error band get an exact distinct count in a second job."""
-    row = df.agg(F.count(F.lit(1)).alias("_n"), *[
-        (F.approx_count_distinct(c, HLL_RSD) + F.max(F.col(c).isNull().cast("int"))).alias(f"a{i}")
-        for i, c in enumerate(cols)]).collect()[0]
-    decided, unsure = {}, []
-    for i, c in enumerate(cols):
-        est = row[f"a{i}"] or 0
-        if est > threshold * (1 + HLL_BAND) + 1:
-            decided[c] = True
-        elif est < threshold * (1 - HLL_BAND) - 1:
-            decided[c] = False
-        else:
-            unsure.append(c)
-    if unsure:
-        for r in high_cardinality(df, unsure, threshold).collect():
-            decided[r["column"]] = r["is_high"]
-    return [c for c in cols if decided[c]], row["_n"]
-
-
-def high_cardinality_columns(df: DataFrame, cols: list[str], threshold: int) -> list[str]:
-    return cardinality_screen(df, cols, threshold)[0] if cols else []
+    return attach(df, lookup.select(F.col("value").alias(col), F.col("frequency").alias(out)), [col], how="left")
+
+
+def frequency_fit(df: DataFrame, cols: list[str], threshold: int = 100):
+    """(columns with more than ``threshold`` groups, per column type (columns, written (column,
+    value, frequency) table)). The exact group counts come from the same (column, value) counts
+    that make the frequencies; NULL is a group."""
+    high, fitted = [], []
+    for group in by_type(df, cols):
+        counts = materialised(value_counts(df, group))
+        sums = counts.groupBy("column").agg(F.count(F.lit(1)).alias("groups"), F.sum("n_rows").alias("rows")).collect()
+        many = [r["column"] for r in sums if r["groups"] > threshold]
+        if many:
+            total = float(sums[0]["rows"])
+            fitted.append((many, counts.filter(F.col("column").isin(many)).withColumn(
+                "frequency", F.col("n_rows").cast("double") / F.lit(total))))
+            high += many
+    return [c for c in cols if c in high], fitted
+
+
+def frequency_transform(df: DataFrame, fitted, suffix: str = "_encoded") -> DataFrame:
+    """Replace each fitted column by ``<col>_encoded`` from the training counts; values they do not
+    hold get NULL."""
+    out = df
+    for group, table in fitted:
+        for c in group:
+            out = _attach_column(out, table, c, "frequency", f"{c}{suffix}", "left").drop(c)
+    return out
 
 
 def frequency_encode(df: DataFrame, cols: list[str], threshold: int = 100,
                      suffix: str = "_encoded") -> tuple[DataFrame, list[str]]:
     """Replace each column with more than ``threshold`` groups by ``<col>_encoded`` =
     share of rows with its value. Returns (frame, encoded columns)."""
-    if not cols:
-        return df, []
-    high, total = cardinality_screen(df, cols, threshold)
-    out = df
-    for group in _by_type(df, high):
-        # one aggregation over (column, value) for all same-typed encoded columns
-        lookup = (_long_values(df, group).groupBy("column", "value")
-                  .agg(F.count(F.lit(1)).alias("n_rows"))
-                  .withColumn("frequency", F.col("n_rows").cast("double") / F.lit(float(total))))
-        for c in group:
-            lk = lookup.filter(F.col("column") == F.lit(c)).select(
-                F.col("value").alias(f"_v_{c}"), F.col("frequency").alias(f"{c}{suffix}"))
-            out = out.join(lk, out[c].eqNullSafe(lk[f"_v_{c}"]), "left").drop(f"_v_{c}", c)
-    return out, high
+    high, fitted = frequency_fit(df, cols, threshold)
+    return frequency_transform(df, fitted, suffix), high
 
 
 # ------------------------------------------------------------------ scalers (FE-4, FE-5)
 def standard_scale_fit(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
-    """{col: (mean, population std)} from ONE aggregation."""
+    """{col: (mean, population std)} of the values that are not missing, from ONE aggregation."""
     exprs = {}
     for i, c in enumerate(cols):
-        exprs[f"m{i}"] = F.avg(F.col(c).cast("double"))
-        exprs[f"s{i}"] = F.stddev_pop(F.col(c).cast("double"))
+        exprs[f"m{i}"] = F.avg(present(df, c))
+        exprs[f"s{i}"] = F.stddev_pop(present(df, c))
     row = one_row(df, exprs)
     return {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)}
 
 
 def standard_scale_transform(df: DataFrame, stats: dict[str, tuple[float, float]]) -> DataFrame:
-    """z = (x - mean) / std; zero variance gives 0."""
+    """z = (x - mean) / std; zero variance gives 0; NULL and NaN stay what they are."""
     def z(c):
         mean, std = stats[c]
         if mean is None:
             return F.lit(None).cast("double")
         if not std:
-            return F.when(F.col(c).isNotNull(), F.lit(0.0))
+            return F.when(is_missing(df, c), F.col(c).cast("double")).otherwise(F.lit(0.0))
         return (F.col(c).cast("double") - F.lit(mean)) / F.lit(std)
     return df.withColumns({c: z(c) for c in stats})
 
@@ -195,8 +186,8 @@ def standard_scale(df: DataFrame, cols: list[str] | None = None, exclude=(),
 def minmax_fit(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
     exprs = {}
     for i, c in enumerate(cols):
-        exprs[f"lo{i}"] = F.min(F.col(c).cast("double"))
-        exprs[f"hi{i}"] = F.max(F.col(c).cast("double"))
+        exprs[f"lo{i}"] = F.min(present(df, c))
+        exprs[f"hi{i}"] = F.max(present(df, c))
     row = one_row(df, exprs)
     return {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(cols)}
 
@@ -208,7 +199,7 @@ def minmax_transform(df: DataFrame, stats: dict[str, tuple[float, float]]) -> Da
         if lo is None:
             return F.lit(None).cast("double")
         if hi == lo:
-            return F.when(F.col(c).isNotNull(), F.lit(0.5))
+            return F.when(is_missing(df, c), F.col(c).cast("double")).otherwise(F.lit(0.5))
         return (F.col(c).cast("double") - F.lit(lo)) / F.lit(hi - lo)
     return df.withColumns({c: mm(c) for c in stats})
 
@@ -242,13 +233,15 @@ def column_roles(df: DataFrame, label: str, ids=()) -> tuple[list[str], list[str
 
 
 def feature_pipeline(df: DataFrame, label: str, threshold: int = 100, ids=(),
-                     features_col: str = "features") -> tuple[Pipeline, DataFrame, list[str]]:
+                     features_col: str = "features", handle_invalid: str = "error",
+                     ) -> tuple[Pipeline, DataFrame, list[str]]:
     """Build the feature pipeline of the reference, Spark-first.
 
     High-cardinality categoricals are frequency-encoded by a join (``<c>_encoded``); the rest
     are string-indexed (skip invalid). Numerics are assembled and min-max scaled; the final
     vector is [indexes..., scaled numerics, encodings...]. ``ids`` stay out of the features
-    and in the frame. Returns (unfitted Pipeline, encoded frame, final input columns).
+    and in the frame. Missing values in the vectors raise unless ``handle_invalid`` says otherwise
+    (``skip`` or ``keep``). Returns (unfitted Pipeline, encoded frame, final input columns).
     """
     numeric, categorical = column_roles(df, label, ids)
     encoded_df, high = frequency_encode(df, categorical, threshold)
@@ -259,9 +252,9 @@ def feature_pipeline(df: DataFrame, label: str, threshold: int = 100, ids=(),
     inputs = [f"{c}_index" for c in rest]
     if numeric:
         stages.append(VectorAssembler(inputCols=numeric, outputCol="numeric_vec",
-                                      handleInvalid="keep"))
+                                      handleInvalid=handle_invalid))
         stages.append(MinMaxScaler(inputCol="numeric_vec", outputCol="numeric_scaled"))
         inputs.append("numeric_scaled")
     inputs += [f"{c}_encoded" for c in high]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol=features_col, handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=inputs, outputCol=features_col, handleInvalid=handle_invalid))
     return Pipeline(stages=stages), encoded_df, rest + numeric + [f"{c}_encoded" for c in high]

@@ -1,9 +1,10 @@
 """Training and tuning of Spark ML classifiers (ML-*), and the champion rule.
 
 Models are Spark ML ``PipelineModel``s (assembler + classifier), so a saved model scores raw
-feature columns. Fits read a narrow frame (feature vector, label, weight) that is spread over
-the task slots when the input is under-partitioned; a tuning run persists it (memory and
-disk) because it re-reads it once per fold and grid point, and releases it afterwards.
+feature columns. Fits read a narrow frame (feature vector, label, weight) laid out in a fixed number
+of partitions by the rows' own values, so bagging and splitting, which draw per partition, give the
+same model on any cluster; a tuning run persists it (memory and disk) because it re-reads it once per
+fold and grid point, and releases it afterwards. Cross-validation folds come from a hash of the row.
 """
 
 from __future__ import annotations
@@ -67,21 +68,27 @@ def _assembler(features: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="error")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Iterative fits re-read their input once per iteration; an input with fewer partitions
-    than task slots (e.g. one large row group) is spread once by a round-robin shuffle.
-    Inputs that are already split wider are left as they are."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+#: Partitions of a training frame; more for larger inputs, but never read off the cluster.
+PARTITIONS = 32
+FOLD = "_fold"
 
 
-def _training_frame(df: DataFrame, features: list[str], label: str,
-                    weight: str | None = None) -> tuple[VectorAssembler, DataFrame]:
-    """Assemble the feature vector and keep only what the fit reads (vector, label, weight),
-    so that spreading and caching move the narrow rows, not the raw table."""
+def laid_out(df: DataFrame, cols: list[str], partitions: int = PARTITIONS) -> DataFrame:
+    """Rows hashed to ``partitions`` by the values of ``cols`` and sorted by them: the layout depends
+    on the rows and the parameter alone."""
+    return df.repartition(partitions, *cols).sortWithinPartitions(*cols)
+
+
+def _training_frame(df: DataFrame, features: list[str], label: str, weight: str | None = None,
+                    partitions: int = PARTITIONS, folds: int = 0) -> tuple[VectorAssembler, DataFrame]:
+    """The feature vector and what else a fit reads (label, weight, fold), narrow and laid out."""
     assembler = _assembler(features)
-    cols = [FEATURES, label] + ([weight] if weight else [])
-    return assembler, spread(assembler.transform(df).select(*cols))
+    cols = [*features, label] + ([weight] if weight else [])
+    narrow = df.select(*cols)
+    if folds:
+        narrow = narrow.withColumn(FOLD, F.pmod(F.xxhash64(*cols), F.lit(folds)).cast("int"))
+    frame = assembler.transform(laid_out(narrow, cols, partitions))
+    return assembler, frame.select(FEATURES, label, *([weight] if weight else []), *([FOLD] if folds else []))
 
 
 def train(df: DataFrame, family: str, label: str, features: list[str], weight: str | None = None,
@@ -126,13 +133,13 @@ def tune(df: DataFrame, family: str, label: str, features: list[str], grid: dict
                                            metricName=metric)
     if method == "cv":
         tuner = CrossValidator(estimator=target, estimatorParamMaps=maps, evaluator=ev,
-                               numFolds=folds, parallelism=parallelism, seed=seed)
+                               numFolds=folds, parallelism=parallelism, seed=seed, foldCol=FOLD)
     elif method == "tvs":
         tuner = TrainValidationSplit(estimator=target, estimatorParamMaps=maps, evaluator=ev,
                                      trainRatio=ratio, parallelism=parallelism, seed=seed)
     else:
         raise ValueError(f"unknown tuning method {method!r}")
-    assembler, frame = _training_frame(df, features, label, weight)
+    assembler, frame = _training_frame(df, features, label, weight, folds=folds if method == "cv" else 0)
     cached = frame.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fitted = tuner.fit(cached)

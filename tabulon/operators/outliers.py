@@ -15,6 +15,12 @@ from tabulon.plans.multicolumn import per_column_agg
 FLAG_SUFFIX = "_is_outlier"
 
 
+def fence_pair(q1: float, q3: float, k: float = 1.5) -> tuple[float, float]:
+    """(lower, upper); an infinite quartile leaves its side open (Inf - Inf is no fence)."""
+    lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
+    return (-math.inf if math.isnan(lo) else lo), (math.inf if math.isnan(hi) else hi)
+
+
 def fences(df: DataFrame, cols: list[str], k: float = 1.5, method: str = "linear",
            rel_err: float = 1e-4) -> dict[str, tuple[float, float]]:
     """{column: (lower, upper)} = Q1 - k*IQR, Q3 + k*IQR; all columns in the same jobs."""
@@ -22,7 +28,7 @@ def fences(df: DataFrame, cols: list[str], k: float = 1.5, method: str = "linear
     out = {}
     for c in cols:
         q1, q3 = q[(c, 0.25)], q[(c, 0.75)]
-        out[c] = (None, None) if q1 is None else (q1 - k * (q3 - q1), q3 + k * (q3 - q1))
+        out[c] = (None, None) if q1 is None else fence_pair(q1, q3, k)
     return out
 
 

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.functions.columns import (
-    is_float_type, is_infinite, is_missing, is_numeric_type, safe_ratio,
+    is_float_type, is_infinite, is_missing, is_numeric_type, present,
 )
+from tabulon.operators.outliers import fence_pair
 from tabulon.operators.quantiles import quantile_values
+from tabulon.plans.lookup import materialised
 from tabulon.plans.multicolumn import one_row, per_column_agg
 
 
@@ -42,10 +50,6 @@ def class_counts(df: DataFrame, col: str, out: str = "n_rows") -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias(out))
 
 
-def total_rows(df: DataFrame) -> int:
-    return df.count()
-
-
 def class_distribution(df: DataFrame, col: str) -> DataFrame:
     """(label, n_rows, share, pct, pct_2dp). The total is summed over the class table (one row
     per class, so the window spans K rows), which saves a second scan of the input.
@@ -60,10 +64,11 @@ def class_distribution(df: DataFrame, col: str) -> DataFrame:
 
 
 def frequency_table(df: DataFrame, col: str) -> DataFrame:
-    """(value, n_rows, frequency = n_rows / N); NULL is a group."""
-    total = total_rows(df)
-    return class_counts(df, col).withColumn(
-        "frequency", F.col("n_rows").cast("double") / F.lit(float(total)))
+    """(value, n_rows, frequency = n_rows / N); NULL is a group. N is the sum of the written
+    counts, so the rows are read once."""
+    counts = materialised(class_counts(df, col))
+    total = counts.agg(F.sum("n_rows")).first()[0] or 0
+    return counts.withColumn("frequency", F.col("n_rows").cast("double") / F.lit(float(total)))
 
 
 def quantile_table(df: DataFrame, cols: list[str], probs: list[float],
@@ -75,23 +80,24 @@ def quantile_table(df: DataFrame, cols: list[str], probs: list[float],
 
 def box_stats(df: DataFrame, cols: list[str], k: float = 1.5) -> DataFrame:
     """(column, q1, median, q3, whisker_lo, whisker_hi, n_fliers): exact quartiles, then ONE
-    aggregation for whiskers (furthest points inside the fences) and flier counts."""
+    aggregation for whiskers (furthest points inside the fences) and flier counts. NULL and NaN
+    are no points."""
     q = quantile_values(df, cols, [0.25, 0.5, 0.75], "linear")
     stats = {}
     for c in cols:
         q1, q3 = q[(c, 0.25)], q[(c, 0.75)]
-        lo, hi = (q1 - k * (q3 - q1), q3 + k * (q3 - q1)) if q1 is not None else (None, None)
+        lo, hi = fence_pair(q1, q3, k) if q1 is not None else (None, None)
         stats[c] = (q1, q[(c, 0.5)], q3, lo, hi)
 
     def inside(c):
         lo, hi = stats[c][3], stats[c][4]
-        return (F.col(c) >= F.lit(lo)) & (F.col(c) <= F.lit(hi))
+        return (present(df, c) >= F.lit(lo)) & (present(df, c) <= F.lit(hi))
 
     out = per_column_agg(df, cols, {
         "whisker_lo": lambda c: F.min(F.when(inside(c), F.col(c).cast("double"))),
         "whisker_hi": lambda c: F.max(F.when(inside(c), F.col(c).cast("double"))),
-        "n_fliers": lambda c: F.count_if((F.col(c) < F.lit(stats[c][3]))
-                                         | (F.col(c) > F.lit(stats[c][4]))),
+        "n_fliers": lambda c: F.count_if((present(df, c) < F.lit(stats[c][3]))
+                                         | (present(df, c) > F.lit(stats[c][4]))),
     }, {"whisker_lo": "double", "whisker_hi": "double", "n_fliers": "long"})
     lit_map = lambda i: F.create_map(*[x for c in cols for x in (
         F.lit(c), F.lit(stats[c][i]).cast("double"))])
@@ -102,88 +108,108 @@ def box_stats(df: DataFrame, cols: list[str], k: float = 1.5) -> DataFrame:
 
 
 def histogram_by(df: DataFrame, col: str, by: str, bins: int = 50) -> DataFrame:
-    """Stacked histogram: ``bins`` equal bins on the global [min, max] (last bin closed),
-    counted per ``by`` value. A constant column puts everything in bin 0."""
-    mm = one_row(df, {"lo": F.min(F.col(col).cast("double")),
-                      "hi": F.max(F.col(col).cast("double"))})
-    lo, hi = mm["lo"], mm["hi"]
+    """Stacked histogram: ``bins`` equal bins on the global finite [min, max] (last bin closed),
+    counted per ``by`` value. A constant column puts everything in bin 0. NaN and infinite values
+    are counted in a row of their own with bin NULL; NULL is not counted."""
     x = F.col(col).cast("double")
+    finite = F.when(~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))), x)
+    mm = one_row(df, {"lo": F.min(finite), "hi": F.max(finite)})
+    lo, hi = mm["lo"], mm["hi"]
     if lo is None or hi == lo:
-        b = F.lit(0)
-        width = 0.0
+        b = F.when(finite.isNotNull(), F.lit(0))
+        lo, width = lo or 0.0, 0.0
     else:
-        b = F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(bins))),
-                    F.lit(bins - 1)).cast("int")
-        width = hi - lo
+        half = 1.0 if math.isfinite(hi - lo) else 2.0  # the range may exceed the largest double
+        width = hi / half - lo / half
+        place = F.floor((finite / half - F.lit(lo / half)) / F.lit(width) * F.lit(float(bins)))
+        b = F.when(finite.isNotNull(), F.least(place, F.lit(bins - 1))).cast("int")
+        width *= half
     counted = (df.filter(F.col(col).isNotNull()).groupBy(by, b.alias("bin"))
                .agg(F.count(F.lit(1)).alias("n_rows")))
     lo_edge = F.lit(lo) + F.lit(width) * F.col("bin").cast("double") / F.lit(float(bins))
     return counted.withColumn("bin_lo", lo_edge)
 
 
-def _corr_expr(a: str, b: str):
-    """Pairwise-complete Pearson correlation, NULL when either side is constant on the
-    pair's complete rows. Built from ``covar_pop`` / ``stddev_pop`` because ``corr`` raises
-    DIVIDE_BY_ZERO for a constant side under ANSI mode. Costs three central-moment
-    aggregates, so it is used only for pairs that may be constant."""
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    xa, xb = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
-    return F.try_divide(F.covar_pop(xa, xb), F.stddev_pop(xa) * F.stddev_pop(xb))
-
-
-def _safe_pairs(df: DataFrame, cols: list[str]) -> set[str]:
-    """Columns proven non-constant on every pairwise-complete row set: no NULL/NaN at all and
-    min < max. One cheap min/max/count aggregation (codegen-friendly)."""
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                 F.count_if(x.isNull() | F.isnan(x)).alias(f"m{i}")]
-    row = df.agg(*aggs).collect()[0]
-    return {c for i, c in enumerate(cols)
-            if row[f"m{i}"] == 0 and row[f"lo{i}"] is not None and row[f"lo{i}"] < row[f"hi{i}"]}
-
-
-def _pair_corr(a: str, b: str, safe: set[str]):
-    if a in safe and b in safe:
-        return F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
-    return _corr_expr(a, b)
+#: A variance below this share of the second moment is rounding: the side counts as constant.
+CONSTANT = 1e-12
+
+
+def _pairwise(df: DataFrame, cols: list[str]) -> dict[tuple[str, str], float | None]:
+    """Pairwise-complete Pearson correlations (NULL and NaN missing; None where a side is constant
+    or a pair has no complete row).
+
+    All sums over pairs are blocks of one Gramian over the vectors (present, x, x squared), x = 0
+    where missing and shifted by the column's mean: two jobs and 3K x 3K numbers on the driver,
+    whatever the number of rows. No aggregate expression per pair, so the plan does not grow with
+    K squared."""
+    values = [present(df, c) for c in cols]
+    row = one_row(df, {f"{k}{i}": f(v) for i, v in enumerate(values)
+                       for k, f in (("lo", F.min), ("hi", F.max), ("mean", F.avg))})
+    shift = [row[f"lo{i}"] if row[f"lo{i}"] == row[f"hi{i}"] else row[f"mean{i}"] for i in range(len(cols))]
+    shift = [s if s is not None and math.isfinite(s) else 0.0 for s in shift]
+    moved = [F.coalesce(v - F.lit(s), F.lit(0.0)) for v, s in zip(values, shift)]
+    vector = array_to_vector(F.array(*[v.isNotNull().cast("double") for v in values], *moved,
+                                     *[m * m for m in moved])).alias("v")
+    matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(df.select(vector), "v"))
+    k = len(cols)
+    g = matrix.computeGramianMatrix().toArray() if not df.isEmpty() else np.zeros((3 * k, 3 * k))
+    n, s, ss, cross = g[:k, :k], g[k:2 * k, :k], g[2 * k:, :k], g[k:2 * k, k:2 * k]
+    out = {}
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            m = n[i, j]
+            if not m:
+                out[a, b] = None
+                continue
+            va, vb = ss[i, j] - s[i, j] ** 2 / m, ss[j, i] - s[j, i] ** 2 / m
+            if va <= CONSTANT * ss[i, j] or vb <= CONSTANT * ss[j, i]:
+                out[a, b] = None
+            else:
+                out[a, b] = float((cross[i, j] - s[i, j] * s[j, i] / m) / math.sqrt(va * vb))
+    return out
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(col_a, col_b, corr) for every ordered pair, from ONE aggregation over the pairs i<=j
-    (plus one min/max job that lets proven non-constant pairs use the built-in ``corr``)."""
-    safe = _safe_pairs(df, cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = df.agg(*[_pair_corr(a, b, safe).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
-    rows = []
-    for i, (a, b) in enumerate(pairs):
-        rows.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                             F.col(f"_c{i}").alias("corr")))
-        if a != b:
-            rows.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"),
-                                 F.col(f"_c{i}").alias("corr")))
-    return wide.select(F.inline(F.array(*rows)))
+    """(col_a, col_b, corr) for every ordered pair of columns."""
+    found = _pairwise(df, cols)
+    return df.sparkSession.createDataFrame([(a, b, found[a, b]) for a in cols for b in cols],
+                                           "col_a string, col_b string, corr double")
 
 
 def target_correlation(df: DataFrame, target: str, cols: list[str]) -> DataFrame:
-    """(column, corr) of each feature with the target; NULL/NaN dropped, ascending, target
+    """(column, corr) of each feature with the target; undefined ones dropped, ascending, target
     itself removed."""
     feats = [c for c in cols if c != target]
-    safe = _safe_pairs(df, [*feats, target])
-    out = per_column_agg(df, feats, {"corr": lambda c: _pair_corr(c, target, safe)},
-                         {"corr": "double"})
-    return out.filter(F.col("corr").isNotNull() & ~F.isnan("corr")).orderBy("corr")
-
-
-def high_cardinality(df: DataFrame, cols: list[str], threshold: int = 100,
-                     approx: bool = False) -> DataFrame:
-    """(column, n_groups, is_high): number of groups (NULL counts as one) vs threshold."""
-    def groups(c):
-        distinct = F.approx_count_distinct(c) if approx else F.count_distinct(F.col(c))
-        return distinct + F.max(F.col(c).isNull().cast("int"))
-    out = per_column_agg(df, cols, {"n_groups": groups}, {"n_groups": "long"})
-    return out.withColumn("is_high", F.col("n_groups") > F.lit(threshold))
+    found = _pairwise(df, [target, *feats])
+    rows = [(c, found[c, target]) for c in feats]
+    rows = [r for r in rows if r[1] is not None and not math.isnan(r[1])]
+    return df.sparkSession.createDataFrame(sorted(rows, key=lambda r: r[1]), "column string, corr double")
+
+
+def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, value, n_rows) of same-typed columns, NULL a value: one aggregation, no Expand."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in cols])
+    return (df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+def by_type(df: DataFrame, cols: list[str]) -> list[list[str]]:
+    """Columns grouped by data type, so that each group unpivots into one value column."""
+    groups: dict[str, list[str]] = {}
+    for c in cols:
+        groups.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    return list(groups.values())
+
+
+def high_cardinality(df: DataFrame, cols: list[str], threshold: int = 100) -> DataFrame:
+    """(column, n_groups, is_high): exact number of groups (NULL counts as one) vs threshold, from
+    the (column, value) counts."""
+    out = None
+    for group in by_type(df, cols):
+        part = value_counts(df, group).groupBy("column").agg(F.count(F.lit(1)).alias("n_groups"))
+        out = part if out is None else out.unionByName(part)
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    counted = names.join(out, "column", "left").withColumn("n_groups", F.coalesce("n_groups", F.lit(0)))
+    return counted.withColumn("is_high", F.col("n_groups") > F.lit(threshold))
 
 
 def min_positive_score(df: DataFrame, prediction: str = "prediction", score: str = "score",

@@ -7,16 +7,23 @@
 ``method='approx'``  Greenwald-Khanna sketch via ``approxQuantile`` (one pass, bounded memory,
                      rank error ``rel_err``).
 
-The exact methods never gather a column (or its distinct values) into one task. They run a
-distributed selection: one job gets count/min/max of every column; then each round bins the
-rows that can still hold a wanted order statistic into ``bins`` equal-width bins per probe
+The exact methods never gather a column (or its distinct values) into one task or the driver. They
+run a distributed selection: one job gets count / min / max of every column; then each round bins
+the rows that can still hold a wanted order statistic into about ``bins`` bins per probe
 (``groupBy(probe, bin).agg(count, min, max)`` with map-side partial aggregation, so the driver
-receives at most probes x bins small rows), keeps only the bin that holds the wanted rank, and
-stops when that bin holds a single distinct value or at most 50k rows, sorted as one
-bounded array. Each round shrinks the candidate range by about ``bins`` x, so 10^12 rows need
-about four scans; every round first filters to the candidate ranges with literals of the
-column's type, which Parquet receives as pushed filters (row groups outside every range are
-skipped). +/-Inf get their own end bins; NULL and NaN are ignored, as in ``approxQuantile``.
+receives at most probes x bins small rows whatever the bins hold), keeps only the bin of the wanted
+rank, and stops when that bin holds a single value. The ends of a range fall in different bins, so
+every round makes progress.
+
+* Integral columns are binned in exact decimal arithmetic and never pass through a double: the
+  range shrinks by ``bins`` a round, 64 bits take six rounds at most.
+* Floating columns are binned linearly; a probe whose rows hardly thinned out in a round (values of
+  many magnitudes) is binned by sign and power of two once, after which linear bins thin them out.
+  +/-Inf have bins of their own. Ranges wider than the largest double are halved first.
+* NULL and NaN are ignored, as in ``approxQuantile``.
+
+Every round first filters to the candidate ranges with literals of the column's type, which Parquet
+receives as pushed filters.
 """
 
 from __future__ import annotations
@@ -30,7 +37,7 @@ from pyspark.sql import types as T
 from tabulon.functions.columns import is_float_type
 
 DEFAULT_BINS = 2048
-FINISH_ROWS = 50_000
+_INF = "CAST('Infinity' AS DOUBLE)"
 
 
 def _q(c: str) -> str:
@@ -42,20 +49,25 @@ def _lit(x: float) -> str:
     if math.isnan(x):
         return "CAST('NaN' AS DOUBLE)"
     if math.isinf(x):
-        return "CAST('Infinity' AS DOUBLE)" if x > 0 else "CAST('-Infinity' AS DOUBLE)"
+        return _INF if x > 0 else f"(-{_INF})"
     return f"({repr(float(x))}D)"
 
 
-def _typed(df: DataFrame, c: str, x: float) -> str:
-    """Literal in the column's own type where that is exact (range ends are data values), so
-    the comparison needs no cast and reaches the Parquet reader as a pushed filter."""
-    if isinstance(df.schema[c].dataType, T.IntegralType) and math.isfinite(x):
-        return f"CAST({int(x)} AS {df.schema[c].dataType.simpleString()})"
+def _is_integral(df: DataFrame, c: str) -> bool:
+    return isinstance(df.schema[c].dataType, T.IntegralType)
+
+
+def _typed(df: DataFrame, c: str, x) -> str:
+    """Literal in the column's own type (range ends are data values), so that the comparison needs
+    no cast and reaches the Parquet reader as a pushed filter."""
+    if _is_integral(df, c):
+        return f"CAST('{int(x)}' AS {df.schema[c].dataType.simpleString()})"
     return _lit(x)
 
 
-def _xd(c: str) -> str:
-    return f"CAST({_q(c)} AS DOUBLE)"
+def _value(df: DataFrame, c: str) -> str:
+    """The column as it is compared: integral columns as BIGINT, all others as DOUBLE."""
+    return f"CAST({_q(c)} AS {'BIGINT' if _is_integral(df, c) else 'DOUBLE'})"
 
 
 def _valid_sql(df: DataFrame, c: str) -> str:
@@ -71,236 +83,146 @@ def _ranks(n: int, p: float, method: str) -> list[int]:
     return [max(int(math.ceil(n * p)) - 1, 0)]
 
 
-def _bin_sql(x: str, fa, fb, bins: int) -> str:
-    """Bin of x: -Inf -> -1, +Inf -> bins, finite values in ``bins`` equal-width bins over
-    the finite range [fa, fb] (monotone in x)."""
-    if fa is None or fa == fb:
+def _integral_bin(x: str, lo: int, hi: int, bins: int) -> str:
+    """Exact: (x - lo) * bins div (hi - lo + 1)."""
+    shifted = f"(CAST({x} AS DECIMAL(20,0)) - CAST('{lo}' AS DECIMAL(20,0)))"
+    return f"CAST(({shifted} * {bins}) div CAST('{hi - lo + 1}' AS DECIMAL(20,0)) AS INT)"
+
+
+def _floating_bin(x: str, lo: float | None, hi: float | None, bins: int, by_power: bool) -> str:
+    """Monotone in x: -Inf and +Inf at the ends, finite values in between, linearly over the finite
+    range [lo, hi] or by sign and power of two."""
+    if lo is None or lo == hi:
         finite = "0"
+    elif by_power:
+        power = f"CAST(floor(log2(abs({x}))) AS INT) + 1100"
+        finite = f"CASE WHEN {x} = 0 THEN 0 WHEN {x} < 0 THEN -({power}) ELSE {power} END"
     else:
-        finite = (f"least(greatest(floor(({x} - {_lit(fa)}) / {_lit(fb - fa)} * {bins}.0D), 0), "
+        half = "" if math.isfinite(hi - lo) else " / 2"
+        low, width = (lo, hi - lo) if not half else (lo / 2, hi / 2 - lo / 2)
+        finite = (f"least(greatest(floor(({x}{half} - {_lit(low)}) / {_lit(width)} * {bins}.0D), 0), "
                   f"{bins - 1})")
-    return (f"CAST(CASE WHEN {x} = CAST('-Infinity' AS DOUBLE) THEN -1 "
-            f"WHEN {x} = CAST('Infinity' AS DOUBLE) THEN {bins} ELSE {finite} END AS INT)")
+    return (f"CAST(CASE WHEN {x} = -{_INF} THEN {-(1 << 20)} WHEN {x} = {_INF} THEN {1 << 20} "
+            f"ELSE {finite} END AS INT)")
+
+
+def _binned(df: DataFrame, probes: dict[int, tuple], bins: int) -> dict[int, list]:
+    """One job for probes over columns of one kind: {probe: [(bin, n, min, max, finite min, finite
+    max)]}, ascending."""
+    entries, ranges = [], []
+    for j, (c, lo, hi, flo, fhi, by_power) in probes.items():
+        x = _value(df, c)
+        inside = f"{_q(c)} >= {_typed(df, c, lo)} AND {_q(c)} <= {_typed(df, c, hi)}"
+        place = (_integral_bin(x, lo, hi, bins) if _is_integral(df, c)
+                 else _floating_bin(x, flo, fhi, bins, by_power))
+        ranges.append(f"({inside})")
+        entries.append(f"CASE WHEN {inside} THEN named_struct('p', {j}, 'b', {place}, 'x', {x}) END")
+    # a plain OR of column ranges: Parquet skips row groups whose min/max miss every range; plain
+    # explode + filter: a higher-order filter() is interpreted, not codegen'd
+    rows = (df.filter(" OR ".join(ranges)).select(F.expr(f"explode(array({', '.join(entries)})) AS e"))
+            .filter("e IS NOT NULL").selectExpr("e.p", "e.b", "e.x").groupBy("p", "b")
+            .agg(F.expr("count(1) AS n"), F.expr("min(x) AS lo"), F.expr("max(x) AS hi"),
+                 F.expr(f"min(CASE WHEN abs(CAST(x AS DOUBLE)) != {_INF} THEN x END) AS flo"),
+                 F.expr(f"max(CASE WHEN abs(CAST(x AS DOUBLE)) != {_INF} THEN x END) AS fhi")).collect())
+    out: dict[int, list] = {}
+    for r in rows:
+        out.setdefault(r["p"], []).append((r["b"], r["n"], r["lo"], r["hi"], r["flo"], r["fhi"]))
+    return {j: sorted(v, key=lambda t: t[0]) for j, v in out.items()}
 
 
 def order_statistics(df: DataFrame, wanted: dict[str, set[int]], counts: dict[str, int],
-                     bounds: dict[str, tuple], bins: int = DEFAULT_BINS,
-                     finish_rows: int = FINISH_ROWS) -> dict[tuple[str, int], float]:
-    """Values at 0-based ranks (ascending, NULL/NaN excluded) for each column, distributed.
+                     bounds: dict[str, tuple], bins: int = DEFAULT_BINS) -> dict[tuple[str, int], float]:
+    """Values at 0-based ranks (ascending, NULL/NaN excluded) for each column, distributed: ints for
+    integral columns, else floats.
 
-    ``bounds[c]`` = (min, max, finite min, finite max) of the valid values. Expressions are
-    built as SQL text: one gateway call per probe instead of dozens."""
-    state = {}
+    ``bounds[c]`` = (min, max, finite min, finite max) of the valid values."""
     result: dict[tuple[str, int], float] = {}
+    state = {}  # (column, rank) -> (range, rows below it, rows in it, bin by power of two)
     for c, ranks in wanted.items():
-        lo, hi, flo, fhi = bounds[c]
         for r in ranks:
-            if lo == hi:
-                result[(c, r)] = float(lo)
+            if bounds[c][0] == bounds[c][1]:
+                result[(c, r)] = bounds[c][0]
             else:
-                state[(c, r)] = ((lo, hi, flo, fhi), 0, counts[c])
+                state[(c, r)] = (bounds[c], 0, counts[c], False)
     while state:
         probes: dict[tuple, int] = {}
-        sizes: dict[int, int] = {}
-        for (c, _r), (iv, _below, n) in state.items():
-            j = probes.setdefault((c, *iv), len(probes))
-            sizes[j] = n
-        by_id = {j: key for key, j in probes.items()}
-        finish = {j for j, n in sizes.items() if n <= finish_rows}
-
-        def candidates(ids):
-            """Rows inside some probe's range: a plain OR of column ranges, so Parquet skips
-            row groups whose min/max miss every range and the per-probe expressions only
-            see candidate rows."""
-            ranges = []
-            for j in ids:
-                c, a, b, _fa, _fb = by_id[j]
-                ranges.append(f"({_q(c)} >= {_typed(df, c, a)} AND {_q(c)} <= {_typed(df, c, b)})")
-            return df.filter(" OR ".join(ranges))
+        for (c, _), (span, _, _, by_power) in state.items():
+            probes.setdefault((c, *span, by_power), len(probes))
         hist: dict[int, list] = {}
-        wide = [j for j in by_id if j not in finish]
-        if wide:
-            entries = []
-            for j in wide:
-                c, a, b, fa, fb = by_id[j]
-                x = _xd(c)
-                entries.append(f"CASE WHEN {x} >= {_lit(a)} AND {x} <= {_lit(b)} THEN "
-                               f"named_struct('p', {j}, 'b', {_bin_sql(x, fa, fb, bins)}, 'x', {x}) END")
-            # plain explode + filter: a higher-order filter() is interpreted, not codegen'd
-            exploded = (candidates(wide).select(F.expr(f"explode(array({', '.join(entries)})) AS e"))
-                        .filter("e IS NOT NULL").selectExpr("e.p", "e.b", "e.x"))
-            hist_rows = (exploded.groupBy("p", "b").agg(
-                F.expr("count(1) AS n"), F.expr("min(x) AS lo"), F.expr("max(x) AS hi"),
-                F.expr("min(CASE WHEN abs(x) != CAST('Infinity' AS DOUBLE) THEN x END) AS flo"),
-                F.expr("max(CASE WHEN abs(x) != CAST('Infinity' AS DOUBLE) THEN x END) AS fhi"))
-                .collect())
-            for row in hist_rows:
-                hist.setdefault(row["p"], []).append(
-                    (row["b"], row["n"], row["lo"], row["hi"], row["flo"], row["fhi"]))
-        sorted_vals: dict[int, list[float]] = {}
-        if finish:
-            aggs = []
-            for j in sorted(finish):
-                c, a, b, _fa, _fb = by_id[j]
-                x = _xd(c)
-                aggs.append(F.expr(f"sort_array(collect_list(CASE WHEN {x} >= {_lit(a)} AND "
-                                   f"{x} <= {_lit(b)} THEN {x} END)) AS v{j}"))
-            row = candidates(sorted(finish)).agg(*aggs).collect()[0]
-            sorted_vals = {j: row[f"v{j}"] for j in sorted(finish)}
-        next_state = {}
-        for (c, r), (iv, below, _n) in state.items():
-            j = probes[(c, *iv)]
+        for integral in (False, True):
+            some = {j: key for key, j in probes.items() if _is_integral(df, key[0]) == integral}
+            if some:
+                hist |= _binned(df, some, bins)
+        following = {}
+        for (c, r), (span, below, n, by_power) in state.items():
             local = r - below
-            if j in sorted_vals:
-                result[(c, r)] = float(sorted_vals[j][local])
-                continue
-            cum = 0
-            for _b, cnt, lo, hi, flo, fhi in sorted(hist[j]):
-                if local < cum + cnt:
-                    if lo == hi:
-                        result[(c, r)] = float(lo)
+            for _, count, *inner in hist[probes[(c, *span, by_power)]]:
+                if local < count:
+                    if inner[0] == inner[1]:
+                        result[(c, r)] = inner[0]
                     else:
-                        next_state[(c, r)] = ((lo, hi, flo, fhi), below + cum, cnt)
+                        crowded = count > n // 2 and not by_power
+                        following[(c, r)] = (tuple(inner), r - local, count, crowded)
                     break
-                cum += cnt
-        state = next_state
+                local -= count
+        state = following
     return result
 
 
-SKETCH_ACCURACY = 10_000
-# Opt-in: seeding brackets with a GK sketch saves one pass (2 instead of 3 at moderate sizes)
-# but maintaining the sketch cost more than the saved pass on local disk (measured: ~4 s vs
-# ~1.9 s warm for 4 columns x 600k rows). Raise this limit where scans are I/O bound.
-SKETCH_MAX_BYTES = 0
-
-
-def _sketch_worthwhile(df: DataFrame) -> bool:
-    """Catalyst's size estimate (no job): GK brackets are only added to the first pass for
-    inputs small enough that a bracket can be finished in one more pass."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # estimate unavailable: keep the plain selection
-        return False
-    return size <= SKETCH_MAX_BYTES
-
-
-def _bracket(p: float) -> tuple[float, float]:
-    d = 3.0 / SKETCH_ACCURACY
-    return max(0.0, p - d), min(1.0, p + d)
-
-
-def column_summary(df: DataFrame, cols: list[str],
-                   sketch_probs: dict[str, list[float]] | None = None):
-    """Count of valid values, (min, max, finite min, finite max) and, optionally, GK sketch
-    values at ``sketch_probs`` per column, all in one job."""
+def column_summary(df: DataFrame, cols: list[str]):
+    """Count of valid values and (min, max, finite min, finite max) per column, all in one job."""
     aggs = []
     for i, c in enumerate(cols):
-        x = f"CASE WHEN {_valid_sql(df, c)} THEN {_xd(c)} END"
-        fx = f"CASE WHEN {_valid_sql(df, c)} AND abs({_xd(c)}) != CAST('Infinity' AS DOUBLE) THEN {_xd(c)} END"
-        aggs.append(F.expr(f"count({x}) AS n{i}"))
-        aggs.append(F.expr(f"min({x}) AS lo{i}"))
-        aggs.append(F.expr(f"max({x}) AS hi{i}"))
-        aggs.append(F.expr(f"min({fx}) AS flo{i}"))
-        aggs.append(F.expr(f"max({fx}) AS fhi{i}"))
-        if sketch_probs and sketch_probs.get(c):
-            qs = ", ".join(f"{_lit(q)}" for q in sketch_probs[c])
-            aggs.append(F.expr(f"percentile_approx({x}, array({qs}), {SKETCH_ACCURACY}) AS sk{i}"))
+        x = f"CASE WHEN {_valid_sql(df, c)} THEN {_value(df, c)} END"
+        fx = f"CASE WHEN {_valid_sql(df, c)} AND abs(CAST({_q(c)} AS DOUBLE)) != {_INF} THEN {_value(df, c)} END"
+        aggs += [F.expr(f"count({x}) AS n{i}"), F.expr(f"min({x}) AS lo{i}"), F.expr(f"max({x}) AS hi{i}"),
+                 F.expr(f"min({fx}) AS flo{i}"), F.expr(f"max({fx}) AS fhi{i}")]
     row = df.agg(*aggs).collect()[0]
     counts = {c: row[f"n{i}"] for i, c in enumerate(cols)}
-    bounds = {c: (row[f"lo{i}"], row[f"hi{i}"], row[f"flo{i}"], row[f"fhi{i}"])
-              for i, c in enumerate(cols)}
-    sketches = {}
-    if sketch_probs:
-        for i, c in enumerate(cols):
-            if sketch_probs.get(c) and row[f"sk{i}"] is not None:
-                sketches[c] = dict(zip(sketch_probs[c], row[f"sk{i}"]))
-    return counts, bounds, sketches
-
-
-def _finish_brackets(df: DataFrame, brackets: dict[tuple[str, float], tuple[float, float]],
-                     ranks: dict[tuple[str, float], list[int]]) -> dict[tuple[str, int], float]:
-    """One pass for GK-bracketed targets: rows below the bracket, rows equal to each end and
-    the sorted rows strictly inside (at most ~8n/accuracy by the sketch's rank guarantee).
-    A target whose rank does not fall inside its bracket is left for the selection rounds."""
-    probes: dict[tuple, int] = {}
-    for (c, _p), (lo, hi) in brackets.items():
-        probes.setdefault((c, lo, hi), len(probes))
-    aggs = []
-    for (c, lo, hi), j in probes.items():
-        x = f"(CASE WHEN {_valid_sql(df, c)} THEN {_xd(c)} END)"
-        aggs += [F.expr(f"count_if({x} < {_lit(lo)}) AS b{j}"),
-                 F.expr(f"count_if({x} = {_lit(lo)}) AS l{j}"),
-                 F.expr(f"count_if({x} = {_lit(hi)}) AS h{j}"),
-                 F.expr(f"sort_array(collect_list(CASE WHEN {x} > {_lit(lo)} AND {x} < {_lit(hi)} "
-                        f"THEN {x} END)) AS m{j}")]
-    row = df.agg(*aggs).collect()[0]
-    out: dict[tuple[str, int], float] = {}
-    for (c, p), (lo, hi) in brackets.items():
-        j = probes[(c, lo, hi)]
-        below, eq_lo, mid = row[f"b{j}"], row[f"l{j}"], row[f"m{j}"]
-        eq_hi = row[f"h{j}"] if hi != lo else 0
-        for r in ranks[(c, p)]:
-            local = r - below
-            if local < 0:
-                continue
-            if local < eq_lo:
-                out[(c, r)] = float(lo)
-            elif local < eq_lo + len(mid):
-                out[(c, r)] = float(mid[local - eq_lo])
-            elif local < eq_lo + len(mid) + eq_hi:
-                out[(c, r)] = float(hi)
-    return out
+    bounds = {c: tuple(row[f"{k}{i}"] for k in ("lo", "hi", "flo", "fhi")) for i, c in enumerate(cols)}
+    return counts, bounds
+
+
+def interpolate(lo, hi, fraction: float) -> float:
+    """Between two order statistics; equal ones (also infinite) and fraction 0 give the lower one."""
+    if fraction == 0 or lo == hi:
+        return float(lo)
+    if math.isfinite(lo) and math.isfinite(hi) and not math.isfinite(float(hi) - float(lo)):
+        return float(lo) * (1 - fraction) + float(hi) * fraction
+    return float(lo) + float(hi - lo) * fraction
+
+
+def exact_values(df: DataFrame, cols: list[str], probs: list[float]) -> dict[tuple[str, float], float | None]:
+    """Inverted-CDF quantiles as the data's own values (ints for integral columns)."""
+    counts, bounds = column_summary(df, cols)
+    wanted = {c: {_ranks(counts[c], p, "lower")[0] for p in probs} for c in cols if counts[c]}
+    stats = order_statistics(df, wanted, counts, bounds)
+    return {(c, p): stats[(c, _ranks(counts[c], p, "lower")[0])] if counts[c] else None
+            for c in cols for p in probs}
 
 
 def quantile_values(df: DataFrame, cols: list[str], probs: list[float], method: str = "linear",
                     rel_err: float = 1e-4) -> dict[tuple[str, float], float | None]:
-    """{(column, prob): value}; None for a column without valid values.
-
-    Exact methods: with ``SKETCH_MAX_BYTES`` raised, the first pass also carries a GK sketch
-    for inputs under that size (Catalyst's estimate); a column whose sketch brackets hold at
-    most ``FINISH_ROWS`` rows is finished in ONE more pass (2 in all), every other target goes
-    through the selection rounds. The answer is exact either way: brackets are verified by
-    exact counts."""
+    """{(column, prob): value as double}; None for a column without valid values."""
     if method == "approx":
         clean = df.select([F.col(c).cast("double").alias(c) for c in cols])
         res = clean.approxQuantile(cols, probs, rel_err)
         return {(c, p): (vals[i] if vals else None)
                 for c, vals in zip(cols, res) for i, p in enumerate(probs)}
-    if method not in ("linear", "lower"):
+    if method == "lower":
+        found = exact_values(df, cols, probs)
+        return {k: None if v is None else float(v) for k, v in found.items()}
+    if method != "linear":
         raise ValueError(f"unknown quantile method {method!r}")
-    sketch_probs = ({c: sorted({q for p in probs for q in _bracket(p)}) for c in cols}
-                    if _sketch_worthwhile(df) else None)
-    counts, bounds, sketches = column_summary(df, cols, sketch_probs)
-    wanted = {c: {r for p in probs for r in _ranks(counts[c], p, method)}
-              for c in cols if counts[c]}
-    stats: dict[tuple[str, int], float] = {}
-    brackets, bracket_ranks = {}, {}
-    for c, sk in sketches.items():
-        n = counts[c]
-        if not n or n <= FINISH_ROWS or n * 8 > FINISH_ROWS * SKETCH_ACCURACY:
-            continue
-        for p in probs:
-            lo_q, hi_q = _bracket(p)
-            brackets[(c, p)] = (sk[lo_q], sk[hi_q])
-            bracket_ranks[(c, p)] = _ranks(n, p, method)
-    if brackets:
-        stats.update(_finish_brackets(df, brackets, bracket_ranks))
-    remaining = {c: {r for r in rs if (c, r) not in stats} for c, rs in wanted.items()}
-    remaining = {c: rs for c, rs in remaining.items() if rs}
-    if remaining:
-        stats.update(order_statistics(df, remaining, counts, bounds))
+    counts, bounds = column_summary(df, cols)
+    wanted = {c: {r for p in probs for r in _ranks(counts[c], p, method)} for c in cols if counts[c]}
+    stats = order_statistics(df, wanted, counts, bounds)
     out = {}
     for c in cols:
-        n = counts[c]
         for p in probs:
-            if not n:
-                out[(c, p)] = None
-            elif method == "lower":
-                out[(c, p)] = stats[(c, _ranks(n, p, method)[0])]
-            else:
-                h = (n - 1) * p
-                lo, hi = stats[(c, int(math.floor(h)))], stats[(c, int(math.ceil(h)))]
-                out[(c, p)] = lo + (hi - lo) * (h - math.floor(h))
+            h = (counts[c] - 1) * p
+            out[(c, p)] = interpolate(stats[(c, math.floor(h))], stats[(c, math.ceil(h))],
+                                      h - math.floor(h)) if counts[c] else None
     return out
 
 
@@ -308,8 +230,13 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], method: str =
               rel_err: float = 1e-4) -> DataFrame:
     """Long table (column, prob, value)."""
     vals = quantile_values(df, cols, probs, method, rel_err)
-    schema = T.StructType([T.StructField("column", T.StringType()),
-                           T.StructField("prob", T.DoubleType()),
-                           T.StructField("value", T.DoubleType())])
-    return df.sparkSession.createDataFrame(
-        [(c, float(p), vals[(c, p)]) for c in cols for p in probs], schema)
+    return df.sparkSession.createDataFrame([(c, float(p), vals[(c, p)]) for c in cols for p in probs],
+                                           "column string, prob double, value double")
+
+
+def integral_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """Long table (column, prob, value BIGINT) of inverted-CDF quantiles of integral columns, exact
+    over the whole range of the type."""
+    vals = exact_values(df, cols, probs)
+    return df.sparkSession.createDataFrame([(c, float(p), vals[(c, p)]) for c in cols for p in probs],
+                                           "column string, prob double, value long")

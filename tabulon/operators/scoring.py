@@ -10,6 +10,7 @@ from tabulon.functions.columns import vector_element
 from tabulon.operators import evaluate as ev
 from tabulon.operators.features import standard_scale_fit, standard_scale_transform
 
+# fixed values: the two decision texts
 POSITIVE_TEXT, NEGATIVE_TEXT = "Buy", "Do not buy"
 
 
@@ -55,14 +56,15 @@ def evaluate_current(model: PipelineModel, df: DataFrame, label: str, by_values:
 
 def compare_metrics(old: DataFrame, new: DataFrame, keys: list[str],
                     names=("accuracy", "f1_score", "roc_auc")) -> DataFrame:
-    """(keys..., metric, old_value, new_value, improved, note): improved = new >= old; a metric
-    without a registered old value gets a note and NULL improved."""
+    """(keys..., metric, old_value, new_value, improved, note) for every metric of interest that
+    either side has: improved = new >= old, where a new value that is missing, NULL or NaN is no
+    improvement. A metric without a registered old value gets a note and NULL improved."""
     o = old.filter(F.col("metric").isin(*names)).select(*keys, "metric", F.col("value").alias("old_value"))
     n = new.filter(F.col("metric").isin(*names)).select(*keys, "metric", F.col("value").alias("new_value"))
-    j = n.join(o, on=[*keys, "metric"], how="left")
+    j = n.join(o, on=[*keys, "metric"], how="full")
+    better = F.coalesce((F.col("new_value") >= F.col("old_value")) & ~F.isnan("new_value"), F.lit(False))
     return j.select(*keys, "metric", "old_value", "new_value",
-                    F.when(F.col("old_value").isNotNull(), F.col("new_value") >= F.col("old_value"))
-                    .alias("improved"),
+                    F.when(F.col("old_value").isNotNull(), better).alias("improved"),
                     F.when(F.col("old_value").isNull(), F.lit("metric not registered before"))
                     .alias("note"))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabulon.plans.lookup import attach, materialised
+
 DEFAULT_NAMES = ("train", "test", "val")
 
 
@@ -16,23 +18,34 @@ def random_split(df: DataFrame, weights: list[float], seed: int = 42,
     return dict(zip(names, parts))
 
 
-def hash_bucket(key: str, buckets: int = 100) -> Column:
-    """Stable bucket of a key from the first 28 bits of md5(key as text)."""
-    h = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 7), 16, 10).cast("long")
-    return h % F.lit(buckets)
+#: The hash of a key is a whole number below this.
+HASH_RANGE = 1 << 60
+
+
+def key_hash(key: str) -> Column:
+    """Stable hash of a key: the first 60 bits of md5(key as text)."""
+    return F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 15), 16, 10).cast("long")
+
+
+def cut_points(weights: list[float]) -> list[int]:
+    """Upper ends of the parts in the hash range, in the order of the weights (the last part takes
+    the rest)."""
+    total, acc, out = float(sum(weights)), 0.0, []
+    for w in weights[:-1]:
+        acc += w
+        out.append(int(acc / total * HASH_RANGE))
+    return out
 
 
 def hash_split(df: DataFrame, key: str, weights: list[float], names=DEFAULT_NAMES,
                out: str = "split") -> DataFrame:
-    """Reproducible split: row goes to the part whose cumulative percent range holds
-    md5-bucket(key) in 0..99. Independent of partitioning and cluster size."""
-    total = float(sum(weights))
-    b = hash_bucket(key)
+    """Reproducible split: a row goes to the part whose stretch of the 60-bit hash range holds its
+    key's hash, so parts of any small share get their rows. Independent of partitioning and cluster
+    size."""
+    h = key_hash(key)
     expr = None
-    acc = 0.0
-    for name, w in zip(names[:-1], weights[:-1]):
-        acc += w / total * 100.0
-        cond = b < F.lit(round(acc))
+    for name, end in zip(names, cut_points(weights)):
+        cond = h < F.lit(end)
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     expr = F.lit(names[len(weights) - 1]) if expr is None else expr.otherwise(F.lit(names[len(weights) - 1]))
     return df.withColumn(out, expr)
@@ -50,7 +63,6 @@ def class_weight_table(df: DataFrame, label: str) -> DataFrame:
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Rows with a class-balancing weight column: NULL-safe equi-join on the label (a NULL
-    label is its own class, no row is dropped); AQE broadcasts the K-row table."""
-    w = class_weight_table(df, label).select(F.col(label).alias("_w_label"),
-                                             F.col("weight").alias(out))
-    return df.join(w, df[label].eqNullSafe(w["_w_label"]), "inner").drop("_w_label")
+    label is its own class, no row is dropped); the written K-row table is broadcast."""
+    w = class_weight_table(df, label).select(label, F.col("weight").alias(out))
+    return attach(df, materialised(w), [label])

@@ -14,7 +14,7 @@ RETURNFLAG_CLASS = {"A": 1, "N": 2, "R": 3}
 CLS3_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 DIRTY_NULL_MOD, DIRTY_NAN_MOD, DIRTY_POSINF_MOD, DIRTY_NEGINF_MOD = 7, 11, 13, 17
 DIRTY_BADTEXT_MOD, DIRTY_NULLTEXT_MOD = 19, 23
-DIRTY_BADTEXT = "9.899.999"
+DIRTY_BADTEXT = "not a number"
 IMPUTE_NULL_MOD = 7
 IMPUTE_MODE_MOD = 5
 BIN_POSITIVE_SEGMENT = "BUILDING"
@@ -45,11 +45,13 @@ def cls3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_sep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """cls3 with a label separable by l_quantity terciles."""
+    """cls3 with a label separable by l_quantity terciles: Target 1..3, Target0 counted from 0 as
+    classifiers want it, is_first for the first class."""
     q = F.col("l_quantity")
     label = (F.when(q <= F.lit(SEP_CUTS[0]), 1).when(q <= F.lit(SEP_CUTS[1]), 2).otherwise(3)
              .cast("int"))
-    return cls3(spark, sf_dir).withColumn("Target", label)
+    return (cls3(spark, sf_dir).withColumn("Target", label).withColumn("Target0", F.col("Target") - 1)
+            .withColumn("is_first", (F.col("Target") == 1).cast("int")))
 
 
 def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +70,13 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", "user_id", "event_type", value.alias("value"), raw.alias("raw"))
 
 
+def dirty_finite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """dirty with NULL in place of the infinities; NULL and NaN stay."""
+    x = F.col("value")
+    infinite = F.abs(x) == F.lit(float("inf"))
+    return dirty(spark, sf_dir).withColumn("value", F.when(infinite, F.lit(None).cast("double")).otherwise(x))
+
+
 def impute_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events with a day period, NULL values (and a NULL-able small-domain code for mode)."""
     ev = table(spark, sf_dir, "events")

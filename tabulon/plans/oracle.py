@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tabulon.operators.split import cut_points
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["flagship_iqr_lang_share"] = """
@@ -28,7 +30,7 @@ DIRTY = """(SELECT event_id, user_id, event_type,
        WHEN event_id % 13 = 0 THEN CAST('Infinity' AS DOUBLE)
        WHEN event_id % 17 = 0 THEN CAST('-Infinity' AS DOUBLE)
        ELSE value END AS value,
-  CASE WHEN event_id % 19 = 0 THEN '9.899.999' WHEN event_id % 23 = 0 THEN NULL
+  CASE WHEN event_id % 19 = 0 THEN 'not a number' WHEN event_id % 23 = 0 THEN NULL
        ELSE CAST(value AS VARCHAR) END AS raw
 FROM events)"""
 
@@ -386,9 +388,18 @@ SELECT event_id, {r9('CASE WHEN vs = 0 THEN 0.0 ELSE (value - vm) / vs END')} AS
   {r9('CASE WHEN rs = 0 THEN 0.0 ELSE (raw - rm) / rs END')} AS f1 FROM k, s"""
 
 # ---------------------------------------------------------------- SP
-_BUCKET = "CAST(concat('0x', substr(md5(CAST({k} AS VARCHAR)), 1, 7)) AS BIGINT) % 100"
-ORACLE["hash_split"] = f"""SELECT c_custkey, CASE WHEN {_BUCKET.format(k='c_custkey')} < 80 THEN 'train'
-  WHEN {_BUCKET.format(k='c_custkey')} < 90 THEN 'test' ELSE 'val' END AS split FROM customer"""
+def _part(key: str, weights: list[float], names: tuple[str, ...]) -> str:
+    """The part whose stretch of the 60-bit hash range holds the key's hash."""
+    h = f"CAST(concat('0x', substr(md5(CAST({key} AS VARCHAR)), 1, 15)) AS BIGINT)"
+    cases = " ".join(f"WHEN {h} < {end} THEN '{name}'" for name, end in zip(names, cut_points(weights)))
+    return f"CASE {cases} ELSE '{names[-1]}' END"
+
+
+THREE = ("train", "test", "val")
+ORACLE["hash_split"] = f"""SELECT c_custkey, {_part('c_custkey', [0.8, 0.1, 0.1], THREE)} AS split FROM customer"""
+ORACLE["hash_split_small_parts"] = f"""SELECT l_orderkey, l_linenumber,
+  {_part('l_orderkey', [0.99, 0.005, 0.005], THREE)} AS split FROM lineitem"""
+ORACLE["random_split"] = "SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_in_two_parts FROM events"
 ORACLE["class_weights"] = f"""WITH c AS (SELECT * FROM {CLS3}),
 k AS (SELECT Target, COUNT(*) AS n FROM c GROUP BY Target),
 w AS (SELECT Target, CAST(SUM(n) OVER () AS DOUBLE) / (CAST(COUNT(*) OVER () AS DOUBLE) * CAST(n AS DOUBLE)) AS weight FROM k)
@@ -475,8 +486,8 @@ ORACLE["evaluate_all"] = _eval_long() + f"\nSELECT {BY}, metric, {r9('value')} A
 ORACLE["positive_score"] = f"SELECT row_id, score FROM {BIN}"
 ORACLE["score_labelled"] = f"""SELECT row_id, score, prediction,
   CASE WHEN prediction = 1 THEN 'Buy' ELSE 'Do not buy' END AS decision FROM {BIN}"""
-_SPLIT_BATCH = _BUCKET.format(k="l_orderkey")
-ORACLE["score_batch_prepare"] = f"""WITH c AS (SELECT *, CASE WHEN {_SPLIT_BATCH} < 80 THEN 'train' ELSE 'batch' END AS split FROM {CLS3}),
+_SPLIT_BATCH = _part("l_orderkey", [0.8, 0.2], ("train", "batch"))
+ORACLE["score_batch_prepare"] = f"""WITH c AS (SELECT *, {_SPLIT_BATCH} AS split FROM {CLS3}),
 s AS (SELECT {', '.join(f'avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s' for c in FEATS)} FROM c WHERE split = 'train')
 SELECT c.l_orderkey, c.Target, {_Z} FROM c, s WHERE c.split = 'batch'"""
 _CMP = _eval_long() + """,
@@ -486,10 +497,10 @@ o AS (SELECT t.model, t.metric, t.value AS old_value FROM t JOIN bnd ON t.model
       WHERE t.metric IN ('accuracy', 'f1_score', 'roc_auc')),
 nw AS (SELECT t.model, t.metric, t.value AS new_value FROM t JOIN bnd ON t.model = bnd.model AND t.version = bnd.v_new
       WHERE t.metric IN ('accuracy', 'f1_score', 'roc_auc')),
-cmp AS (SELECT nw.model, nw.metric, o.old_value, nw.new_value,
-          CASE WHEN o.old_value IS NOT NULL THEN nw.new_value >= o.old_value END AS improved,
+cmp AS (SELECT coalesce(nw.model, o.model) AS model, coalesce(nw.metric, o.metric) AS metric, o.old_value, nw.new_value,
+          CASE WHEN o.old_value IS NOT NULL THEN coalesce(nw.new_value >= o.old_value AND NOT isnan(nw.new_value), false) END AS improved,
           CASE WHEN o.old_value IS NULL THEN 'metric not registered before' END AS note
-        FROM nw LEFT JOIN o ON nw.model = o.model AND nw.metric = o.metric)"""
+        FROM nw FULL JOIN o ON nw.model = o.model AND nw.metric = o.metric)"""
 ORACLE["compare_metrics"] = _CMP + f"""
 SELECT model, metric, {r9('old_value')} AS old_value, {r9('new_value')} AS new_value, improved, note FROM cmp"""
 ORACLE["retrain_decision"] = _CMP + """
@@ -532,6 +543,89 @@ ORACLE["prediction_nulls"] = f"""SELECT {BY}, CAST(COUNT(*) AS BIGINT) AS n_rows
   CAST(COUNT(*) FILTER (WHERE prediction IS NULL) AS BIGINT) AS null_prediction,
   CAST(COUNT(*) FILTER (WHERE score IS NULL) AS BIGINT) AS null_score
 FROM {PREDS} GROUP BY {BY}"""
-ORACLE["score_batch_refit"] = f"""WITH c AS (SELECT *, CASE WHEN {_SPLIT_BATCH} < 80 THEN 'train' ELSE 'batch' END AS split FROM {CLS3}),
+ORACLE["score_batch_refit"] = f"""WITH c AS (SELECT *, {_SPLIT_BATCH} AS split FROM {CLS3}),
 s AS (SELECT {', '.join(f'avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s' for c in FEATS)} FROM c WHERE split = 'batch')
 SELECT c.l_orderkey, c.Target, {_Z} FROM c, s WHERE c.split = 'batch'"""
+
+
+# ---------------------------------------------------------------- NaN, infinities, large integers
+ORACLE["quantiles_bigint"] = """SELECT 'id' AS "column", p AS prob, 9007199254740992 + v AS value FROM (
+  SELECT unnest([0.1, 0.25, 0.5, 0.75, 0.9]::DOUBLE[]) AS p,
+         unnest(quantile_disc(event_id, [0.1, 0.25, 0.5, 0.75, 0.9])) AS v FROM events)"""
+ORACLE["quantiles_inf"] = f"""WITH d AS (SELECT value, row_number() OVER (ORDER BY value) AS r, COUNT(*) OVER () AS n
+  FROM {DIRTY} WHERE value IS NOT NULL AND NOT isnan(value)),
+p AS (SELECT unnest([0.0, 0.05, 0.25, 0.5, 0.75, 1.0]::DOUBLE[]) AS prob)
+SELECT 'value' AS "column", prob, value FROM p JOIN d ON r = greatest(ceil(n * prob), 1)"""
+ORACLE["quantiles_approx"] = """SELECT c AS "column", p AS prob, true AS within_error
+FROM (SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']) AS c)
+JOIN (SELECT unnest([0.25, 0.5, 0.75]::DOUBLE[]) AS p) ON true"""
+ORACLE["flag_outliers_inf"] = f"""WITH d AS (SELECT event_id, value FROM {DIRTY}),
+q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM d WHERE NOT isnan(value)),
+f AS (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+SELECT event_id, CAST(coalesce(value < lo OR value > hi, false) AS INTEGER) AS value_is_outlier FROM d, f"""
+DIRTY_FINITE = f"""(SELECT event_id, user_id, event_type, CASE WHEN abs(value) = 'Infinity'::DOUBLE THEN NULL ELSE value END AS value
+  FROM {DIRTY})"""
+_PRESENT = "CASE WHEN isnan(value) THEN NULL ELSE value END"
+ORACLE["standard_scale_dirty"] = f"""WITH d AS (SELECT * FROM {DIRTY_FINITE}),
+s AS (SELECT avg({_PRESENT}) AS m, stddev_pop({_PRESENT}) AS sd FROM d)
+SELECT event_id, {r9('(value - m) / sd')} AS value FROM d, s"""
+ORACLE["minmax_scale_dirty"] = f"""WITH d AS (SELECT * FROM {DIRTY_FINITE}),
+s AS (SELECT min({_PRESENT}) AS lo, max({_PRESENT}) AS hi FROM d)
+SELECT event_id, (value - lo) / (hi - lo) AS value FROM d, s"""
+ORACLE["box_stats_dirty"] = f"""WITH d AS (SELECT {_PRESENT} AS x FROM {DIRTY_FINITE}),
+q AS (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median, quantile_cont(x, 0.75) AS q3 FROM d),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+SELECT 'value' AS "column", {r9('q1')} AS q1, {r9('median')} AS median, {r9('q3')} AS q3,
+  (SELECT min(x) FROM d WHERE x >= lo) AS whisker_lo, (SELECT max(x) FROM d WHERE x <= hi) AS whisker_hi,
+  (SELECT CAST(COUNT(*) AS BIGINT) FROM d WHERE x < lo OR x > hi) AS n_fliers FROM f"""
+ORACLE["histogram_dirty"] = f"""WITH d AS (SELECT event_type, value, CASE WHEN NOT isnan(value) AND NOT isinf(value) THEN value END AS x
+  FROM {DIRTY} WHERE value IS NOT NULL),
+s AS (SELECT min(x) AS lo, max(x) AS hi FROM d),
+b AS (SELECT event_type, CASE WHEN x IS NOT NULL THEN CAST(least(floor((x - lo) / (hi - lo) * 20.0::DOUBLE), 19) AS INTEGER) END AS bin FROM d, s)
+SELECT event_type, bin, CAST(COUNT(*) AS BIGINT) AS n_rows,
+  {r9('any_value(lo) + (any_value(hi) - any_value(lo)) * CAST(bin AS DOUBLE) / 20.0::DOUBLE')} AS bin_lo
+FROM b, s GROUP BY event_type, bin"""
+_CORR_COLS = ("value", "user_id", "event_id")
+ORACLE["correlation_dirty"] = f"WITH d AS (SELECT event_id, user_id, {_PRESENT} AS value FROM {DIRTY_FINITE})\n" + \
+    "\nUNION ALL ".join(
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS corr FROM d"
+        for a in _CORR_COLS for b in _CORR_COLS)
+ORACLE["label_encode_new_rows"] = f"""WITH c AS (SELECT c_custkey, c_name, c_mktsegment,
+    {_part('c_custkey', [0.8, 0.2], ('train', 'batch'))} AS split FROM customer),
+n AS (SELECT c_name AS v, CAST(dense_rank() OVER (ORDER BY c_name) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT c_name FROM c WHERE split = 'train')),
+m AS (SELECT c_mktsegment AS v, CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS INTEGER) AS code
+      FROM (SELECT DISTINCT c_mktsegment FROM c WHERE split = 'train'))
+SELECT c_custkey, m.code AS c_mktsegment, n.code AS c_name FROM c LEFT JOIN n ON n.v = c_name LEFT JOIN m ON m.v = c_mktsegment
+WHERE split = 'batch'"""
+
+# ---------------------------------------------------------------- models: the label is a rule that trees learn exactly
+SEP = """(SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity <= 17 THEN 1 WHEN l_quantity <= 34 THEN 2 ELSE 3 END AS cls
+  FROM lineitem)"""
+_EXACT = "SELECT l_orderkey, l_linenumber, CAST({y} AS INTEGER) AS label, CAST({y} AS INTEGER) AS prediction FROM " + SEP
+for _key in ("train_tree", "train_forest", "train_gbt_ovr", "tune_cv", "tune_tvs", "tune_gbt_ovr"):
+    ORACLE[_key] = _EXACT.format(y="cls - 1")
+ORACLE["train_gbt"] = _EXACT.format(y="(cls = 1)")
+ORACLE["batch_score"] = f"SELECT l_orderkey, l_linenumber, CAST(cls AS INTEGER) AS Target, CAST(cls AS INTEGER) AS prediction FROM {SEP}"
+ORACLE["train_logistic"] = "SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, true AS above_majority FROM lineitem"
+ORACLE["train_weighted"] = f"SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, true AS auc_above_half FROM {BINARY_REAL}"
+ORACLE["model_roundtrip_scores"] = "SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_differing FROM lineitem"
+_SEP_PARTS = f"(SELECT *, {_part('l_orderkey', [0.8, 0.1, 0.1], THREE)} AS part FROM {SEP})"
+ORACLE["train_suite"] = f"""WITH p AS (SELECT part AS dataset, CAST(COUNT(*) AS BIGINT) AS n_rows FROM {_SEP_PARTS} WHERE part <> 'train' GROUP BY part)
+SELECT m AS model, dataset, n_rows, true AS above_majority, CASE WHEN m <> 'logistic' THEN CAST(0 AS BIGINT) END AS n_wrong
+FROM p JOIN (SELECT unnest(['logistic', 'tree', 'forest']) AS m) ON true"""
+ORACLE["train_champion"] = """SELECT m AS model, d AS dataset, e AS metric, CAST(1.0 AS DOUBLE) AS value, m = 'tree' AS champion
+FROM (SELECT unnest(['tree', 'forest']) AS m) JOIN (SELECT unnest(['test', 'val']) AS d) ON true
+JOIN (SELECT unnest(['accuracy', 'f1_score', 'roc_auc']) AS e) ON true"""
+ORACLE["evaluate_current"] = """SELECT 'tree' AS model, 1 AS version, 'all' AS dataset, e AS metric, CAST(1.0 AS DOUBLE) AS value
+FROM (SELECT unnest(['accuracy', 'precision', 'recall', 'f1_score', 'roc_auc', 'pr_auc']) AS e)"""
+ORACLE["retrain_if_needed"] = _CMP + f""",
+failed AS (SELECT model FROM cmp GROUP BY model HAVING bool_or(improved = false) ORDER BY model LIMIT 1)
+SELECT model, CAST(max(version) + 1 AS INTEGER) AS version, CAST(1.0 AS DOUBLE) AS accuracy, CAST(1.0 AS DOUBLE) AS f1_score,
+       CAST(1.0 AS DOUBLE) AS roc_auc FROM {PREDS} WHERE model IN (SELECT model FROM failed) GROUP BY model"""
+ORACLE["lifecycle_leaderboard"] = "SELECT m AS model, 1 AS version, " + ", ".join(
+    f"CAST(1.0 AS DOUBLE) AS {d}_{e}" for d in ("val", "test")
+    for e in ("accuracy", "weighted_precision", "weighted_recall", "weighted_f1")) + \
+    " FROM (SELECT unnest(['tree', 'forest']) AS m)"
+ORACLE["scoring_lifecycle"] = f"""SELECT l_orderkey, CAST(cls = 1 AS DOUBLE) AS score, CAST(cls = 1 AS INTEGER) AS prediction,
+  CASE WHEN cls = 1 THEN 'Buy' ELSE 'Do not buy' END AS decision
+FROM (SELECT *, {_part('l_orderkey', [0.8, 0.2], ('train', 'batch'))} AS part FROM {SEP}) WHERE part = 'batch'"""

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabulon.plans.lookup import attach, materialised
+
 METRIC_NAMES = ["accuracy", "precision", "recall", "f1_score", "roc_auc", "pr_auc"]
 
 
@@ -39,4 +41,4 @@ def latest_predictions(preds: DataFrame) -> DataFrame:
     """Prediction rows of each model's latest version (aggregate + join, no window over a
     possibly huge model)."""
     latest = preds.groupBy("model").agg(F.max("version").alias("version"))
-    return preds.join(latest, on=["model", "version"], how="inner")
+    return attach(preds, materialised(latest), ["model", "version"])

@@ -114,11 +114,36 @@ def test_roc_drop_intermediate_matches_rule(spark, preds):
         assert got == _brute_roc_dropped(g["label"].tolist(), g["score"].tolist())
 
 
-def test_confusion_matrix_class_guard(spark):
-    df = spark.createDataFrame([(i, i) for i in range(5)], "label int, prediction int")
-    assert ev.confusion_matrix(df, max_classes=5).count() == 25
-    with pytest.raises(Exception, match="classes"):
-        ev.confusion_matrix(df, max_classes=4).collect()
+def test_confusion_matrix_of_many_classes_and_nulls(spark):
+    many = spark.range(5000).selectExpr("cast(id as int) as label", "cast((id * 7) % 5000 as int) as prediction")
+    assert ev.confusion_matrix(many, zeros=False).count() == 5000
+    rows = [(1, 1), (1, None), (None, 1), (2, 1)]
+    holed = spark.createDataFrame(rows, "label int, prediction int")
+    cells = {(r["label"], r["prediction"]): r["n"] for r in ev.confusion_matrix(holed).collect()}
+    assert len(cells) == 9 and sum(cells.values()) == 4 and cells[(None, 1)] == 1 and cells[(2, 2)] == 0
+    wide = {r["label"]: r.asDict() for r in ev.confusion_wide(holed).collect()}
+    assert wide[1]["pred_null"] == 1 and wide[None]["pred_1"] == 1
+    assert sum(v for r in wide.values() for k, v in r.items() if k != "label") == 4
+
+
+def test_confusion_wide_of_double_labels(spark):
+    df = spark.createDataFrame([(0.0, 1.0), (1.0, 1.0)], "label double, prediction double")
+    wide = {r["label"]: r.asDict() for r in ev.confusion_wide(df).collect()}
+    assert wide[0.0]["pred_1.0"] == 1 and wide[1.0]["pred_0.0"] == 0
+
+
+def test_retrain_rule_on_missing_and_nan_metrics(spark):
+    from tabulon.operators import scoring
+
+    schema = "model string, metric string, value double"
+    old = spark.createDataFrame([(m, "accuracy", 0.5) for m in ("nan", "null", "absent", "same")], schema)
+    new = spark.createDataFrame([("nan", "accuracy", float("nan")), ("null", "accuracy", None),
+                                 ("same", "accuracy", 0.5), ("first", "accuracy", 0.1)], schema)
+    found = scoring.compare_metrics(old, new, ["model"])
+    improved = {r["model"]: r["improved"] for r in found.collect()}
+    assert improved == {"nan": False, "null": False, "absent": False, "same": True, "first": None}
+    decided = {r["model"]: r["decision"] for r in scoring.retrain_decision(found, ["model"]).collect()}
+    assert decided == {"nan": "retrain", "null": "retrain", "absent": "retrain", "same": "keep", "first": "keep"}
 
 
 def test_evaluate_single_scan_matches_parts_with_null_scores(spark, preds):

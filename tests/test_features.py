@@ -92,3 +92,27 @@ def test_class_weights_keep_null_label(spark):
     df = spark.createDataFrame([(0,), (0,), (None,), (1,)], "y int")
     w = {r["y"]: r["weight"] for r in split.class_weights(df, "y").collect()}
     assert len(w) == 3 and w[None] == pytest.approx(4 / (3 * 1))
+
+
+def test_scalers_skip_nan(spark):
+    df = spark.createDataFrame([(1.0,), (3.0,), (float("nan"),), (None,)], "x double")
+    z = [r["x"] for r in fe.standard_scale(df, ["x"]).collect()]
+    assert z[:2] == [-1.0, 1.0] and z[2] != z[2] and z[3] is None
+    m = [r["x"] for r in fe.minmax_scale(df, ["x"]).collect()]
+    assert m[:2] == [0.0, 1.0] and m[2] != m[2] and m[3] is None
+
+
+def test_small_parts_get_rows(spark):
+    parts = {r["split"]: r["count"] for r in split.hash_split(
+        spark.range(10000), "id", [0.998, 0.001, 0.001]).groupBy("split").count().collect()}
+    assert set(parts) == {"train", "test", "val"} and parts["train"] > 9900
+
+
+def test_training_dictionary_scores_new_rows(spark):
+    train = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "s string")
+    fitted = fe.label_fit(train, ["s"])
+    new = spark.createDataFrame([("a",), ("zzz",), (None,)], "s string")
+    assert [r["s"] for r in fe.label_transform(new, fitted).collect()] == [0, None, 2]
+    high, counts = fe.frequency_fit(train, ["s"], threshold=2)
+    assert high == ["s"]
+    assert [r["s_encoded"] for r in fe.frequency_transform(new, counts).collect()] == [0.25, None, 0.25]

@@ -35,3 +35,16 @@ def test_profiles_are_one_aggregation(spark):
     plan = _plan(E.queries()["missing_columns"](spark, SF_SMALL))
     # one partial + one final aggregate over a single scan
     assert plan.count("HashAggregate") == 2 and plan.count("FileScan") == 1
+
+
+@pytest.mark.parametrize("name", ["class_weights", "join_class_counts", "impute_group_max", "latest_version",
+                                  "join_frequency_left"])
+def test_rows_are_not_shuffled_for_a_small_lookup(spark, name):
+    """Also where the planner's own size estimate would not broadcast: the lookup is written first."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(E.queries()[name](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan

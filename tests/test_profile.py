@@ -1,5 +1,7 @@
 import math
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
 from tabulon.operators import clean, outliers, profile
@@ -102,3 +104,33 @@ def test_wide_table_profiles_are_batched(spark, monkeypatch):
                                 for i in range(5)], ", ".join(f"{c} double" for c in cols))
     nulls = {r["column"]: r["n_null"] for r in profile.null_counts(df).collect()}
     assert nulls == {c: (5 if j % 3 == 0 else 0) for j, c in enumerate(cols)}
+
+
+def test_nan_is_missing_in_statistics(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.1), (nan, 0.0), (4.0, None), (3.0, 5.9)], "x double, y double")
+    corr = {(r["col_a"], r["col_b"]): r["corr"] for r in profile.correlation_matrix(df, ["x", "y"]).collect()}
+    want = np.corrcoef([1.0, 2.0, 3.0], [2.0, 4.1, 5.9])[0, 1]
+    assert abs(corr["x", "y"] - want) < 1e-12 and corr["x", "x"] == 1.0
+    assert profile.target_correlation(df, "y", ["x", "y"]).count() == 1
+    box = profile.box_stats(df, ["x"]).first()
+    assert box["n_fliers"] == 0 and box["median"] == 2.5
+    odd = spark.createDataFrame([(1.0, "a"), (3.0, "a"), (nan, "a"), (inf, "a"), (None, "a")], "v double, g string")
+    bins = {r["bin"]: r["n_rows"] for r in profile.histogram_by(odd, "v", "g", bins=2).collect()}
+    assert bins == {0: 1, 1: 1, None: 2}
+
+
+def test_wide_correlation_is_quick(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(1000).select(*[F.rand(i).alias(f"c{i}") for i in range(100)], F.lit(5.0).alias("same"))
+    found = profile.correlation_matrix(df, df.columns).collect()
+    assert len(found) == 101 * 101
+    assert {r["corr"] for r in found if "same" in (r["col_a"], r["col_b"])} == {None}
+
+
+def test_infinite_quartiles_flag_nothing(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(1.0,), (2.0,), (inf,), (inf,)], "x double")
+    assert outliers.remove_outliers(df, ["x"]).count() == 4
+    assert {r[0] for r in outliers.flag_outliers(df, ["x"]).select("x_is_outlier").collect()} == {0}

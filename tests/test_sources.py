@@ -8,19 +8,17 @@ def test_read_delimited_leading_dot_and_malformed(spark):
     folder = tempfile.mkdtemp(prefix="tabulon-csv-")
     path = os.path.join(folder, "data.csv")
     with open(path, "w") as fh:
-        fh.write("Target;Alcohol;Magnesium;Color\n")
-        fh.write("1;14.23;127;5.64\n")
-        fh.write("2;.5;100;9.899.999\n")
-        fh.write("3;13.2;;.38\n")
-    df = files.read_delimited(spark, path, types={"Target": "int", "Alcohol": "double",
-                                                  "Magnesium": "int", "Color": "double"})
-    rows = {r["Target"]: r for r in df.collect()}
-    assert rows[2]["Alcohol"] == 0.5
-    assert rows[2]["Color"] is None          # malformed number -> NULL, no failure
-    assert rows[3]["Magnesium"] is None      # empty field
-    assert rows[3]["Color"] == 0.38
-    assert dict(df.dtypes) == {"Target": "int", "Alcohol": "double", "Magnesium": "int",
-                               "Color": "double"}
+        fh.write("key;width;count;share\n")
+        fh.write("1;7.5;12;0.25\n")
+        fh.write("2;.5;40;1.2.3\n")
+        fh.write("3;8.0;;.38\n")
+    df = files.read_delimited(spark, path, types={"key": "int", "width": "double", "count": "int", "share": "double"})
+    rows = {r["key"]: r for r in df.collect()}
+    assert rows[2]["width"] == 0.5
+    assert rows[2]["share"] is None          # malformed number -> NULL, no failure
+    assert rows[3]["count"] is None          # empty field
+    assert rows[3]["share"] == 0.38
+    assert dict(df.dtypes) == {"key": "int", "width": "double", "count": "int", "share": "double"}
 
 
 def test_parquet_roundtrip_and_projection(spark):
