@@ -13,19 +13,21 @@ and their symmetric difference is at most (|r| + |s|) / 9.
    differs in fewer than v_i places: v = 1 asks for an equal segment, v = 2 for one that is equal or
    one shingle apart. Equal segments have equal keys; a segment one apart meets in the one-deletion
    neighbourhood, the keys of the segment without one of its shingles.
-4. *Allocation by cost.* A set of l shingles needs about 0.22 l of the 0.26 l segments. It probes
-   those with most shingles, whose keys are rarest, with v = 1, and skips empty ones, whose key every
-   such set shares. Only where too few segments have shingles are some raised to v = 2, at the cost
-   of one more key per shingle. Sets index all their segments, and the neighbourhoods of the
+4. *Candidates.* Every set's segment keys go to buckets as packed arrays, are sorted there, and
+   yield the groups of documents that share a key. A key that many documents of one batch share is
+   combined before the shuffle. Groups with the same members are one, with a multiplicity.
+5. *Allocation by cost.* A set of l shingles needs to probe about 0.22 l of its 0.28 l segments, and
+   it is free to choose. The cost of a segment is the length of its key's list, now known: segments
+   whose key nobody shares cost nothing and come first, then the shortest lists, so a set probes long
+   lists (a common passage, a common line) only if it has to, and a set with enough unshared
+   segments probes nothing. Where too few segments have shingles, some are raised to v = 2, at the
+   cost of one more key per shingle. Sets index all their segments, and the neighbourhoods of the
    segments that may be raised: all in bands of few segments, ``RESERVE`` in the others. Empty
    segments are a last resort, so that no link is ever lost.
-5. *Candidates.* Keys go to buckets as packed arrays, are sorted there, and yield the groups of
-   documents that share a key. A key that many documents of one batch share is combined before the
-   shuffle. Groups with the same members are one.
 6. *Verification* is exact, on the whole sets, and never forms all pairs of a group: first each
    document against one centre; then, only in groups that still hold more than one component, small
    groups pair for pair and large ones against further centres, until every group is one component
-   or all its members have been centres. What is left out is already connected.
+   or all its probing members have been centres. What is left out is already connected.
 7. Verified links are joined to connected components.
 
 Defined results: null and empty texts, and texts without words, have no shingles and are linked
@@ -40,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -48,8 +50,8 @@ from .components import connected_components
 from .shingles import U, mix, shingle_sets, text_batches
 
 WIDTH = 5
-#: Bytes of text that are worked on at once.
-BATCH_BYTES = 4_000_000
+#: Bytes of text that are worked on at once (some sixty bytes of memory for each).
+BATCH_BYTES = 1_500_000
 #: Packed keys per bucket.
 BUCKET_KEYS = 4_000_000
 #: Segments with an indexed one-deletion neighbourhood, in bands of more than ``FEW`` segments.
@@ -62,6 +64,8 @@ SMALL_GROUP = 8
 BROADCAST_IDS = 1_000_000
 
 INDEX, PROBE, WHOLE = 1, 2, 4
+#: Flags also hold, from this bit on, how many bands under its own the set is seen in.
+BELOW = 3
 
 
 def band_bounds(limit: int = 1 << 31) -> np.ndarray:
@@ -75,7 +79,7 @@ def band_bounds(limit: int = 1 << 31) -> np.ndarray:
 def segments_of(bounds: np.ndarray, band: np.ndarray) -> np.ndarray:
     """Segments of a band: one more than the largest difference of two partners, and some to skip."""
     most = (bounds[band + 1] - 1) // 4
-    return most + 1 + 2 + most * 6 // 100
+    return most + 1 + 4 + most * 12 // 100
 
 
 def _key(total: np.ndarray, count: np.ndarray, salt: np.ndarray, segment: np.ndarray) -> np.ndarray:
@@ -84,9 +88,10 @@ def _key(total: np.ndarray, count: np.ndarray, salt: np.ndarray, segment: np.nda
 
 
 def signatures(owner: np.ndarray, hashed: np.ndarray, sizes: np.ndarray, bounds: np.ndarray,
-               below: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(set number, key, flags) under the bands ``below`` bands under each set's own. ``owner`` and
-    ``hashed`` are sorted; ``sizes`` are the sets'. Sets without a partner there give nothing."""
+               below: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(set number, key, flags, spare) under the bands ``below`` bands under each set's own: a set
+    may leave ``spare`` of its probing keys out. ``owner`` and ``hashed`` are sorted; ``sizes`` are
+    the sets'. Sets without a partner there give nothing."""
     n_sets = len(sizes)
     band = np.searchsorted(bounds, np.maximum(sizes, 1), side="right") - 1 - below
     top = bounds[np.maximum(band, 0) + 1] - 1
@@ -98,7 +103,7 @@ def signatures(owner: np.ndarray, hashed: np.ndarray, sizes: np.ndarray, bounds:
     keep = joins[owner]
     owner, hashed = owner[keep], hashed[keep]
     if not len(owner):
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=U), np.zeros(0, dtype=np.uint8)
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=U), np.zeros(0, dtype=np.uint8), np.zeros(0, dtype=np.uint16)
     segment = ((hashed >> U(32)) * segments[owner].astype(U) >> U(32)).astype(np.int64)
     begins = np.ones(len(owner), dtype=bool)
     begins[1:] = (owner[1:] != owner[:-1]) | (segment[1:] != segment[:-1])
@@ -108,15 +113,11 @@ def signatures(owner: np.ndarray, hashed: np.ndarray, sizes: np.ndarray, bounds:
     total = np.add.reduceat(mixed, at)
     count = np.diff(np.append(at, len(owner)))
     who, where = owner[at], segment[at]
-    # v = 1 for the needed number of segments, those with most shingles first
-    by_cost = np.lexsort((where, -count, who))
     filled = np.bincount(who, minlength=n_sets)
     first = np.cumsum(filled) - filled
-    rank = np.empty(len(who), dtype=np.int64)
-    rank[by_cost] = np.arange(len(who)) - first[who[by_cost]]
-    chosen = rank < need[who]
+    spare_keys = np.clip(filled - need, 0, 65535).astype(np.uint16)
     index = U(INDEX) if below == 0 else U(0)
-    flags = np.where(chosen, index | U(PROBE), index)
+    flags = np.full(len(who), index | U(PROBE))
     raised = np.zeros(len(who), dtype=bool)
     spare = (segments[who] <= FEW) | (where < RESERVE)
     extra_who, extra_where, extra_flags = [], [], []
@@ -158,7 +159,8 @@ def signatures(owner: np.ndarray, hashed: np.ndarray, sizes: np.ndarray, bounds:
     out_flags.append(np.where(raised[s] & (count[s] > 1), index | U(PROBE), index))
     flags = np.concatenate(out_flags).astype(np.uint8)
     used = flags > 0
-    return (np.concatenate(out_who)[used], np.concatenate(out_key)[used], flags[used])
+    out = np.concatenate(out_who)[used]
+    return out, np.concatenate(out_key)[used], flags[used] | np.uint8(below << BELOW), spare_keys[out]
 
 
 def _describe(width: int):
@@ -182,9 +184,10 @@ def _describe(width: int):
 
 
 def _packed(width: int, buckets: int):
-    """(bucket, keys, ids, flags) as packed arrays, one row per batch and bucket."""
-    def emit(bucket, keys, ids, flags):
-        return {"bucket": int(bucket), "keys": keys.tobytes(), "ids": ids.tobytes(), "flags": flags.tobytes()}
+    """(bucket, keys, ids, flags, spares) as packed arrays, one row per batch and bucket."""
+    def emit(bucket, keys, *columns, whole=False):
+        return {"bucket": int(bucket), "whole": whole, "keys": keys.tobytes(),
+                **{n: c.tobytes() for n, c in zip(("ids", "flags", "spares"), columns, strict=True)}}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = band_bounds()
@@ -195,30 +198,33 @@ def _packed(width: int, buckets: int):
                 sizes = np.bincount(owner, minlength=b - a).astype(np.int64)
                 with np.errstate(over="ignore"):
                     parts = [signatures(owner, hashed, sizes, bounds, below) for below in range(3)]
-                who, keys, flags = (np.concatenate(x) for x in zip(*parts, strict=True))
-                ids = every[a:b][who]
+                who, keys, flags, spares = (np.concatenate(x) for x in zip(*parts, strict=True))
                 order = np.argsort(keys, kind="stable")
-                keys, ids, flags = keys[order], ids[order], flags[order]
-                rows, ids, keys, flags = _combine(keys, ids, flags, buckets, emit)
+                keys, columns = keys[order], [every[a:b][who][order], flags[order], spares[order]]
+                rows, keys, columns = _combine(keys, columns, buckets, emit)
                 bucket = (keys >> U(32)) * U(buckets) >> U(32)  # ascending, as the keys are
                 cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=U(buckets))), len(keys))
-                rows += [emit(bucket[i], keys[i:j], ids[i:j], flags[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+                rows += [emit(bucket[i], keys[i:j], *(c[i:j] for c in columns))
+                         for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=_PACKED)
 
     return run
 
 
-_PACKED = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("ids", pa.binary()), ("flags", pa.binary())])
-_PACKED_DDL = "bucket int, keys binary, ids binary, flags binary"
+_PACKED = pa.schema([("bucket", pa.int32()), ("whole", pa.bool_()),
+                     *((n, pa.binary()) for n in ("keys", "ids", "flags", "spares"))])
+_PACKED_DDL = "bucket int, whole boolean, keys binary, ids binary, flags binary, spares binary"
+_GROUP_DDL = "grp long, id long, flags byte, spare int, mult long"
 
 
-def _combine(keys, ids, flags, buckets, emit):
-    """Keys that ``COMBINE`` documents of the batch share and some of them probes: the members go
-    out as a finished group, to a bucket of their own choosing, and one of them stands for them at
-    the key's bucket."""
+def _combine(keys, columns, buckets, emit):
+    """Keys that ``COMBINE`` documents of the batch share and some of them probe: the members go out
+    as a finished group, to a bucket of their own choosing, and one of them stands for them at the
+    key's bucket."""
     if not len(keys):
-        return [], ids, keys, flags
+        return [], keys, columns
+    ids, flags, spares = columns
     at = np.flatnonzero(np.diff(keys, prepend=~keys[0]))
     size = np.diff(np.append(at, len(keys)))
     flagged = np.bitwise_or.reduceat(flags, at)
@@ -227,54 +233,68 @@ def _combine(keys, ids, flags, buckets, emit):
     flags = flags.copy()
     for g in hot:
         a, b = at[g], at[g] + size[g]
-        group = np.unique(ids[a:b])
-        where = int(mix(np.array([keys[a] ^ U(group[0])]))[0] % U(buckets))
-        rows.append(emit(where, keys[a:a + 1], group, np.zeros(0, dtype=np.uint8)))
+        where = int(mix(np.array([keys[a] ^ U(ids[a])]))[0] % U(buckets))
+        rows.append(emit(where, keys[a:a + 1], ids[a:b], flags[a:b], spares[a:b], whole=True))
         keep[a + 1:b] = False
-        flags[a] = flagged[g] | WHOLE
-    return rows, ids[keep], keys[keep], flags[keep]
+        flags[a] = flagged[g] & (INDEX | PROBE) | WHOLE
+    return rows, keys[keep], [c[keep] for c in (ids, flags, spares)]
 
 
 def _groups(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """(grp, id) rows of the groups of documents that share a key, some probing and some indexing."""
-    out_group, out_id, keys, ids, flags = [], [], [], [], []
-    for k, i, f in zip(*(table.column(n).to_pylist() for n in ("keys", "ids", "flags")), strict=True):
-        k, i = np.frombuffer(k, dtype=U), np.frombuffer(i, dtype=np.int64)
-        if f:
-            keys.append(k)
-            ids.append(i)
-            flags.append(np.frombuffer(f, dtype=np.uint8))
-        else:  # combined before the shuffle: the key names the group
-            out_group.append(np.repeat(k, len(i)))
-            out_id.append(i)
-    if keys:
-        keys, ids, flags = np.concatenate(keys), np.concatenate(ids), np.concatenate(flags)
+    """Rows (grp, id, flags, spare, mult) of the groups of documents that share a key, some probing
+    and some indexing; ``mult`` keys have exactly these members."""
+    out: list[tuple] = []
+    loose: list[tuple] = []
+    for whole, k, *columns in zip(*(table.column(n).to_pylist() for n in ("whole", "keys", "ids", "flags", "spares")),
+                                  strict=True):
+        k = np.frombuffer(k, dtype=U)
+        i, f, sp = (np.frombuffer(c, dtype=t) for c, t in zip(columns, (np.int64, np.uint8, np.uint16), strict=True))
+        if whole:  # combined before the shuffle: the key names the group
+            out.append((np.repeat(k, len(i)), i, f, sp, np.ones(len(i), dtype=np.int64)))
+        else:
+            loose.append((k, i, f, sp))
+    if loose:
+        keys, ids, flags, spares = (np.concatenate(x) for x in zip(*loose, strict=True))
         order = np.lexsort((ids, keys))
-        keys, ids, flags = keys[order], ids[order], flags[order]
+        keys, ids, flags, spares = keys[order], ids[order], flags[order], spares[order]
         at = np.flatnonzero(np.diff(keys, prepend=~keys[0]))
+        size = np.diff(np.append(at, len(keys)))
         flagged = np.bitwise_or.reduceat(flags, at)
-        first = np.zeros(len(keys), dtype=bool)
-        first[at] = True
-        distinct = first.copy()
-        distinct[1:] |= ids[1:] != ids[:-1]
-        members = np.add.reduceat(distinct.astype(np.int64), at)
         named = (flagged & WHOLE) > 0
-        good = (flagged & (INDEX | PROBE) == INDEX | PROBE) & ((members > 1) | named)
+        good = (flagged & (INDEX | PROBE) == INDEX | PROBE) & ((size > 1) | named)
         with np.errstate(over="ignore"):
-            name = mix(np.add.reduceat(mix(ids.view(U)) * distinct.astype(U), at) + members.astype(U))
+            name = mix(np.add.reduceat(mix(ids.view(U) * U(64) + flags.astype(U)), at) + size.astype(U))
         name[named] = keys[at][named]
         chosen = np.flatnonzero(good)
-        _, once = np.unique(name[chosen], return_index=True)  # groups with the same members are one
-        chosen = chosen[once]
-        wanted = np.zeros(len(at), dtype=bool)
-        wanted[chosen] = True
-        group_of = np.cumsum(first) - 1
-        rows = wanted[group_of] & distinct
-        out_group.append(name[group_of[rows]])
-        out_id.append(ids[rows])
-    grp = np.concatenate(out_group) if out_group else np.zeros(0, dtype=U)
-    ids = np.concatenate(out_id) if out_id else np.zeros(0, dtype=np.int64)
-    return pa.table({"grp": grp.view(np.int64), "id": ids})
+        _, once, times = np.unique(name[chosen], return_index=True, return_counts=True)
+        mult = np.zeros(len(at), dtype=np.int64)
+        mult[chosen[once]] = times  # groups with the same members are one
+        group_of = np.repeat(np.arange(len(at)), size)
+        rows = (mult[group_of] > 0) & (flags & WHOLE == 0)  # stand-ins are out already
+        out.append((name[group_of[rows]], ids[rows], flags[rows], spares[rows], mult[group_of[rows]]))
+    grp, ids, flags, spares, mult = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (
+        np.zeros(0, dtype=U), *(np.zeros(0, dtype=np.int64) for _ in range(4)))
+    return pa.table({"grp": grp.view(np.int64), "id": ids, "flags": flags.astype(np.int8),
+                     "spare": spares.astype(np.int32), "mult": mult})
+
+
+def allocate(keyed: DataFrame) -> DataFrame:
+    """(grp, id, probes) of the groups in which somebody has to probe: its index members and those
+    that probe it. Of a set's shared keys under a band, all but ``spare`` have to be probed (keys
+    that nobody shares are probed for nothing): the shortest lists are."""
+    keyed = keyed.withColumn("below", F.shiftright(F.col("flags").cast("int"), BELOW))
+    probing = keyed.filter(F.col("flags").bitwiseAND(F.lit(PROBE)) > 0)
+    owed = (probing.groupBy("id", "below").agg((F.sum("mult") - F.max("spare")).alias("owed")).filter("owed > 0"))
+    lengths = keyed.groupBy("grp").agg(F.count("*").alias("length"))
+    shortest = Window.partitionBy("id", "below").orderBy("length", "grp")
+    before = F.coalesce(F.sum("mult").over(shortest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    probes = (probing.join(owed, ["id", "below"]).join(lengths, "grp").withColumn("before", before)
+              .filter("before < owed").select("grp", "id", F.lit(True).alias("probes")).distinct())
+    probes = written(probes, "near_probes")
+    members = keyed.join(probes, ["grp", "id"], "left").filter(
+        (F.col("flags").bitwiseAND(F.lit(INDEX)) > 0) | F.col("probes"))
+    return (members.join(probes.select("grp").distinct(), "grp", "left_semi")
+            .groupBy("grp", "id").agg(F.max(F.coalesce("probes", F.lit(False))).alias("probes")))
 
 
 def _set_rows(width: int):
@@ -300,59 +320,71 @@ def _restrict(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets have a Jaccard similarity of 0.8 or more, exactly."""
+    """The pairs (a, b) whose sets have a Jaccard similarity of 0.8 or more, exactly. Only the sets
+    of documents in the pairs are moved."""
+    pairs = written(pairs.select("a", "b").distinct(), "near_pairs")
+    named = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "near_pair_ids")
+    sets = _restrict(sets, named, "semi")
     with_b = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
     both = with_b.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
     common = F.size(F.array_intersect("set_a", "set_b")).cast("long")
     either = F.size("set_a") + F.size("set_b") - common
-    return both.filter(common * 100 >= either * 80).select("a", "b")
-
-
-def _labelled(groups: DataFrame, links: DataFrame) -> DataFrame:
-    """Adds each member's component so far."""
-    found = connected_components(links).select(F.col("node").alias("id"), "component")
-    return groups.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-
-
-def verified_links(groups: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Links (a, b) among the members (grp, id) of candidate groups that connect whatever the links
-    of all pairs would connect."""
-    def possible(pairs: DataFrame) -> DataFrame:
-        """Distinct pairs whose sizes allow the similarity."""
-        a = sizes.select(F.col("id").alias("a"), F.col("n").alias("n_a"))
-        b = sizes.select(F.col("id").alias("b"), F.col("n").alias("n_b"))
-        return (pairs.distinct().join(a, "a").join(b, "b")
-                .filter("n_a * 5 >= n_b * 4 and n_b * 5 >= n_a * 4").select("a", "b"))
-
-    centre = groups.groupBy("grp").agg(F.min("id").alias("a"))
-    one_each = (groups.join(centre, "grp").filter("id <> a")
-                .groupBy(F.col("id").alias("b")).agg(F.min("a").alias("a")).select("a", "b"))
-    links = written(_verified(possible(one_each), sets), "links")
+    return written(both.filter(common * 100 >= either * 80).select("a", "b"), "near_links")
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels (id, component) after further links: the components that the links connect become
+    one. Only links between different components enter the search."""
+    of_a = labels.select(F.col("id").alias("a"), F.col("component").alias("ca"))
+    of_b = labels.select(F.col("id").alias("b"), F.col("component").alias("cb"))
+    between = written(links.join(of_a, "a").join(of_b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+                      .filter("a <> b").distinct(), "near_between")
+    if between.isEmpty():
+        return labels
+    found = connected_components(between).select(F.col("node").alias("component"), F.col("component").alias("top"))
+    return written(labels.join(found, "component", "left")
+                   .select("id", F.coalesce("top", "component").alias("component")), "near_labels")
+
+
+def candidate_components(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, component) of the members of candidate groups (grp, id, n, probes): the components that
+    the links among all probing and other members make."""
+    near = "n * 5 >= m * 4 and m * 5 >= n * 4"  # sizes that allow the similarity
+    labels = written(groups.select("id", F.col("id").alias("component")).distinct(), "near_labels")
+    groups = groups.withColumn("met", F.lit(False))  # has been a centre in all its groups
+    centre = groups.groupBy("grp").agg(F.min(F.when(F.col("probes"), F.struct("id", "n"))).alias("c"))
+    one_each = (groups.join(centre.select("grp", F.col("c.id").alias("a"), F.col("c.n").alias("m")), "grp")
+                .filter("id <> a").filter(near).groupBy(F.col("id").alias("b")).agg(F.min("a").alias("a")))
+    labels = _merged(labels, _verified(one_each, sets))
     centres = 1
     while True:
-        labelled = _labelled(groups, links)
+        labelled = groups.join(labels, "id")
         mixed = (labelled.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                             F.count("*").alias("size")).filter("lo <> hi").select("grp", "size"))
-        groups = written(labelled.join(mixed, "grp"), "open_groups")
-        if groups.isEmpty():
-            return links
-        small, large = groups.filter(F.col("size") <= SMALL_GROUP), groups.filter(F.col("size") > SMALL_GROUP)
-        other = small.select("grp", F.col("id").alias("b"), F.col("component").alias("component_b"))
-        pairs = (small.join(other, "grp").filter("id < b and component <> component_b")
+                                             F.max("probes").alias("any"), F.count("*").alias("size"))
+                 .filter("lo <> hi and any").select("grp", "size"))
+        still = written(labelled.join(mixed, "grp"), "near_open")
+        if still.isEmpty():
+            return labels
+        small, large = still.filter(F.col("size") <= SMALL_GROUP), still.filter(F.col("size") > SMALL_GROUP)
+        other = small.select("grp", F.col("id").alias("b"), F.col("component").alias("other"), F.col("n").alias("m"),
+                             F.col("probes").alias("b_probes"))
+        pairs = (small.join(other, "grp").filter("id < b and component <> other and (probes or b_probes)").filter(near)
                  .select(F.col("id").alias("a"), "b"))
-        # further centres: those of the smallest hashes, other ones each round
-        member = F.struct("id", "component")
-        picks = [F.min_by(member, F.xxhash64("id", F.lit(centres + k))).alias(f"c{k}") for k in range(centres)]
-        picked = written(large.groupBy("grp").agg(*picks).select("grp", F.explode(F.array_distinct(F.array(
-            *[F.col(f"c{k}") for k in range(centres)]))).alias("c")).select("grp", "c.*"), "centres")
-        against = picked.select("grp", F.col("id").alias("c"), F.col("component").alias("component_c"))
-        pairs = pairs.unionByName(large.join(against, "grp").filter("component <> component_c").select(
-            F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")))
-        links = written(links.unionByName(_verified(possible(pairs), sets)).distinct(), "links")
-        # a centre has met its whole group
-        groups = written(large.drop("component", "size").join(picked.select("grp", "id"), ["grp", "id"], "left_anti"),
-                         "groups")
-        centres = min(2 * centres, 16)
+        # further centres: probing members of the smallest hashes, other ones each round. A centre is
+        # one in all its groups at once and meets every member there that was none before.
+        picks = [F.min_by("id", F.xxhash64("id", F.lit(centres + k))) for k in range(centres)]
+        chosen = written(large.filter("probes").groupBy("grp").agg(F.array_distinct(F.array(*picks)).alias("c"))
+                         .select(F.explode("c").alias("id")).distinct(), "near_centres")
+        against = large.filter("probes").join(chosen, "id", "left_semi").select(
+            "grp", F.col("id").alias("c"), F.col("component").alias("other"), F.col("n").alias("m"))
+        pairs = pairs.unionByName(large.filter("not met").join(against, "grp").filter("component <> other")
+                                  .filter(near).select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")))
+        labels = _merged(labels, _verified(pairs, sets))
+        been = chosen.withColumn("been", F.lit(True))
+        now = F.col("probes") & F.col("been").isNotNull()
+        groups = written(large.drop("component", "size").join(been, "id", "left").select(
+            "grp", "id", "n", (F.col("probes") & ~now).alias("probes"), (F.col("met") | now).alias("met")), "near_groups")
+        centres = min(2 * centres, 32)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -369,14 +401,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                      .filter("rep is null or rep <> id").select("id").distinct(), "near_copies")
     keys = classes.agg(F.sum(F.col("n") + 8)).first()[0] or 0
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(partitions, -(-int(keys) // (2 * BUCKET_KEYS)))
+    buckets = max(4 * partitions, -(-int(keys) // (2 * BUCKET_KEYS)))
     packed = _restrict(known, copies, "anti").mapInArrow(_packed(width, buckets), _PACKED_DDL)
-    groups = written(packed.groupBy("bucket").applyInArrow(_groups, "grp long, id long").distinct(), "near_groups")
+    keyed = written(packed.groupBy("bucket").applyInArrow(_groups, _GROUP_DDL).groupBy("grp", "id", "flags")
+                    .agg(F.max("spare").alias("spare"), F.sum("mult").alias("mult")), "near_keys")
+    sized = described.filter("id is not null").groupBy("id").agg(F.max("n").alias("n"))
+    groups = written(allocate(keyed).join(sized, "id"), "near_groups")
     members = written(groups.select("id").distinct(), "near_members")
     sets = written(_restrict(known, members, "semi").mapInArrow(_set_rows(width), "id long, shingles array<long>"),
                    "near_shingles")
-    links = verified_links(groups, sets, described.filter("id is not null").select("id", "n").distinct())
-    found = connected_components(links).select(F.col("node").alias("rep"), "component")
+    found = candidate_components(groups, sets).withColumnRenamed("id", "rep")
     return (described.join(classes, digest, "left").join(found, "rep", "left")
             .select("id", F.col("n").alias("n_shingles"),
                     F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id")).alias("component_id")))

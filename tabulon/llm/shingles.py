@@ -29,6 +29,7 @@ def _tables(n: int) -> tuple:
 
     cache = process_cache()
     if len(cache.get("shingle_tables", ([],))[0]) <= n:
+        n = 1 << n.bit_length()
         inverse = pow(_BASE, -1, 1 << 64)
         up = np.cumprod(np.concatenate([[U(1)], np.full(n, _BASE, dtype=U)]))
         down = np.cumprod(np.concatenate([[U(1)], np.full(n, inverse, dtype=U)]))

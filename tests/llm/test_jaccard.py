@@ -77,8 +77,10 @@ def test_components_are_those_of_all_pairs(spark, rows, monkeypatch):
     assert kept == {c for _, c in want.values()}
 
 
-def test_small_batches_and_shuffled_id_joins(spark, rows, monkeypatch):
+def test_combined_keys_large_groups_and_shuffled_id_joins(spark, rows, monkeypatch):
     monkeypatch.setattr(jj, "BROADCAST_IDS", 0)
+    monkeypatch.setattr(jj, "COMBINE", 3)
+    monkeypatch.setattr(jj, "SMALL_GROUP", 2)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
     assert found(jj.near_duplicates(docs)) == brute(rows)
 
@@ -107,12 +109,20 @@ def test_pigeonhole_never_loses_a_pair():
             continue
         owner = np.repeat([0, 1], [len(a), len(b)])
         sizes = np.array([len(a), len(b)])
-        seen = {}
+        seen, spares = {}, {}
         with np.errstate(over="ignore"):
             for below in range(3):
-                for who, key, flag in zip(*jj.signatures(owner, np.concatenate([a, b]), sizes, bounds, below), strict=True):
-                    seen.setdefault(int(key), [0, 0])[who] |= int(flag)
-        assert any(x & jj.PROBE and y & jj.INDEX or x & jj.INDEX and y & jj.PROBE for x, y in seen.values()), (len(a), len(b))
+                for who, key, flag, spare in zip(*jj.signatures(owner, np.concatenate([a, b]), sizes, bounds, below), strict=True):
+                    sides = seen.setdefault(int(key), {})
+                    sides[int(who)] = (sides.get(int(who), (0, 0))[0] | int(flag), below)
+                    spares[int(who), below] = int(spare)
+        # one side probes, the other indexes, and not all such keys may be left out
+        met = {}
+        for sides in seen.values():
+            for r, other in ((0, 1), (1, 0)):
+                if r in sides and other in sides and sides[r][0] & jj.PROBE and sides[other][0] & jj.INDEX:
+                    met[r, sides[r][1]] = met.get((r, sides[r][1]), 0) + 1
+        assert any(n > spares[k] for k, n in met.items()), (len(a), len(b), met)
 
 
 def test_shingle_sets_sizes():
