@@ -34,7 +34,9 @@ _TOKEN = re.compile(
     rf"|<(?P<raw>{RAW})(?=[\s/>])(?>[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|$)"
     rf"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?>\s+|/|[^\s\"'>/=]++(?>\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*+))?|[\"'=])*+)>",
     re.S | re.I)
-_ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?=[\s=/>]|$)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: One whole attribute after another, as ``attrs`` above reads them; what is between has no name.
+_ATTR = re.compile(r"""([^\s"'>/=]++)(?>\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*+)))?|[\s"'>/=]""")
+_READ = frozenset("class id role hidden aria-hidden style".split())
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _DIGITS = re.compile(r"\d+")
 
@@ -58,7 +60,13 @@ class Element:
 
 
 def _attributes(raw: str) -> dict[str, str]:
-    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(raw)} if raw and not raw.isspace() else {}
+    """The attributes that tell an element's role; the first of a name holds."""
+    found: dict[str, str] = {}
+    if raw and not raw.isspace():
+        for m in _ATTR.finditer(raw):
+            if m[1] and (name := m[1].lower()) in _READ:
+                found.setdefault(name, m[2] or m[3] or m[4] or "")
+    return found
 
 
 def _is_noise(tag: str, attrs: dict[str, str], in_content: bool) -> bool:

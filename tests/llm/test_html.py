@@ -109,3 +109,21 @@ def test_nulls_repeats_long_and_empty(spark):
     rows = [(None, None, None, 1, 1, 1), (1, "::odd", "<p>a", 1, 1, 1), (1, "::odd", "<p>a", 1, 1, 1), (2, "", deep, 1, 1, 1)]
     got = sorted((r["id"] or 0, r["text"]) for r in hx.extract(spark.createDataFrame(rows, schema)).collect())
     assert got[:3] == [(0, ""), (1, "a"), (1, "a")] and got[3][1].split("\n") == ["x"] + ["y"] * 20000
+
+
+#: Words of a role in other attributes' names and values; the first of a repeated attribute holds.
+WHOLE_ATTRIBUTES = {
+    "<article title='Hidden gems'><p>a</article>": "a",
+    "<article title=\"The hidden life\"><p>a</article>": "a",
+    "<section data-testid='article-share'><p>a</section>": "a",
+    "<div data-id=related data-class='ad' aria-role=search><p>a</div>": "a",
+    "<p>a <a href='/hidden/x'>b</a> <a href='?id=comments'>c</a> <a href=/x?class=ad>d</a>": "a b c d",
+    "<p title='style = display:none' data-hidden>a</p>": "a",
+    "<p>a</p><div class=ok class=ad><p>b</div>": "a\nb",
+    "<p>a</p><div data-x='1'class=ad><p>b</div><div title=it's HIDDEN>c</div><div x=/ id = 'ad'>d</div>": "a",
+}
+
+
+@pytest.mark.parametrize("page", list(WHOLE_ATTRIBUTES))
+def test_whole_attributes_only(page):
+    assert hx.main_text(page, set()) == WHOLE_ATTRIBUTES[page]
