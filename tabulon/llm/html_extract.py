@@ -11,7 +11,10 @@ all its text this way keeps its branches (a host of nothing but copies of one pa
 Repetition alone cannot tell an advert that changes with every page from an article, so an element
 that names its role (tag, ARIA role, class or id) has the importance of that role: 0 for menus, page
 headers, footers, sidebars, notices, adverts, forms and comments, and where a page has an article or
-main element, only what stands in it is main text.
+main element, only what stands in it is main text. Words of class or id are hints only (``site
+has-sidebar``): they do not count on an article or main element, nor on an element that holds the
+page's main element, its only articles or most of its text (``_by_word``), and a page that they
+leave without text keeps what the entropy keeps.
 
 1. Each task parses its pages and counts, per host and node, child sequences and texts; counts are
    added up with map-side combining, first per value, then per node. A hot host is spread over its
@@ -42,6 +45,7 @@ IMPORTANCE = 0.2
 MIN_PAGES = 20
 BROADCAST_NODES = 200_000
 PRESENTATION, CONTENT = 0, 1
+Block = tuple[Element, str, str]
 
 
 def host_of(url: str) -> Column:
@@ -88,12 +92,87 @@ def site_style_tree(pages: DataFrame) -> DataFrame:
 
 def main_text(page: str, unimportant: set[int]) -> str:
     """The page's main text, given the unimportant nodes of its host."""
-    root, blocks = parse(page)
-    text = _shown_text(blocks, unimportant)
-    return text if text or not unimportant else _shown_text(blocks, set())
+    _, blocks = parse(page)
+    kept = _shown(blocks, unimportant)
+    text = _main(kept, True) or _main(kept, False)
+    if not text and unimportant:
+        kept = _shown(blocks, set())
+        text = _main(kept, True) or _main(kept, False)
+    return text
+
+
+def _main(blocks: list[Block], by_word: bool) -> str:
+    """The text of the blocks, in article or main elements if there are any; ``by_word``: without
+    what is noise by a role word."""
+    if by_word:
+        removed = _by_word(blocks)
+        kept = [(e, text) for (e, text, _), gone in zip(blocks, removed, strict=True) if text and not gone]
+    else:
+        kept = [(e, whole) for e, _, whole in blocks]
+    main = [text for e, text in kept if e.content]
+    return "\n".join(main or [text for _, text in kept])
 
 
-def _shown_text(blocks: list[tuple[Element, str]], unimportant: set[int]) -> str:
+def _by_word(blocks: list[Block]) -> list[bool]:
+    """Per block, whether it stands in an element that is noise by a role word. A word does not
+    count on an article or main element, nor on an element that holds a main element, more than half
+    of the text, or articles that do not share the word while no article stands outside (in no other
+    element of a role word than such that hold this one)."""
+    above: dict[int, tuple[Element | None, Element | None]] = {}  # nearest element of a word, of article or main
+    worded: dict[int, Element | None] = {}  # elements of a word, outer ones first, each with the next outer one
+    by_id: dict[int, Element] = {}
+
+    def nearest(e: Element) -> tuple[Element | None, Element | None]:
+        chain = []
+        while e is not None and id(e) not in above:
+            chain.append(e)
+            e = e.parent
+        word, head = (None, None) if e is None else above[id(e)]
+        for x in reversed(chain):
+            if x.head:
+                head = x
+            elif x.words:
+                worded[id(x)], by_id[id(x)] = word, x
+                word = x
+            above[id(x)] = (word, head)
+        return above[id(chain[0])] if chain else (word, head)
+
+    heads: dict[int, Element] = {}
+    total, held = 0, Counter()
+    for e, text, _ in blocks:
+        word, head = nearest(e)
+        total += len(text)
+        if word is not None:
+            held[id(word)] += len(text)
+        while text and head is not None and id(head) not in heads:
+            heads[id(head)] = head
+            head = above[id(head.parent)][1]
+    if not worded:
+        return [False] * len(blocks)
+    stays: set[int] = set()
+    for k in reversed(worded):  # inner ones first
+        if worded[k] is not None:
+            held[id(worded[k])] += held[k]
+        if 2 * held[k] > total:
+            stays.add(k)
+    outside = {None if (w := above[i][0]) is None else id(w) for i, h in heads.items() if h.head == "article"}
+    free: dict[int, bool] = {}  # an article stands outside the element
+    for k, outer in worded.items():
+        free[k] = None in outside or outer is not None and (free[id(outer)] or id(outer) in outside)
+    for i, h in heads.items():
+        at = above[i][0]
+        while at is not None:
+            if h.head == "main" or not (free[id(at)] or h.words & at.words):
+                stays.add(id(at))
+            at = worded[id(at)]
+    gone: dict[int | None, bool] = {None: False}
+    for k, outer in worded.items():
+        gone[k] = k not in stays or gone[None if outer is None else id(outer)]
+    return [gone[None if (w := above[id(e)][0]) is None else id(w)] for e, _, _ in blocks]
+
+
+def _shown(blocks: list[Block], unimportant: set[int]) -> list[Block]:
+    """The blocks that no removed branch holds."""
     important: dict[int, bool] = {}
 
     def stays(e: Element) -> bool:
@@ -119,9 +198,7 @@ def _shown_text(blocks: list[tuple[Element, str]], unimportant: set[int]) -> str
             e = e.parent
         return all(stays(x) and not x.noise for x in chain)
 
-    kept = [(e, text) for e, text in blocks if not e.noise and shown(e)]
-    main = [text for e, text in kept if e.content]
-    return "\n".join(main or [text for _, text in kept])
+    return [block for block in blocks if not block[0].noise and shown(block[0])]
 
 
 def _extract(broadcast):

@@ -48,14 +48,18 @@ def number(*parts) -> int:
 
 
 class Element:
-    """A block element: its place in the site's tree (``key``), children and own text."""
+    """A block element: its place in the site's tree (``key``), children and own text; whether it
+    stands in an element that is hidden or noise by tag or ARIA role (``noise``) or in an article or
+    main element (``content``), whether it is one (``head``: "article", "main" or ""), and the role
+    words in its class and id."""
 
-    __slots__ = ("tag", "key", "parent", "children", "noise", "content", "own")
+    __slots__ = ("tag", "key", "parent", "children", "noise", "content", "head", "words", "own")
 
-    def __init__(self, tag: str, key: int, parent: Element | None, noise: bool, content: bool):
+    def __init__(self, tag: str, key: int, parent: Element | None, noise: bool, content: bool, head: str = "",
+                 words: frozenset[str] = frozenset()):
         self.tag, self.key, self.parent = tag, key, parent
         self.children: list[Element] = []
-        self.noise, self.content = noise, content
+        self.noise, self.content, self.head, self.words = noise, content, head, words
         self.own: list[str] = []
 
 
@@ -78,27 +82,42 @@ def _is_noise(tag: str, attrs: dict[str, str], in_content: bool) -> bool:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.I):
         return True
-    if attrs.get("role", "").lower() in NOISE_ROLES:
-        return True
+    return attrs.get("role", "").lower() in NOISE_ROLES
+
+
+def _role_words(tag: str, attrs: dict[str, str], in_content: bool) -> frozenset[str]:
+    """The words of class and id that name a role other than the article's."""
+    if not attrs or tag in ("html", "body"):
+        return frozenset()
     words = {w.lower() for w in _WORD.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}")}
-    return bool(words & NOISE_WORDS or (not in_content and tag != "article" and words & OUTER_WORDS))
+    return frozenset(words & NOISE_WORDS | (words & OUTER_WORDS if not in_content and tag != "article" else set()))
 
 
-def parse(page: str) -> tuple[Element, list[tuple[Element, str]]]:
+def parse(page: str) -> tuple[Element, list[tuple[Element, str, str]]]:
     """The root of the page's block elements, and its blocks of text in order, each with the
-    element it stands in. References are decoded, white space is collapsed, empty blocks are left
-    out; what stands in elements of a noise role is not read."""
+    element it stands in, without and with what inline elements of a role word hold. References are
+    decoded, white space is collapsed, empty blocks are left out; what is hidden or noise by tag or
+    ARIA role is not read, what stands below a role word is."""
     root = Element("", number("root"), None, False, False)
-    stack, blocks, held = [root], [], []
+    stack, blocks, held, held_whole = [root], [], [], []
     inline_noise: list[str] = []  # open inline elements of a noise role
+    inline_words: list[str] = []  # open inline elements of a role word
     keys: dict[tuple, tuple] = {}
 
+    def hold(piece: str):
+        held_whole.append(piece)
+        if not inline_words:
+            held.append(piece)
+
     def flush():
-        if held:
+        if held_whole:
             text = " ".join(html.unescape("".join(held)).split())
+            whole = " ".join(html.unescape("".join(held_whole)).split()) if len(held) < len(held_whole) else text
             held.clear()
+            held_whole.clear()
+            if whole:
+                blocks.append((stack[-1], text, whole))
             if text:
-                blocks.append((stack[-1], text))
                 stack[-1].own.append(text)
 
     def close(to: int):
@@ -108,7 +127,7 @@ def parse(page: str) -> tuple[Element, list[tuple[Element, str]]]:
     pos = 0
     for m in _TOKEN.finditer(page):
         if m.start() > pos and not stack[-1].noise and not inline_noise:
-            held.append(page[pos:m.start()])
+            hold(page[pos:m.start()])
         pos = m.end()
         tag = m["tag"]
         if tag is None:
@@ -116,26 +135,37 @@ def parse(page: str) -> tuple[Element, list[tuple[Element, str]]]:
         tag = tag.lower()
         if tag not in BLOCK:
             if tag in ("br", "td", "th", "wbr", "option"):
-                held.append(" " if tag != "wbr" else "")
+                hold(" " if tag != "wbr" else "")
             elif m["end"]:
-                if inline_noise and tag == inline_noise[-1]:
-                    inline_noise.pop()
+                opened = inline_noise or inline_words
+                if opened and tag == opened[-1]:
+                    opened.pop()
+            elif tag in VOID:
+                pass
             elif inline_noise:
-                if tag == inline_noise[-1] and tag not in VOID:
+                if tag == inline_noise[-1]:
+                    inline_noise.append(tag)
+            elif tag in NOISE_TAGS or m["attrs"]:
+                attrs = _attributes(m["attrs"])
+                if _is_noise(tag, attrs, True):
                     inline_noise.append(tag)
-            elif tag not in VOID and (tag in NOISE_TAGS or m["attrs"] and _is_noise(tag, _attributes(m["attrs"]), True)):
-                inline_noise.append(tag)
+                elif tag in inline_words[-1:] or not inline_words and _role_words(tag, attrs, True):
+                    inline_words.append(tag)
+            elif tag in inline_words[-1:]:
+                inline_words.append(tag)
             continue
         if m["end"]:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
                     close(k)
                     inline_noise.clear()
+                    inline_words.clear()
                     break
             else:
                 flush()
             continue
         inline_noise.clear()  # an inline element ends with its block
+        inline_words.clear()
         flush()
         if stack[-1].tag == "p":
             close(len(stack) - 1)
@@ -155,13 +185,15 @@ def parse(page: str) -> tuple[Element, list[tuple[Element, str]]]:
             attrs = _attributes(m["attrs"])
             look = [_DIGITS.sub("0", attrs.get(n, "")) for n in ("class", "id", "role")]
             noise = up.noise or _is_noise(tag, attrs, up.content)
-            content = not noise and (up.content or tag in CONTENT_TAGS or attrs.get("role", "").lower() in CONTENT_ROLES)
-            keys[at] = (number(up.key, tag, *look), noise, content)
+            role = attrs.get("role", "").lower()
+            head = tag if tag in CONTENT_TAGS else role if role in CONTENT_ROLES else ""
+            content = not noise and (up.content or head != "")
+            keys[at] = (number(up.key, tag, *look), noise, content, head, _role_words(tag, attrs, up.content))
         element = Element(tag, keys[at][0], up, *keys[at][1:])
         up.children.append(element)
         stack.append(element)
     if pos < len(page) and not stack[-1].noise and not inline_noise:
         rest = page[pos:]
-        held.append(re.split(r"<[a-zA-Z/!?]", rest, maxsplit=1)[0])  # an unfinished tag ends the page
+        hold(re.split(r"<[a-zA-Z/!?]", rest, maxsplit=1)[0])  # an unfinished tag ends the page
     close(1)
     return root, blocks

@@ -127,3 +127,37 @@ WHOLE_ATTRIBUTES = {
 @pytest.mark.parametrize("page", list(WHOLE_ATTRIBUTES))
 def test_whole_attributes_only(page):
     assert hx.main_text(page, set()) == WHOLE_ATTRIBUTES[page]
+
+
+#: A role word in class or id does not take the article with it.
+ROLE_WORDS = {
+    "<div class='content with-sidebar'><p>a long text of its own</div><div class=sidebar>no</div>": "a long text of its own",
+    "<div class='site has-sidebar'><nav>no</nav><article><p>a</article><div class=related>no, longer than a</div></div>": "a",
+    "<article class='post category-legal comments-open'><p>a</article>": "a",
+    "<div role=main class=widgets><p>a</div><p>b": "a",
+    "<article><h1>T</h1><div class='elementor-widget elementor-widget-theme-post-content'><p>a text</div>"
+    "<div class=share>no</div></article>": "T\na text",
+    # the only article or the main element, however short
+    "<div class=has-sidebar><article>a</article></div><div>a text that is much longer</div>": "a",
+    "<div id=top-login><main>a</main></div><div>a text that is much longer</div>": "a",
+    # an article beside it, or articles that are of the same role
+    "<article>a text</article><div class=related><article>no</article><article>no</article></div>": "a text",
+    "<div class=has-sidebar><article>a b</article><div class=related><article>n</article></div></div>": "a b",
+    "<div><p>the post</div><ol class=comments><li class=comment><article class=comment-body>no</ol>": "the post",
+    # nothing else on the page
+    "<nav>no</nav><p><span class=widget>a</span>": "a",
+    "<p>a <span class=share><button>no</button>no <span>no</span> no</span> b": "a b",
+    "<div class=widget><p>a</p></div><div class=promo><p>b</p></div>": "a\nb",
+}
+
+
+@pytest.mark.parametrize("page", list(ROLE_WORDS))
+def test_role_words_are_hints(page):
+    assert hx.main_text(page, set()) == ROLE_WORDS[page]
+
+
+def test_a_page_of_role_words_keeps_what_the_entropy_keeps(spark):
+    menu = "<div class=a>Welcome to our site, here is all that you may find on it</div>"
+    rows = [(i, "http://x.example/", f"{menu}<div class='c widget'><p>w{i} text</div>") for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["id"]: r["text"] for r in hx.extract(pages).collect()} == {i: f"w{i} text" for i in range(40)}
