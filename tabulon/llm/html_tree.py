@@ -8,10 +8,13 @@ import re
 
 #: Fixed values of HTML: elements without content, with raw content, and block elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|iframe|textarea|title|svg|math|noframes|xmp|select|object|audio|video|canvas"
+RAW = "script|style|noscript|template|iframe|textarea|title|noframes|xmp|select|object|audio|video|canvas|annotation|annotation-xml"
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
 figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre
 search section summary table tbody tfoot thead tr ul""".split())
+#: Start tags that end an open svg, unless they stand in one of its elements that may hold HTML.
+SVG_ENDS = BLOCK | frozenset("b big br code em embed i img nobr ruby s small span strike strong sub sup td th tt u var".split())
+SVG_HTML = frozenset(["foreignobject", "desc"])
 #: A start tag of the first closes an open element of the second, not looking past the third.
 ENDS = {"li": ("li", ("ul", "ol", "menu", "dir")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)),
         "tr": ("tr", ("table",)), "tbody": ("tbody thead tfoot", ("table",)),
@@ -31,12 +34,13 @@ CONTENT_TAGS, CONTENT_ROLES = frozenset(["article", "main"]), frozenset(["main",
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
-    rf"|<(?P<raw>{RAW})(?=[\s/>])(?>[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|$)"
+    rf"|<(?P<raw>{RAW})(?=[\s/>])(?>[^>\"']|\"[^\"]*\"|'[^']*')*+>"
     rf"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?>\s+|/|[^\s\"'>/=]++(?>\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*+))?|[\"'=])*+)>",
     re.S | re.I)
 #: One whole attribute after another, as ``attrs`` above reads them; what is between has no name.
 _ATTR = re.compile(r"""([^\s"'>/=]++)(?>\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*+)))?|[\s"'>/=]""")
 _READ = frozenset("class id role hidden aria-hidden style".split())
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>|\Z", re.I) for tag in RAW.split("|")}
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _DIGITS = re.compile(r"\d+")
 
@@ -73,6 +77,11 @@ def _attributes(raw: str) -> dict[str, str]:
     return found
 
 
+def _closed(attrs: str) -> bool:
+    """Whether a tag of a drawing closes itself; the slash that ends a bare value is part of it."""
+    return attrs.endswith("/") and [m[1] for m in _ATTR.finditer(attrs)][-1] is None
+
+
 def _is_noise(tag: str, attrs: dict[str, str], in_content: bool) -> bool:
     if tag in NOISE_TAGS or (tag == "header" and not in_content):
         return True
@@ -103,6 +112,8 @@ def parse(page: str) -> tuple[Element, list[tuple[Element, str, str]]]:
     inline_noise: list[str] = []  # open inline elements of a noise role
     inline_words: list[str] = []  # open inline elements of a role word
     keys: dict[tuple, tuple] = {}
+    svg: list[str] = []  # open elements of a drawing
+    svg_html = 0  # how many of them may hold HTML
 
     def hold(piece: str):
         held_whole.append(piece)
@@ -125,14 +136,33 @@ def parse(page: str) -> tuple[Element, list[tuple[Element, str, str]]]:
         del stack[to:]
 
     pos = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > pos and not stack[-1].noise and not inline_noise:
+    while m := _TOKEN.search(page, pos):
+        if m.start() > pos and not stack[-1].noise and not inline_noise and not svg:
             hold(page[pos:m.start()])
         pos = m.end()
         tag = m["tag"]
         if tag is None:
+            # an element of drawings and formulas that is closed by its own tag has no content
+            if m["raw"] and not ((svg or m["raw"].lower().startswith("annotation")) and page[pos - 2] == "/"):
+                pos = _RAW_END[m["raw"].lower()].search(page, pos).end()
             continue
         tag = tag.lower()
+        if svg or tag == "svg" and not m["end"]:
+            if m["end"]:
+                if tag in svg or svg_html:
+                    while tag in svg:
+                        svg_html -= svg[-1] in SVG_HTML
+                        if svg.pop() == tag:
+                            break
+                    continue
+                svg.clear()
+            elif svg and not svg_html and tag in SVG_ENDS:
+                svg.clear()
+            else:
+                if not _closed(m["attrs"]):
+                    svg.append(tag)
+                    svg_html += tag in SVG_HTML
+                continue
         if tag not in BLOCK:
             if tag in ("br", "td", "th", "wbr", "option"):
                 hold(" " if tag != "wbr" else "")
@@ -192,7 +222,7 @@ def parse(page: str) -> tuple[Element, list[tuple[Element, str, str]]]:
         element = Element(tag, keys[at][0], up, *keys[at][1:])
         up.children.append(element)
         stack.append(element)
-    if pos < len(page) and not stack[-1].noise and not inline_noise:
+    if pos < len(page) and not stack[-1].noise and not inline_noise and not svg:
         rest = page[pos:]
         hold(re.split(r"<[a-zA-Z/!?]", rest, maxsplit=1)[0])  # an unfinished tag ends the page
     close(1)

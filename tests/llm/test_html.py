@@ -161,3 +161,24 @@ def test_a_page_of_role_words_keeps_what_the_entropy_keeps(spark):
     rows = [(i, "http://x.example/", f"{menu}<div class='c widget'><p>w{i} text</div>") for i in range(40)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert {r["id"]: r["text"] for r in hx.extract(pages).collect()} == {i: f"w{i} text" for i in range(40)}
+
+
+#: Drawings go, closed by their own tag or not; formulas are inline markup.
+DRAWINGS = {
+    "<p>one <svg class=\"i\" /> two</p><p>three</p>": "one two\nthree",
+    "<p>one <svg/>two <svg viewBox/>three <SVG a='1'/>four</p><svg><text>no</text></svg><p>five": "one two three four\nfive",
+    "<p>a<svg class=i/><path d='M0'/></svg> b": "a b",  # the slash is part of the bare value
+    "<p>a<svg><title/><style/><svg><text>no</text></svg><desc><p>no</p></desc><text>no</text></svg> b": "a b",
+    "<p>a<svg><foreignObject><div>no</div><br></foreignObject><path><path></svg> b": "a b",
+    "<p>a <a href=x><svg class=i><path></a> b</p><p>c": "a b\nc",  # never closed
+    "<p>a <svg class=i> no</p><p>b <svg><span>c</span>": "a\nb c",
+    "<table><tr><td>a<svg></td><td>b</td></table></svg><p>c": "a b\nc",
+    "<p>so <math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding='tex'>no</annotation></semantics></math> holds":
+        "so x=2 holds",
+    "<p>a <math display=block /> b <math><mi>y</mi> c</p><p>d": "a b y c\nd",
+}
+
+
+@pytest.mark.parametrize("page", list(DRAWINGS))
+def test_drawings_and_formulas(page):
+    assert hx.main_text(page, set()) == DRAWINGS[page]
