@@ -4,9 +4,11 @@ The pages of a host are merged into one tree: elements with the same path of tag
 roles (digits aside) are one node. A node's *presentation* importance is the entropy of the child
 sequences that it has on the host's pages, its *content* importance the entropy of the texts
 standing in it, both to the base of the number of pages that have the node: 0 where every page shows
-the same, 1 where no two do. A branch is removed from a page if no node in it reaches
-``IMPORTANCE``; nodes of fewer than ``MIN_PAGES`` pages count as important. A page that would lose
-all its text this way keeps its branches (a host of nothing but copies of one page).
+the same, 1 where no two do. Pages of a host that show the same count once. A branch is removed from
+a page if no node in it reaches ``IMPORTANCE``. What a node has to stay under grows with its pages:
+0 up to ``FEW_PAGES``, which are too few to tell, from the next page on what every page shows is
+removed, and from ``FULL_PAGES`` on the whole ``IMPORTANCE`` counts. A page that would lose all its
+text this way keeps its branches (a host of nothing but copies of one page).
 
 Repetition alone cannot tell an advert that changes with every page from an article, so an element
 that names its role (tag, ARIA role, class or id) has the importance of that role: 0 for menus, page
@@ -16,9 +18,10 @@ has-sidebar``): they do not count on an article or main element, nor on an eleme
 page's main element, its only articles or most of its text (``_by_word``), and a page that they
 leave without text keeps what the entropy keeps.
 
-1. Each task parses its pages and counts, per host and node, child sequences and texts; counts are
-   added up with map-side combining, first per value, then per node. A hot host is spread over its
-   values.
+1. Each task parses its pages; a page becomes hashes of the child sequences and texts of its nodes.
+   Pages of a host with the same hashes are reduced to one, then the hashes are counted per host and
+   node with map-side combining, first per value, then per node. A hot host is spread over its pages
+   and values.
 2. Unimportant nodes (few: templates) are written; they are broadcast when they are at most
    ``BROADCAST_NODES`` by count, else each host's are joined to its pages by shuffle.
 3. Pages are parsed again, unimportant branches removed and the blocks joined.
@@ -42,7 +45,7 @@ from .common import written
 from .html_tree import Element, number, parse
 
 IMPORTANCE = 0.2
-MIN_PAGES = 20
+FEW_PAGES, FULL_PAGES = 3, 10
 BROADCAST_NODES = 200_000
 PRESENTATION, CONTENT = 0, 1
 Block = tuple[Element, str, str]
@@ -54,10 +57,15 @@ def host_of(url: str) -> Column:
     return F.regexp_replace(plain, r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*).*$", "$1")
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, node, kind, value, n) of the pages of a batch: host, html."""
+_SHOWN = pa.list_(pa.struct([("node", pa.int64()), ("kind", pa.int8()), ("value", pa.int64())]))
+
+
+def _show(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, page, n, shown) of the pages of a batch: host, html; ``page`` is the hash of all that
+    the ``n`` pages show."""
     for batch in batches:
-        seen: Counter = Counter()
+        copies: Counter = Counter()
+        values_of: dict[tuple[int, int], list[dict]] = {}
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             shown: dict[tuple[int, int], list] = {}
             todo = [parse(page.as_py() or "")[0]]
@@ -70,18 +78,25 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     shown.setdefault((e.key, PRESENTATION), []).append([c.key for c in e.children])
                 if e.own:
                     shown.setdefault((e.key, CONTENT), []).append(e.own)
-            for at, values in shown.items():
-                seen[(host, *at, number(*values))] += 1
-        columns = list(zip(*((*k, n) for k, n in seen.items()), strict=True)) or [[]] * 5
+            values = [(*at, number(*v)) for at, v in shown.items()]
+            key = (host, number(*values))
+            copies[key] += 1
+            values_of[key] = [{"node": n, "kind": k, "value": v} for n, k, v in values]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int8(), pa.int64(), pa.int64()), strict=True)],
-            names=["host", "node", "kind", "value", "n"])
+            [pa.array([h for h, _ in copies], pa.int64()), pa.array([p for _, p in copies], pa.int64()),
+             pa.array(list(copies.values()), pa.int64()), pa.array([values_of[k] for k in copies], _SHOWN)],
+            names=["host", "page", "n", "shown"])
 
 
-def site_style_tree(pages: DataFrame) -> DataFrame:
+def site_style_tree(pages: DataFrame, copies: bool = True) -> DataFrame:
     """(host, node, pages, importance) from rows of (host, html): the larger of a node's
-    presentation and content importance."""
-    values = (pages.mapInArrow(_count, "host long, node long, kind byte, value long, n long")
+    presentation and content importance. Without ``copies``, pages of a host that show the same
+    count once."""
+    shown = pages.mapInArrow(
+        _show, "host long, page long, n long, shown array<struct<node: long, kind: byte, value: long>>")
+    if not copies:
+        shown = shown.groupBy("host", "page").agg(F.first("shown").alias("shown"), F.lit(1).cast("long").alias("n"))
+    values = (shown.select("host", "n", F.inline("shown"))
               .groupBy("host", "node", "kind", "value").agg(F.sum("n").alias("n")))
     per_kind = values.groupBy("host", "node", "kind").agg(
         F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("n_log_n"))
@@ -221,9 +236,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     spark = pages.sparkSession
     slim = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
                         F.xxhash64(host_of(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"))
-    tree = site_style_tree(slim.select("host", "html"))
-    low = written(tree.filter((F.col("importance") < IMPORTANCE) & (F.col("pages") >= MIN_PAGES))
-                  .select("host", "node"), "style_tree_low")
+    tree = site_style_tree(slim.select("host", "html"), copies=False)
+    told = F.least(F.lit(1.0), (F.col("pages") - FEW_PAGES) / (FULL_PAGES - FEW_PAGES))
+    low = written(tree.filter(F.col("importance") < IMPORTANCE * told).select("host", "node"), "style_tree_low")
     schema = T.StructType([slim.schema["id"], slim.schema["url"], T.StructField("text", T.StringType())])
     if low.count() <= BROADCAST_NODES:
         by_host: dict[int, set[int]] = {}

@@ -182,3 +182,37 @@ DRAWINGS = {
 @pytest.mark.parametrize("page", list(DRAWINGS))
 def test_drawings_and_formulas(page):
     assert hx.main_text(page, set()) == DRAWINGS[page]
+
+
+def test_small_hosts_lose_what_all_their_pages_show(spark):
+    sizes = [1, 3, 4, 5, 8, 12, 19, 20, 40]
+    rows = [(1000 * n + i, f"http://of{n}.example/{i}", site(i)) for n in sizes for i in range(n)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r["id"]: r["text"] for r in hx.extract(pages).collect()}
+    for n in sizes:
+        for i in range(n):
+            own = [f"T{i}"] + [f"w{i * 7 + k} text {i}" for k in range(1 + i % 5)]
+            menu, end = (["Welcome to our site", "Home", "About"], ["All rights reserved"]) if n <= 3 else ([], [])
+            assert got[1000 * n + i] == "\n".join(menu + own + end)
+
+
+def test_what_few_pages_differ_in_stays(spark):
+    # one of n pages has another text in the same node: told from a repeated one only by more pages
+    def page(i):
+        return f"<div class=a>{'other' if i == 0 else 'same'}</div><div class=b><p>w{i}</div>"
+
+    rows = [(1000 * n + i, f"http://of{n}.example/{i}", page(i)) for n in (4, 6, 8, 40) for i in range(n)]
+    got = {r["id"]: r["text"] for r in hx.extract(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n in (4, 6, 8):
+        assert got[1000 * n] == "other\nw0" and got[1000 * n + 1] == "same\nw1"
+    assert got[40000] == "w0" and got[40001] == "w1"
+
+
+def test_copies_do_not_make_a_template(spark):
+    # many copies of one article beside pages of another layout
+    rows = [(i, "http://x.example/", "<div class=d>1 May</div><div class=post><p>an article</div>") for i in range(30)]
+    rows += [(100 + i, "http://x.example/", f"<div class=d>{i} June</div><div class=list><p>w{i}</div>") for i in range(15)]
+    got = {r["id"]: r["text"] for r in hx.extract(
+        spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert {got[i] for i in range(30)} == {"1 May\nan article"}
