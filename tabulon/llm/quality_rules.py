@@ -1,10 +1,11 @@
 """Quality rules with adaptive thresholds.
 
 Two base rules reject outright: fewer than ``MIN_WORDS`` words, or more than half of the words in
-3-word windows that the text repeats. The other rules have no fixed cutoff. Each metric's
+3-word windows that the text repeats. For the other rules each metric's
 distribution is sketched per language and source, and a document fails where it lies outside the
 fences that its own group's sketch gives: Q1 - K * spread and Q3 + K * spread, spread = Q3 - Q1 but
-at least the metric's resolution.
+at least the metric's least spread in ``METRICS``. For metrics that are 0 in most documents that
+constant decides the fence (see the README for counts).
 
 The sketch is a log-linear histogram of integers: a value keeps its ``SKETCH_BITS`` leading bits
 (relative error below 2^-5), and a sketch is the count per kept value. Sketches merge by adding
