@@ -75,3 +75,27 @@ def test_train_and_pick_returns_a_scoring_champion(spark):
     assert champ in ("logistic", "tree")
     assert metrics.filter(F.col("metric") == "roc_auc").count() == 2
     assert model.transform(df).filter(F.col("prediction") == F.col("y")).count() / 400 > 0.8
+
+
+def _tuned(monkeypatch, spark, key):
+    """The (family, grid, method, folds, fixed) that a key hands to the tuner."""
+    from tabulon.plans.catalog import QUERIES
+    from tests.conftest import SF_SMALL
+
+    seen = []
+
+    def tune(df, family, label, features, grid, method="cv", folds=3, fixed=None, weight=None, **_):
+        seen.append((family, grid, method, folds if method == "cv" else None, fixed))
+        return models.train(df, "tree", label, features, weight=weight, params={"maxDepth": 5, "maxBins": 64}), [1.0]
+
+    monkeypatch.setattr(models, "tune", tune)
+    QUERIES[key](spark, SF_SMALL)
+    return seen
+
+
+def test_tuning_keys_search_the_whole_grids(spark, monkeypatch):
+    assert _tuned(monkeypatch, spark, "tune_cv") == [
+        (f, models.CV_GRIDS[f], "cv", 3, None) for f in ("logistic", "tree", "forest")]
+    assert _tuned(monkeypatch, spark, "tune_tvs") == [
+        (f, models.TVS_GRIDS[f], "tvs", None, None) for f in ("logistic", "forest")]
+    assert _tuned(monkeypatch, spark, "tune_gbt_ovr") == [("gbt", models.TVS_GRIDS["gbt"], "tvs", None, {"maxIter": 10})]
