@@ -630,12 +630,11 @@ def _parts(df, names=("train", "test", "val"), weights=(0.8, 0.1, 0.1)):
 
 @query("train_suite")
 def train_suite(spark, d):
-    """Three families tuned by cross-validation on the train part and scored on the others, per
-    model and part: trees make no error, the logistic model is above the majority share."""
+    """Three families tuned over their whole grids by cross-validation on the train part and scored
+    on the others, per model and part: trees make no error, the logistic model is above the majority
+    share."""
     parts = _parts(B.train_sep(spark, d))
-    families = {"logistic": {"regParam": [0.01], "maxIter": [20]}, "tree": {"maxDepth": [5], "maxBins": [64]},
-                "forest": {"numTrees": [10], "maxDepth": [5], "maxBins": [64]}}
-    _, preds = models.train_suite(parts["train"], {n: parts[n] for n in ("test", "val")}, families, "Target0",
+    _, preds = models.train_suite(parts["train"], {n: parts[n] for n in ("test", "val")}, models.CV_GRIDS, "Target0",
                                   B.CLS3_FEATURES, "l_orderkey", method="cv", folds=3)
     per = preds.groupBy("model", "dataset", "label").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == F.col("prediction")).alias("right"))
@@ -646,12 +645,12 @@ def train_suite(spark, d):
 
 @query("train_champion")
 def train_champion(spark, d):
-    """Families trained with class weights of the train part only, tuned with 3 folds; the champion by
-    the metrics of the test part. Both families are without error, so the first one stays."""
+    """Families trained with class weights of the train part only, tuned over their whole grids with 3
+    folds; the champion by the metrics of the test part. Both families are without error, so the first
+    one stays."""
     parts = _parts(B.train_sep(spark, d))
     weighted = split.class_weights(parts["train"], "is_first", "weight")
-    families = {"tree": {"maxDepth": [5], "maxBins": [64]},
-                "forest": {"numTrees": [10], "maxDepth": [5], "maxBins": [64]}}
+    families = {family: models.CV_GRIDS[family] for family in ("tree", "forest")}
     champ, _, metrics, _ = models.train_and_pick(
         weighted, {n: parts[n] for n in ("test", "val")}, families, "is_first", B.CLS3_FEATURES, "l_orderkey",
         method="cv", weight="weight", folds=3)
@@ -838,9 +837,10 @@ REGISTERED = {"m1": "forest", "m2": "tree", "m3": "forest"}
 
 @query("retrain_if_needed")
 def retrain_if_needed(spark, d):
-    """Only the registered models whose metrics got worse are trained again, as their next version,
-    with class weights of the train part; returns the winner among them on the test part (none if
-    nothing got worse). The decision table has one row per registered model."""
+    """Only the registered models whose metrics got worse are tuned again, over the whole grid of their
+    family with 3 folds, as their next version, with class weights of the train part; returns the
+    winner among them on the test part (none if nothing got worse). The decision table has one row per
+    registered model."""
     decided = scoring.retrain_decision(_comparison(spark, d), ["model"])
     failed = [r["model"] for r in decided.filter(F.col("decision") == "retrain").orderBy("model").collect()]
     schema = "model string, version int, accuracy double, f1_score double, roc_auc double"
@@ -849,12 +849,13 @@ def retrain_if_needed(spark, d):
     latest = {r["model"]: r["v"] for r in B.predictions(spark, d).groupBy("model").agg(F.max("version").alias("v")).collect()}
     parts = _parts(B.train_sep(spark, d))
     weighted = split.class_weights(parts["train"], "is_first", "weight")
-    preds = None
+    tuned, preds = {}, None
     for name in failed:
         family = REGISTERED[name]
-        params = {**EXACT_TREE, **({"numTrees": 10} if family == "forest" else {})}
-        model = models.train(weighted, family, "is_first", B.CLS3_FEATURES, weight="weight", params=params)
-        p = models.predictions_table(model, parts["test"], "is_first", "l_orderkey", name, latest[name] + 1, "test")
+        if family not in tuned:  # models of a family are tuned alike
+            tuned[family], _ = models.tune(weighted, family, "is_first", B.CLS3_FEATURES, models.CV_GRIDS[family],
+                                           method="cv", folds=3, weight="weight")
+        p = models.predictions_table(tuned[family], parts["test"], "is_first", "l_orderkey", name, latest[name] + 1, "test")
         preds = p if preds is None else preds.unionByName(p)
     wide = metrics_store.metrics_for(ev.evaluate(preds, by=PREDS_BY), metrics=["accuracy", "f1_score", "roc_auc"])
     return models.pick_champion(wide, ["model"]).select(

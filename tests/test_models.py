@@ -99,3 +99,12 @@ def test_tuning_keys_search_the_whole_grids(spark, monkeypatch):
     assert _tuned(monkeypatch, spark, "tune_tvs") == [
         (f, models.TVS_GRIDS[f], "tvs", None, None) for f in ("logistic", "forest")]
     assert _tuned(monkeypatch, spark, "tune_gbt_ovr") == [("gbt", models.TVS_GRIDS["gbt"], "tvs", None, {"maxIter": 10})]
+
+
+def test_suites_and_retraining_search_the_whole_grids(spark, monkeypatch):
+    assert _tuned(monkeypatch, spark, "train_suite") == [
+        (f, models.CV_GRIDS[f], "cv", 3, None) for f in ("logistic", "tree", "forest")]
+    assert _tuned(monkeypatch, spark, "train_champion") == [
+        (f, models.CV_GRIDS[f], "cv", 3, None) for f in ("tree", "forest")]
+    retrained = _tuned(monkeypatch, spark, "retrain_if_needed")
+    assert retrained and all(t == (t[0], models.CV_GRIDS[t[0]], "cv", 3, None) for t in retrained)
