@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dac_tokens, exact_dedup, html_extract, jaccard_join, mixing, quality_gbt, quality_rules, sentencepiece_scan, sharding, token_counts
+from . import (dac_tokens, exact_dedup, html_extract, jaccard_join, mixing, pivot_clusters, quality_gbt, quality_rules,
+               sentencepiece_scan, sharding, token_counts, whitening)
 from tabulon.session import scratch_path
 
 from .common import table
@@ -187,6 +188,37 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op12_pivot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_clusters.cluster(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def _round(t: int) -> str:
+    """Common table expressions of one round: assignment a<t> to the centroids c<t>, then c<t+1>."""
+    return f"""
+d{t} AS (SELECT k.vec_id, k.x, c.cluster, list_sum(list_transform(list_zip(k.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS distance
+         FROM kept k, c{t} c),
+a{t} AS (SELECT * FROM d{t} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1),
+s{t} AS (SELECT cluster, i, sum(v)::HUGEINT AS s, count(*)::HUGEINT AS n
+         FROM (SELECT cluster, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM a{t}) GROUP BY ALL),
+m{t} AS (SELECT cluster, list((CASE WHEN s >= 0 THEN s // n ELSE -((n - 1 - s) // n) END)::BIGINT ORDER BY i) AS x FROM s{t} GROUP BY cluster),
+c{t + 1} AS (SELECT c.cluster, coalesce(m.x, c.x) AS x FROM c{t} c LEFT JOIN m{t} m USING (cluster))"""
+
+
+OP12_SQL = f"""
+WITH kept AS (SELECT vec_id, list_transform(embedding, lambda v: floor(64 * v::DOUBLE)::BIGINT) AS x FROM embeddings
+              WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda v: isfinite(v))) = 64),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS cluster, x FROM kept QUALIFY cluster < 16),
+{",".join(_round(t) for t in range(4))}
+SELECT vec_id, cluster::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c3.x, ',')) AS centroid_sha256
+FROM a3 JOIN c3 USING (cluster)
+"""
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_html_extract": op2_html_extract,
@@ -198,6 +230,8 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
     "op10_sharding": op10_sharding,
+    "op11_whitening": op11_whitening,
+    "op12_pivot_clusters": op12_pivot_clusters,
 }
 
 ORACLE = {
@@ -205,4 +239,5 @@ ORACLE = {
     "op5_ngram_jaccard": OP5_SQL,
     "op6_quality_rules": OP6_SQL,
     "op9_mixing": OP9_SQL,
+    "op12_pivot_clusters": OP12_SQL,
 }
