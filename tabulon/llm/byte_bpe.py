@@ -15,11 +15,14 @@ import unicodedata
 
 import numpy as np
 
+from .shingles import same_spans, span_hashes
+
 LATIN = 0x250
 #: Distinct pre-tokens whose ids a worker process remembers (only saves work).
 REMEMBERED = 800_000
+#: And the characters they have together.
+REMEMBERED_CHARS = 16_000_000
 _OTHER, _LETTER, _NUMBER, _SPACE = 0, 1, 2, 3
-_BASE = 0x9E3779B97F4A7C15 & ~3 | 5
 
 
 def _classes() -> np.ndarray:
@@ -48,17 +51,13 @@ class ByteBPE:
         self.plain = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
                       and rules["normalizer"] is None)
         self.classes = _classes()
-        rng = np.random.default_rng(7)
-        self.values = rng.integers(0, 1 << 63, LATIN, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self._powers(1 << 16)
+        #: Pre-tokens of earlier batches by hash, their characters and their ids.
         self.known, self.known_ids = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint32)
         self.known_at, self.known_n = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.known_chars = np.zeros(0, dtype=np.uint16)
+        self.known_from, self.known_len = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
-    def _powers(self, n: int) -> None:
-        inverse = pow(_BASE, -1, 1 << 64)
-        with np.errstate(over="ignore"):
-            self.up = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, _BASE, dtype=np.uint64)]))
-            self.down = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, inverse, dtype=np.uint64)]))
+    hashes = staticmethod(span_hashes)
 
     def starts(self, chars: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Flags of the characters that begin a pre-token; ``first`` flags the texts' first ones.
@@ -119,21 +118,20 @@ class ByteBPE:
         return out
 
     def _fast(self, parts: list[np.ndarray]) -> list[np.ndarray]:
-        chars = np.concatenate(parts)
+        chars = np.concatenate(parts).astype(np.uint16)
         lens = np.array([len(p) for p in parts])
         begins = np.cumsum(lens) - lens
         first = np.zeros(len(chars), dtype=bool)
         first[begins] = True
         at = np.flatnonzero(self.starts(chars, first))
-        if len(chars) >= len(self.up):
-            self._powers(len(chars))
-        with np.errstate(over="ignore"):
-            sums = np.zeros(len(chars) + 1, dtype=np.uint64)
-            np.cumsum(self.values[chars] * self.up[:len(chars)], out=sums[1:])
-            ends = np.append(at[1:], len(chars))
-            hashed = (sums[ends] - sums[at]) * self.down[at]
-            hashed ^= hashed >> np.uint64(29)
-        distinct, example, which = np.unique(hashed, return_index=True, return_inverse=True)
+        ends = np.append(at[1:], len(chars))
+        raw = chars.view(np.uint8)
+        distinct, example, which = np.unique(self.hashes(raw, 2 * at, 2 * ends), return_index=True, return_inverse=True)
+        like = example[which]
+        if not ((ends - at == ends[like] - at[like]) & same_spans(raw, 2 * at, raw, 2 * at[like], 2 * (ends - at))).all():
+            # two pre-tokens of the batch share a hash: the library takes the texts whole
+            texts = [p.tobytes().decode("utf-32-le") for p in parts]
+            return [np.array(e.ids, dtype=np.uint32) for e in self.library.encode_batch(texts, add_special_tokens=False)]
         offsets, counts, flat = self._ids_of(distinct, at[example], ends[example], chars)
         n = counts[which]
         stops = np.cumsum(n)
@@ -143,26 +141,40 @@ class ByteBPE:
 
     def _ids_of(self, hashes: np.ndarray, a: np.ndarray, b: np.ndarray, chars: np.ndarray) -> tuple:
         """(offset, count, flat ids) of distinct pre-tokens: those of earlier batches from memory,
-        the others from the library."""
+        if their characters are the same, the others from the library."""
         where = np.searchsorted(self.known, hashes)
         old = where < len(self.known)
         old[old] = self.known[where[old]] == hashes[old]
+        hit = np.flatnonzero(old)
+        if len(hit):
+            place, size = where[hit], b[hit] - a[hit]
+            same = self.known_len[place] == size
+            same[same] = same_spans(chars.view(np.uint8), 2 * a[hit][same], self.known_chars.view(np.uint8),
+                                    2 * self.known_from[place][same], 2 * size[same])
+            old[hit[~same]] = False
         new = np.flatnonzero(~old)
         offsets, counts = np.zeros(len(hashes), dtype=np.int64), np.zeros(len(hashes), dtype=np.int64)
         offsets[old], counts[old] = self.known_at[where[old]], self.known_n[where[old]]
         if not len(new):
             return offsets, counts, self.known_ids
-        whole = chars.tobytes().decode("utf-32-le")
+        whole = chars.astype(np.uint32).tobytes().decode("utf-32-le")
         tokens = [whole[i:j] for i, j in zip(a[new].tolist(), b[new].tolist(), strict=True)]
         encoded = self.library.encode(tokens, is_pretokenized=True, add_special_tokens=False)
         counts[new] = np.bincount(np.array(encoded.word_ids, dtype=np.int64), minlength=len(tokens))
         offsets[new] = len(self.known_ids) + np.cumsum(counts[new]) - counts[new]
         flat = np.concatenate([self.known_ids, np.array(encoded.ids, dtype=np.uint32)])
-        if len(self.known) + len(new) <= REMEMBERED:
+        size = b[new] - a[new]
+        if len(self.known) + len(new) <= REMEMBERED and len(self.known_chars) + int(size.sum()) <= REMEMBERED_CHARS:
             known = np.concatenate([self.known, hashes[new]])
             order = np.argsort(known, kind="stable")
+            stops = np.cumsum(size)
+            spelled = chars[np.repeat(a[new] - (stops - size), size) + np.arange(int(stops[-1]))]
+            begin = len(self.known_chars) + stops - size
             self.known = known[order]
             self.known_at = np.concatenate([self.known_at, offsets[new]])[order]
             self.known_n = np.concatenate([self.known_n, counts[new]])[order]
+            self.known_from = np.concatenate([self.known_from, begin])[order]
+            self.known_len = np.concatenate([self.known_len, size])[order]
+            self.known_chars = np.concatenate([self.known_chars, spelled])
             self.known_ids = flat
         return offsets, counts, flat

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .byte_bpe import ByteBPE
+from .common import process_cache
 
 WIDTH = 8
 RANK_BITS = 512
@@ -90,8 +91,6 @@ def access(levels: list[dict], at: np.ndarray) -> np.ndarray:
 
 
 def _bpe(definition) -> ByteBPE:
-    from tabulon.llm.common import process_cache
-
     cache = process_cache()
     key = ("byte_bpe", definition.id if hasattr(definition, "id") else id(definition))
     if key not in cache:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 & ~3 | 5  # odd, 5 mod 8: differences of powers stay rich
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
@@ -24,20 +24,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def _tables(n: int) -> tuple:
-    from tabulon.llm.common import process_cache
-
-    cache = process_cache()
-    if len(cache.get("shingle_tables", ([],))[0]) <= n:
-        n = 1 << n.bit_length()
-        inverse = pow(_BASE, -1, 1 << 64)
-        up = np.cumprod(np.concatenate([[U(1)], np.full(n, _BASE, dtype=U)]))
-        down = np.cumprod(np.concatenate([[U(1)], np.full(n, inverse, dtype=U)]))
-        values = np.random.default_rng(11).integers(0, 1 << 63, 256, dtype=U) * U(2) + U(1)
-        cache["shingle_tables"] = (up, down, values)
-    return cache["shingle_tables"]
-
-
 def words_of(raw: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple:
     """(begin, end, text number, hash) of every word. Text k is the bytes
     ``raw[offsets[k]:offsets[k + 1]]``; words are split at white space."""
@@ -54,13 +40,76 @@ def words_of(raw: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple:
         return a, b, np.searchsorted(offsets, a, side="right") - 1, span_hashes(chars, a, b)
 
 
+#: Bytes of a long text that are split into words at once.
+PIECE = 1_000_000
+#: Longer spans are hashed one by one.
+LONG_SPAN = 512
+_TAIL = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=U)
+
+
+def _eights(chars: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on, as numbers (zeros after the end)."""
+    padded = np.zeros(len(chars) + 8, dtype=np.uint8)
+    padded[:len(chars)] = chars
+    return np.ndarray((len(chars) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+
+
+def same_spans(left: np.ndarray, a: np.ndarray, right: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Are the bytes of left[a:a + length] those of right[b:b + length]?"""
+    same = np.ones(len(a), dtype=bool)
+    far = np.flatnonzero(length > LONG_SPAN)
+    for k in far.tolist():
+        same[k] = np.array_equal(left[a[k]:a[k] + length[k]], right[b[k]:b[k] + length[k]])
+    one = _eights(left)
+    two = one if right is left else _eights(right)
+    alive = np.flatnonzero((length > 0) & (length <= LONG_SPAN))
+    done = 0
+    while len(alive):
+        differ = (one[a[alive] + done] ^ two[b[alive] + done]) & _TAIL[np.minimum(length[alive] - done, 8)]
+        same[alive[differ != 0]] = False
+        done += 8
+        alive = alive[(differ == 0) & (length[alive] > done)]
+    return same
+
+
 def span_hashes(chars: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Hashes of the byte spans [a, b): a polynomial over random values per byte, by prefix sums."""
+    """Hashes of the byte spans [a, b): eight bytes at a time go through a bijection that starts with
+    the length, so spans of up to eight bytes never collide and longer ones only by chance."""
     with np.errstate(over="ignore"):
-        up, down, values = _tables(len(chars))
-        sums = np.zeros(len(chars) + 1, dtype=U)
-        np.cumsum(values[chars] * up[:len(chars)], out=sums[1:])
-        return mix((sums[b] - sums[a]) * down[a])
+        eight = _eights(chars)
+        length = b - a
+        out = mix(length.astype(U) + U(0x9E3779B97F4A7C15))
+        alive, at, left = np.arange(len(a)), a, length
+        far = np.flatnonzero(length > LONG_SPAN)
+        if len(far):
+            near = length <= LONG_SPAN
+            alive, at, left = alive[near], at[near], left[near]
+        while len(alive):
+            out[alive] = mix(out[alive] ^ (eight[at] & _TAIL[np.minimum(left, 8)])) + U(0xD1B54A32D192ED03)
+            more = left > 8
+            alive, at, left = alive[more], at[more] + 8, left[more] - 8
+        for k in far.tolist():
+            digest = hashlib.blake2b(chars[a[k]:b[k]].tobytes(), digest_size=8).digest()
+            out[k] = U(int.from_bytes(digest, "little"))
+        return out
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, hash) of every word, letters A-Z lowered. A single long text goes in pieces of
+    about ``PIECE`` bytes that end at white space, so only its hashes are as long as the text."""
+    if len(offsets) > 2 or len(raw) <= 2 * PIECE:
+        return words_of(raw, offsets)[2:]
+    found, start = [], 0
+    while start < len(raw):
+        end = min(start + PIECE, len(raw))
+        while end < len(raw) and not _SPACE[raw[end:end + PIECE]].any():
+            end = min(end + PIECE, len(raw))
+        if end < len(raw):
+            end += int(_SPACE[raw[end:end + PIECE]].argmax())
+        found.append(words_of(raw[start:end], np.array([0, end - start]))[3])
+        start = end
+    hashed = np.concatenate(found)
+    return np.zeros(len(hashed), dtype=np.int64), hashed
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -71,7 +120,7 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, width: int = 5) -> tuple[
         n_texts = len(offsets) - 1
         if not len(raw):
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=U)
-        _, _, text, word = words_of(raw, offsets)
+        text, word = word_hashes(raw, offsets)
         per_text = np.bincount(text, minlength=n_texts)
         fold = np.zeros(max(0, len(word) - width + 1), dtype=U)
         for k in range(width):

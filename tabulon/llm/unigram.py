@@ -18,6 +18,8 @@ from functools import cached_property
 
 import numpy as np
 
+from .common import process_cache
+
 #: Scores are multiples of 1 / SCALE.
 SCALE = 1 << 10
 _BASE = np.uint64(0x9E3779B97F4A7C15 & ~3 | 5)  # odd, 5 mod 8: differences of powers stay rich
@@ -276,8 +278,6 @@ class UnitIndex(dict):
 
 def vocabulary(loaded) -> Unigram:
     """The tables of a broadcast vocabulary, one copy per worker process."""
-    from tabulon.llm.common import process_cache
-
     cache = process_cache()
     key = ("unigram", loaded.value["path"])
     if key not in cache:

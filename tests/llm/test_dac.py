@@ -45,6 +45,28 @@ def test_ids_are_the_librarys(bpe):
     assert [x.tolist() for x in bpe.encode(texts)] == library(texts)
 
 
+def thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word[:n]
+
+
+def test_pre_tokens_that_defeat_polynomial_hashes(bpe):
+    words = [w for n in (1024, 2048) for t in [thue_morse(n)] for w in (t, t.translate(str.maketrans("ab", "ba")))]
+    for batch in ([" ".join(words)], words, words[::-1]):  # in one batch, and against remembered ones
+        assert [x.tolist() for x in bpe.encode(batch)] == library(batch)
+
+
+def test_pre_tokens_that_share_a_hash(bpe, monkeypatch):
+    """Equal hashes are no equal pre-tokens: neither within a batch nor against earlier ones."""
+    with open(PATH, encoding="utf-8") as f:
+        other = ByteBPE(f.read())
+    other.hashes = lambda raw, a, b: (b - a).astype(np.uint64)
+    for batch in (["one two", "six ten"], ["one"], ["two"], ["six"], ["one"]):
+        assert [x.tolist() for x in other.encode(batch)] == library(batch)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2**32 - 1)), max_size=1500))
 def test_levels_round_trip(values):
