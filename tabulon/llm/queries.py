@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (dac_tokens, exact_dedup, html_extract, jaccard_join, mixing, pivot_clusters, quality_gbt, quality_rules,
-               sentencepiece_scan, sharding, token_counts, whitening)
+from . import (dac_tokens, exact_dedup, html_extract, jaccard_join, minhash_dedup, mixing, pivot_clusters, quality_gbt,
+               quality_rules, sentencepiece_scan, sharding, token_counts, whitening)
 from tabulon.session import scratch_path
 
 from .common import table
@@ -51,18 +51,18 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
-#: Shingle sets, links of all pairs and components by reachability.
-OP5_SQL = r"""
+def _near_sql(width: int, similarity: int) -> str:
+    """Shingle sets, links of all pairs and components by reachability, as a query body."""
+    return rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                    '[^ 	-
-]+') AS ws FROM documents),
-sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5
-         THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= {width}
+         THEN list_transform(range(1, len(ws) - {width - 2}), lambda i: array_to_string(ws[i:i + {width - 1}], ' '))
          WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
 pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
-links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= {similarity} * (x.n + y.n - c)),
 edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach(doc_id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON edges.a = reach.r)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
@@ -70,6 +70,9 @@ FROM documents d JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY
 """
 
 
+OP5_SQL = _near_sql(5, 80)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
     return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -219,6 +222,13 @@ FROM a3 JOIN c3 USING (cluster)
 """
 
 
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+OP13_SQL = f"SELECT *, doc_id = component_id AS kept FROM ({_near_sql(3, 85)})"
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_html_extract": op2_html_extract,
@@ -232,6 +242,7 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_whitening": op11_whitening,
     "op12_pivot_clusters": op12_pivot_clusters,
+    "op13_minhash": op13_minhash,
 }
 
 ORACLE = {
@@ -240,4 +251,5 @@ ORACLE = {
     "op6_quality_rules": OP6_SQL,
     "op9_mixing": OP9_SQL,
     "op12_pivot_clusters": OP12_SQL,
+    "op13_minhash": OP13_SQL,
 }

@@ -19,13 +19,13 @@ def words(text):
     return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
 
 
-def shingles(text):
+def shingles(text, width=5):
     w = words(text)
-    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+    return {tuple(w[i:i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set())
 
 
-def brute(rows):
-    sets = [(i, shingles(t)) for i, t in rows]
+def brute(rows, width=5, similarity=80):
+    sets = [(i, shingles(t, width)) for i, t in rows]
     parent = {i: i for i, _ in rows}
 
     def top(x):
@@ -35,7 +35,7 @@ def brute(rows):
 
     for k, (i, a) in enumerate(sets):
         for j, b in sets[:k]:
-            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+            if a and b and 100 * len(a & b) >= similarity * len(a | b):
                 x, y = sorted((top(i), top(j)))
                 parent[y] = x
     return {i: (len(a), top(i)) for i, a in sets}
