@@ -9,6 +9,8 @@ aggregation job for all columns; their statistics are one small row.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import MinMaxScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulon.functions.columns import is_missing, present
+from tabulon.operators.frequency import FrequencyEncoder
 from tabulon.operators.profile import by_type, frequency_table, value_counts
 from tabulon.plans.lookup import attach, materialised
 from tabulon.plans.multicolumn import one_row
@@ -30,10 +33,26 @@ def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(F.inline(pairs))
 
 
-def _attach_column(out: DataFrame, table: DataFrame, c: str, value_col: str, target: str, how: str) -> DataFrame:
-    """Add ``target`` = ``value_col`` of the dictionary rows (column, value, ...) of column ``c``."""
-    own = table.filter(F.col("column") == F.lit(c)).select(F.col("value").alias(c), F.col(value_col).alias(f"_new_{c}"))
-    joined = attach(out, own, [c], how=how, null_safe=how == "left")
+@dataclass(frozen=True)
+class Dictionary:
+    """A written table (column, value, ...) of some columns and its number of rows for each of them."""
+
+    columns: list[str]
+    table: DataFrame
+    rows: dict[str, int]
+
+    @classmethod
+    def written(cls, columns: list[str], table: DataFrame) -> Dictionary:
+        table = materialised(table)
+        counted = table.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per column
+        return cls(columns, table, {r["column"]: r["n"] for r in counted})
+
+
+def _attach_column(out: DataFrame, known: Dictionary, c: str, value_col: str, target: str, how: str) -> DataFrame:
+    """Add ``target`` = ``value_col`` of the dictionary rows of column ``c``."""
+    own = known.table.filter(F.col("column") == F.lit(c)).select(
+        F.col("value").alias(c), F.col(value_col).alias(f"_new_{c}"))
+    joined = attach(out, own, [c], how=how, null_safe=how == "left", rows=known.rows.get(c, 0))
     return joined.withColumn(target, F.col(f"_new_{c}")).drop(f"_new_{c}")
 
 
@@ -50,18 +69,18 @@ def label_codes(df: DataFrame, cols: list[str] | str) -> DataFrame:
     return ranked.drop("_null")
 
 
-def label_fit(df: DataFrame, cols: list[str]) -> list[tuple[list[str], DataFrame]]:
-    """The training dictionaries: per column type (columns, written (column, value, code) table)."""
-    return [(group, materialised(label_codes(df, group).withColumn("code", F.col("code").cast("int"))))
+def label_fit(df: DataFrame, cols: list[str]) -> list[Dictionary]:
+    """The training dictionaries (column, value, code), one for each type of columns."""
+    return [Dictionary.written(group, label_codes(df, group).withColumn("code", F.col("code").cast("int")))
             for group in by_type(df, cols)]
 
 
 def label_transform(df: DataFrame, fitted, suffix: str = "") -> DataFrame:
     """Codes of the training dictionary for any rows; values it does not hold get NULL."""
     out = df
-    for group, codes in fitted:
-        for c in group:
-            out = _attach_column(out, codes, c, "code", f"{c}{suffix}", "left")
+    for known in fitted:
+        for c in known.columns:
+            out = _attach_column(out, known, c, "code", f"{c}{suffix}", "left")
     return out
 
 
@@ -83,17 +102,17 @@ def string_index_table(df: DataFrame, cols: list[str] | str) -> DataFrame:
     return ranked.select("column", "value", F.col("index").cast("double").alias("index"))
 
 
-def index_fit(df: DataFrame, cols: list[str]) -> list[tuple[list[str], DataFrame]]:
-    return [(group, materialised(string_index_table(df, group))) for group in by_type(df, cols)]
+def index_fit(df: DataFrame, cols: list[str]) -> list[Dictionary]:
+    return [Dictionary.written(group, string_index_table(df, group)) for group in by_type(df, cols)]
 
 
 def index_transform(df: DataFrame, fitted, suffix: str = "_index", how: str = "inner") -> DataFrame:
     """Indexes of the training dictionary; rows with NULL or unseen values are skipped (``inner``)
     or get NULL (``left``)."""
     out = df
-    for group, table in fitted:
-        for c in group:
-            out = _attach_column(out, table, c, "index", f"{c}{suffix}", how)
+    for known in fitted:
+        for c in known.columns:
+            out = _attach_column(out, known, c, "index", f"{c}{suffix}", how)
     return out
 
 
@@ -114,19 +133,27 @@ def join_frequency(df: DataFrame, lookup: DataFrame, col: str, out: str) -> Data
     return attach(df, lookup.select(F.col("value").alias(col), F.col("frequency").alias(out)), [col], how="left")
 
 
-def frequency_fit(df: DataFrame, cols: list[str], threshold: int = 100):
-    """(columns with more than ``threshold`` groups, per column type (columns, written (column,
-    value, frequency) table)). The exact group counts come from the same (column, value) counts
-    that make the frequencies; NULL is a group."""
-    high, fitted = [], []
+def group_counts(df: DataFrame, cols: list[str]) -> list[tuple[Dictionary, int]]:
+    """Per column type the written (column, value, n_rows) counts and the number of rows. NULL is a
+    group."""
+    out = []
     for group in by_type(df, cols):
         counts = materialised(value_counts(df, group))
         sums = counts.groupBy("column").agg(F.count(F.lit(1)).alias("groups"), F.sum("n_rows").alias("rows")).collect()
-        many = [r["column"] for r in sums if r["groups"] > threshold]
+        out.append((Dictionary(group, counts, {r["column"]: r["groups"] for r in sums}), sums[0]["rows"] if sums else 0))
+    return out
+
+
+def frequency_fit(df: DataFrame, cols: list[str], threshold: int = 100) -> tuple[list[str], list[Dictionary]]:
+    """(columns with more than ``threshold`` groups, their dictionaries (column, value, frequency)).
+    The exact group counts come from the same (column, value) counts that make the frequencies; NULL
+    is a group."""
+    high, fitted = [], []
+    for known, total in group_counts(df, cols):
+        many = [c for c in known.columns if known.rows.get(c, 0) > threshold]
         if many:
-            total = float(sums[0]["rows"])
-            fitted.append((many, counts.filter(F.col("column").isin(many)).withColumn(
-                "frequency", F.col("n_rows").cast("double") / F.lit(total))))
+            fitted.append(Dictionary(many, known.table.filter(F.col("column").isin(many)).withColumn(
+                "frequency", F.col("n_rows").cast("double") / F.lit(float(total))), known.rows))
             high += many
     return [c for c in cols if c in high], fitted
 
@@ -135,9 +162,9 @@ def frequency_transform(df: DataFrame, fitted, suffix: str = "_encoded") -> Data
     """Replace each fitted column by ``<col>_encoded`` from the training counts; values they do not
     hold get NULL."""
     out = df
-    for group, table in fitted:
-        for c in group:
-            out = _attach_column(out, table, c, "frequency", f"{c}{suffix}", "left").drop(c)
+    for known in fitted:
+        for c in known.columns:
+            out = _attach_column(out, known, c, "frequency", f"{c}{suffix}", "left").drop(c)
     return out
 
 
@@ -233,22 +260,25 @@ def column_roles(df: DataFrame, label: str, ids=()) -> tuple[list[str], list[str
 
 
 def feature_pipeline(df: DataFrame, label: str, threshold: int = 100, ids=(),
-                     features_col: str = "features", handle_invalid: str = "error",
+                     features_col: str = "features", handle_invalid: str = "error", unseen: float = 0.0,
                      ) -> tuple[Pipeline, DataFrame, list[str]]:
     """Build the feature pipeline of the reference, Spark-first.
 
-    High-cardinality categoricals are frequency-encoded by a join (``<c>_encoded``); the rest
-    are string-indexed (skip invalid). Numerics are assembled and min-max scaled; the final
-    vector is [indexes..., scaled numerics, encodings...]. ``ids`` stay out of the features
-    and in the frame. Missing values in the vectors raise unless ``handle_invalid`` says otherwise
-    (``skip`` or ``keep``). Returns (unfitted Pipeline, encoded frame, final input columns).
+    Categoricals with more than ``threshold`` groups in ``df`` are frequency-encoded
+    (``<c>_encoded``); the rest are string-indexed (skip invalid). Numerics are assembled and min-max
+    scaled; the final vector is [indexes..., scaled numerics, encodings...]. ``ids`` stay out of the
+    features and in the frame. Every step is a stage: the fitted Pipeline, saved and loaded, scores raw
+    rows with the dictionaries and ranges of the rows that it was fitted on (``unseen``: frequency of a
+    value they did not hold). Missing values in the vectors raise unless ``handle_invalid`` says
+    otherwise (``skip`` or ``keep``). Returns (unfitted Pipeline, frame to fit it on, final input
+    columns).
     """
     numeric, categorical = column_roles(df, label, ids)
-    encoded_df, high = frequency_encode(df, categorical, threshold)
+    groups = {c: n for known, _ in group_counts(df, categorical) for c, n in known.rows.items()}
+    high = [c for c in categorical if groups.get(c, 0) > threshold]
     rest = [c for c in categorical if c not in high]
-    indexers = [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="skip")
-                for c in rest]
-    stages = list(indexers)
+    stages = [FrequencyEncoder(inputCols=high, unseen=unseen)] if high else []
+    stages += [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="skip") for c in rest]
     inputs = [f"{c}_index" for c in rest]
     if numeric:
         stages.append(VectorAssembler(inputCols=numeric, outputCol="numeric_vec",
@@ -257,4 +287,4 @@ def feature_pipeline(df: DataFrame, label: str, threshold: int = 100, ids=(),
         inputs.append("numeric_scaled")
     inputs += [f"{c}_encoded" for c in high]
     stages.append(VectorAssembler(inputCols=inputs, outputCol=features_col, handleInvalid=handle_invalid))
-    return Pipeline(stages=stages), encoded_df, rest + numeric + [f"{c}_encoded" for c in high]
+    return Pipeline(stages=stages), df, rest + numeric + [f"{c}_encoded" for c in high]

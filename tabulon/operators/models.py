@@ -1,27 +1,34 @@
 """Training and tuning of Spark ML classifiers (ML-*), and the champion rule.
 
 Models are Spark ML ``PipelineModel``s (assembler + classifier), so a saved model scores raw
-feature columns. Fits read a narrow frame (feature vector, label, weight) laid out in a fixed number
-of partitions by the rows' own values, so bagging and splitting, which draw per partition, give the
-same model on any cluster; a tuning run persists it (memory and disk) because it re-reads it once per
-fold and grid point, and releases it afterwards. Cross-validation folds come from a hash of the row.
+feature columns. Fits read a ``TrainingFrame``: feature vector, label, weight and fold, narrow, laid
+out by the rows' own values in as many partitions as the counted rows need, so bagging and
+splitting, which draw per partition, give the same model on any cluster, and equal rows, however
+many, are spread like others. Everything that is tuned on the same rows (grid points, folds,
+families) shares one persisted frame; ``parallelism`` fits run at a time, the largest grid points
+first, so that a long fit does not start last.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import math
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
+
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.columns import vector_element
 from tabulon.operators.evaluate import evaluate
+from tabulon.plans.lookup import materialised
 
 FAMILIES = {
     "logistic": LogisticRegression,
@@ -68,45 +75,80 @@ def _assembler(features: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="error")
 
 
-#: Partitions of a training frame; more for larger inputs, but never read off the cluster.
-PARTITIONS = 32
+#: Rows of a partition of a training frame: its partitions follow from the counted rows.
+ROWS_PER_PARTITION = 50_000
+#: Equal rows that are placed together; the next ones go elsewhere.
+TOGETHER = 256
+#: Fits that run at a time.
+PARALLELISM = 8
 FOLD = "_fold"
 
 
-def laid_out(df: DataFrame, cols: list[str], partitions: int = PARTITIONS) -> DataFrame:
-    """Rows hashed to ``partitions`` by the values of ``cols`` and sorted by them: the layout depends
-    on the rows and the parameter alone."""
-    return df.repartition(partitions, *cols).sortWithinPartitions(*cols)
+def laid_out(df: DataFrame, cols: list[str], rows_per_partition: int = ROWS_PER_PARTITION, folds: int = 0) -> DataFrame:
+    """The rows of ``cols``, placed by a hash of their values and of their number among equal rows and
+    sorted: the layout depends on the rows and the parameter alone. Equal rows are counted first (with
+    map-side combining), so a value that a third of all rows share is one row until it is placed, in
+    portions of ``TOGETHER``. With ``folds`` the rows have a fold, by a hash of the same."""
+    copies = materialised(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies")))
+    n_rows = copies.agg(F.sum("_copies")).first()[0] or 0
+    partitions = max(1, -(-n_rows // rows_per_partition))
+    last = F.expr(f"(_copies - 1) div {TOGETHER}")
+    portions = copies.withColumn("_portion", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    placed = portions.repartition(partitions, *cols, "_portion")
+    first = F.col("_portion") * TOGETHER
+    numbers = F.sequence(first + 1, F.least(F.col("_copies"), first + TOGETHER))
+    rows = placed.withColumn("_number", F.explode(numbers))
+    rows = rows.sortWithinPartitions(*cols, "_number")
+    if folds:
+        rows = rows.withColumn(FOLD, F.pmod(F.xxhash64(*cols, "_number"), F.lit(folds)).cast("int"))
+    return rows.drop("_copies", "_portion", "_number")
+
 
+@dataclass
+class TrainingFrame:
+    """What fits read: the laid out rows with their feature vector. As a context manager it is
+    persisted (memory and disk) and released; lost blocks are placed anew, alike."""
 
-def _training_frame(df: DataFrame, features: list[str], label: str, weight: str | None = None,
-                    partitions: int = PARTITIONS, folds: int = 0) -> tuple[VectorAssembler, DataFrame]:
-    """The feature vector and what else a fit reads (label, weight, fold), narrow and laid out."""
-    assembler = _assembler(features)
-    cols = [*features, label] + ([weight] if weight else [])
-    narrow = df.select(*cols)
-    if folds:
-        narrow = narrow.withColumn(FOLD, F.pmod(F.xxhash64(*cols), F.lit(folds)).cast("int"))
-    frame = assembler.transform(laid_out(narrow, cols, partitions))
-    return assembler, frame.select(FEATURES, label, *([weight] if weight else []), *([FOLD] if folds else []))
+    assembler: VectorAssembler
+    frame: DataFrame
+    label: str
+    weight: str | None
+    folds: int
+
+    @classmethod
+    def of(cls, df: DataFrame, features: list[str], label: str, weight: str | None = None, folds: int = 0,
+           rows_per_partition: int = ROWS_PER_PARTITION) -> TrainingFrame:
+        assembler = _assembler(features)
+        cols = [*features, label] + ([weight] if weight else [])
+        rows = assembler.transform(laid_out(df.select(*cols), cols, rows_per_partition, folds))
+        keep = [FEATURES, label, *([weight] if weight else []), *([FOLD] if folds else [])]
+        return cls(assembler, rows.select(*keep), label, weight, folds)
+
+    def __enter__(self) -> TrainingFrame:
+        self.frame = self.frame.persist(StorageLevel.MEMORY_AND_DISK)
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.frame.unpersist()
 
 
 def train(df: DataFrame, family: str, label: str, features: list[str], weight: str | None = None,
-          params: dict | None = None, seed: int = 42) -> PipelineModel:
+          params: dict | None = None, seed: int = 42, rows_per_partition: int = ROWS_PER_PARTITION) -> PipelineModel:
     """Fit one classifier on raw feature columns; labels must be 0..K-1 valued numbers.
     Returns assembler + model as one ``PipelineModel`` that scores raw columns."""
     est = classifier(family, label, weight, seed, **(params or {}))
-    assembler, frame = _training_frame(df, features, label, weight)
-    return PipelineModel(stages=[assembler, est.fit(frame)])
+    rows = TrainingFrame.of(df, features, label, weight, rows_per_partition=rows_per_partition)
+    return PipelineModel(stages=[rows.assembler, est.fit(rows.frame)])
 
 
 def one_vs_rest(df: DataFrame, family: str, label: str, features: list[str],
-                params: dict | None = None, seed: int = 42) -> PipelineModel:
+                params: dict | None = None, seed: int = 42, rows_per_partition: int = ROWS_PER_PARTITION,
+                parallelism: int = PARALLELISM) -> PipelineModel:
     """One-vs-rest over a binary base classifier (e.g. gradient-boosted trees)."""
     base = classifier(family, label, None, seed, **(params or {}))
-    ovr = OneVsRest(classifier=base, featuresCol=FEATURES, labelCol=label)
-    assembler, frame = _training_frame(df, features, label)
-    return PipelineModel(stages=[assembler, ovr.fit(frame)])
+    ovr = OneVsRest(classifier=base, featuresCol=FEATURES, labelCol=label, parallelism=parallelism)
+    rows = TrainingFrame.of(df, features, label, rows_per_partition=rows_per_partition)
+    return PipelineModel(stages=[rows.assembler, ovr.fit(rows.frame)])
 
 
 def param_grid(est, grid: dict[str, list]):
@@ -116,37 +158,64 @@ def param_grid(est, grid: dict[str, list]):
     return b.build()
 
 
-def tune(df: DataFrame, family: str, label: str, features: list[str], grid: dict[str, list],
-         method: str = "cv", folds: int = 3, ratio: float = 0.9, parallelism: int = 2,
+def _work(point) -> float:
+    """How much a fit with these parameters has to do, for comparison: their product."""
+    return math.prod(float(v) for p, v in point.items() if p.name in ("numTrees", "maxDepth", "maxBins", "maxIter"))
+
+
+def tune(df: DataFrame | None, family: str, label: str, features: list[str], grid: dict[str, list],
+         method: str = "cv", folds: int = 3, ratio: float = 0.9, parallelism: int = PARALLELISM,
          seed: int = 42, weight: str | None = None, metric: str = "accuracy",
-         one_vs_rest_base: bool = False, fixed: dict | None = None):
+         one_vs_rest_base: bool = False, fixed: dict | None = None,
+         rows_per_partition: int = ROWS_PER_PARTITION, rows: TrainingFrame | None = None):
     """Grid search by k-fold cross-validation (``cv``) or a train/validation split (``tvs``).
     With ``one_vs_rest_base`` the classifier is wrapped in ``OneVsRest`` and the grid's
-    parameters reach the per-class sub-models. Returns (best PipelineModel, metrics per grid
-    point)."""
+    parameters reach the per-class sub-models. ``rows``, a persisted training frame of ``df`` (which
+    may then be None), is shared with other calls. Returns (best PipelineModel, metrics per grid
+    point, in the order of the grid)."""
+    if method not in ("cv", "tvs"):
+        raise ValueError(f"unknown tuning method {method!r}")
     weight = None if one_vs_rest_base else weight
+    if rows is None:
+        with TrainingFrame.of(df, features, label, weight, folds if method == "cv" else 0, rows_per_partition) as own:
+            return tune(None, family, label, features, grid, method, folds, ratio, parallelism, seed, weight, metric,
+                        one_vs_rest_base, fixed, rows=own)
+    if method == "cv" and rows.folds != folds:
+        raise ValueError(f"the training frame has {rows.folds} folds, not {folds}")
     est = classifier(family, label, weight, seed, **(fixed or {}))
-    maps = param_grid(est, grid)
+    points = param_grid(est, grid)
     target = (OneVsRest(classifier=est, featuresCol=FEATURES, labelCol=label)
               if one_vs_rest_base else est)
     ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
                                            metricName=metric)
     if method == "cv":
-        tuner = CrossValidator(estimator=target, estimatorParamMaps=maps, evaluator=ev,
-                               numFolds=folds, parallelism=parallelism, seed=seed, foldCol=FOLD)
-    elif method == "tvs":
-        tuner = TrainValidationSplit(estimator=target, estimatorParamMaps=maps, evaluator=ev,
-                                     trainRatio=ratio, parallelism=parallelism, seed=seed)
+        parts = [(rows.frame.filter(F.col(FOLD) != k), rows.frame.filter(F.col(FOLD) == k)) for k in range(folds)]
     else:
-        raise ValueError(f"unknown tuning method {method!r}")
-    assembler, frame = _training_frame(df, features, label, weight, folds=folds if method == "cv" else 0)
-    cached = frame.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fitted = tuner.fit(cached)
-    finally:
-        cached.unpersist()
-    scores = fitted.avgMetrics if method == "cv" else fitted.validationMetrics
-    return PipelineModel(stages=[assembler, fitted.bestModel]), list(scores)
+        drawn = rows.frame.withColumn("_drawn", F.rand(seed))
+        parts = [(drawn.filter(F.col("_drawn") < ratio), drawn.filter(F.col("_drawn") >= ratio))]
+    scores = _searched(target, points, ev, parts, parallelism)
+    best = max(range(len(points)), key=lambda k: (scores[k], -k))  # the first of equals
+    return PipelineModel(stages=[rows.assembler, target.fit(rows.frame, points[best])]), scores
+
+
+def _searched(target, points: list[dict], evaluator, parts: list[tuple[DataFrame, DataFrame]], parallelism: int) -> list[float]:
+    """The mean score of every grid point over the (training, validation) parts. All fits of all parts
+    go through one pool, the largest points first; the driver only holds their scores."""
+    spark = parts[0][0].sparkSession
+
+    def score(job):
+        part, point = job
+        fitted = target.fit(parts[part][0], points[point])
+        return part, point, evaluator.evaluate(fitted.transform(parts[part][1]))
+
+    jobs = sorted(((part, point) for point in range(len(points)) for part in range(len(parts))),
+                  key=lambda job: -_work(points[job[1]]))
+    total = [0.0] * len(points)
+    with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
+        found = sorted(pool.imap_unordered(inheritable_thread_target(spark)(score), jobs))  # one order of adding up
+    for _, point, value in found:
+        total[point] += value / len(parts)
+    return total
 
 
 def predictions_table(model: PipelineModel, df: DataFrame, label: str, id_col: str,
@@ -168,16 +237,18 @@ def predictions_table(model: PipelineModel, df: DataFrame, label: str, id_col: s
 def train_suite(train_df: DataFrame, datasets: dict[str, DataFrame], families: dict[str, dict],
                 label: str, features: list[str], id_col: str, version: int = 1,
                 method: str = "cv", weight: str | None = None, folds: int = 3,
-                ratio: float = 0.9, seed: int = 42):
-    """Tune every family on ``train_df`` and score each named dataset. Returns
-    ({name: model}, predictions table)."""
+                ratio: float = 0.9, seed: int = 42, parallelism: int = PARALLELISM,
+                rows_per_partition: int = ROWS_PER_PARTITION):
+    """Tune every family on ``train_df``, all on one persisted training frame with the same folds, and
+    score each named dataset. Returns ({name: model}, predictions table)."""
     models, preds = {}, None
-    for name, grid in families.items():
-        best, _ = tune(train_df, name, label, features, grid, method=method, folds=folds,
-                       ratio=ratio, seed=seed, weight=weight)
-        models[name] = best
+    with TrainingFrame.of(train_df, features, label, weight, folds if method == "cv" else 0, rows_per_partition) as rows:
+        for name, grid in families.items():
+            models[name], _ = tune(None, name, label, features, grid, method=method, folds=folds, ratio=ratio, seed=seed,
+                                   weight=weight, parallelism=parallelism, rows=rows)
+    for name, model in models.items():
         for ds_name, ds in datasets.items():
-            p = predictions_table(best, ds, label, id_col, name, version, ds_name)
+            p = predictions_table(model, ds, label, id_col, name, version, ds_name)
             preds = p if preds is None else preds.unionByName(p)
     return models, preds
 
@@ -202,13 +273,15 @@ def pick_champion(metrics: DataFrame, order: list[str],
 def train_and_pick(train_df: DataFrame, datasets: dict[str, DataFrame], families: dict[str, dict],
                    label: str, features: list[str], id_col: str, test_name: str = "test",
                    version: int = 1, method: str = "cv", weight: str | None = None,
-                   folds: int = 3, seed: int = 42):
+                   folds: int = 3, seed: int = 42, parallelism: int = PARALLELISM,
+                   rows_per_partition: int = ROWS_PER_PARTITION):
     """Train and tune every family, evaluate every scored dataset in one pass, and apply the
-    champion rule on ``test_name`` in training order (binary labels, positive class 1).
-    Returns (champion family, its model, long metrics, predictions)."""
+    champion rule on ``test_name`` in training order (binary labels, positive class 1). Without test
+    rows nothing beats the first family. Returns (champion family, its model, long metrics,
+    predictions)."""
     fitted, preds = train_suite(train_df, datasets, families, label, features, id_col,
                                 version=version, method=method, weight=weight, folds=folds,
-                                seed=seed)
+                                seed=seed, parallelism=parallelism, rows_per_partition=rows_per_partition)
     metrics = evaluate(preds, by=["model", "version", "dataset"])
     criteria = ["accuracy", "f1_score", "roc_auc"]
     wide = (metrics.filter(F.col("dataset") == F.lit(test_name))
@@ -216,5 +289,6 @@ def train_and_pick(train_df: DataFrame, datasets: dict[str, DataFrame], families
     position = F.create_map(*[x for i, name in enumerate(families)
                               for x in (F.lit(name), F.lit(i))])
     wide = wide.withColumn("_order", position[F.col("model")])
-    champ = pick_champion(wide, ["_order"]).collect()[0]["model"]
+    found = pick_champion(wide, ["_order"]).collect()
+    champ = found[0]["model"] if found else next(iter(families))
     return champ, fitted[champ], metrics, preds

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tabulon.functions.columns import vector_element
 from tabulon.operators import evaluate as ev
 from tabulon.operators.features import standard_scale_fit, standard_scale_transform
+from tabulon.operators.preprocess import FittedPreprocess
 
 # fixed values: the two decision texts
 POSITIVE_TEXT, NEGATIVE_TEXT = "Buy", "Do not buy"
@@ -37,12 +38,19 @@ def score_labelled(model: PipelineModel, df: DataFrame, id_col: str) -> DataFram
     return labelled_output(scored, id_col)
 
 
-def prepare_batch(batch: DataFrame, cols: list[str], train_stats: dict | None = None,
+def prepare_batch(batch: DataFrame, cols: list[str], fitted: FittedPreprocess | dict | None = None,
                   refit: bool = False) -> DataFrame:
-    """Scale a scoring batch with the TRAINING statistics (``refit=True`` re-fits on the batch
-    itself, the reference's behaviour, which skews train vs serve)."""
-    stats = standard_scale_fit(batch, cols) if refit or train_stats is None else train_stats
-    return standard_scale_transform(batch, stats)
+    """A scoring batch as the model was trained on its rows: through the fitted preprocessing of the
+    training rows (no row is dropped), or scaled with their statistics {column: (mean, std)}.
+    ``refit=True`` scales ``cols`` with statistics of the batch itself (the reference's behaviour,
+    which skews train vs serve); without statistics and without ``refit`` it raises."""
+    if refit:
+        return standard_scale_transform(batch, standard_scale_fit(batch, cols))
+    if fitted is None:
+        raise ValueError("a scoring batch needs the statistics of the training rows (or refit=True)")
+    if isinstance(fitted, FittedPreprocess):
+        return fitted.transform(batch, remove_outliers=False)
+    return standard_scale_transform(batch, {c: fitted[c] for c in cols})
 
 
 def evaluate_current(model: PipelineModel, df: DataFrame, label: str, by_values: dict,

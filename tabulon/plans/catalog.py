@@ -18,6 +18,7 @@ from tabulon.operators import evaluate as ev
 from tabulon.operators import features as fe
 from tabulon.operators import leaderboard as lb
 from tabulon.operators import models, outliers, preprocess, profile, scoring, split
+from tabulon.operators.frequency import FrequencyEncoder, FrequencyEncoderModel
 from tabulon.operators import quantiles as quantile_ops
 from tabulon.plans import bindings as B
 from tabulon.plans import lookup
@@ -491,6 +492,32 @@ def feature_chain_with_id(spark, d):
     return _feature_chain(spark, d, ["doc_id"])
 
 
+@query("feature_chain_new_rows")
+def feature_chain_new_rows(spark, d):
+    """The feature pipeline fitted on one part of the documents, saved, loaded and applied to the other
+    part: frequencies, indexes and ranges are the training part's; rows with an index value that it
+    did not hold are skipped, a frequency value that it did not hold has frequency 0."""
+    df = split.hash_split(B.binary_real(spark, d), "doc_id", [0.5, 0.5], names=("train", "batch"))
+    train = df.filter(F.col("split") == "train").drop("split")
+    pipe, rows, inputs = fe.feature_pipeline(train, "quality", threshold=10, ids=["doc_id"])
+    path = scratch_path(spark, "feature_pipeline")
+    model_io.save_model(pipe.fit(rows), path)
+    out = model_io.load_model(path).transform(df.filter(F.col("split") == "batch").drop("split"))
+    return fe.unfold_vector(out, "features", len(inputs), keep=["doc_id", "quality"])
+
+
+@query("frequency_encode_new_rows")
+def frequency_encode_new_rows(spark, d):
+    """The frequency encoder fitted on one part of the customers and applied, saved and loaded, to the
+    other part: every name there is new, segments are known and NULL ones a value like others."""
+    segment = F.when(F.col("c_custkey") % B.IMPUTE_NULL_MOD != 0, F.col("c_mktsegment"))
+    df = split.hash_split(B.table(spark, d, "customer").select("c_custkey", "c_name", segment.alias("segment")),
+                          "c_custkey", [0.8, 0.2], names=("train", "batch"))
+    path = scratch_path(spark, "frequency_encoder")
+    FrequencyEncoder(inputCols=["c_name", "segment"]).fit(df.filter(F.col("split") == "train")).write().overwrite().save(path)
+    return FrequencyEncoderModel.load(path).transform(df.filter(F.col("split") == "batch").drop("split"))
+
+
 @query("preprocess_chain")
 def preprocess_chain(spark, d):
     spec = preprocess.PreprocessSpec(types={"raw": "double"}, fill=["value", "raw"],
@@ -587,13 +614,15 @@ def train_gbt_ovr(spark, d):
                                          params={"maxIter": 10, "maxDepth": 3, "maxBins": 64}), df)
 
 
-def _best_tuned(df, families, grids, **how):
-    """The best model of the families, each tuned over its whole grid; the first one of equals."""
+def _best_tuned(df, families, grids, folds=0, **how):
+    """The best model of the families, each tuned over its whole grid on one shared training frame;
+    the first one of equals."""
     top, best = None, None
-    for family in families:
-        model, scores = models.tune(df, family, "Target0", B.CLS3_FEATURES, grids[family], **how)
-        if top is None or max(scores) > top:
-            top, best = max(scores), model
+    with models.TrainingFrame.of(df, B.CLS3_FEATURES, "Target0", folds=folds) as rows:
+        for family in families:
+            model, scores = models.tune(None, family, "Target0", B.CLS3_FEATURES, grids[family], folds=folds, rows=rows, **how)
+            if top is None or max(scores) > top:
+                top, best = max(scores), model
     return best
 
 
@@ -667,9 +696,8 @@ def train_weighted(spark, d):
     feats = pipe.fit(encoded).transform(encoded)
     lr = LogisticRegression(featuresCol="features", labelCol="quality", weightCol="weight", maxIter=20)
     scored = scoring.positive_score(lr.fit(feats).transform(feats)).withColumn("label", F.col("quality").cast("int"))
-    auc = ev.roc_auc(scored.withColumn("all_rows", F.lit(1)), by=["all_rows"])
-    return scored.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(1).alias("all_rows")).join(auc, "all_rows").select(
-        "n_rows", (F.col("roc_auc") > 0.5).alias("auc_above_half"))
+    auc = ev.roc_auc(scored.withColumn("model", F.lit("logistic")), by=["model"])
+    return auc.select(F.lit(scored.count()).cast("long").alias("n_rows"), (F.col("roc_auc") > 0.5).alias("auc_above_half"))
 
 
 @query("pick_champion")
@@ -792,12 +820,29 @@ def predicted_class_counts(spark, d):
 
 @query("score_batch_prepare")
 def score_batch_prepare(spark, d):
+    """The preprocessing fitted on the training part, saved and loaded, applied to the batch."""
     df = split.hash_split(B.cls3(spark, d), "l_orderkey", [0.8, 0.2], names=("train", "batch"))
-    stats = fe.standard_scale_fit(df.filter(F.col("split") == "train"), B.CLS3_FEATURES)
-    batch = scoring.prepare_batch(df.filter(F.col("split") == "batch"), B.CLS3_FEATURES, stats)
+    path = scratch_path(spark, "fitted")
+    preprocess.fit(df.filter(F.col("split") == "train"), preprocess.PreprocessSpec(scale=B.CLS3_FEATURES)).save(spark, path)
+    batch = scoring.prepare_batch(df.filter(F.col("split") == "batch"), B.CLS3_FEATURES,
+                                  preprocess.FittedPreprocess.load(spark, path))
     return batch.select("l_orderkey", "Target", *[r9(c).alias(c) for c in B.CLS3_FEATURES])
 
 
+@query("preprocess_new_rows")
+def preprocess_new_rows(spark, d):
+    """Types, fills, fences and scaler fitted on one part of the rows, saved, loaded and applied to the
+    other part: rows outside the training part's fences go, the rest is scaled with its statistics."""
+    df = split.hash_split(B.dirty(spark, d), "event_id", [0.7, 0.3], names=("train", "batch"))
+    spec = preprocess.PreprocessSpec(types={"raw": "double"}, fill=["value", "raw"], outlier_cols=["value", "raw"],
+                                     scale=["value", "raw"], drop=["user_id", "event_type"], features=["value", "raw"])
+    path = scratch_path(spark, "fitted")
+    preprocess.fit(df.filter(F.col("split") == "train"), spec).save(spark, path)
+    out = preprocess.FittedPreprocess.load(spark, path).transform(df.filter(F.col("split") == "batch"))
+    u = fe.unfold_vector(out, "features", 2, keep=["event_id"])
+    return u.select("event_id", r9("f0").alias("f0"), r9("f1").alias("f1"))
+
+
 @query("evaluate_current")
 def evaluate_current(spark, d):
     df = B.train_sep(spark, d)
@@ -850,12 +895,12 @@ def retrain_if_needed(spark, d):
     parts = _parts(B.train_sep(spark, d))
     weighted = split.class_weights(parts["train"], "is_first", "weight")
     tuned, preds = {}, None
+    with models.TrainingFrame.of(weighted, B.CLS3_FEATURES, "is_first", "weight", folds=3) as rows:
+        for family in dict.fromkeys(REGISTERED[name] for name in failed):  # models of a family are tuned alike
+            tuned[family], _ = models.tune(None, family, "is_first", B.CLS3_FEATURES, models.CV_GRIDS[family],
+                                           method="cv", folds=3, weight="weight", rows=rows)
     for name in failed:
-        family = REGISTERED[name]
-        if family not in tuned:  # models of a family are tuned alike
-            tuned[family], _ = models.tune(weighted, family, "is_first", B.CLS3_FEATURES, models.CV_GRIDS[family],
-                                           method="cv", folds=3, weight="weight")
-        p = models.predictions_table(tuned[family], parts["test"], "is_first", "l_orderkey", name, latest[name] + 1, "test")
+        p = models.predictions_table(tuned[REGISTERED[name]], parts["test"], "is_first", "l_orderkey", name, latest[name] + 1, "test")
         preds = p if preds is None else preds.unionByName(p)
     wide = metrics_store.metrics_for(ev.evaluate(preds, by=PREDS_BY), metrics=["accuracy", "f1_score", "roc_auc"])
     return models.pick_champion(wide, ["model"]).select(

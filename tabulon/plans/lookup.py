@@ -24,17 +24,17 @@ def materialised(stats: DataFrame) -> DataFrame:
     return stats.sparkSession.read.schema(stats.schema).parquet(path)
 
 
-def sized(stats: DataFrame) -> DataFrame:
-    """A written table with a broadcast hint if its row count allows it."""
-    return F.broadcast(stats) if stats.count() <= BROADCAST_ROWS else stats
+def sized(stats: DataFrame, rows: int | None = None) -> DataFrame:
+    """A written table with a broadcast hint if its row count (counted here if not given) allows it."""
+    return F.broadcast(stats) if (stats.count() if rows is None else rows) <= BROADCAST_ROWS else stats
 
 
 def attach(df: DataFrame, stats: DataFrame, keys: list[str], how: str = "inner",
-           null_safe: bool = True) -> DataFrame:
+           null_safe: bool = True, rows: int | None = None) -> DataFrame:
     """``df`` joined with a written ``stats`` table on equally named ``keys`` (NULL keys match with
-    ``null_safe``); the rows' own key columns are kept."""
+    ``null_safe``); the rows' own key columns are kept. ``rows`` is the table's row count, if known."""
     renamed = stats.select(*[F.col(k).alias(f"_at_{k}") for k in keys],
                            *[c for c in stats.columns if c not in keys])
     cond = [F.col(k).eqNullSafe(F.col(f"_at_{k}")) if null_safe else F.col(k) == F.col(f"_at_{k}")
             for k in keys]
-    return df.join(sized(renamed), on=cond, how=how).drop(*[f"_at_{k}" for k in keys])
+    return df.join(sized(renamed, rows), on=cond, how=how).drop(*[f"_at_{k}" for k in keys])

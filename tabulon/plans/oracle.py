@@ -395,6 +395,31 @@ def _part(key: str, weights: list[float], names: tuple[str, ...]) -> str:
     return f"CASE {cases} ELSE '{names[-1]}' END"
 
 
+ORACLE["feature_chain_new_rows"] = f"""WITH br AS (SELECT *, {_part('doc_id', [0.5, 0.5], ('train', 'batch'))} AS part FROM {BINARY_REAL}),
+tr AS (SELECT * FROM br WHERE part = 'train'),
+li AS (SELECT lang, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, lang) - 1 AS DOUBLE) AS idx
+       FROM tr WHERE lang IS NOT NULL GROUP BY lang),
+se AS (SELECT source, CAST(COUNT(*) AS DOUBLE) / CAST((SELECT COUNT(*) FROM tr) AS DOUBLE) AS enc FROM tr GROUP BY source),
+mm AS (SELECT CAST(min(n_chars) AS DOUBLE) AS nlo, CAST(max(n_chars) AS DOUBLE) AS nhi FROM tr)
+SELECT br.doc_id, br.quality, li.idx AS f0, (CAST(br.n_chars AS DOUBLE) - mm.nlo) / (mm.nhi - mm.nlo) AS f1, coalesce(se.enc, 0) AS f2
+FROM br JOIN li USING (lang) LEFT JOIN se ON br.source IS NOT DISTINCT FROM se.source, mm WHERE part = 'batch'"""
+ORACLE["frequency_encode_new_rows"] = f"""WITH c AS (SELECT c_custkey, c_name, CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS segment,
+    {_part('c_custkey', [0.8, 0.2], ('train', 'batch'))} AS part FROM customer),
+tr AS (SELECT *, COUNT(*) OVER () AS n FROM c WHERE part = 'train'),
+nf AS (SELECT c_name, CAST(COUNT(*) AS DOUBLE) / CAST(max(n) AS DOUBLE) AS f FROM tr GROUP BY c_name),
+sf AS (SELECT segment, CAST(COUNT(*) AS DOUBLE) / CAST(max(n) AS DOUBLE) AS f FROM tr GROUP BY segment)
+SELECT c_custkey, CAST(coalesce(nf.f, 0) AS DOUBLE) AS c_name_encoded, CAST(coalesce(sf.f, 0) AS DOUBLE) AS segment_encoded
+FROM c LEFT JOIN nf USING (c_name) LEFT JOIN sf ON sf.segment IS NOT DISTINCT FROM c.segment WHERE part = 'batch'"""
+ORACLE["preprocess_new_rows"] = f"""WITH d AS (SELECT event_id, value, TRY_CAST(raw AS DOUBLE) AS raw,
+    {_part('event_id', [0.7, 0.3], ('train', 'batch'))} AS part FROM {DIRTY}),
+al AS (SELECT event_id, part, CASE WHEN value IS NULL OR isnan(value) THEN 0 ELSE value END AS value,
+              CASE WHEN raw IS NULL OR isnan(raw) THEN 0 ELSE raw END AS raw FROM d),
+fl AS (SELECT * FROM al WHERE part = 'train'),
+{_quartile_fences('fl', ['value', 'raw'])},
+k AS (SELECT al.* FROM al, f WHERE NOT ({_outside('value', expr='al.value')}) AND NOT ({_outside('raw', expr='al.raw')})),
+s AS (SELECT avg(value) AS vm, stddev_pop(value) AS vs, avg(raw) AS rm, stddev_pop(raw) AS rs FROM k WHERE part = 'train')
+SELECT event_id, {r9('CASE WHEN vs = 0 THEN 0.0 ELSE (value - vm) / vs END')} AS f0,
+  {r9('CASE WHEN rs = 0 THEN 0.0 ELSE (raw - rm) / rs END')} AS f1 FROM k, s WHERE part = 'batch'"""
 THREE = ("train", "test", "val")
 ORACLE["hash_split"] = f"""SELECT c_custkey, {_part('c_custkey', [0.8, 0.1, 0.1], THREE)} AS split FROM customer"""
 ORACLE["hash_split_small_parts"] = f"""SELECT l_orderkey, l_linenumber,
