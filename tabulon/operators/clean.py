@@ -113,6 +113,7 @@ def impute_by_group(df: DataFrame, keys: list[str], col: str, stat: str = "max")
 
 
 def forward_fill(df: DataFrame, cols: list[str], order: str,
-                 keys: list[str] | None = None) -> DataFrame:
-    """Last non-null value so far in ``order`` per ``keys`` (distributed ordered scan)."""
-    return ordered.forward_fill(df, cols, order, keys)
+                 keys: list[str] | None = None, ties: list[str] | None = None) -> DataFrame:
+    """Last non-null value so far in ``order`` per ``keys`` (distributed ordered scan); rows of one
+    order value in the order of ``ties`` (default: all other columns), NULLs last."""
+    return ordered.forward_fill(df, cols, order, keys, ties=ties)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions.columns import nan_ratio, ratio_or, safe_ratio
 from tabulon.plans.lookup import attach, materialised
-from tabulon.plans.ordered import next_values, running_sums
+from tabulon.plans.ordered import running_sums
 
 BINARY_METRICS = ["accuracy", "precision", "recall", "f1_score"]
 
@@ -193,19 +193,31 @@ def multiclass_metrics(df: DataFrame, label="label", prediction="prediction", by
 
 # ------------------------------------------------------------------ curves (EV-8..11)
 def score_groups(df: DataFrame, label="label", score="score", by=(),
-                 keep_chunk: bool = False) -> DataFrame:
+                 following: tuple[str, ...] = ()) -> DataFrame:
     """(by..., score, tp, fp, tp_cum, fp_cum, P, N): one row per distinct score, counts of
-    positives/negatives at that score and cumulated from the highest score down."""
+    positives/negatives at that score and cumulated from the highest score down; ``next_<col>`` of
+    the columns ``following`` on the next lower score."""
     keys = list(by) or ["_all"]
     if not by:
         df = df.withColumn("_all", F.lit(0))
     groups = (df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
               .groupBy(*keys, score)
               .agg(F.count_if(_is(label, 1)).alias("tp"), F.count_if(~_is(label, 1)).alias("fp")))
-    cum = running_sums(groups, keys, [(score, True)], ["tp", "fp"], totals=True,
-                       keep_chunk=keep_chunk)
+    cum = running_sums(groups, keys, [(score, True)], ["tp", "fp"], totals=True, following=following)
     out = cum.withColumnsRenamed({"tp_total": "P", "fp_total": "N"})
-    return out if by or keep_chunk else out.drop("_all")
+    return out if by else out.drop("_all")
+
+
+def _highest() -> Column:
+    """Is it the row of a group's highest score? Nothing was counted before it."""
+    return (F.col("tp_cum") == F.col("tp")) & (F.col("fp_cum") == F.col("fp"))
+
+
+def _with_end_point(g: DataFrame, by, point: dict[str, Column], end: dict[str, Column]) -> DataFrame:
+    """The curve points of score groups, and each group's end point beside its highest score: both
+    from the same pass."""
+    own, extra = (F.struct(*[F.col(k) for k in by], *[v.cast("double").alias(n) for n, v in p.items()]) for p in (point, end))
+    return g.select(F.inline(F.when(_highest(), F.array(extra, own)).otherwise(F.array(own))))
 
 
 def roc_curve(df: DataFrame, label="label", score="score", by=(),
@@ -214,25 +226,14 @@ def roc_curve(df: DataFrame, label="label", score="score", by=(),
     plus the start point (threshold +Inf, 0, 0). ``drop_intermediate`` keeps, besides the
     first and last point, only points where the curve changes direction (the step to the
     next point differs from the step into this one), as scikit-learn's default does."""
+    g = score_groups(df, label, score, by, following=("tp", "fp") if drop_intermediate else ())
     if drop_intermediate:
-        keys = list(by) or ["_all"]
-        g = score_groups(df, label, score, by, keep_chunk=True)
-        g = next_values(g, keys, [(score, True)], ["tp", "fp"])
-        first = (F.col("tp_cum") == F.col("tp")) & (F.col("fp_cum") == F.col("fp"))
-        keep = (first | F.col("next_fp").isNull() | (F.col("next_fp") != F.col("fp"))
-                | (F.col("next_tp") != F.col("tp")))
-        g = g.filter(keep)
-        if not by:
-            g = g.drop("_all")
-    else:
-        g = score_groups(df, label, score, by)
-    pts = g.select(*by, F.col(score).cast("double").alias("threshold"),
-                   safe_ratio(F.col("fp_cum"), F.col("N")).alias("fpr"),
-                   safe_ratio(F.col("tp_cum"), F.col("P")).alias("tpr"))
-    start = (g.select(*by).distinct() if by else g.limit(1).select())
-    start = start.select(*by, F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"),
-                         F.lit(0.0).alias("tpr"))
-    return pts.unionByName(start)
+        g = g.filter(_highest() | F.col("next_fp").isNull() | (F.col("next_fp") != F.col("fp"))
+                     | (F.col("next_tp") != F.col("tp")))
+    return _with_end_point(
+        g, by, {"threshold": F.col(score), "fpr": safe_ratio(F.col("fp_cum"), F.col("N")),
+                "tpr": safe_ratio(F.col("tp_cum"), F.col("P"))},
+        {"threshold": F.lit(float("inf")), "fpr": F.lit(0.0), "tpr": F.lit(0.0)})
 
 
 def roc_auc(df: DataFrame, label="label", score="score", by=()) -> DataFrame:
@@ -258,13 +259,10 @@ def pr_curve(df: DataFrame, label="label", score="score", by=()) -> DataFrame:
     g = score_groups(df, label, score, by)
     recall = F.when(F.col("P") == 0, F.lit(1.0)).otherwise(
         F.col("tp_cum").cast("double") / F.col("P").cast("double"))
-    pts = g.select(*by, F.col(score).cast("double").alias("threshold"),
-                   safe_ratio(F.col("tp_cum"), F.col("tp_cum") + F.col("fp_cum")).alias("precision"),
-                   recall.alias("recall"))
-    end = (g.select(*by).distinct() if by else g.limit(1).select())
-    end = end.select(*by, F.lit(None).cast("double").alias("threshold"),
-                     F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
-    return pts.unionByName(end)
+    return _with_end_point(
+        g, by, {"threshold": F.col(score), "precision": safe_ratio(F.col("tp_cum"), F.col("tp_cum") + F.col("fp_cum")),
+                "recall": recall},
+        {"threshold": F.lit(None), "precision": F.lit(1.0), "recall": F.lit(0.0)})
 
 
 def pr_auc(df: DataFrame, label="label", score="score", by=()) -> DataFrame:
@@ -284,7 +282,7 @@ def evaluate(df: DataFrame, label="label", prediction="prediction", score="score
 
     The per-(group, score) aggregation carries both the curve counts (rows with a score and
     a label) and the confusion counts (all rows); the ordered scan runs over the distinct
-    scores, and the per-group sums of both come from the same checkpointed table."""
+    scores, and the per-group sums of both come from the same written table."""
     keys = list(by) or ["_all"]
     if not by:
         df = df.withColumn("_all", F.lit(0))

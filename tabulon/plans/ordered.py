@@ -1,11 +1,12 @@
-"""Distributed ordered scans: prefix sums, forward fill and global ranks.
+"""Distributed ordered scans: prefix sums, forward fill, following rows and global ranks.
 
 A window with an ORDER BY but no (or a hot) PARTITION BY runs in a single task. These helpers
-instead range-partition the rows on (keys, order), number the resulting chunks, and cut the
-lineage with a reliable checkpoint so that the chunk numbers are stable across the jobs that
-use them. Per-chunk totals (at most keys + chunks rows) give each chunk the carry from the
-chunks before it; a window over (key, chunk) then finishes the scan. No task ever holds more
-than one chunk, however many rows one key has.
+instead range-partition the rows on (keys, order), number the resulting chunks, scan every chunk by
+itself and write the rows with the result, all in one job: the chunk numbers are stored with the
+rows, so they are the same for all that reads them. What a chunk hands to the next ones is one small
+row per key and chunk; it is read off the written table, written too, and attached as a lookup of
+measured size, so the rows are not moved again. No task ever holds more than one chunk, however many
+rows one key has.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulon.session import reliable_checkpoint
+from tabulon.plans.lookup import attach, materialised
 
 CHUNK = "_chunk"
 
@@ -23,55 +24,46 @@ def _order_cols(order: list[tuple[str, bool]]) -> list[Column]:
     return [F.col(c).desc() if desc else F.col(c).asc() for c, desc in order]
 
 
-def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on (keys, chunk) that treats NULL keys as equal (a plain equi-join would
-    drop the rows of a NULL key); the right side's key columns are dropped."""
-    r = right.select(*[F.col(k).alias(f"_rk_{k}") for k in keys],
-                     F.col(CHUNK).alias("_rk_chunk"),
-                     *[c for c in right.columns if c not in (*keys, CHUNK)])
-    cond = [left[k].eqNullSafe(r[f"_rk_{k}"]) for k in keys] + [left[CHUNK] == r["_rk_chunk"]]
-    return left.join(r, cond, "inner").drop(*[f"_rk_{k}" for k in keys], "_rk_chunk")
+def _chunks(df: DataFrame, keys: list[str], order: list[Column], num_chunks: int | None) -> DataFrame:
+    """Rows range-partitioned on (keys, order) with their chunk number, monotone in both. Without
+    ``num_chunks`` the range shuffle uses the session's shuffle partitions and AQE coalesces adjacent
+    ranges to its advisory size; coalescing keeps ranges contiguous."""
+    cols = [*[F.col(k).asc() for k in keys], *order]
+    ranged = df.repartitionByRange(num_chunks, *cols) if num_chunks else df.repartitionByRange(*cols)
+    return ranged.withColumn(CHUNK, F.spark_partition_id())
 
 
-def default_chunks(df: DataFrame) -> int:
-    spark = df.sparkSession
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(shuffle, spark.sparkContext.defaultParallelism)
-
-
-def chunked(df: DataFrame, keys: list[str], order: list[tuple[str, bool]],
-            num_chunks: int | None = None) -> DataFrame:
-    """Range-partition on (keys, order), tag rows with their chunk id, checkpoint.
-
-    Without ``num_chunks`` the range shuffle uses the session's shuffle partitions and AQE
-    coalesces adjacent ranges to its advisory size; coalescing keeps ranges contiguous, so
-    chunk ids stay monotone in (keys, order)."""
-    cols = [*[F.col(k).asc() for k in keys], *_order_cols(order)]
-    ranged = (df.repartitionByRange(num_chunks, *cols) if num_chunks
-              else df.repartitionByRange(*cols))
-    return reliable_checkpoint(ranged.withColumn(CHUNK, F.spark_partition_id()))
+def _carried(part: DataFrame, keys: list[str], carries: DataFrame) -> DataFrame:
+    """The written rows with the columns of ``carries`` (keys, chunk, ...) of their key and chunk."""
+    return attach(part, materialised(carries), [*keys, CHUNK])
 
 
 def running_sums(df: DataFrame, keys: list[str], order: list[tuple[str, bool]],
                  sum_cols: list[str], suffix: str = "_cum", totals: bool = False,
-                 num_chunks: int | None = None, keep_chunk: bool = False) -> DataFrame:
+                 num_chunks: int | None = None, following: tuple[str, ...] = ()) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` per ``keys`` in ``order`` (order must be unique
-    within a key). Adds ``<col><suffix>`` columns, and with ``totals`` also ``<col>_total``
-    (the per-key sum, taken from the chunk totals, so the input is not scanned again)."""
-    ck = chunked(df, keys, order, num_chunks)
-    chunk_tot = ck.groupBy(*keys, CHUNK).agg(*[F.sum(c).alias(c) for c in sum_cols])
-    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
-    offsets = chunk_tot.select(*keys, CHUNK, *[
-        F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
-        *([F.sum(c).over(whole).alias(f"{c}_total") for c in sum_cols] if totals else []))
-    within = (Window.partitionBy(*keys, CHUNK).orderBy(*_order_cols(order))
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = _join_on_keys(ck, offsets, keys)
-    return joined.select(
-        *[c for c in ck.columns if c != CHUNK or keep_chunk],
-        *[(F.sum(c).over(within) + F.col(f"_off_{c}")).alias(f"{c}{suffix}") for c in sum_cols],
-        *([f"{c}_total" for c in sum_cols] if totals else []))
+    within a key). Adds ``<col><suffix>`` columns; with ``totals`` also ``<col>_total`` (the per-key
+    sum); for the columns ``following`` also ``next_<col>``, their value on the key's following row
+    (NULL on its last one)."""
+    cols = _order_cols(order)
+    rows = Window.partitionBy(*keys, CHUNK).orderBy(*cols)
+    upto = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    part = materialised(_chunks(df, keys, cols, num_chunks).select(
+        *df.columns, CHUNK, *[F.sum(c).over(upto).alias(f"_in_{c}") for c in sum_cols],
+        *[F.lead(c).over(rows).alias(f"_lead_{c}") for c in following],
+        *([F.row_number().over(rows).alias("_nth")] if following else [])))
+    firsts = [F.min(F.when(F.col("_nth") == 1, F.struct(*following))).alias("_first")] if following else []
+    per_chunk = part.groupBy(*keys, CHUNK).agg(*[F.sum(c).alias(c) for c in sum_cols], *firsts)
+    chunks = Window.partitionBy(*keys).orderBy(CHUNK)
+    before, whole = chunks.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*keys)
+    carries = per_chunk.select(
+        *keys, CHUNK, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
+        *([F.sum(c).over(whole).alias(f"{c}_total") for c in sum_cols] if totals else []),
+        *([F.lead("_first").over(chunks).alias("_next")] if following else []))
+    return _carried(part, keys, carries).select(
+        *df.columns, *[(F.col(f"_in_{c}") + F.col(f"_off_{c}")).alias(f"{c}{suffix}") for c in sum_cols],
+        *([f"{c}_total" for c in sum_cols] if totals else []),
+        *[F.coalesce(f"_lead_{c}", F.col("_next")[c]).alias(f"next_{c}") for c in following])
 
 
 def global_row_index(df: DataFrame, order: list[tuple[str, bool]], out: str = "row_index",
@@ -85,38 +77,24 @@ def global_row_index(df: DataFrame, order: list[tuple[str, bool]], out: str = "r
 
 
 def forward_fill(df: DataFrame, cols: list[str], order: str, keys: list[str] | None = None,
-                 num_chunks: int | None = None) -> DataFrame:
-    """Replace NULLs in ``cols`` by the last non-null value before them in ``order`` (per
-    ``keys``). Rows before the first non-null stay NULL."""
+                 num_chunks: int | None = None, ties: list[str] | None = None) -> DataFrame:
+    """Replace NULLs in ``cols`` by the last non-null value before them in ``order`` (per ``keys``).
+    Rows before the first non-null stay NULL.
+
+    Rows of one key and order value are ordered by ``ties`` (default: all other columns, as they are
+    listed), ascending, NULLs last, so the result does not depend on where rows lie: rows that agree
+    in all of them are alike. Equal rows are cut into chunks like others, by their place."""
     keys = keys or []
-    ck = chunked(df, keys, [(order, False)], num_chunks)
-    last_in_chunk = ck.groupBy(*keys, CHUNK).agg(*[
-        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_last_{c}")
-        for c in cols])
+    ties = [c for c in df.columns if c not in (*keys, order)] if ties is None else ties
+    cols_in_order = [F.col(order).asc(), *[F.col(c).asc_nulls_last() for c in ties], F.col("_place").asc()]
+    rows = Window.partitionBy(*keys, CHUNK).orderBy(*cols_in_order)
+    upto = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    tagged = _chunks(df.withColumn("_place", F.monotonically_increasing_id()), keys, cols_in_order, num_chunks)
+    part = materialised(tagged.select(
+        *[F.last(c, ignorenulls=True).over(upto).alias(c) if c in cols else F.col(c) for c in df.columns],
+        CHUNK, F.lead(F.lit(1)).over(rows).isNull().alias("_end")))
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = last_in_chunk.select(*keys, CHUNK, *[
-        F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in cols])
-    within = (Window.partitionBy(*keys, CHUNK).orderBy(F.col(order).asc())
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = _join_on_keys(ck, carry, keys)
-    filled = {c: F.coalesce(F.last(c, ignorenulls=True).over(within), F.col(f"_carry_{c}"))
-              for c in cols}
-    return joined.select(*[filled[c].alias(c) if c in filled else F.col(c)
-                           for c in df.columns])
-
-
-def next_values(ck: DataFrame, keys: list[str], order: list[tuple[str, bool]],
-                cols: list[str], prefix: str = "next_") -> DataFrame:
-    """For a chunk-tagged frame (``running_sums(..., keep_chunk=True)``), add the values of
-    ``cols`` on the following row in ``order`` per ``keys`` (NULL on a key's last row): a
-    ``lead`` inside each chunk, and each chunk's first row handed to the chunk before it."""
-    first_of = F.struct(*[F.col(c).alias(c) for c in cols])
-    sort_key = F.struct(*[(F.col(c) if not desc else -F.col(c)).alias(c) for c, desc in order])
-    firsts = ck.groupBy(*keys, CHUNK).agg(F.min_by(first_of, sort_key).alias("_first"))
-    following = Window.partitionBy(*keys).orderBy(CHUNK)
-    nxt = firsts.select(*keys, CHUNK, F.lead("_first").over(following).alias("_next_first"))
-    within = Window.partitionBy(*keys, CHUNK).orderBy(*_order_cols(order))
-    joined = _join_on_keys(ck, nxt, keys)
-    return joined.select(*ck.columns, *[
-        F.coalesce(F.lead(c).over(within), F.col(f"_next_first.{c}")).alias(f"{prefix}{c}")
-        for c in cols])
+    carries = part.filter("_end").select(*keys, CHUNK, *[
+        F.last(c, ignorenulls=True).over(before).alias(f"_carry_{c}") for c in cols])
+    return _carried(part, keys, carries).select(
+        *[F.coalesce(c, f"_carry_{c}").alias(c) if c in cols else F.col(c) for c in df.columns])

@@ -52,9 +52,8 @@ def test_next_values_across_chunks(spark):
     rng = np.random.default_rng(9)
     pdf = pd.DataFrame({"k": rng.choice(["a", "b"], 500), "o": rng.permutation(500),
                         "v": rng.integers(0, 100, 500)})
-    ck = ordered.running_sums(spark.createDataFrame(pdf), ["k"], [("o", True)], ["v"],
-                              num_chunks=11, keep_chunk=True)
-    out = ordered.next_values(ck, ["k"], [("o", True)], ["v"]).toPandas()
+    out = ordered.running_sums(spark.createDataFrame(pdf), ["k"], [("o", True)], ["v"], num_chunks=11,
+                               following=("v",)).toPandas()
     exp = pdf.sort_values(["k", "o"], ascending=[True, False])
     exp["next_v"] = exp.groupby("k")["v"].shift(-1)
     merged = out.merge(exp, on=["k", "o"], suffixes=("", "_exp"))
@@ -80,10 +79,40 @@ def test_hot_key_is_split_across_chunks(spark):
     n = 20000
     df = spark.range(n).select(F.when(F.col("id") % 10 == 0, F.lit("cold")).otherwise(F.lit("hot"))
                                .alias("k"), F.col("id").alias("o"))
-    ck = ordered.chunked(df, ["k"], [("o", False)], num_chunks=8)
+    ck = ordered.materialised(ordered._chunks(df, ["k"], [F.col("o").asc()], 8))
     sizes = [r["count"] for r in ck.groupBy(ordered.CHUNK).count().collect()]
     assert sum(sizes) == n
     # the hot key holds 90% of the rows but no chunk gets more than ~1/8 of them (+ slack)
     assert max(sizes) < 0.25 * n
     hot_chunks = ck.filter(F.col("k") == "hot").select(ordered.CHUNK).distinct().count()
     assert hot_chunks >= 6
+
+
+def test_forward_fill_orders_ties_by_content(spark):
+    """Two order values give more than two chunks, and the result does not depend on where rows lie."""
+    from pyspark.sql import functions as F
+
+    rows = [(t, k % 7, None if k % 3 else float(k % 5), k % 2) for k in range(600) for t in (1, 2)]
+    rows += [(2, 9, None, 1)] * 500  # equal rows
+    df = spark.createDataFrame(rows, "t int, a int, v double, b int")
+    none_last = sorted(rows, key=lambda r: (r[0], r[1], (r[2] is None, r[2] or 0), r[3]))
+    want, last = [], None
+    for t, a, v, b in none_last:
+        last = v if v is not None else last
+        want.append((t, a, last, b))
+    for parts in (1, 6):
+        out = ordered.forward_fill(df.repartition(parts), ["v"], "t", num_chunks=12)
+        assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
+    cols = [F.col(c).asc() for c in ("t", "a", "v", "b", "_place")]
+    chunks = ordered._chunks(df.withColumn("_place", F.monotonically_increasing_id()), [], cols, 12)
+    assert chunks.select(ordered.CHUNK).distinct().count() > 6
+    equal = chunks.filter("a = 9").select(ordered.CHUNK).distinct().count()
+    assert equal > 2
+
+
+def test_carries_are_attached_without_moving_the_rows(spark):
+    df = spark.range(5000).selectExpr("id % 3 AS k", "id AS o", "id % 5 AS v", "CASE WHEN id % 4 = 0 THEN id END AS w")
+    for out in (ordered.running_sums(df, ["k"], [("o", False)], ["v"], totals=True, following=("v",)),
+                ordered.forward_fill(df, ["w"], "o", ["k"])):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "Window" not in plan
