@@ -8,16 +8,17 @@ import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.columns import (
-    is_float_type, is_infinite, is_missing, is_numeric_type, present,
+    all_of, is_float_type, is_infinite, is_missing, is_numeric_type, present,
 )
 from tabulon.operators.outliers import fence_pair
 from tabulon.operators.quantiles import quantile_values
 from tabulon.plans.lookup import materialised
-from tabulon.plans.multicolumn import one_row, per_column_agg
+from tabulon.plans.multicolumn import MAX_AGGREGATES, one_row, per_column_agg
+from tabulon.session import scratch_path
 
 
 def infinite_counts(df: DataFrame, cols: list[str] | None = None,
@@ -51,11 +52,11 @@ def class_counts(df: DataFrame, col: str, out: str = "n_rows") -> DataFrame:
 
 
 def class_distribution(df: DataFrame, col: str) -> DataFrame:
-    """(label, n_rows, share, pct, pct_2dp). The total is summed over the class table (one row
-    per class, so the window spans K rows), which saves a second scan of the input.
-    ``pct_2dp`` rounds half up on the binary value: floor(pct * 100 + 0.5) / 100."""
-    counts = class_counts(df, col)
-    total = F.sum("n_rows").over(Window.partitionBy()).cast("double")
+    """(label, n_rows, share, pct, pct_2dp). The total is the sum of the written counts, as a literal:
+    the rows are read once and no window holds the classes. ``pct_2dp`` rounds half up on the binary
+    value: floor(pct * 100 + 0.5) / 100."""
+    counts = materialised(class_counts(df, col))
+    total = F.lit(float(counts.agg(F.sum("n_rows")).first()[0] or 0))
     pct = F.col("n_rows").cast("double") * F.lit(100.0) / total
     out = counts.select(col, "n_rows", (F.col("n_rows").cast("double") / total).alias("share"),
                         pct.alias("pct"))
@@ -132,58 +133,89 @@ def histogram_by(df: DataFrame, col: str, by: str, bins: int = 50) -> DataFrame:
 
 #: A variance below this share of the second moment is rounding: the side counts as constant.
 CONSTANT = 1e-12
-
-
-def _pairwise(df: DataFrame, cols: list[str]) -> dict[tuple[str, str], float | None]:
-    """Pairwise-complete Pearson correlations (NULL and NaN missing; None where a side is constant
-    or a pair has no complete row).
-
-    All sums over pairs are blocks of one Gramian over the vectors (present, x, x squared), x = 0
-    where missing and shifted by the column's mean: two jobs and 3K x 3K numbers on the driver,
-    whatever the number of rows. No aggregate expression per pair, so the plan does not grow with
-    K squared."""
+#: Columns of a tile of the correlation matrix.
+TILE = 128
+
+
+def _correlation(n, cross, s_a, s_b, ss_a, ss_b):
+    """Pearson correlations from the sums over complete pairs; NaN where there is none, or a side is
+    constant."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        va, vb = ss_a - s_a ** 2 / n, ss_b - s_b ** 2 / n
+        found = (cross - s_a * s_b / n) / np.sqrt(va * vb)
+    return np.where((n > 0) & (va > CONSTANT * ss_a) & (vb > CONSTANT * ss_b), found, np.nan)
+
+
+def _shifts(df: DataFrame, cols: list[str]) -> tuple[dict[str, float], int]:
+    """What is taken off each column's values: its mean, its only value, 0 if that is not finite; and
+    the number of rows."""
+    out, n_rows = {}, 0
+    for at in range(0, len(cols), MAX_AGGREGATES // 3):
+        some = cols[at:at + MAX_AGGREGATES // 3]
+        row = one_row(df, {"rows": F.count(F.lit(1))} | {
+            f"{k}{i}": f(present(df, c)) for i, c in enumerate(some) for k, f in (("lo", F.min), ("hi", F.max), ("mean", F.avg))})
+        n_rows = row["rows"]
+        for i, c in enumerate(some):
+            s = row[f"lo{i}"] if row[f"lo{i}"] == row[f"hi{i}"] else row[f"mean{i}"]
+            out[c] = s if s is not None and math.isfinite(s) else 0.0
+    return out, n_rows
+
+
+def _tile(df: DataFrame, left: list[str], right: list[str], shift: dict[str, float]) -> np.ndarray:
+    """Pairwise-complete correlations of the columns ``left`` x ``right``, NaN where undefined. All
+    sums are blocks of one Gramian over the vectors (present, x, x squared), x = 0 where missing and
+    shifted; the scan reads the tile's columns only."""
+    cols = list(dict.fromkeys([*left, *right]))
     values = [present(df, c) for c in cols]
-    row = one_row(df, {f"{k}{i}": f(v) for i, v in enumerate(values)
-                       for k, f in (("lo", F.min), ("hi", F.max), ("mean", F.avg))})
-    shift = [row[f"lo{i}"] if row[f"lo{i}"] == row[f"hi{i}"] else row[f"mean{i}"] for i in range(len(cols))]
-    shift = [s if s is not None and math.isfinite(s) else 0.0 for s in shift]
-    moved = [F.coalesce(v - F.lit(s), F.lit(0.0)) for v, s in zip(values, shift)]
+    moved = [F.coalesce(v - F.lit(shift[c]), F.lit(0.0)) for v, c in zip(values, cols)]
     vector = array_to_vector(F.array(*[v.isNotNull().cast("double") for v in values], *moved,
                                      *[m * m for m in moved])).alias("v")
-    matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(df.select(vector), "v"))
     k = len(cols)
-    g = matrix.computeGramianMatrix().toArray() if not df.isEmpty() else np.zeros((3 * k, 3 * k))
+    g = RowMatrix(MLUtils.convertVectorColumnsFromML(df.select(vector), "v"), 0, 3 * k).computeGramianMatrix().toArray()
+    a, b = ([cols.index(c) for c in side] for side in (left, right))
     n, s, ss, cross = g[:k, :k], g[k:2 * k, :k], g[2 * k:, :k], g[k:2 * k, k:2 * k]
-    out = {}
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            m = n[i, j]
-            if not m:
-                out[a, b] = None
-                continue
-            va, vb = ss[i, j] - s[i, j] ** 2 / m, ss[j, i] - s[j, i] ** 2 / m
-            if va <= CONSTANT * ss[i, j] or vb <= CONSTANT * ss[j, i]:
-                out[a, b] = None
-            else:
-                out[a, b] = float((cross[i, j] - s[i, j] * s[j, i] / m) / math.sqrt(va * vb))
-    return out
-
-
-def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(col_a, col_b, corr) for every ordered pair of columns."""
-    found = _pairwise(df, cols)
-    return df.sparkSession.createDataFrame([(a, b, found[a, b]) for a in cols for b in cols],
-                                           "col_a string, col_b string, corr double")
+    here = np.ix_(a, b)
+    return _correlation(n[here], cross[here], s[here], s.T[here], ss[here], ss.T[here])
+
+
+def correlation_matrix(df: DataFrame, cols: list[str], tile: int = TILE) -> DataFrame:
+    """(col_a, col_b, corr) for every ordered pair of columns: pairwise-complete Pearson correlations
+    (NULL and NaN missing; NULL where a side is constant or a pair has no complete row).
+
+    One job for the means, then one for each pair of tiles of ``tile`` columns; the driver holds the
+    sums of one pair of tiles, and with more than one tile the results are written pair by pair."""
+    schema = "col_a string, col_b string, corr double"
+    spark, (shift, n_rows) = df.sparkSession, _shifts(df, cols)
+    tiles = [cols[at:at + tile] for at in range(0, len(cols), tile)]
+    path = scratch_path(spark, "correlations") if len(tiles) > 1 else None
+    rows: list = []
+    for i, left in enumerate(tiles):
+        for right in tiles[i:]:
+            found = _tile(df, left, right, shift) if n_rows else np.full((len(left), len(right)), np.nan)
+            rows = [(a, b, None if math.isnan(v) else v) for a, line in zip(left, found.tolist()) for b, v in zip(right, line)]
+            if right is not left:
+                rows += [(b, a, v) for a, b, v in rows]
+            if path:
+                spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path) if path else spark.createDataFrame(rows, schema)
 
 
 def target_correlation(df: DataFrame, target: str, cols: list[str]) -> DataFrame:
     """(column, corr) of each feature with the target; undefined ones dropped, ascending, target
-    itself removed."""
-    feats = [c for c in cols if c != target]
-    found = _pairwise(df, [target, *feats])
-    rows = [(c, found[c, target]) for c in feats]
-    rows = [r for r in rows if r[1] is not None and not math.isnan(r[1])]
-    return df.sparkSession.createDataFrame(sorted(rows, key=lambda r: r[1]), "column string, corr double")
+    itself removed. One aggregation of the sums of every (feature, target) pair, stable around their
+    means."""
+    y = present(df, target)
+
+    def regr(name):
+        return lambda c: F.call_function(f"regr_{name}", y, present(df, c))
+
+    names = ("sxy", "sxx", "syy", "count", "avgx", "avgy")
+    sums = per_column_agg(df, [c for c in cols if c != target], {k: regr(k) for k in names}, {"count": "long"})
+    varies = [F.col(v) > F.lit(CONSTANT) * (F.col(v) + F.col("count") * F.col(m) * F.col(m))
+              for v, m in (("sxx", "avgx"), ("syy", "avgy"))]
+    corr = F.when(all_of(varies), F.try_divide(F.col("sxy"), F.sqrt(F.col("sxx")) * F.sqrt(F.col("syy"))))
+    out = sums.select("column", corr.alias("corr"))
+    return out.filter(F.col("corr").isNotNull() & ~F.isnan("corr")).orderBy("corr", "column")
 
 
 def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.plans.lookup import attach, materialised
@@ -52,17 +52,16 @@ def hash_split(df: DataFrame, key: str, weights: list[float], names=DEFAULT_NAME
 
 
 def class_weight_table(df: DataFrame, label: str) -> DataFrame:
-    """(label, n_class, weight = N / (K * n_class)); N and K come from the counts table
-    itself (one row per class), not from extra jobs."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
-    everything = Window.partitionBy()  # over the K class rows only (one row per class)
-    return counts.withColumn(
-        "weight", F.sum("n_class").over(everything).cast("double")
-        / (F.count(F.lit(1)).over(everything).cast("double") * F.col("n_class").cast("double")))
+    """(label, n_class, weight = N / (K * n_class)); N and K are sums over the written counts (one row
+    per class), as literals."""
+    counts = materialised(df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class")))
+    total = counts.agg(F.sum("n_class").alias("n"), F.count(F.lit(1)).alias("k")).first()
+    return counts.withColumn("weight", F.lit(float(total["n"] or 0))
+                             / (F.lit(float(total["k"])) * F.col("n_class").cast("double")))
 
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Rows with a class-balancing weight column: NULL-safe equi-join on the label (a NULL
-    label is its own class, no row is dropped); the written K-row table is broadcast."""
+    label is its own class, no row is dropped); the K rows on top of the written counts are broadcast."""
     w = class_weight_table(df, label).select(label, F.col("weight").alias(out))
-    return attach(df, materialised(w), [label])
+    return attach(df, w, [label])

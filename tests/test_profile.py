@@ -134,3 +134,43 @@ def test_infinite_quartiles_flag_nothing(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (inf,), (inf,)], "x double")
     assert outliers.remove_outliers(df, ["x"]).count() == 4
     assert {r[0] for r in outliers.flag_outliers(df, ["x"]).select("x_is_outlier").collect()} == {0}
+
+
+def test_correlation_in_tiles_and_target_sums_agree_with_pandas(spark):
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 9)) @ rng.normal(size=(9, 9)) + 1e4
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:, 7] = 3.1
+    names = [f"c{i}" for i in range(9)]
+    pdf = pd.DataFrame(x, columns=names)
+    df = spark.createDataFrame(pdf).repartition(3)
+    want = pdf.corr().to_numpy(copy=True)
+    want[7, :] = want[:, 7] = np.nan
+    for tile in (4, 100):
+        out = profile.correlation_matrix(df, names, tile=tile).collect()
+        assert len(out) == 81
+        got = {(r["col_a"], r["col_b"]): r["corr"] for r in out}
+        for i, a in enumerate(names):
+            for j, b in enumerate(names):
+                v = got[a, b]
+                assert (v is None) == bool(np.isnan(want[i, j])) and (v is None or abs(v - want[i, j]) < 1e-9)
+    near = profile.target_correlation(df, "c2", names).collect()
+    assert [r["corr"] for r in near] == sorted(r["corr"] for r in near) and len(near) == 7
+    assert all(abs(r["corr"] - want[2, names.index(r["column"])]) < 1e-9 for r in near)
+    empty = df.limit(0)
+    assert {r["corr"] for r in profile.correlation_matrix(empty, names, tile=4).collect()} == {None}
+    assert profile.target_correlation(empty, "c2", names).count() == 0
+
+
+def test_class_totals_need_no_window(spark):
+    from tabulon.operators import split
+
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
+    for out in (profile.class_distribution(df, "k"), split.class_weight_table(df, "k")):
+        assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {r["k"]: r["share"] for r in profile.class_distribution(df, "k").collect()} == {"a": 0.5, "b": 0.25, None: 0.25}
+    assert profile.class_distribution(df.limit(0), "k").count() == 0
+    assert split.class_weights(df.limit(0), "k").count() == 0

@@ -30,16 +30,28 @@ def test_parquet_roundtrip_and_projection(spark):
     assert sorted(tuple(r) for r in back.collect()) == [(1, 2.0), (2, 3.0)]
 
 
-def test_metric_log_appends_and_pivots(spark):
+def test_metric_log_is_keyed_by_run_and_pivots(spark):
     folder = tempfile.mkdtemp(prefix="tabulon-metrics-")
     rows = [("m", 1, "test", "accuracy", 0.9), ("m", 1, "test", "f1_score", 0.8)]
     df = spark.createDataFrame(rows, "model string, version int, dataset string, metric string, value double")
-    metrics_store.log_metrics(df, folder)
-    metrics_store.log_metrics(df.withColumn("version", df["version"] + 1), folder)
+    again = df.withColumn("version", df["version"] + 1)
+    metrics_store.log_metrics(df, folder, "007")
+    metrics_store.log_metrics(again, folder, "b/1 x")
+    once = sorted(map(tuple, metrics_store.read_metrics(spark, folder).collect()))
+    for _ in range(2):  # a repeated run leaves the same rows
+        metrics_store.log_metrics(again, folder, "b/1 x")
+        assert sorted(map(tuple, metrics_store.read_metrics(spark, folder).collect())) == once
+    assert len(once) == 4 and {r[-1] for r in once} == {"007", "b/1 x"}
+    # fewer rows of a run replace all of its rows, and no others
+    metrics_store.log_metrics(again.filter("metric = 'accuracy'"), folder, "b/1 x")
     log = metrics_store.read_metrics(spark, folder)
-    assert log.count() == 4
+    assert log.count() == 3 and metrics_store.read_run(spark, folder, "007").count() == 2
     wide = {r["version"]: r for r in metrics_store.metrics_for(log, metrics=["accuracy", "f1_score", "roc_auc"]).collect()}
     assert wide[2]["accuracy"] == 0.9 and wide[2]["roc_auc"] is None
+    # the last run's value holds where several logged one
+    metrics_store.log_metrics(df.withColumn("value", df["value"] / 2), folder, "008")
+    log = metrics_store.read_metrics(spark, folder)
+    assert metrics_store.metrics_for(log, metrics=["accuracy"]).filter("version = 1").first()["accuracy"] == 0.45
 
 
 def test_read_delimited_with_explicit_schema(spark):
