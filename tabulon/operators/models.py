@@ -78,7 +78,7 @@ def _assembler(features: list[str]) -> VectorAssembler:
 #: Rows of a partition of a training frame: its partitions follow from the counted rows.
 ROWS_PER_PARTITION = 50_000
 #: Equal rows that are placed together; the next ones go elsewhere.
-TOGETHER = 256
+TOGETHER = 64
 #: Fits that run at a time.
 PARALLELISM = 8
 FOLD = "_fold"

@@ -116,3 +116,80 @@ def test_training_dictionary_scores_new_rows(spark):
     high, counts = fe.frequency_fit(train, ["s"], threshold=2)
     assert high == ["s"]
     assert [r["s_encoded"] for r in fe.frequency_transform(new, counts).collect()] == [0.25, None, 0.25]
+
+
+def test_fitted_pipeline_with_frequencies_is_saved_and_scores_new_rows(spark):
+    import tempfile
+
+    from tabulon.sources.models import load_model, save_model
+
+    rows = [(i % 2, float(i), ["en", "fr"][i % 2], None if i % 5 == 0 else f"t{i % 7}") for i in range(70)]
+    df = spark.createDataFrame(rows, "label int, n double, lang string, txt string")
+    pipe, frame, inputs = fe.feature_pipeline(df, "label", threshold=5)
+    assert inputs == ["lang", "n", "txt_encoded"] and frame.columns == df.columns
+    fitted = pipe.fit(frame)
+    path = tempfile.mkdtemp(prefix="tabulon-pipe-")
+    save_model(fitted, path)
+    loaded = load_model(path)
+    new = spark.createDataFrame([(0, 69.0, "fr", "t1"), (0, 0.0, "en", "never seen"), (1, 34.5, "en", None), (1, 1.0, "de", "t1")],
+                                df.schema)
+    for model in (fitted, loaded):
+        got = {r["n"]: (r["f0"], r["f1"], r["f2"]) for r in fe.unfold_vector(model.transform(new), "features", 3, keep=["n"]).collect()}
+        # t1 is held by i % 7 == 1 without every fifth row: 8 of 70; NULL by 14; "de" was no language: skipped
+        assert got == {69.0: (1.0, 1.0, 8 / 70), 0.0: (0.0, 0.0, 0.0), 34.5: (0.0, 0.5, 14 / 70)}
+
+
+def test_frequency_encoder_alone(spark):
+    import math
+    import tempfile
+
+    from tabulon.operators.frequency import FrequencyEncoder, FrequencyEncoderModel
+
+    df = spark.createDataFrame([(1, "a", 5), (2, "a", 5), (3, None, 6), (4, "b", None)], "id int, s string, k int")
+    model = FrequencyEncoder(inputCols=["s", "k"], suffix="_f", unseen=float("nan")).fit(df)
+    path = tempfile.mkdtemp(prefix="tabulon-freq-")
+    model.write().overwrite().save(path)
+    back = FrequencyEncoderModel.load(path)
+    assert back.uid == model.uid and back.encoded_columns() == ["s_f", "k_f"] and back.values == {"s": 3, "k": 3}
+    new = spark.createDataFrame([(1, "a", 6), (2, None, None), (3, "z", 7)], df.schema)
+    got = {r["id"]: (r["s_f"], r["k_f"]) for r in back.transform(new).collect()}
+    assert got[1] == (0.5, 0.25) and got[2] == (0.25, 0.25) and all(math.isnan(v) for v in got[3])
+    plan = back.transform(new)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "Exchange hashpartitioning" not in plan
+    assert FrequencyEncoder(inputCols=["s"]).fit(df.limit(0)).transform(new).filter("s_encoded = 0").count() == 3
+
+
+def test_preprocessing_is_fitted_saved_and_learns_nothing_from_new_rows(spark):
+    import math
+    import tempfile
+
+    from tabulon.operators import preprocess, scoring
+
+    rows = [(i, str(float(i % 10)), float(i % 4)) for i in range(200)] + [(900, "1e6", 1.0), (901, "oops", None)]
+    df = spark.createDataFrame(rows, "id int, x string, y double")
+    spec = preprocess.PreprocessSpec(types={"x": "double"}, fill=["x", "y"], outlier_cols=["x"], scale=["x", "y"],
+                                     drop=["id"], features=["x", "y"])
+    fitted = preprocess.fit(df, spec)
+    path = tempfile.mkdtemp(prefix="tabulon-prep-")
+    fitted.save(spark, path)
+    loaded = preprocess.FittedPreprocess.load(spark, path)
+    assert loaded == fitted
+    lo, hi = loaded.fences["x"]
+    inside = [(float(i % 10), float(i % 4)) for i in range(200)] + [(0.0, 0.0)]
+    mean = sum(x for x, _ in inside) / len(inside)
+    std = math.sqrt(sum((x - mean) ** 2 for x, _ in inside) / len(inside))
+    assert lo < 0 and 9 < hi < 100 and loaded.scaling["x"] == pytest.approx((mean, std))
+    new = spark.createDataFrame([(1, "4.0", 2.0), (2, "5000", 0.0)], df.schema)
+    kept = loaded.transform(new)
+    assert kept.columns == ["x", "y", "features"] and [r["x"] for r in kept.collect()] == pytest.approx([(4 - mean) / std])
+    batch = scoring.prepare_batch(new, ["x", "y"], loaded)  # a scoring batch keeps its rows
+    assert sorted(r["x"] for r in batch.collect()) == pytest.approx([(4 - mean) / std, (5000 - mean) / std])
+    with pytest.raises(ValueError):
+        scoring.prepare_batch(new.drop("x"), ["y"])
+    again = scoring.prepare_batch(new.select("y"), ["y"], refit=True)
+    assert sorted(r["y"] for r in again.collect()) == [-1.0, 1.0]
+    infinite = preprocess.FittedPreprocess(spec, {"x": (-math.inf, math.inf), "y": (None, None)}, {"y": (None, None)})
+    infinite.save(spark, path)
+    assert preprocess.FittedPreprocess.load(spark, path) == infinite
+    empty = preprocess.fit(df.limit(0), spec)
+    assert empty.fences == {"x": (None, None)} and empty.transform(new).count() == 2

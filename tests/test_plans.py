@@ -1,26 +1,15 @@
-"""Physical-plan invariants: no cross joins, no Python evaluation, filters and column pruning
-reach the Parquet scan."""
+"""Physical-plan invariants: filters and column pruning reach the Parquet scan, small lookups are
+broadcast (``test_oracle.py`` also checks every key's plan)."""
 
 import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
-FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
-             "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas")
-
-
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
-def test_no_cross_join_or_python_in_plan(spark, name):
-    plan = _plan(E.queries()[name](spark, SF_SMALL))
-    for node in FORBIDDEN:
-        assert node not in plan, f"{name}: {node}"
-
-
 def test_outlier_filter_is_pushed_into_scan(spark):
     plan = _plan(E.queries()["flagship_iqr_lang_share"](spark, SF_SMALL))
     assert "PushedFilters: [Or(IsNull(n_chars),And(GreaterThanOrEqual(n_chars," in plan
