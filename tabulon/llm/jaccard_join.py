@@ -24,12 +24,16 @@ and their symmetric difference is at most (|r| + |s|) / 9.
    cost of one more key per shingle. Sets index all their segments, and the neighbourhoods of the
    segments that may be raised: all in bands of few segments, ``RESERVE`` in the others. Empty
    segments are a last resort, so that no link is ever lost.
-6. *Verification* is exact, on the whole sets, and never forms all pairs of a group: first each
-   document against one centre; then, only in groups that still hold more than one component, small
-   groups pair for pair and large ones against further centres, until every group is one component
-   or all its probing members have been centres. What is left out is already connected.
+6. *Verification* is exact, on the whole sets, by ``near_groups``: members meet their group's centre;
+   groups that still hold more than one component are worked on in blocks inside tasks. The sketch of
+   a set there is the parity of its shingles in 4 to 8 places for each: the places in which two
+   differ are at most as many as the shingles that only one of them has, so a sketch never rules out
+   a link.
 7. Verified links are joined to connected components.
 
+A text is split into words a piece at a time; its word hashes and shingles (some forty bytes of
+memory for a word) are held whole, by one task.
+
 Defined results: null and empty texts, and texts without words, have no shingles and are linked
 with nothing. Ids are whole numbers; a row without an id keeps a null component and is linked with
 nothing. Rows that repeat an id are the same document. An empty table gives an empty result. Only
@@ -46,7 +50,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
-from .components import connected_components
+from .near_groups import Rule, components, restrict
 from .shingles import U, mix, shingle_sets, text_batches
 
 WIDTH = 5
@@ -58,10 +62,6 @@ BUCKET_KEYS = 4_000_000
 RESERVE, FEW = 8, 16
 #: A key of so many documents in one batch is combined before the shuffle.
 COMBINE = 64
-#: Groups up to this size are compared pair for pair.
-SMALL_GROUP = 8
-#: Ids are broadcast up to this count, else joined by shuffle.
-BROADCAST_IDS = 1_000_000
 
 INDEX, PROBE, WHOLE = 1, 2, 4
 #: Flags also hold, from this bit on, how many bands under its own the set is seen in.
@@ -297,8 +297,37 @@ def allocate(keyed: DataFrame) -> DataFrame:
             .groupBy("grp", "id").agg(F.max(F.coalesce("probes", F.lit(False))).alias("probes")))
 
 
+def parity_sketches(hashed: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """For each set, whether an odd number of its hashes falls in each place; the places are a power
+    of two, from 64 on and 4 for each hash at least."""
+    places = np.maximum(6, np.ceil(np.log2(np.maximum(4 * sizes, 1)))).astype(np.int64)
+    width = np.int64(1) << places
+    first = np.cumsum(width) - width
+    at = (hashed & (np.repeat(width, sizes) - 1).astype(U)).astype(np.int64)
+    odd = np.bincount(np.repeat(first, sizes) + at, minlength=int(width.sum())).astype(np.uint8) & 1
+    packed = np.packbits(odd, bitorder="little").tobytes()
+    return [packed[a // 8:(a + w) // 8] for a, w in zip(first.tolist(), width.tolist(), strict=True)]
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Parity sketches folded to the narrowest one's places, 64 in a column."""
+    width = min(map(len, sketches), default=8)
+    out = np.zeros((len(sketches), width // 8), dtype=U)
+    for k, sketch in enumerate(sketches):
+        out[k] = np.bitwise_xor.reduce(np.frombuffer(sketch, dtype=U).reshape(-1, width // 8), axis=0)
+    return out
+
+
+def _may_link(one, n, others, sizes):
+    differ = np.bitwise_count(one ^ others).sum(axis=1, dtype=np.int64)
+    return differ * 9 <= n + sizes
+
+
+RULE = Rule(num=80, den=100, matrix=folded, may_link=_may_link)
+
+
 def _set_rows(width: int):
-    """(id, shingles) of every row."""
+    """(id, sketch, shingles) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, raw, offsets in text_batches(batch, 1, BATCH_BYTES):
@@ -306,87 +335,13 @@ def _set_rows(width: int):
                 n = np.bincount(owner, minlength=b - a)
                 cuts = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a),
-                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(hashed.view(np.int64)))], names=["id", "shingles"])
+                    [batch.column(0).slice(a, b - a), pa.array(parity_sketches(hashed, n), pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(hashed.view(np.int64)))],
+                    names=["id", "sketch", "shingles"])
 
     return run
 
 
-def _restrict(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` whose id is (semi) or is not (anti) among the written ``ids``."""
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, "id", f"left_{how}")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets have a Jaccard similarity of 0.8 or more, exactly. Only the sets
-    of documents in the pairs are moved."""
-    pairs = written(pairs.select("a", "b").distinct(), "near_pairs")
-    named = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "near_pair_ids")
-    sets = _restrict(sets, named, "semi")
-    with_b = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
-    both = with_b.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
-    common = F.size(F.array_intersect("set_a", "set_b")).cast("long")
-    either = F.size("set_a") + F.size("set_b") - common
-    return written(both.filter(common * 100 >= either * 80).select("a", "b"), "near_links")
-
-
-def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels (id, component) after further links: the components that the links connect become
-    one. Only links between different components enter the search."""
-    of_a = labels.select(F.col("id").alias("a"), F.col("component").alias("ca"))
-    of_b = labels.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-    between = written(links.join(of_a, "a").join(of_b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-                      .filter("a <> b").distinct(), "near_between")
-    if between.isEmpty():
-        return labels
-    found = connected_components(between).select(F.col("node").alias("component"), F.col("component").alias("top"))
-    return written(labels.join(found, "component", "left")
-                   .select("id", F.coalesce("top", "component").alias("component")), "near_labels")
-
-
-def candidate_components(groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """(id, component) of the members of candidate groups (grp, id, n, probes): the components that
-    the links among all probing and other members make."""
-    near = "n * 5 >= m * 4 and m * 5 >= n * 4"  # sizes that allow the similarity
-    labels = written(groups.select("id", F.col("id").alias("component")).distinct(), "near_labels")
-    groups = groups.withColumn("met", F.lit(False))  # has been a centre in all its groups
-    centre = groups.groupBy("grp").agg(F.min(F.when(F.col("probes"), F.struct("id", "n"))).alias("c"))
-    one_each = (groups.join(centre.select("grp", F.col("c.id").alias("a"), F.col("c.n").alias("m")), "grp")
-                .filter("id <> a").filter(near).groupBy(F.col("id").alias("b")).agg(F.min("a").alias("a")))
-    labels = _merged(labels, _verified(one_each, sets))
-    centres = 1
-    while True:
-        labelled = groups.join(labels, "id")
-        mixed = (labelled.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                             F.max("probes").alias("any"), F.count("*").alias("size"))
-                 .filter("lo <> hi and any").select("grp", "size"))
-        still = written(labelled.join(mixed, "grp"), "near_open")
-        if still.isEmpty():
-            return labels
-        small, large = still.filter(F.col("size") <= SMALL_GROUP), still.filter(F.col("size") > SMALL_GROUP)
-        other = small.select("grp", F.col("id").alias("b"), F.col("component").alias("other"), F.col("n").alias("m"),
-                             F.col("probes").alias("b_probes"))
-        pairs = (small.join(other, "grp").filter("id < b and component <> other and (probes or b_probes)").filter(near)
-                 .select(F.col("id").alias("a"), "b"))
-        # further centres: probing members of the smallest hashes, other ones each round. A centre is
-        # one in all its groups at once and meets every member there that was none before.
-        picks = [F.min_by("id", F.xxhash64("id", F.lit(centres + k))) for k in range(centres)]
-        chosen = written(large.filter("probes").groupBy("grp").agg(F.array_distinct(F.array(*picks)).alias("c"))
-                         .select(F.explode("c").alias("id")).distinct(), "near_centres")
-        against = large.filter("probes").join(chosen, "id", "left_semi").select(
-            "grp", F.col("id").alias("c"), F.col("component").alias("other"), F.col("n").alias("m"))
-        pairs = pairs.unionByName(large.filter("not met").join(against, "grp").filter("component <> other")
-                                  .filter(near).select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")))
-        labels = _merged(labels, _verified(pairs, sets))
-        been = chosen.withColumn("been", F.lit(True))
-        now = F.col("probes") & F.col("been").isNotNull()
-        groups = written(large.drop("component", "size").join(been, "id", "left").select(
-            "grp", "id", "n", (F.col("probes") & ~now).alias("probes"), (F.col("met") | now).alias("met")), "near_groups")
-        centres = min(2 * centres, 32)
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     width: int = WIDTH) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (the smallest id reachable by links)."""
@@ -402,15 +357,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keys = classes.agg(F.sum(F.col("n") + 8)).first()[0] or 0
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(4 * partitions, -(-int(keys) // (2 * BUCKET_KEYS)))
-    packed = _restrict(known, copies, "anti").mapInArrow(_packed(width, buckets), _PACKED_DDL)
+    packed = restrict(known, copies, "anti").mapInArrow(_packed(width, buckets), _PACKED_DDL)
     keyed = written(packed.groupBy("bucket").applyInArrow(_groups, _GROUP_DDL).groupBy("grp", "id", "flags")
                     .agg(F.max("spare").alias("spare"), F.sum("mult").alias("mult")), "near_keys")
     sized = described.filter("id is not null").groupBy("id").agg(F.max("n").alias("n"))
     groups = written(allocate(keyed).join(sized, "id"), "near_groups")
     members = written(groups.select("id").distinct(), "near_members")
-    sets = written(_restrict(known, members, "semi").mapInArrow(_set_rows(width), "id long, shingles array<long>"),
+    sets = written(restrict(known, members, "semi").mapInArrow(_set_rows(width), "id long, sketch binary, shingles array<long>"),
                    "near_shingles")
-    found = candidate_components(groups, sets).withColumnRenamed("id", "rep")
+    found = components(groups, sets, sets, RULE).withColumnRenamed("id", "rep")
     return (described.join(classes, digest, "left").join(found, "rep", "left")
             .select("id", F.col("n").alias("n_shingles"),
                     F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id")).alias("component_id")))
@@ -423,4 +378,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     dropped = written(found.filter("component_id <> id").select("id").distinct(), "near_dropped")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"),
                        F.col(id_col).cast("long").alias("id"))
-    return _restrict(rows, dropped, "anti").select("whole.*")
+    return restrict(rows, dropped, "anti").select("whole.*")

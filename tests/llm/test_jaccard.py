@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from tabulon.llm import jaccard_join as jj
+from tabulon.llm import near_groups, shingles as hashing
 from tabulon.llm.components import connected_components
 from tabulon.llm.shingles import U, shingle_sets
 
@@ -78,9 +79,10 @@ def test_components_are_those_of_all_pairs(spark, rows, monkeypatch):
 
 
 def test_combined_keys_large_groups_and_shuffled_id_joins(spark, rows, monkeypatch):
-    monkeypatch.setattr(jj, "BROADCAST_IDS", 0)
+    monkeypatch.setattr(near_groups, "BROADCAST_IDS", 0)
     monkeypatch.setattr(jj, "COMBINE", 3)
-    monkeypatch.setattr(jj, "SMALL_GROUP", 2)
+    monkeypatch.setattr(near_groups, "BLOCK", 7)
+    monkeypatch.setattr(near_groups, "TASK_BYTES", 500)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
     assert found(jj.near_duplicates(docs)) == brute(rows)
 
@@ -134,6 +136,69 @@ def test_shingle_sets_sizes():
     assert hashed[owner == 6].tolist() == hashed[owner == 7].tolist()
 
 
+def thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word[:n]
+
+
+def test_words_that_defeat_polynomial_hashes_stay_apart(spark):
+    rows = []
+    for k, n in enumerate((1024, 2048, 4096)):
+        word = thue_morse(n)
+        rows += [(2 * k, word), (2 * k + 1, word.translate(str.maketrans("ab", "ba")))]
+    assert found(jj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == {i: (1, i) for i, _ in rows}
+
+
+def test_span_hashes_and_equal_spans():
+    rng = random.Random(8)
+    spans = [bytes(rng.choice(b"ab") for _ in range(rng.choice([0, 1, 7, 8, 9, 16, 17, 40, 511, 512, 513, 2000]))) for _ in range(600)]
+    spans += [s[:-1] + bytes([s[-1] ^ 1]) for s in spans if s] + spans[:50]
+    raw = np.frombuffer(b"".join(spans), dtype=np.uint8)
+    b = np.cumsum([len(s) for s in spans])
+    a = b - [len(s) for s in spans]
+    names = hashing.span_hashes(raw, a, b).tolist()
+    assert len(set(names)) == len(set(spans)) and len(set(zip(names, spans))) == len(set(spans))
+    pairs = [(i, j) for i in range(0, len(spans), 7) for j in range(len(spans)) if len(spans[i]) == len(spans[j])]
+    i, j = np.array(pairs).T
+    same = hashing.same_spans(raw, a[i], raw, a[j], (b - a)[i])
+    assert same.tolist() == [spans[x] == spans[y] for x, y in pairs]
+
+
+def test_a_long_text_in_pieces(monkeypatch):
+    monkeypatch.setattr(hashing, "PIECE", 64)
+    rng = random.Random(3)
+    text = " ".join(rng.choice(["x", "Yy", "zzz" * 40, "q\tq", "\n"]) for _ in range(3000)).encode()
+    whole = hashing.words_of(np.frombuffer(text, dtype=np.uint8), np.array([0, len(text)]))[3]
+    owner, pieces = hashing.word_hashes(np.frombuffer(text, dtype=np.uint8), np.array([0, len(text)]))
+    assert pieces.tolist() == whole.tolist() and not owner.any()
+
+
+def test_parity_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(6)
+    for n in (1, 3, 16, 17, 150, 900):
+        pool = rng.integers(0, 1 << 63, 2 * n, dtype=U)
+        for shift in range(0, n + 1, max(1, n // 7)):
+            a, b = np.unique(pool[:n]), np.unique(pool[shift:n + 2 * shift])
+            sizes = np.array([len(a), len(b)])
+            one, two = jj.folded(jj.parity_sketches(np.concatenate([a, b]), sizes))
+            differ = len(np.setxor1d(a, b))
+            seen = int(np.bitwise_count(one ^ two).sum())
+            assert seen <= differ and (differ - seen) % 2 == 0 and (not differ or seen > 0 or differ > 1)
+
+
+def test_a_family_whose_members_mostly_stay_apart(spark, monkeypatch):
+    """Links are rare among texts that share most words: groups stay open and are worked on in blocks."""
+    monkeypatch.setattr(near_groups, "BLOCK", 40)
+    rng = random.Random(12)
+    base = [f"b{k}" for k in range(120)]
+    rows = [(k, " ".join(edited(rng, base, 0.035))) for k in range(200)]
+    want = brute(rows)
+    assert 20 < len({c for _, c in want.values()}) < 190
+    assert found(jj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))) == want
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001)], "a long, b long")
     got = {r["node"]: r["component"] for r in connected_components(edges).collect()}
