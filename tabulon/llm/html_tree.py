@@ -23,12 +23,16 @@ ENDS = {"li": ("li", ("ul", "ol", "menu", "dir")), "dt": ("dt dd", ("dl",)), "dd
 NOISE_TAGS = frozenset("nav footer aside form head menu dialog button fieldset search".split())
 NOISE_ROLES = frozenset("""navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar
 toolbar tablist status tooltip""".split())
+#: Words that name menus, page headers and footers, sidebars, notices, adverts, forms and comments.
 NOISE_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising adslot adbox banner breadcrumb breadcrumbs
-byline comment comments commentlist consent cookie cookies disclaimer disqus dropdown footer gdpr legal login masthead menu
-modal nav navbar navigation navi newsletter notice notices notification overlay pager pagination paywall popup promo
-promoted promotion recommended related replies reply respond search share sharing sidebar sidenav signup skip social
-sponsor sponsored subscribe subscription teaser toc toolbar topbar tracking widget widgets""".split())
-#: As noise outside the article only: an article has a header of its own.
+comment comments commentlist consent cookie cookies disclaimer disqus dropdown footer gdpr login masthead menu modal nav
+navbar navigation navi newsletter notice notices notification overlay pager pagination paywall popup promo promoted
+promotion replies reply respond sidebar sidenav signup sponsor sponsored subscribe subscription toolbar topbar""".split())
+#: Words that an article may use for parts of its own: noise outside of an article or main element.
+HINT_WORDS = frozenset("byline legal recommended related search skip social teaser toc tracking widget widgets".split())
+#: Noise, but not on inline elements there: an article may speak of what it shares.
+BAR_WORDS = frozenset("share sharing".split())
+#: The same, on block elements only: an article has a header of its own.
 OUTER_WORDS = frozenset("header head side meta copyright top bottom".split())
 CONTENT_TAGS, CONTENT_ROLES = frozenset(["article", "main"]), frozenset(["main", "article"])
 
@@ -98,8 +102,12 @@ def _role_words(tag: str, attrs: dict[str, str], in_content: bool) -> frozenset[
     """The words of class and id that name a role other than the article's."""
     if not attrs or tag in ("html", "body"):
         return frozenset()
-    words = {w.lower() for w in _WORD.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}")}
-    return frozenset(words & NOISE_WORDS | (words & OUTER_WORDS if not in_content and tag != "article" else set()))
+    known = NOISE_WORDS | BAR_WORDS if tag in BLOCK or not in_content else NOISE_WORDS
+    if not in_content:
+        known = known | HINT_WORDS
+        if tag in BLOCK and tag != "article":
+            known = known | OUTER_WORDS
+    return frozenset({w.lower() for w in _WORD.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}")} & known)
 
 
 def parse(page: str) -> tuple[Element, list[tuple[Element, str, str]]]:
@@ -179,7 +187,7 @@ def parse(page: str) -> tuple[Element, list[tuple[Element, str, str]]]:
                 attrs = _attributes(m["attrs"])
                 if _is_noise(tag, attrs, True):
                     inline_noise.append(tag)
-                elif tag in inline_words[-1:] or not inline_words and _role_words(tag, attrs, True):
+                elif tag in inline_words[-1:] or not inline_words and _role_words(tag, attrs, stack[-1].content):
                     inline_words.append(tag)
             elif tag in inline_words[-1:]:
                 inline_words.append(tag)

@@ -156,6 +156,20 @@ def test_role_words_are_hints(page):
     assert hx.main_text(page, set()) == ROLE_WORDS[page]
 
 
+#: Parts that an article has itself; what they are called is no reason to drop them.
+OWN_PARTS = ["<p class=byline>{}</p>", "<p class=teaser>{}</p>", "<div class=legal>{}</div>", "<div class=toc>{}</div>",
+             "<blockquote class=social>{}</blockquote>", "<p class=search-results>{}</p>", "<p>see <a class=share href=x>{}</a></p>",
+             "<div class='related widget'>{}</div>"]
+
+
+@pytest.mark.parametrize("part", OWN_PARTS)
+def test_an_articles_own_parts_stay(part):
+    body = "<p>" + " ".join(f"w{k}" for k in range(60)) + "</p>"
+    page = f"<nav>Home</nav><article>{body}{part.format('its own words')}{body}<div class=comments><p>so true</p></div></article><p class=teaser>more"
+    text = hx.main_text(page, set())
+    assert "its own words" in text and "so true" not in text and "Home" not in text and "more" not in text
+
+
 def test_a_page_of_role_words_keeps_what_the_entropy_keeps(spark):
     menu = "<div class=a>Welcome to our site, here is all that you may find on it</div>"
     rows = [(i, "http://x.example/", f"{menu}<div class='c widget'><p>w{i} text</div>") for i in range(40)]
