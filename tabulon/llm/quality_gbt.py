@@ -220,14 +220,17 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                     label_col: str = "quality", train_rows: int = TRAIN_ROWS) -> DataFrame:
     """(id, held_out, score) of every document."""
     described = written(document_statistics(docs, id_col, text_col), "quality_statistics")
-    model = docs.sparkSession.sparkContext.broadcast(fit(*training_rows(described, labels, label_col, id_col, train_rows)))
+    # plain arrays: a broadcast is pickled by reference, and workers need not have this package
+    model = docs.sparkSession.sparkContext.broadcast(vars(fit(*training_rows(described, labels, label_col, id_col, train_rows))))
     schema = T.StructType([described.schema["id"], T.StructField("score", T.DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees = Trees(0.0)
+        vars(trees).update(model.value)
         for batch in batches:
             for a in range(0, batch.num_rows, 2048):
                 part = batch.slice(a, 2048)
                 x = part.column(1).flatten().to_numpy().reshape(part.num_rows, -1)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(model.value.scores(x))], names=["id", "score"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(trees.scores(x))], names=["id", "score"])
 
     return described.mapInArrow(score, schema).select("id", held_out("id").alias("held_out"), "score")
