@@ -18,6 +18,9 @@ Everything is DataFrame functions. The text is read once; metrics go to a writte
 which the sketches and the verdict are made. The fences (one row per language and source) are
 broadcast when they are at most ``BROADCAST_GROUPS`` rows by count, else joined by shuffle.
 
+A text is one value of a task, with its words and windows as arrays beside it (some tens of bytes
+for a word): very long texts need that much of one task's memory.
+
 Defined results: a null text has no words and fails. Null languages and sources are groups of
 their own. Repeated rows are judged alike. An empty table gives an empty result.
 """
@@ -131,13 +134,12 @@ def group_fences(metrics: DataFrame) -> DataFrame:
     corpus = fences(merge(fine.withColumn("all", F.lit(1)), ["all"]), ["all"])
     names = [c for c in by_group.columns if c.startswith(("lo_", "hi_"))]
     lang = by_lang.select(F.col("lang").alias("l_lang"), F.col("group_rows").alias("l_rows"),
-                          *[F.col(c).alias(f"l_{c}") for c in names], F.lit(1).alias("l_all"))
-    whole = corpus.select(F.col("all").alias("c_all"), *[F.col(c).alias(f"c_{c}") for c in names])
-    joined = (by_group.join(lang, F.col("lang").eqNullSafe(F.col("l_lang")))
-              .join(whole, F.col("l_all") == F.col("c_all")))
+                          *[F.col(c).alias(f"l_{c}") for c in names])
+    whole = corpus.first()  # one row: the corpus
+    joined = by_group.join(lang, F.col("lang").eqNullSafe(F.col("l_lang")))
     return joined.select("lang", "source", *[
         F.when(F.col("group_rows") >= MIN_GROUP, F.col(c)).when(F.col("l_rows") >= MIN_GROUP, F.col(f"l_{c}"))
-        .otherwise(F.col(f"c_{c}")).alias(c) for c in names])
+        .otherwise(F.lit(whole[c] if whole else None).cast("long")).alias(c) for c in names])
 
 
 def judge(metrics: DataFrame) -> DataFrame:
