@@ -54,6 +54,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_key(df: DataFrame) -> list[Column]:
+    """128 bits that stand for a whole row, whatever its place: what ties between rows are broken by.
+    Columns that cannot be hashed (maps) do not count."""
+    names = [f"`{f.name}`" for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    set_ = [F.col(n).isNull() for n in names]
+    return [F.xxhash64(F.lit(k), *[F.col(n) for n in names], *set_) for k in (1, 2)]
+
+
 def process_cache() -> dict:
     """A dictionary that lives as long as the Python worker process (functions shipped by value
     get fresh module globals in every task)."""

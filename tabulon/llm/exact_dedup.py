@@ -12,7 +12,8 @@
 
 Defined results: a null text equals the empty text. Of equal texts the row with the smallest id
 stays, null ids last. Rows that repeat both id and text are copies of one another: exactly one
-stays. An empty table gives an empty result. Other columns of the input are never looked at, so
+stays, the one with the smallest hash of the whole row (``drop_copies``), so the result does not
+depend on where rows lie. A text is one value of a task; very long ones need a few times their size. An empty table gives an empty result. Other columns of the input are never looked at, so
 their names cannot clash.
 """
 
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import collapse_space, text_or_empty, written
+from .common import collapse_space, row_key, text_or_empty, written
 
 #: Counters of a Misra-Gries summary, and so the bound on broadcast rows.
 COUNTERS = 1024
@@ -94,15 +95,16 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 counters: int = COUNTERS) -> DataFrame:
     """The rows that stay, with all their columns.
 
-    Copies of heavy digests go map-side; the survivors and all other rows are shuffled once by
-    digest, text and all."""
-    slim = written(docs.select(F.col(id_col).alias("id"), text_digest(text_col).alias("digest"))
-                   .withColumn("row", F.monotonically_increasing_id()), "exact_dedup_digests")
-    heavy = _heavy_groups(slim, counters).select("digest", F.col("winner.id").alias("keep_id"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"),
+    Of a heavy digest one row stays, found by aggregations with map-side combining; its copies are
+    dropped where they lie, however many share the id or have none. All other rows are shuffled once
+    by digest, text and all."""
+    slim = written(docs.select(F.col(id_col).alias("id"), text_digest(text_col).alias("digest"), F.struct(*row_key(docs)).alias("row")),
+                   "exact_dedup_digests")
+    heavy = F.broadcast(_heavy_groups(slim, counters).select("digest", "winner"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), F.struct(*row_key(docs)).alias("row"),
                        F.col(id_col).alias("id"), text_digest(text_col).alias("digest"))
-    survivors = (rows.join(F.broadcast(heavy.withColumn("heavy", F.lit(True))), "digest", "left")
-                 .filter(F.col("heavy").isNull() | F.col("id").eqNullSafe(F.col("keep_id"))))
-    first = Window.partitionBy("digest").orderBy(F.col("id").asc_nulls_last())
-    return (survivors.withColumn("nth", F.row_number().over(first)).filter("nth = 1")
-            .select("whole.*"))
+    winners = (rows.join(heavy, "digest").filter(F.col("id").eqNullSafe(F.col("winner.id")) & (F.col("row") == F.col("winner.row")))
+               .groupBy("digest").agg(F.first("whole").alias("whole")))  # equal rows: any
+    first = Window.partitionBy("digest").orderBy(F.col("id").asc_nulls_last(), "row")
+    rest = rows.join(heavy, "digest", "left_anti").withColumn("nth", F.row_number().over(first)).filter("nth = 1")
+    return rest.select("whole").unionByName(winners.select("whole")).select("whole.*")

@@ -12,8 +12,10 @@ range-partitioned by (source, size, id), each range is numbered on written stora
 one small row, and only those totals are scanned in order.
 
 Defined results: a null text has size 0. Null is a source of its own, ordered last. Sources of
-size 0 have target 0. Documents repeated in the input are documents of their own. An empty table
-gives an empty result.
+size 0 have target 0. Documents repeated in the input are documents of their own; equal sizes and
+ids are ordered by a hash of the text, so the result does not depend on where rows lie. A text is one
+value of a task; its words are counted there, very long ones need a few times their size. An empty
+table gives an empty result. Other columns, whatever their names, are only carried.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, word_array, written
+from .common import row_key, text_or_empty, word_array, written
 
 #: Fractions of a copy are counted in these units.
 UNIT = 1_000_000_000
@@ -78,7 +80,7 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per document: id, source, size, source_size, target, copies, and its row key."""
     slim = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                        word_count(text_col).alias("size"), *_row_key(F.col(id_col), text_or_empty(text_col), F.col(source_col)))
-    ordered = (slim.repartitionByRange(F.col("source").asc_nulls_last(), "size", F.col("id").asc_nulls_last())
+    ordered = (slim.repartitionByRange(F.col("source").asc_nulls_last(), "size", F.col("id").asc_nulls_last(), "key_a", "key_b")
                .withColumn("range", F.spark_partition_id()))
     ordered = written(ordered, "mixing_ranges")
     totals = ordered.groupBy("source", "range").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
@@ -96,7 +98,7 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               .select(F.col("source").alias("range_source"), F.col("range").alias("range_no"), "rows_before",
                       "source_size", "target", "expected", _offset(seed).cast("decimal(18,0)").alias("offset")))
     ranges = written(ranges, "mixing_plan")
-    inside = Window.partitionBy("range", "source").orderBy("size", F.col("id").asc_nulls_last())
+    inside = Window.partitionBy("range", "source").orderBy("size", F.col("id").asc_nulls_last(), "key_a", "key_b")
     nth = F.row_number().over(inside).cast("decimal(18,0)")
     numbered = ordered.withColumn("nth", nth)
     joined = numbered.join(ranges, (F.col("range") == F.col("range_no"))
@@ -119,15 +121,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         weights=WEIGHTS, cap: int = MAX_COPIES, seed: int = 9) -> DataFrame:
     """The mixture: every document as often as it was taken, with all its columns.
 
-    Documents meet their number of copies in one shuffle; rows that repeat id, text and source are
-    told apart by their number among the repeats."""
+    Documents meet their number of copies in one shuffle. Rows that repeat id, text and source share
+    theirs: of the n of them, in the order of a hash of the whole row, the first ones are taken once
+    more than the others, so that the sum is theirs."""
     key = ["key_a", "key_b"]
-    plan = (plan_mix(docs, id_col, text_col, source_col, weights, cap, seed).select(*key, "copies")
-            .groupBy(*key).agg(F.sort_array(F.collect_list("copies"), asc=False).alias("copies")))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"),
+    plan = (plan_mix(docs, id_col, text_col, source_col, weights, cap, seed).groupBy(*key)
+            .agg(F.sum("copies").alias("copies"), F.count("*").alias("repeats")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), F.struct(*row_key(docs)).alias("row"),
                        *_row_key(F.col(id_col), text_or_empty(text_col), F.col(source_col)))
-    nth = F.row_number().over(Window.partitionBy(*key).orderBy("key_a"))
-    taken = rows.withColumn("nth", nth).join(plan, key).withColumn("taken", F.get("copies", F.col("nth") - 1))
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy("row"))
+    more = F.when(F.col("nth") <= F.expr("copies % repeats"), 1).otherwise(0)
+    taken = rows.withColumn("nth", nth).join(plan, key).withColumn("taken", F.expr("copies div repeats") + more)
     return (taken.filter("taken > 0")
             .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("taken").cast("int"))))
             .select("whole.*"))
