@@ -95,16 +95,16 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 counters: int = COUNTERS) -> DataFrame:
     """The rows that stay, with all their columns.
 
-    Of a heavy digest one row stays, found by aggregations with map-side combining; its copies are
-    dropped where they lie, however many share the id or have none. All other rows are shuffled once
-    by digest, text and all."""
+    Copies of a heavy digest are dropped where they lie. What remains is shuffled once by digest, text
+    and all; Spark limits a digest to its first row in every task before that, so rows that are equal
+    in all their columns, however many, are one row a task."""
     slim = written(docs.select(F.col(id_col).alias("id"), text_digest(text_col).alias("digest"), F.struct(*row_key(docs)).alias("row")),
                    "exact_dedup_digests")
     heavy = F.broadcast(_heavy_groups(slim, counters).select("digest", "winner"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), F.struct(*row_key(docs)).alias("row"),
                        F.col(id_col).alias("id"), text_digest(text_col).alias("digest"))
-    winners = (rows.join(heavy, "digest").filter(F.col("id").eqNullSafe(F.col("winner.id")) & (F.col("row") == F.col("winner.row")))
-               .groupBy("digest").agg(F.first("whole").alias("whole")))  # equal rows: any
+    survivors = rows.join(heavy, "digest", "left").filter(
+        F.col("winner").isNull() | (F.col("id").eqNullSafe(F.col("winner.id")) & (F.col("row") == F.col("winner.row"))))
     first = Window.partitionBy("digest").orderBy(F.col("id").asc_nulls_last(), "row")
-    rest = rows.join(heavy, "digest", "left_anti").withColumn("nth", F.row_number().over(first)).filter("nth = 1")
-    return rest.select("whole").unionByName(winners.select("whole")).select("whole.*")
+    return (survivors.withColumn("nth", F.row_number().over(first)).filter("nth = 1")
+            .select("whole.*"))

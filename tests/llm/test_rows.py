@@ -254,6 +254,8 @@ def test_ties_do_not_depend_on_where_rows_lie(spark):
             assert len(stay) == len({SPACE.sub(" ", r[1]) for r in rows})
             found.append((stay, mixed))
     assert all(f == found[0] for f in found)
+    plan = exact_dedup.drop_copies(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("WindowGroupLimit", plan.index("Exchange hashpartitioning")) > 0  # below the shuffle, in every task
     taken = sum(n * len(WORD.findall(r[1])) for r, n in found[0][1].items())
     plan = mixing.plan_mix(spark.createDataFrame(rows, SCHEMA)).collect()
     assert taken == sum(r["copies"] * r["size"] for r in plan)
