@@ -19,7 +19,7 @@ HEADLINE = [
     "impute_group_max", "impute_group_mode", "forward_fill", "label_encode", "string_index",
     "frequency_encode", "standard_scale", "feature_chain", "preprocess_chain",
     "class_weights", "evaluate_all", "roc_curve", "pr_curve", "classification_report",
-    "leaderboard", "leaderboard_macro", "train_logistic",
+    "leaderboard", "leaderboard_macro", "train_logistic", "train_tree", "feature_chain_new_rows", "preprocess_new_rows",
 ]
 
 

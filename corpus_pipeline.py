@@ -2,7 +2,9 @@
 
 Each stage works on all its predecessor kept: it is handed the documents that the stage before it
 returned, and ``run`` writes every stage's result as Parquet in the shared scratch folder and reads
-it again as the next one's input. All stages but the last return the columns of ``documents``.
+it again as the next one's input. What a stage wrote on its way is deleted when its result is
+written, and a result when the next one is. All stages but the last return the columns of
+``documents``.
 """
 
 from __future__ import annotations
@@ -11,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.llm import exact_dedup, jaccard_join, mixing, quality_rules, sentencepiece_scan
-from tabulon.llm.common import table, written
+from tabulon.llm.common import table
 from tabulon.llm.queries import sentencepiece_model
+from tabulon.session import delete_scratch, scratch_path, scratch_scope
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +50,15 @@ STAGES = [("quality_rules", quality), ("exact_dedup", dedup), ("ngram_jaccard",
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the last stage's rows."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        path = scratch_path(spark, f"pipeline_{name}")
+        with scratch_scope(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        if before:
+            delete_scratch(spark, before)
+        docs, before = spark.read.schema(kept.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

@@ -3,6 +3,9 @@
 Lineage is cut with reliable ``checkpoint()`` into the folder the cluster names in
 ``spark.checkpoint.dir``. Only when that setting is absent *and* Spark runs in local mode
 (tests, benches) do we create a folder of our own.
+
+Intermediate tables lie below that folder. The DataFrames that operators return read them, so only
+the caller knows when they are no longer needed: ``scratch_scope`` deletes what was written inside.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,7 +75,9 @@ def cluster_conf(input_bytes: float, total_cores: int,
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One JVM: executors of a ``local-cluster`` have folders of their own."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -100,7 +106,32 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tabulon-scratch/{uuid.uuid4().hex}/{name}"
+    path = f"{base}/tabulon-scratch/{uuid.uuid4().hex}/{name}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+def delete_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a table that was written to a ``scratch_path``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Intermediate tables that are written inside are deleted at the end, also after an error. Write
+    the result inside, to a path of your own: a lazy result would read what is gone."""
+    _SCOPES.append(paths := [])
+    try:
+        yield
+    finally:
+        del _SCOPES[next(k for k, scope in enumerate(_SCOPES) if scope is paths)]
+        for path in paths:
+            delete_scratch(spark, path)

@@ -64,3 +64,39 @@ def test_read_delimited_with_explicit_schema(spark):
     schema = T.StructType([T.StructField("a", T.DoubleType()), T.StructField("b", T.StringType())])
     rows = files.read_delimited(spark, path, schema=schema).collect()
     assert [(r["a"], r["b"]) for r in rows] == [(1.5, "x"), (None, "y")]
+
+
+def test_scratch_tables_are_deleted_with_their_scope(spark):
+    from tabulon import session
+    from tabulon.plans import lookup
+
+    def local(path):
+        return path.removeprefix("file:")
+
+    kept = session.scratch_path(spark, "kept")
+    try:
+        with session.scratch_scope(spark):
+            outer = session.scratch_path(spark, "outer")
+            spark.range(3).write.parquet(outer)
+            with session.scratch_scope(spark):
+                inner = lookup.materialised(spark.range(5)).inputFiles()
+                spark.range(2).write.parquet(kept)
+            assert os.path.exists(local(outer)) and not os.path.exists(local(os.path.dirname(inner[0])))
+            raise KeyError
+    except KeyError:
+        pass
+    assert not os.path.exists(local(outer)) and spark.read.parquet(kept).count() == 2
+    session.delete_scratch(spark, kept)
+    assert not os.path.exists(local(kept)) and not session._SCOPES
+
+
+def test_only_one_jvm_counts_as_local(monkeypatch):
+    from types import SimpleNamespace
+
+    from tabulon import session
+
+    def local(master):
+        return session._is_local(SimpleNamespace(sparkContext=SimpleNamespace(master=master)))
+
+    assert local("local") and local("local[4]") and local("local[*]")
+    assert not local("local-cluster[2,1,1024]") and not local("yarn")
