@@ -52,11 +52,11 @@ def class_counts(df: DataFrame, col: str, out: str = "n_rows") -> DataFrame:
 
 
 def class_distribution(df: DataFrame, col: str) -> DataFrame:
-    """(label, n_rows, share, pct, pct_2dp). The total is the sum of the written counts, as a literal:
-    the rows are read once and no window holds the classes. ``pct_2dp`` rounds half up on the binary
-    value: floor(pct * 100 + 0.5) / 100."""
-    counts = materialised(class_counts(df, col))
-    total = F.lit(float(counts.agg(F.sum("n_rows")).first()[0] or 0))
+    """(label, n_rows, share, pct, pct_2dp). The total is a scalar subquery over the class counts, whose
+    shuffle both share: the rows are read once and no window holds the classes. ``pct_2dp`` rounds half
+    up on the binary value: floor(pct * 100 + 0.5) / 100."""
+    counts = class_counts(df, col)
+    total = counts.agg(F.sum("n_rows").cast("double")).scalar()
     pct = F.col("n_rows").cast("double") * F.lit(100.0) / total
     out = counts.select(col, "n_rows", (F.col("n_rows").cast("double") / total).alias("share"),
                         pct.alias("pct"))

@@ -52,16 +52,16 @@ def hash_split(df: DataFrame, key: str, weights: list[float], names=DEFAULT_NAME
 
 
 def class_weight_table(df: DataFrame, label: str) -> DataFrame:
-    """(label, n_class, weight = N / (K * n_class)); N and K are sums over the written counts (one row
-    per class), as literals."""
-    counts = materialised(df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class")))
-    total = counts.agg(F.sum("n_class").alias("n"), F.count(F.lit(1)).alias("k")).first()
-    return counts.withColumn("weight", F.lit(float(total["n"] or 0))
-                             / (F.lit(float(total["k"])) * F.col("n_class").cast("double")))
+    """(label, n_class, weight = N / (K * n_class)); N / K is a scalar subquery over the class counts,
+    whose shuffle both share."""
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
+    mean = counts.agg(F.sum("n_class").cast("double").alias("n"), F.count(F.lit(1)).cast("double").alias("k"))
+    n, k = mean.select("n").scalar(), mean.select("k").scalar()
+    return counts.withColumn("weight", n / (k * F.col("n_class").cast("double")))
 
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Rows with a class-balancing weight column: NULL-safe equi-join on the label (a NULL
-    label is its own class, no row is dropped); the K rows on top of the written counts are broadcast."""
+    label is its own class, no row is dropped); the written K-row table is broadcast."""
     w = class_weight_table(df, label).select(label, F.col("weight").alias(out))
-    return attach(df, w, [label])
+    return attach(df, materialised(w), [label])
