@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.sql import functions as F
 
@@ -77,3 +78,10 @@ def test_a_fit_that_stayed_within_a_smaller_limit_is_not_repeated(spark, monkeyp
     tuned = [f["maxDepth"] for f in fits if "maxDepth" in f]
     assert sorted(tuned) == [1, 1, 1, 5, 20, 20, 20]  # the last fit is that of the best point
     assert len(scores) == 4 and scores[0] < 1.0 and scores[1:] == [1.0] * 3 and model.stages[-1].getMaxDepth() == 5
+
+
+def test_rows_without_a_value_are_refused(spark):
+    df = _rows(spark, 300).withColumn("a", F.when(F.col("b") > 9, F.col("a")))
+    for family in ("tree", "gbt"):
+        with pytest.raises(Exception):
+            models.train(df.withColumn("y", (F.col("y") > 0).cast("int")), family, "y", ["a", "b"])
