@@ -3,7 +3,8 @@
 import math
 
 import pytest
-from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from tabulon.operators import models
@@ -85,3 +86,41 @@ def test_rows_without_a_value_are_refused(spark):
     for family in ("tree", "gbt"):
         with pytest.raises(Exception):
             models.train(df.withColumn("y", (F.col("y") > 0).cast("int")), family, "y", ["a", "b"])
+
+
+def test_a_grid_of_forests_is_one_fit_per_part_and_scored_whole(spark, monkeypatch):
+    """Smaller depths are cut from the deepest forest, with the trees of a fit of that depth; fewer trees
+    are its first ones. A forest with too many nodes to go through is fitted for every depth."""
+    df = _rows(spark, 3000).withColumn("y", (F.col("y") + F.xxhash64("b") % 2 + 1).cast("int"))
+    grid = {"numTrees": [2, 5], "maxDepth": [1, 3, 8], "maxBins": [32]}
+    fits = []
+    fit = RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, data, params=None: fits.append(params) or fit(self, data, params))
+    found = {}
+    for walked in (models.WALKED, 0):
+        monkeypatch.setattr(models, "WALKED", walked)
+        fits.clear()
+        _, found[walked] = models.tune(df, "forest", "y", ["a", "b"], grid, folds=3)
+        assert len(fits) == (3 if walked else 9) + 1  # the last one is that of the best point
+    assert found[20_000] == found[0] and len(set(found[0])) > 3
+    with models.TrainingFrame.of(df, ["a", "b"], "y", folds=3) as rows:
+        cells = rows.weighted(rows.cells(32, ("cv", 3), bagged=True))
+        deep, flat = (fit(models.classifier("forest", "y", models.WEIGHT, numTrees=5, maxDepth=d, maxBins=32), cells) for d in (8, 3))
+        names = lambda model: [t.toDebugString.split("\n", 1)[1] for t in model.trees]
+        assert names(models._part_of(deep, 5, 3)) == names(flat) != names(deep)
+        assert names(models._part_of(deep, 2, 3)) == names(flat)[:2]
+        assert names(models._part_of(deep, 2, None)) == names(deep)[:2]
+
+
+def test_scores_are_those_of_the_evaluator_on_the_rows(spark):
+    df = _rows(spark, 900).withColumn("y", (F.col("b") > 9000).cast("int") + (F.col("a") > 17).cast("int"))
+    with models.TrainingFrame.of(df, ["a", "b"], "y", folds=3) as rows:
+        held = rows.frame.filter(F.col(models.FOLD) == 0)
+        model = models.classifier("logistic", "y", maxIter=3).fit(rows.frame)
+        cells = rows.weighted(rows.cells(16, ("cv", 3)), [0])
+        tree = models.classifier("tree", "y", models.WEIGHT, maxDepth=1).fit(cells)
+        for metric in ("accuracy", "f1", "weightedRecall", "logLoss"):
+            plain = MulticlassClassificationEvaluator(labelCol="y", metricName=metric)
+            weighted = plain.copy({plain.weightCol: models.N_ROWS})
+            assert models._score(plain, model, held) == pytest.approx(plain.evaluate(model.transform(held)))
+            assert models._score(weighted, tree, cells) == pytest.approx(weighted.evaluate(tree.transform(cells)))
