@@ -124,3 +124,37 @@ def test_scores_are_those_of_the_evaluator_on_the_rows(spark):
             weighted = plain.copy({plain.weightCol: models.N_ROWS})
             assert models._score(plain, model, held) == pytest.approx(plain.evaluate(model.transform(held)))
             assert models._score(weighted, tree, cells) == pytest.approx(weighted.evaluate(tree.transform(cells)))
+
+
+def _noisy(spark):
+    return _rows(spark, 400).withColumn("y", (F.col("y") + F.xxhash64("b") % 2 + 1).cast("int")).repartition(2)
+
+
+def test_a_forest_and_its_search_do_not_depend_on_the_number_of_rows_against_a_limit(spark, monkeypatch):
+    """Every row is drawn, also where a cell has many: a limit on portions changes neither model nor scores."""
+    grid = {"numTrees": [2, 4], "maxDepth": [3], "maxBins": [16]}
+    found = []
+    for bagged in (1_000_000, 20):
+        monkeypatch.setattr(models, "BAGGED", bagged)
+        model, scores = models.tune(_noisy(spark), "forest", "y", ["a", "b"], grid, method="cv", folds=2)
+        found.append((scores, [t.toDebugString.split("\n", 1)[1] for t in model.stages[-1].trees]))
+    assert found[0] == found[1] and max(found[0][0]) < 1.0
+
+
+def test_draws_of_counted_rows_are_those_of_their_rows(spark):
+    """n rows drawn with mean 1 each: mean and variance n. A tree's draws do not depend on the others asked for."""
+    rows = spark.range(0, 4000, 1, 2).select("id", F.when(F.col("id") % 2 == 0, 400.0).otherwise(1.0).alias("_mean"))
+    drawn = models._drawn(rows, 42, range(2, 4))
+    for n, mean, variance, joint in drawn.groupBy("_mean").agg(F.avg("_drawn3"), F.var_samp("_drawn3"), F.corr("_drawn2", "_drawn3")).collect():
+        assert mean == pytest.approx(n, rel=0.1) and variance == pytest.approx(n, rel=0.2) and abs(joint) < 0.1
+    alone = models._drawn(rows, 42, range(3, 4))
+    assert [tuple(r) for r in alone.collect()] == [tuple(r) for r in drawn.drop("_drawn2").collect()]
+
+
+def test_a_smaller_forest_is_the_first_trees_of_a_larger_one(spark):
+    df, trees = _noisy(spark).withColumn("w", 1.0 + F.col("a") % 3), []
+    for n in (2, 3):
+        model = models.train(df, "forest", "y", ["a", "b"], weight="w", params={"numTrees": n, "maxDepth": 3, "maxBins": 16})
+        trees.append([t.toDebugString.split("\n", 1)[1] for t in model.stages[-1].trees])
+    assert trees[0] == trees[1][:2] and len(set(trees[1])) == 3
+    assert {r["prediction"] for r in model.transform(df).collect()} <= {0.0, 1.0, 2.0, 3.0}
