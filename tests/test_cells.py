@@ -158,3 +158,13 @@ def test_a_smaller_forest_is_the_first_trees_of_a_larger_one(spark):
         trees.append([t.toDebugString.split("\n", 1)[1] for t in model.stages[-1].trees])
     assert trees[0] == trees[1][:2] and len(set(trees[1])) == 3
     assert {r["prediction"] for r in model.transform(df).collect()} <= {0.0, 1.0, 2.0, 3.0}
+
+
+def test_a_split_search_of_forests_does_not_depend_on_a_limit_on_rows(spark, monkeypatch):
+    found = []
+    for bagged in (1_000_000, 20):
+        monkeypatch.setattr(models, "BAGGED", bagged)
+        model, scores = models.tune(_noisy(spark), "forest", "y", ["a", "b"], {"numTrees": [2, 4], "maxDepth": [3], "maxBins": [16]},
+                                    method="tvs", ratio=0.7)
+        found.append((scores, [t.toDebugString.split("\n", 1)[1] for t in model.stages[-1].trees]))
+    assert found[0] == found[1] and max(found[0][0]) < 1.0
